@@ -227,3 +227,164 @@ ORACLE["ingest_metadata"] = f"""
 SELECT cuenta_id, tipo_producto, segmento_cliente, moneda, CAST(saldo_inicial AS DOUBLE) AS saldo_inicial,
   TIMESTAMP '{PROCESSED_AT}' AS _ingest_timestamp, 'mainframe_sql_replica' AS _source_system,
   'batch-0001' AS _batch_id FROM ({ACCOUNTS}) a"""
+
+
+# ---------------------------------------------------------------- product views
+
+def _money(x: str) -> str:
+    return f"format('{{:,.2f}}', CAST(coalesce({x}, 0) AS DOUBLE))"
+
+
+def _mask_last4(x: str, prefix: str) -> str:
+    return (f"CASE WHEN length(coalesce({x}, '')) >= 4 THEN '{prefix}' || right({x}, 4) ELSE '****' END")
+
+
+PRODUCT_ACCOUNTS = f"""SELECT c_custkey AS customer_id, {_case_mod('c_nationkey % 4', CUR)} AS currency,
+  CASE WHEN c_custkey % 13 = 0 THEN CAST(c_custkey % 1000 AS VARCHAR)
+       ELSE lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS account_number,
+  CAST(c_acctbal AS DECIMAL(18,2)) AS available_balance, CAST(c_acctbal AS DECIMAL(18,2)) + 100 AS total_balance
+FROM customer"""
+
+MOVEMENTS = f"""SELECT cuenta_id AS customer_id, moneda AS currency, transaccion_id AS movement_id,
+  CAST(fecha_transaccion AS DATE) AS date,
+  CASE WHEN tipo_transaccion_desc = 'CREDITO' THEN 'credit' ELSE 'debit' END AS type,
+  tipo_transaccion_desc AS description,
+  CASE WHEN tipo_transaccion_desc = 'CREDITO' THEN monto ELSE -monto END AS amount
+FROM ({SILVER}) s"""
+
+
+def top_movements_sql(n: int) -> str:
+    return f"""SELECT customer_id, currency, pos, movement_id, date, type, amount,
+  '• ' || coalesce(CAST(date AS VARCHAR), 'N/A') || ' | ' || coalesce(description, 'Sin descripción') || ' | '
+  || CASE WHEN type = 'credit' THEN '+' ELSE '-' END || {_money('abs(amount)')} || ' PEN' AS line
+FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, currency ORDER BY date DESC, movement_id DESC) AS pos
+      FROM ({MOVEMENTS}) m WHERE currency = 'PEN') x WHERE pos <= {n}"""
+
+
+BALANCE_LINES = f"""SELECT customer_id, currency, account_number,
+  {_mask_last4('account_number', '****')} AS masked,
+  '- Cuenta ' || {_mask_last4('account_number', '****')} || ': Disponible: ' || {_money('available_balance')}
+  || ' PEN | Total: ' || {_money('total_balance')} || ' PEN' AS line
+FROM ({PRODUCT_ACCOUNTS}) a WHERE currency = 'PEN'"""
+
+ORACLE["mask_account"] = f"""SELECT customer_id, account_number, {_mask_last4('account_number', '****')} AS masked
+FROM ({PRODUCT_ACCOUNTS}) a"""
+
+ORACLE["view_account_balance"] = BALANCE_LINES
+
+ORACLE["account_movements_topn"] = f"""SELECT customer_id, currency, pos, movement_id, date, type,
+  CAST(amount AS DOUBLE) AS amount FROM ({top_movements_sql(5)}) t"""
+
+ORACLE["view_account_movements"] = f"""SELECT customer_id, currency, pos, movement_id, date, type,
+  CAST(amount AS DOUBLE) AS amount, line FROM ({top_movements_sql(10)}) t"""
+
+ORACLE["statement_text"] = f"""
+WITH g AS (SELECT customer_id, count(*) AS n, string_agg(line, chr(10) ORDER BY pos) AS body
+           FROM ({top_movements_sql(5)}) t GROUP BY 1)
+SELECT c.c_custkey AS customer_id, coalesce(g.n, 0) AS n_items,
+  CASE WHEN g.customer_id IS NULL THEN 'No hay movimientos recientes en tu cuenta PEN.'
+       ELSE 'Últimos ' || g.n || ' movimientos en PEN:' || chr(10) || g.body END AS text
+FROM customer c LEFT JOIN g ON g.customer_id = c.c_custkey"""
+
+ORACLE["account_balance_text"] = f"""
+WITH g AS (SELECT customer_id, count(*) AS n, string_agg(line, chr(10) ORDER BY account_number) AS body
+           FROM ({BALANCE_LINES}) t GROUP BY 1)
+SELECT c.c_custkey AS customer_id, coalesce(g.n, 0) AS n_items,
+  CASE WHEN g.customer_id IS NULL THEN 'No se encontraron cuentas en PEN para el cliente.'
+       ELSE 'Saldos de cuentas en PEN:' || chr(10) || g.body END AS text
+FROM customer c LEFT JOIN g ON g.customer_id = c.c_custkey"""
+
+CARDS = f"""SELECT cliente_id AS customer_id, tarjeta_id AS card_id,
+  CASE WHEN tarjeta_id % 13 = 0 THEN CAST(tarjeta_id % 1000 AS VARCHAR)
+       ELSE lpad(CAST(tarjeta_id AS VARCHAR), 16, '0') END AS card_number,
+  tipo_tarjeta AS card_type, CASE WHEN estado_tarjeta <> 'DESCONOCIDO' THEN estado_tarjeta END AS status,
+  CASE WHEN tarjeta_id % 5 <> 0 THEN 'PEN' END AS currency,
+  CAST(tarjeta_id % 9000 AS DECIMAL(18,2)) AS credit_limit,
+  CAST((tarjeta_id % 9000) * (tarjeta_id % 7) / 10.0 AS DECIMAL(18,2)) AS used_balance,
+  CAST(tarjeta_id % 9000 AS DECIMAL(18,2)) - CAST((tarjeta_id % 9000) * (tarjeta_id % 7) / 10.0 AS DECIMAL(18,2))
+    AS available_balance,
+  CASE WHEN tarjeta_id % 11 <> 0 THEN make_date(2001, 8, CAST(tarjeta_id % 28 + 1 AS INTEGER)) END AS cut_date,
+  CAST(CAST((tarjeta_id % 9000) * (tarjeta_id % 7) / 10.0 AS DECIMAL(18,2)) * CAST(0.05 AS DECIMAL(3,2))
+       AS DECIMAL(18,2)) AS minimum_payment,
+  CAST((tarjeta_id % 9000) * (tarjeta_id % 7) / 10.0 AS DECIMAL(18,2)) AS total_payment
+FROM ({SILVER_CARDS}) c"""
+
+UTIL = """CASE WHEN CAST(coalesce(credit_limit, 0) AS DOUBLE) > 0
+  THEN CAST(coalesce(used_balance, 0) AS DOUBLE) / CAST(coalesce(credit_limit, 0) AS DOUBLE) * 100.0 ELSE 0.0 END"""
+
+CARDS_VIEW = f"""SELECT customer_id, card_id, {_mask_last4('card_number', '**** **** **** ')} AS masked,
+  coalesce(card_type, 'VISA') AS card_type, coalesce(status, 'ACTIVA') AS status,
+  coalesce(currency, 'PEN') AS currency, {_money('credit_limit')} AS credit_limit,
+  {_money('used_balance')} AS used_balance, {UTIL} AS utilization_pct,
+  format('{{:,.1f}}', {UTIL}) AS utilization, {_money('available_balance')} AS available_balance,
+  coalesce(CAST(cut_date AS VARCHAR), 'N/A') AS cut_date, {_money('minimum_payment')} AS minimum_payment,
+  {_money('total_payment')} AS total_payment
+FROM ({CARDS}) c"""
+
+ORACLE["view_credit_cards"] = CARDS_VIEW
+
+ORACLE["card_utilization"] = f"""SELECT card_id, CAST(credit_limit AS DOUBLE) AS credit_limit,
+  CAST(used_balance AS DOUBLE) AS used_balance,
+  CASE WHEN CAST(credit_limit AS DOUBLE) > 0 THEN CAST(used_balance AS DOUBLE) / CAST(credit_limit AS DOUBLE) * 100.0
+       ELSE 0.0 END AS utilization_pct FROM ({CARDS}) c"""
+
+ORACLE["default_fill"] = f"SELECT card_id, card_type, status, currency, cut_date FROM ({CARDS_VIEW}) v"
+
+CARD_MOVEMENTS = f"""SELECT tarjeta_id // 2 AS customer_id, transaccion_id AS movement_id,
+  CAST(fecha_transaccion AS DATE) AS date,
+  CASE WHEN transaccion_id % 7 <> 0 THEN 'Comercio ' || CAST(transaccion_id % 50 AS VARCHAR) END AS merchant,
+  monto AS amount, moneda AS currency,
+  CASE WHEN transaccion_id % 5 <> 0 THEN CAST(transaccion_id % 12 + 1 AS INTEGER) END AS installments
+FROM ({SILVER}) s WHERE tipo_transaccion_desc IN ('DEBITO', 'PAGO_SERVICIO')"""
+
+
+def card_movements_sql(n: int) -> str:
+    return f"""SELECT customer_id, movement_id, coalesce(CAST(date AS VARCHAR), 'N/A') AS date,
+  coalesce(merchant, 'Comercio') AS merchant, {_money('amount')} AS amount, coalesce(currency, 'PEN') AS currency,
+  coalesce(installments, 1) AS installments, {n} AS days
+FROM ({CARD_MOVEMENTS}) m
+WHERE date >= DATE '{AS_OF}' - INTERVAL {n} DAY AND date <= DATE '{AS_OF}'"""
+
+
+ORACLE["view_card_movements"] = card_movements_sql(30)
+ORACLE["view_card_movements_capped"] = card_movements_sql(90)
+
+LOANS = f"""SELECT o_custkey AS customer_id, 'LN' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS loan_id,
+  CASE o_orderstatus WHEN 'F' THEN 'Personal' WHEN 'O' THEN 'Vehicular' END AS loan_type,
+  CAST(o_totalprice AS DECIMAL(18,2)) AS outstanding_balance,
+  CAST((o_orderkey % 500) * 10 + 150 AS DECIMAL(18,2)) AS monthly_payment,
+  5.0::DOUBLE + (o_orderkey % 20) / 2.0::DOUBLE AS annual_rate,
+  CAST(o_orderkey % 36 AS INTEGER) AS remaining_installments,
+  CAST(o_orderdate AS DATE) + INTERVAL 30 DAY AS next_due_date,
+  CASE o_orderkey % 2 WHEN 0 THEN 'PEN' WHEN 1 THEN 'USD' END AS currency
+FROM orders WHERE o_orderpriority = '5-LOW'"""
+
+ORACLE["view_loans"] = f"""SELECT customer_id, left(coalesce(loan_id, 'N/A'), 8) AS loan_ref,
+  coalesce(loan_type, 'Personal') AS loan_type, {_money('outstanding_balance')} AS outstanding_balance,
+  coalesce(currency, 'PEN') AS currency, {_money('monthly_payment')} AS monthly_payment,
+  format('{{:,.2f}}', coalesce(annual_rate, 0.0)) AS annual_rate,
+  coalesce(remaining_installments, 0) AS remaining_installments,
+  coalesce(CAST(CAST(next_due_date AS DATE) AS VARCHAR), 'N/A') AS next_due_date
+FROM ({LOANS}) l"""
+
+ELIG = """SELECT c_custkey AS customer_id, c_acctbal > 0 AS eligible, CAST(c_acctbal * 2 AS DECIMAL(18,2)) AS max_amount,
+  CAST(12.5 + c_custkey % 10 AS DOUBLE) AS min_rate, CAST(12 * (1 + c_custkey % 5) AS INTEGER) AS max_term_months,
+  'PEN' AS currency, CASE WHEN NOT (c_acctbal > 0) AND c_custkey % 2 = 1 THEN 'Saldo insuficiente' END AS reason
+FROM customer"""
+
+ORACLE["view_loan_eligibility"] = f"""SELECT customer_id, coalesce(eligible, false) AS eligible,
+  CASE WHEN coalesce(eligible, false) THEN {_money('max_amount')} END AS max_amount,
+  CASE WHEN coalesce(eligible, false) THEN coalesce(currency, 'PEN') END AS currency,
+  CASE WHEN coalesce(eligible, false) THEN format('{{:,.2f}}', coalesce(min_rate, 0.0)) END AS min_rate,
+  CASE WHEN coalesce(eligible, false) THEN coalesce(max_term_months, 0) END AS max_term_months,
+  CASE WHEN NOT coalesce(eligible, false) THEN coalesce(reason, 'No disponible') END AS reason
+FROM ({ELIG}) e"""
+
+ORACLE["view_transfer_limits"] = f"""
+WITH d AS (SELECT cuenta_id AS customer_id, CAST(fecha_transaccion AS DATE) AS day, sum(monto) AS daily_used
+           FROM ({SILVER}) s WHERE tipo_transaccion_desc = 'TRANSFERENCIA' GROUP BY 1, 2)
+SELECT customer_id, day, CAST(daily_used AS DOUBLE) AS daily_used, CAST(20000 AS DOUBLE) AS daily_limit,
+  CAST(sum(daily_used) OVER (PARTITION BY customer_id, date_trunc('month', day) ORDER BY day
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS monthly_used,
+  CAST(200000 AS DOUBLE) AS monthly_limit, CAST(greatest(20000 - daily_used, 0) AS DOUBLE) AS daily_available
+FROM d"""

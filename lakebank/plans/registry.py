@@ -222,3 +222,114 @@ def q_src_incremental(spark, d):
 def q_ingest_metadata(spark, d):
     """A4: ingest time, source system and batch id on the account snapshot."""
     return ingest.ingest_metadata(FX.accounts(spark, d), M.PROCESSED_AT, batch_id="batch-0001")
+
+
+# ---------------------------------------------------------------- product views
+
+def _customers(spark, d):
+    return FX.accounts(spark, d).select(F.col("cuenta_id").alias("customer_id"))
+
+
+@register("mask_account")
+def q_mask_account(spark, d):
+    """P5: account mask (last four or ****)."""
+    from lakebank.functions.expr import mask_account
+    return FX.product_accounts(spark, d).select("customer_id", "account_number",
+                                                mask_account("account_number").alias("masked"))
+
+
+@register("view_account_balance")
+def q_view_account_balance(spark, d):
+    """V1: PEN accounts per customer, masked, formatted."""
+    from lakebank.operators import views
+    return views.account_balance_lines(FX.product_accounts(spark, d), "PEN")
+
+
+@register("account_movements_topn")
+def q_account_movements_topn(spark, d):
+    """Newest 5 PEN movements per customer."""
+    from lakebank.operators import views
+    return views.top_movements(FX.movements(M.silver_txns_for(spark, d)), "PEN", 5).drop("line")
+
+
+@register("view_account_movements")
+def q_view_account_movements(spark, d):
+    """V2: movement lines with sign and absolute amount (limit 20 is capped to 10)."""
+    from lakebank.operators import views
+    return views.top_movements(FX.movements(M.silver_txns_for(spark, d)), "PEN", 20)
+
+
+@register("statement_text")
+def q_statement_text(spark, d):
+    """One movements text per customer (fixed message when none)."""
+    from lakebank.operators import views
+    return views.movements_text(FX.movements(M.silver_txns_for(spark, d)), _customers(spark, d), "PEN", 5)
+
+
+@register("account_balance_text")
+def q_account_balance_text(spark, d):
+    """G6 over V1: one balance text per customer."""
+    from lakebank.operators import views
+    return views.account_balance_text(FX.product_accounts(spark, d), _customers(spark, d), "PEN")
+
+
+def _cards(spark, d):
+    return FX.credit_cards(M.silver_cards(FX.raw_cards(spark, d)))
+
+
+@register("view_credit_cards")
+def q_view_credit_cards(spark, d):
+    """V3: card view with mask, defaults and utilisation."""
+    from lakebank.operators import views
+    return views.credit_cards_view(_cards(spark, d))
+
+
+@register("card_utilization")
+def q_card_utilization(spark, d):
+    """Used / limit * 100 when limit > 0, else 0."""
+    from lakebank.functions.expr import utilization_pct
+    return _cards(spark, d).select("card_id", "credit_limit", "used_balance",
+                                   utilization_pct("used_balance", "credit_limit").alias("utilization_pct"))
+
+
+@register("default_fill")
+def q_default_fill(spark, d):
+    """P10: missing card fields take their defaults."""
+    from lakebank.operators import views
+    return views.credit_cards_view(_cards(spark, d)).select("card_id", "card_type", "status", "currency",
+                                                            "cut_date")
+
+
+@register("view_card_movements")
+def q_view_card_movements(spark, d):
+    """V4: card purchases of the last 30 days before the as-of date."""
+    from lakebank.operators import views
+    return views.card_movements_view(FX.card_movements(M.silver_txns_for(spark, d)), FX.AS_OF, 30)
+
+
+@register("view_card_movements_capped")
+def q_view_card_movements_capped(spark, d):
+    """A 120-day request is capped to 90 days."""
+    from lakebank.operators import views
+    return views.card_movements_view(FX.card_movements(M.silver_txns_for(spark, d)), FX.AS_OF, 120)
+
+
+@register("view_loans")
+def q_view_loans(spark, d):
+    """V5: loans with 8-character reference and defaults."""
+    from lakebank.operators import views
+    return views.loans_view(FX.loans(spark, d))
+
+
+@register("view_loan_eligibility")
+def q_view_loan_eligibility(spark, d):
+    """V6: offer or reason per customer."""
+    from lakebank.operators import views
+    return views.loan_eligibility_view(FX.eligibility(spark, d))
+
+
+@register("view_transfer_limits")
+def q_view_transfer_limits(spark, d):
+    """V7: daily and month-to-date transfer use against the limits."""
+    from lakebank.operators import views
+    return views.transfer_limits(M.silver_txns_for(spark, d))

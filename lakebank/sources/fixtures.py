@@ -238,3 +238,62 @@ def eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("PEN").alias("currency"),
         F.when(~ok & (F.col("c_custkey") % 2 == 1), F.lit("Saldo insuficiente")).alias("reason"),
     )
+
+
+def product_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deposit accounts as the core API lists them (every 13th number too short to show)."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    bal = F.col("c_acctbal").cast("decimal(18,2)")
+    return c.select(
+        k.alias("customer_id"),
+        _pick((F.col("c_nationkey") % 4).cast("int"), CURRENCIES).alias("currency"),
+        F.when(k % 13 == 0, (k % 1000).cast("string"))
+         .otherwise(F.lpad(k.cast("string"), 10, "0")).alias("account_number"),
+        bal.alias("available_balance"),
+        (bal + 100).alias("total_balance"),
+    )
+
+
+def movements(silver_txns: DataFrame) -> DataFrame:
+    """Account movements (credit positive, others negative) from silver transactions."""
+    credit = F.col("tipo_transaccion_desc") == "CREDITO"
+    return silver_txns.select(
+        F.col("cuenta_id").alias("customer_id"), F.col("moneda").alias("currency"),
+        F.col("transaccion_id").alias("movement_id"), F.to_date("fecha_transaccion").alias("date"),
+        F.when(credit, "credit").otherwise("debit").alias("type"),
+        F.col("tipo_transaccion_desc").alias("description"),
+        F.when(credit, F.col("monto")).otherwise(-F.col("monto")).alias("amount"))
+
+
+def credit_cards(silver_cards: DataFrame) -> DataFrame:
+    """Credit card products from the current card rows."""
+    t = F.col("tarjeta_id")
+    limit = (t % 9000).cast("decimal(18,2)")
+    used = ((t % 9000) * (t % 7) / 10.0).cast("decimal(18,2)")
+    return silver_cards.select(
+        F.col("cliente_id").alias("customer_id"),
+        t.alias("card_id"),
+        F.when(t % 13 == 0, (t % 1000).cast("string"))
+         .otherwise(F.lpad(t.cast("string"), 16, "0")).alias("card_number"),
+        F.col("tipo_tarjeta").alias("card_type"),
+        F.when(F.col("estado_tarjeta") != "DESCONOCIDO", F.col("estado_tarjeta")).alias("status"),
+        F.when(t % 5 != 0, F.lit("PEN")).alias("currency"),
+        limit.alias("credit_limit"), used.alias("used_balance"),
+        (limit - used).alias("available_balance"),
+        F.when(t % 11 != 0, F.make_date(F.lit(2001), F.lit(8), (t % 28 + 1).cast("int"))).alias("cut_date"),
+        (used * F.lit(0.05).cast("decimal(3,2)")).cast("decimal(18,2)").alias("minimum_payment"),
+        used.alias("total_payment"),
+    )
+
+
+def card_movements(silver_txns: DataFrame) -> DataFrame:
+    """Card purchases (debit and service payments) from silver transactions."""
+    k = F.col("transaccion_id")
+    return (silver_txns.filter(F.col("tipo_transaccion_desc").isin("DEBITO", "PAGO_SERVICIO")).select(
+        (F.col("tarjeta_id") / 2).cast("bigint").alias("customer_id"),
+        k.alias("movement_id"),
+        F.to_date("fecha_transaccion").alias("date"),
+        F.when(k % 7 != 0, F.concat(F.lit("Comercio "), (k % 50).cast("string"))).alias("merchant"),
+        F.col("monto").alias("amount"), F.col("moneda").alias("currency"),
+        F.when(k % 5 != 0, (k % 12 + 1).cast("int")).alias("installments")))
