@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakebank.operators.ordered import next_value
+from lakebank.operators.ordered import next_value, time_bucket
 
 START, END = "__START_AT", "__END_AT"
 
@@ -68,8 +68,8 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence
     op = F.col(op_col)
     keyed = changes.filter(~op.isin(*truncate_ops) | op.isNull())
     truncs = changes.filter(op.isin(*truncate_ops))
-    with_next = next_value(keyed, keys, sequence_by, seq_ts, "__lead", ts=seq_ts,
-                           bucket_seconds=bucket_seconds)
+    with_next = next_value(keyed, keys, sequence_by, seq_ts, "__lead",
+                           bucket=time_bucket(seq_ts, bucket_seconds))
     ups = with_next.filter(~op.isin(*delete_ops) | op.isNull())
     ups = next_truncate(ups, truncs, seq_ts, sequence_by)
     payload = _payload(changes, keys, sequence_by, except_columns)

@@ -2,7 +2,8 @@
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to
 one task; if one customer or account holds a third of all rows, that task
-holds a third of the data. These helpers split each key by a time bucket:
+holds a third of the data. These helpers split each key by a bucket of the
+ordering column (a time bucket, or a block of turn numbers):
 
 1. the window runs per (key, bucket) -- the hot key is spread over buckets;
 2. a per-(key, bucket) summary (one row per bucket) gets a window over
@@ -16,7 +17,7 @@ local scan plus a carried-in value).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,63 +27,75 @@ from lakebank.functions.expr import epoch_seconds
 BUCKET = "__bucket"
 
 
-def with_bucket(df: DataFrame, ts: str, bucket_seconds: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.floor(epoch_seconds(ts) / F.lit(bucket_seconds)))
+def time_bucket(ts: str, seconds: int) -> Column:
+    return F.floor(epoch_seconds(ts) / F.lit(seconds))
 
 
-def _keys(keys: Sequence[str]) -> list[str]:
-    return list(keys)
+def block_bucket(c: str, size: int) -> Column:
+    return F.floor(F.col(c) / F.lit(size))
 
 
-def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-               ts: str, bucket_seconds: int = 86400) -> DataFrame:
-    """``lead(value)`` over ``keys`` ordered by ``order`` (``ts`` = first order column)."""
-    ks = _keys(keys)
-    b = with_bucket(df, ts, bucket_seconds)
-    local = F.lead(value).over(Window.partitionBy(*ks, BUCKET).orderBy(*order))
-    b = b.withColumn("__local", local)
+def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, out: str,
+               bucket: Column) -> DataFrame:
+    """``lead(value)`` over ``keys`` in ``order``."""
+    ks = list(keys)
+    b = df.withColumn(BUCKET, bucket).withColumn("__val", value if isinstance(value, Column) else F.col(value))
+    b = b.withColumn("__local", F.lead("__val").over(Window.partitionBy(*ks, BUCKET).orderBy(*order)))
     summ = (b.groupBy(*ks, BUCKET)
-            .agg(F.min_by(F.col(value), F.struct(*order)).alias("__first"))
+            .agg(F.min_by(F.col("__val"), F.struct(*order)).alias("__first"))
             .withColumn("__carry", F.lead("__first").over(Window.partitionBy(*ks).orderBy(BUCKET)))
             .select(*ks, BUCKET, "__carry"))
+    last = F.row_number().over(Window.partitionBy(*ks, BUCKET).orderBy(*[F.desc(c) for c in order])) == 1
     return (b.join(summ, [*ks, BUCKET], "left")
-            .withColumn(out, F.coalesce("__local", "__carry"))
-            .drop("__local", "__carry", BUCKET))
+            .withColumn(out, F.when(last, F.col("__carry")).otherwise(F.col("__local")))
+            .drop("__val", "__local", "__carry", BUCKET))
 
 
-def prev_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-               ts: str, bucket_seconds: int = 86400) -> DataFrame:
-    """``lag(value)`` over ``keys`` ordered by ``order``."""
-    ks = _keys(keys)
-    b = with_bucket(df, ts, bucket_seconds)
-    local = F.lag(value).over(Window.partitionBy(*ks, BUCKET).orderBy(*order))
-    b = b.withColumn("__local", local)
+def prev_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, out: str,
+               bucket: Column) -> DataFrame:
+    """``lag(value)`` over ``keys`` in ``order``."""
+    ks = list(keys)
+    b = df.withColumn(BUCKET, bucket).withColumn("__val", value if isinstance(value, Column) else F.col(value))
+    w = Window.partitionBy(*ks, BUCKET).orderBy(*order)
+    b = b.withColumn("__local", F.lag("__val").over(w)).withColumn("__first", F.row_number().over(w) == 1)
     summ = (b.groupBy(*ks, BUCKET)
-            .agg(F.max_by(F.col(value), F.struct(*order)).alias("__last"))
+            .agg(F.max_by(F.col("__val"), F.struct(*order)).alias("__last"))
             .withColumn("__carry", F.lag("__last").over(Window.partitionBy(*ks).orderBy(BUCKET)))
             .select(*ks, BUCKET, "__carry"))
-    # first row of a bucket takes the carry; other rows the local lag (which may be null by value)
-    first = F.row_number().over(Window.partitionBy(*ks, BUCKET).orderBy(*order)) == 1
     return (b.join(summ, [*ks, BUCKET], "left")
-            .withColumn(out, F.when(first, F.col("__carry")).otherwise(F.col("__local")))
-            .drop("__local", "__carry", BUCKET))
-
-
-def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], expr: Column, how: str, out: str,
-            ts: str, bucket_seconds: int = 86400) -> DataFrame:
-    """Running ``sum`` or ``max`` of ``expr`` over ``keys`` in ``order``, current row included."""
-    ks = _keys(keys)
-    agg = {"sum": F.sum, "max": F.max}[how]
-    b = with_bucket(df, ts, bucket_seconds).withColumn("__v", expr)
-    w_local = Window.partitionBy(*ks, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    b = b.withColumn("__local", agg("__v").over(w_local))
+            .withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__local")))
+            .drop("__val", "__local", "__carry", "__first", BUCKET))
+
+
+_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
+
+
+def _combine(how: str, local: Column, carry: Column) -> Column:
+    if how == "sum":
+        return F.when(local.isNull(), carry).when(carry.isNull(), local).otherwise(local + carry)
+    return F.greatest(local, carry) if how == "max" else F.least(local, carry)
+
+
+def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+            aggs: Mapping[str, tuple[Column, str]], bucket: Column, include_current: bool = True) -> DataFrame:
+    """Running aggregates per key in ``order``: ``aggs = {out: (expr, "sum"|"max"|"min")}``.
+
+    ``include_current=False`` gives the aggregate over strictly earlier rows.
+    """
+    ks = list(keys)
+    b = df.withColumn(BUCKET, bucket)
+    vals = {f"__v{i}": e for i, (e, _) in enumerate(aggs.values())}
+    b = b.withColumns(vals)
+    hi = 0 if include_current else -1
+    w_local = Window.partitionBy(*ks, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
     w_prev = Window.partitionBy(*ks).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    summ = (b.groupBy(*ks, BUCKET).agg(agg("__v").alias("__b"))
-            .withColumn("__carry", agg("__b").over(w_prev)).select(*ks, BUCKET, "__carry"))
+    hows = [h for _, h in aggs.values()]
+    b = b.withColumns({f"__l{i}": _AGG[h](f"__v{i}").over(w_local) for i, h in enumerate(hows)})
+    summ = b.groupBy(*ks, BUCKET).agg(*[_AGG[h](f"__v{i}").alias(f"__b{i}") for i, h in enumerate(hows)])
+    summ = summ.select(*ks, BUCKET, *[_AGG[h](f"__b{i}").over(w_prev).alias(f"__c{i}")
+                                      for i, h in enumerate(hows)])
     j = b.join(summ, [*ks, BUCKET], "left")
-    if how == "sum":
-        res = F.coalesce("__local", F.lit(0)) + F.coalesce("__carry", F.lit(0))
-        res = F.when(F.col("__local").isNull() & F.col("__carry").isNull(), F.lit(None)).otherwise(res)
-    else:
-        res = F.greatest("__local", "__carry")
-    return j.withColumn(out, res).drop("__v", "__local", "__carry", BUCKET)
+    j = j.withColumns({out: _combine(h, F.col(f"__l{i}"), F.col(f"__c{i}"))
+                       for i, (out, h) in enumerate(zip(aggs.keys(), hows))})
+    drop = [c for i in range(len(hows)) for c in (f"__v{i}", f"__l{i}", f"__c{i}")]
+    return j.drop(*drop, BUCKET)

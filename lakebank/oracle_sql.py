@@ -388,3 +388,97 @@ SELECT customer_id, day, CAST(daily_used AS DOUBLE) AS daily_used, CAST(20000 AS
        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS monthly_used,
   CAST(200000 AS DOUBLE) AS monthly_limit, CAST(greatest(20000 - daily_used, 0) AS DOUBLE) AS daily_available
 FROM d"""
+
+
+# ---------------------------------------------------------------- sessions and cache
+
+MESSAGES = "SELECT conv_id AS session_id, turn, role, text FROM conversations"
+
+
+def history_trim_sql(cap: int) -> str:
+    return f"""WITH m AS ({MESSAGES}),
+n AS (SELECT session_id, count(*) AS n FROM m GROUP BY 1),
+mm AS (SELECT m.*, n.n FROM m JOIN n ON m.session_id = n.session_id),
+k AS (SELECT session_id, turn, role, text, 0 AS g FROM mm WHERE n <= {cap}
+      UNION ALL SELECT session_id, turn, role, text, 0 FROM mm WHERE n > {cap} AND role = 'system'
+      UNION ALL SELECT session_id, turn, role, text, 1 FROM (
+          SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY turn DESC) AS rn
+          FROM mm WHERE n > {cap} AND (role <> 'system' OR role IS NULL)) x
+        WHERE rn <= {cap - 1} AND role IN ('user', 'assistant'))
+SELECT session_id, turn, role, text, row_number() OVER (PARTITION BY session_id ORDER BY g, turn) AS pos FROM k"""
+
+
+ORACLE["history_trim"] = history_trim_sql(5)
+ORACLE["history_trim_20"] = history_trim_sql(20)
+
+ORACLE["session_history"] = f"""SELECT session_id, count(*) AS n_messages, string_agg(role, ',' ORDER BY pos) AS roles,
+  md5(string_agg(text, chr(10) ORDER BY pos)) AS digest
+FROM ({history_trim_sql(5)}) h WHERE role IN ('system', 'user', 'assistant') GROUP BY 1"""
+
+SYSTEM_PROMPT_SQL = """Eres un asistente bancario virtual inteligente del banco.
+Ayudas a los clientes con consultas sobre sus productos digitales:
+  - Tarjetas de crédito digitales
+  - Cuentas en soles y dólares
+  - Préstamos digitales
+  - Transferencias y operaciones
+
+Reglas estrictas:
+1. NUNCA inventes saldos, tasas ni datos financieros. Usa SIEMPRE las funciones disponibles.
+2. Si el cliente pide operaciones (transferencias, pagos), confirma antes de ejecutar.
+3. Responde SIEMPRE en el mismo idioma que usa el cliente.
+4. Para datos sensibles, muestra solo los últimos 4 dígitos de cuentas/tarjetas.
+5. Si detectas actividad sospechosa, escala al equipo humano.
+6. Sé conciso, preciso y empático.
+
+Contexto adicional de la base de conocimiento del banco:
+Sin contexto adicional disponible.
+"""
+
+ORACLE["prompt_assembly"] = f"""SELECT session_id, turn, n_prior, n_prior = 0 AS system_added,
+  n_prior + 1 + CASE WHEN n_prior = 0 THEN 1 ELSE 0 END AS prompt_size,
+  CASE WHEN n_prior = 0 THEN '{SYSTEM_PROMPT_SQL}' END AS system_text
+FROM (SELECT *, CAST(coalesce(sum(CASE WHEN role IN ('system', 'user', 'assistant') THEN 1 ELSE 0 END)
+        OVER (PARTITION BY session_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        AS BIGINT) AS n_prior FROM ({MESSAGES}) m) x
+WHERE role = 'user'"""
+
+
+def session_ttl_sql(ttl: int) -> str:
+    return f"""WITH e AS (SELECT user_id, ts, coalesce(event_type = 'error', false) AS lo FROM events),
+p AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS pt,
+             lag(lo) OVER (PARTITION BY user_id ORDER BY ts) AS pl FROM e),
+s AS (SELECT *, CAST(sum(CASE WHEN pt IS NULL OR date_diff('microsecond', pt, ts) >= {ttl * 1_000_000} OR pl
+                              THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_no FROM p)
+SELECT user_id, session_no, min(ts) AS started_at, max(ts) AS last_activity, count(*) AS n_events,
+  CASE WHEN arg_max(lo, ts) THEN 'logout' ELSE 'ttl' END AS ended_by,
+  CASE WHEN arg_max(lo, ts) THEN max(ts) ELSE max(ts) + INTERVAL {ttl} SECOND END AS expires_at
+FROM s GROUP BY 1, 2"""
+
+
+ORACLE["session_ttl"] = session_ttl_sql(1800)
+ORACLE["session_ttl_12h"] = session_ttl_sql(43200)
+
+CACHE_EVENTS = """SELECT event_id, 'C' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS customer_id,
+  CASE WHEN event_type = 'error' THEN NULL
+       ELSE CASE event_id % 3 WHEN 0 THEN 'balance' WHEN 1 THEN 'cards' WHEN 2 THEN 'loans' END END AS data_type,
+  ts, CASE event_type WHEN 'purchase' THEN 'put' WHEN 'error' THEN 'invalidate' WHEN 'view' THEN 'request' END AS kind
+FROM events WHERE event_type IN ('purchase', 'error', 'view')"""
+
+
+def ttl_lookup_sql(ttl: int) -> str:
+    return f"""WITH ce AS ({CACHE_EVENTS}),
+ev AS (SELECT event_id, customer_id, data_type, ts, kind FROM ce WHERE kind <> 'invalidate'
+       UNION ALL SELECT event_id, customer_id, t.data_type, ts, kind FROM ce,
+         (SELECT unnest(['balance', 'cards', 'loans']) AS data_type) t WHERE kind = 'invalidate'),
+r AS (SELECT *, max(CASE WHEN kind = 'put' THEN ts END) OVER w AS last_put,
+             max(CASE WHEN kind = 'invalidate' THEN ts END) OVER w AS last_inv
+      FROM ev WINDOW w AS (PARTITION BY customer_id, data_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
+SELECT event_id, customer_id, data_type, ts, last_put, last_inv AS last_invalidation,
+  coalesce(last_put IS NOT NULL AND (last_inv IS NULL OR last_inv < last_put)
+           AND date_diff('microsecond', last_put, ts) < {ttl * 1_000_000}, false) AS hit
+FROM r WHERE kind = 'request'"""
+
+
+ORACLE["ttl_lookup"] = ttl_lookup_sql(300)
+ORACLE["ttl_lookup_1d"] = ttl_lookup_sql(86400)

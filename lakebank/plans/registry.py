@@ -333,3 +333,77 @@ def q_view_transfer_limits(spark, d):
     """V7: daily and month-to-date transfer use against the limits."""
     from lakebank.operators import views
     return views.transfer_limits(M.silver_txns_for(spark, d))
+
+
+# ---------------------------------------------------------------- sessions and cache
+
+def _long(df, *cols):
+    return df.withColumns({c: F.col(c).cast("long") for c in cols})
+
+
+@register("history_trim")
+def q_history_trim(spark, d):
+    """Saved history with cap 5 (test chats have at most 8 turns)."""
+    from lakebank.operators import sessions
+    return _long(sessions.history_trim(FX.messages(spark, d), cap=5), "pos")
+
+
+@register("history_trim_20")
+def q_history_trim_20(spark, d):
+    """W3 with the reference cap of 20."""
+    from lakebank.operators import sessions
+    return _long(sessions.history_trim(FX.messages(spark, d), cap=20), "pos")
+
+
+@register("session_history")
+def q_session_history(spark, d):
+    """Loaded history (system/user/assistant, in order) of the trimmed sessions."""
+    from lakebank.operators import sessions
+    h = sessions.session_history(sessions.history_trim(FX.messages(spark, d), cap=5))
+    m = F.col("messages")
+    return h.select("session_id", F.size(m).cast("long").alias("n_messages"),
+                    F.array_join(F.transform(m, lambda x: x["role"]), ",").alias("roles"),
+                    F.md5(F.array_join(F.transform(m, lambda x: x["text"]), "\n")).alias("digest"))
+
+
+@register("prompt_assembly")
+def q_prompt_assembly(spark, d):
+    """Prompt per user turn (system message only on an empty history)."""
+    from lakebank.operators import sessions
+    return sessions.prompt_assembly(FX.messages(spark, d))
+
+
+def _session_ttl(spark, d, ttl):
+    from lakebank.operators import sessions
+    e = FX.read_table(spark, d, "events")
+    return sessions.session_ttl(e.select("user_id", "ts", "event_type"), "user_id", "ts", ttl,
+                                logout=F.col("event_type") == "error")
+
+
+@register("session_ttl")
+def q_session_ttl(spark, d):
+    """Sessions with the 30-minute TTL; 'error' events act as logout."""
+    return _session_ttl(spark, d, 1800)
+
+
+@register("session_ttl_12h")
+def q_session_ttl_12h(spark, d):
+    """I3 with a 12-hour TTL (the test log is sparse)."""
+    return _session_ttl(spark, d, 43200)
+
+
+CACHE_TYPES = ["balance", "cards", "loans"]
+
+
+@register("ttl_lookup")
+def q_ttl_lookup(spark, d):
+    """I4: cache hit or miss per request with the 300 s TTL."""
+    from lakebank.operators import sessions
+    return sessions.ttl_lookup(FX.cache_events(spark, d), CACHE_TYPES, 300)
+
+
+@register("ttl_lookup_1d")
+def q_ttl_lookup_1d(spark, d):
+    """I4 with a one-day TTL."""
+    from lakebank.operators import sessions
+    return sessions.ttl_lookup(FX.cache_events(spark, d), CACHE_TYPES, 86400)
