@@ -51,7 +51,8 @@ def top_movements(movements: DataFrame, currency: str = DEFAULT_CURRENCY, limit:
     n = min(limit, MAX_MOVEMENTS)
     w = Window.partitionBy("customer_id", "currency").orderBy(F.desc("date"), F.desc("movement_id"))
     top = (movements.filter(F.col("currency") == currency)
-           .withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= n))
+           .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= n)
+           .withColumn("pos", F.col("__rn").cast("long")).drop("__rn"))
     sign = F.when(F.col("type") == "credit", F.lit("+")).otherwise(F.lit("-"))
     line = F.format_string("• %s | %s | %s%s %s",
                            F.coalesce(F.col("date").cast("string"), F.lit(NA)),

@@ -482,3 +482,125 @@ FROM r WHERE kind = 'request'"""
 
 ORACLE["ttl_lookup"] = ttl_lookup_sql(300)
 ORACLE["ttl_lookup_1d"] = ttl_lookup_sql(86400)
+
+
+# ---------------------------------------------------------------- security and guardrails
+
+CUST = "'C' || lpad(CAST(user_id AS VARCHAR), 6, '0')"
+REQUESTS = f"""SELECT event_id AS request_id, 'S' || CAST(user_id AS VARCHAR) AS session_id,
+  CASE WHEN event_id % 19 = 0 THEN 'C' ELSE {CUST} END AS customer_id, ts,
+  CASE WHEN event_id % 17 = 0 THEN 'Basic abc' ELSE 'Bearer tok' || CAST(event_id AS VARCHAR) END AS "authorization",
+  CASE WHEN event_id % 23 = 0 THEN '   ' WHEN event_id % 29 = 0 THEN repeat('x', 2001) WHEN event_id % 31 = 0 THEN ''
+       ELSE 'consulta ' || event_type || ' ' || props END AS message
+FROM events"""
+
+EPOCH = "date_diff('second', TIMESTAMP '1970-01-01 00:00:00', ts)"
+CLAIMS = f"""SELECT event_id AS request_id,
+  CASE WHEN event_id % 11 = 0 THEN 'C' || lpad(CAST(user_id + 1 AS VARCHAR), 6, '0') ELSE {CUST} END AS sub,
+  'O' || CAST(event_id AS VARCHAR) AS oid,
+  CASE WHEN event_id % 7 = 0 THEN {CUST} END AS extension_customer_id,
+  CASE event_id % 4 WHEN 1 THEN 'banking.read' WHEN 2 THEN 'banking.agent'
+       WHEN 3 THEN 'banking.loans.read banking.cards.read' END AS scp,
+  CASE WHEN event_id % 13 = 0 THEN {EPOCH} - 1 ELSE {EPOCH} + 3600 END AS exp
+FROM events"""
+
+ORACLE["scope_flags"] = f"""SELECT request_id, array_to_string(s, ' ') AS scopes,
+  list_contains(s, 'banking.agent') OR list_contains(s, 'banking.read') AS has_scope,
+  list_contains(s, 'banking.loans.read') OR list_contains(s, 'banking.read') AS can_query_loans,
+  list_contains(s, 'banking.cards.read') OR list_contains(s, 'banking.read') AS can_query_cards
+FROM (SELECT request_id, string_split(coalesce(scp, 'banking.read'), ' ') AS s FROM ({CLAIMS}) c) x"""
+
+ORACLE["claim_match"] = f"""SELECT r.request_id, r.customer_id,
+  coalesce(r.customer_id IN (coalesce(c.sub, ''), coalesce(c.oid, ''), coalesce(c.extension_customer_id, '')),
+           false) AS matched
+FROM ({REQUESTS}) r JOIN ({CLAIMS}) c ON r.request_id = c.request_id"""
+
+ORACLE["request_check"] = f"""SELECT request_id,
+  CASE WHEN message IS NULL OR length(message) < 1 OR length(message) > 2000 THEN 422
+       WHEN NOT coalesce(starts_with("authorization", 'Bearer '), false) THEN 401
+       WHEN coalesce(length(customer_id), 0) < 3 THEN 400 ELSE 200 END AS status,
+  CASE WHEN coalesce(starts_with("authorization", 'Bearer '), false)
+       THEN trim(regexp_replace("authorization", '^Bearer ', '')) END AS token,
+  trim(message) AS message_clean, coalesce(length(trim(message)) = 0, false) AS is_blank
+FROM ({REQUESTS}) r"""
+
+STAGES = """SELECT event_id AS request_id, event_id % 13 <> 0 AS token_valid, event_id % 7 = 0 AS input_blocked,
+  event_id % 19 = 0 AS llm_error, event_id % 23 = 0 AS output_blocked FROM events"""
+
+OUTCOMES = f"""SELECT request_id,
+  CASE WHEN NOT coalesce(token_valid, false) THEN 'unauthorized' WHEN coalesce(input_blocked, false) THEN 'content_blocked'
+       WHEN coalesce(llm_error, false) THEN 'llm_error' WHEN coalesce(output_blocked, false) THEN 'output_blocked'
+       ELSE 'ok' END AS outcome,
+  CASE WHEN NOT coalesce(token_valid, false) THEN 'UNAUTHORIZED'
+       WHEN coalesce(input_blocked, false) THEN 'CONTENT_BLOCKED' END AS error
+FROM ({STAGES}) s"""
+
+ORACLE["chat_outcome"] = f"""SELECT request_id, outcome, error,
+  CASE WHEN error = 'UNAUTHORIZED' THEN 401 WHEN error = 'CONTENT_BLOCKED' THEN 422 ELSE 200 END AS http_status
+FROM ({OUTCOMES}) o"""
+
+ORACLE["request_outcome"] = f"""SELECT http_status, count(*) AS n FROM (
+  SELECT CASE WHEN error = 'UNAUTHORIZED' THEN 401 WHEN error = 'CONTENT_BLOCKED' THEN 422 ELSE 200 END AS http_status
+  FROM ({OUTCOMES}) o) x GROUP BY 1"""
+
+REF_PATTERNS = ["número completo de tarjeta", "clave secreta", "pin bancario", "contraseña", "cvv",
+                "clave dinámica"]
+TEST_PATTERNS = ["thwh", "ouè", "anan", "eaux"]
+
+
+def _first_pattern(text: str, patterns: list[str]) -> str:
+    whens = " ".join(f"WHEN contains(lower({text}), '{p}') THEN '{p}'" for p in patterns)
+    return f"CASE {whens} END"
+
+
+def guard_patterns_sql(patterns: list[str]) -> str:
+    fp = _first_pattern("text", patterns)
+    return f"""SELECT session_id, turn, {fp} AS pattern,
+  CASE WHEN {fp} IS NOT NULL THEN 'Patrón bancario sensible detectado: ''' || {fp} || '''' END AS pattern_reason
+FROM ({MESSAGES}) m"""
+
+
+ORACLE["guard_patterns"] = guard_patterns_sql(REF_PATTERNS)
+ORACLE["guard_patterns_custom"] = guard_patterns_sql(TEST_PATTERNS)
+
+
+def _lvl(e: str) -> str:
+    return f"CASE WHEN (conv_id * 100 + turn) % 9 = 0 THEN NULL ELSE CAST(floor({e}) AS INTEGER) END"
+
+
+SEVERITIES = f"""SELECT conv_id AS session_id, turn,
+  {_lvl('((conv_id * 100 + turn) * 7 % 11) / 4')} AS hate,
+  {_lvl('((conv_id * 100 + turn) * 3 % 13) / 5')} AS violence,
+  {_lvl('((conv_id * 100 + turn) % 17) / 8')} AS self_harm,
+  {_lvl('((conv_id * 100 + turn) * 5 % 19) / 9')} AS sexual
+FROM conversations"""
+
+SEV_DECISION = f"""SELECT *,
+  CASE WHEN nv THEN 'service_error'
+       WHEN mx >= 2 THEN printf('Categoría ''%s'' con severidad %d', cat, mx) ELSE 'OK' END AS severity_reason,
+  NOT nv AND mx >= 2 AS severity_blocked, CASE WHEN NOT nv THEN mx END AS max_severity
+FROM (SELECT *, CASE WHEN coalesce(hate, 0) = mx THEN 'hate' WHEN coalesce(violence, 0) = mx THEN 'violence'
+                     WHEN coalesce(self_harm, 0) = mx THEN 'self_harm' ELSE 'sexual' END AS cat
+      FROM (SELECT *, greatest(coalesce(hate, 0), coalesce(violence, 0), coalesce(self_harm, 0),
+                               coalesce(sexual, 0)) AS mx,
+                   hate IS NULL AND violence IS NULL AND self_harm IS NULL AND sexual IS NULL AS nv
+            FROM sv) a) b"""
+
+ORACLE["guard_severity"] = f"""WITH sv AS ({SEVERITIES})
+SELECT session_id, turn, max_severity, severity_blocked, severity_reason FROM ({SEV_DECISION}) d"""
+
+
+def guard_sql(direction: str) -> str:
+    fp = _first_pattern("m.text", TEST_PATTERNS)
+    pat = f"{fp} IS NOT NULL" if direction == "input" else "false"
+    reason = f"'Patrón bancario sensible detectado: ''' || {fp} || ''''" if direction == "input" else "NULL"
+    return f"""WITH sv AS (SELECT m.session_id, m.turn, m.text, s.hate, s.violence, s.self_harm, s.sexual
+            FROM ({MESSAGES}) m LEFT JOIN ({SEVERITIES}) s ON m.session_id = s.session_id AND m.turn = s.turn),
+d AS ({SEV_DECISION.replace('FROM sv', 'FROM sv m')})
+SELECT session_id, turn, ({pat}) OR severity_blocked AS is_blocked,
+  CASE WHEN {pat} THEN {reason} ELSE severity_reason END AS reason
+FROM d m"""
+
+
+ORACLE["guard_input"] = guard_sql("input")
+ORACLE["guard_output"] = guard_sql("output")

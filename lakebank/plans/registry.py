@@ -407,3 +407,116 @@ def q_ttl_lookup_1d(spark, d):
     """I4 with a one-day TTL."""
     from lakebank.operators import sessions
     return sessions.ttl_lookup(FX.cache_events(spark, d), CACHE_TYPES, 86400)
+
+
+# ---------------------------------------------------------------- security and guardrails
+
+TEST_PATTERNS = ["thwh", "ouè", "anan", "eaux"]
+
+
+@register("scope_flags")
+def q_scope_flags(spark, d):
+    """Scopes and RBAC flags from the scp claim."""
+    from lakebank.operators import guard
+    s = guard.scope_flags(FX.claims(spark, d))
+    return s.select("request_id", F.array_join("scopes", " ").alias("scopes"), "has_scope",
+                    "can_query_loans", "can_query_cards")
+
+
+@register("claim_match")
+def q_claim_match(spark, d):
+    """Requested customer id against sub / oid / customer claim."""
+    from lakebank.operators import guard
+    j = FX.requests(spark, d).join(FX.claims(spark, d), "request_id")
+    return j.select("request_id", "customer_id", guard.claim_match(j).alias("matched"))
+
+
+@register("request_check")
+def q_request_check(spark, d):
+    """REST validation status, bearer token, trimmed message."""
+    from lakebank.operators import guard
+    return guard.request_check(FX.requests(spark, d)).select(
+        "request_id", "status", "token", "message_clean", "is_blank")
+
+
+@register("chat_outcome")
+def q_chat_outcome(spark, d):
+    """Stage outcome per request."""
+    from lakebank.operators import guard
+    return guard.request_outcome(guard.chat_outcome(FX.stage_flags(spark, d))).select(
+        "request_id", "outcome", "error", "http_status")
+
+
+@register("request_outcome")
+def q_request_outcome(spark, d):
+    """Requests per HTTP status."""
+    from lakebank.operators import guard
+    o = guard.request_outcome(guard.chat_outcome(FX.stage_flags(spark, d)))
+    return o.groupBy("http_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("guard_patterns")
+def q_guard_patterns(spark, d):
+    """The reference phrase list over every chat message."""
+    from lakebank.operators import guard
+    return guard.guard_patterns(FX.messages(spark, d), "text").select(
+        "session_id", "turn", "pattern", "pattern_reason")
+
+
+@register("guard_patterns_custom")
+def q_guard_patterns_custom(spark, d):
+    """P15 with a phrase list that occurs in the test texts (list order wins)."""
+    from lakebank.operators import guard
+    return guard.guard_patterns(FX.messages(spark, d), "text", TEST_PATTERNS).select(
+        "session_id", "turn", "pattern", "pattern_reason")
+
+
+@register("guard_severity")
+def q_guard_severity(spark, d):
+    """Severity decision per message."""
+    from lakebank.operators import guard
+    return guard.guard_severity(FX.severities(spark, d)).select(
+        "session_id", "turn", "max_severity", "severity_blocked", "severity_reason")
+
+
+def _guarded(spark, d, direction):
+    from lakebank.operators import guard
+    j = FX.messages(spark, d).join(FX.severities(spark, d), ["session_id", "turn"], "left")
+    return guard.guard_input(j, "text", direction, True, TEST_PATTERNS).select(
+        "session_id", "turn", "is_blocked", "reason")
+
+
+@register("guard_input")
+def q_guard_input(spark, d):
+    """P17 input side: patterns first, then severities."""
+    return _guarded(spark, d, "input")
+
+
+@register("guard_output")
+def q_guard_output(spark, d):
+    """P17 output side: severities only."""
+    return _guarded(spark, d, "output")
+
+
+@register("rate_limit")
+def q_rate_limit(spark, d):
+    """30 accepted requests per customer per sliding 60 s (sequential rule)."""
+    from lakebank.operators.limits import rate_limit
+    return rate_limit(FX.requests(spark, d).select("request_id", "customer_id", "ts"),
+                      "customer_id", "ts", "request_id", 30, 60)
+
+
+@register("rate_limit_day2")
+def q_rate_limit_day2(spark, d):
+    """I2 with 2 per sliding day, so denials occur in the test log."""
+    from lakebank.operators.limits import rate_limit
+    return rate_limit(FX.requests(spark, d).select("request_id", "customer_id", "ts"),
+                      "customer_id", "ts", "request_id", 2, 86400)
+
+
+@register("chat_audit")
+def q_chat_audit(spark, d):
+    """Request checks, rate limit (3 per hour), claims, input guard, outcome."""
+    from lakebank.operators import guard
+    return guard.chat_audit(FX.requests(spark, d), FX.claims(spark, d), FX.request_severities(spark, d),
+                            limit=3, window_seconds=3600)

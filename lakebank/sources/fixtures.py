@@ -297,3 +297,29 @@ def card_movements(silver_txns: DataFrame) -> DataFrame:
         F.when(k % 7 != 0, F.concat(F.lit("Comercio "), (k % 50).cast("string"))).alias("merchant"),
         F.col("monto").alias("amount"), F.col("moneda").alias("currency"),
         F.when(k % 5 != 0, (k % 12 + 1).cast("int")).alias("installments")))
+
+
+def request_severities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifier scores per request (same arithmetic as ``severities``, on the event id)."""
+    e = read_table(spark, sf_dir, "events")
+    x = F.col("event_id")
+    none = x % 9 == 0
+
+    def lvl(c: Column) -> Column:
+        return F.when(none, F.lit(None).cast("int")).otherwise(c.cast("int"))
+
+    return e.select(
+        x.alias("request_id"),
+        lvl(F.floor((x * 7 % 11) / 4)).alias("hate"),
+        lvl(F.floor((x * 3 % 13) / 5)).alias("violence"),
+        lvl(F.floor((x % 17) / 8)).alias("self_harm"),
+        lvl(F.floor((x * 5 % 19) / 9)).alias("sexual"),
+    )
+
+
+def stage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-request stage results of the chat pipeline (inputs of P19)."""
+    e = read_table(spark, sf_dir, "events")
+    x = F.col("event_id")
+    return e.select(x.alias("request_id"), (x % 13 != 0).alias("token_valid"), (x % 7 == 0).alias("input_blocked"),
+                    (x % 19 == 0).alias("llm_error"), (x % 23 == 0).alias("output_blocked"))
