@@ -604,3 +604,89 @@ FROM d m"""
 
 ORACLE["guard_input"] = guard_sql("input")
 ORACLE["guard_output"] = guard_sql("output")
+
+
+# ---------------------------------------------------------------- retrieval
+
+TOKS = "list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda t: length(t) > 0)"
+
+Q_VEC = """SELECT b.item_id AS query_id, e.embedding AS qv FROM benchmark b JOIN embeddings e ON e.vec_id = b.item_id"""
+C_VEC = """SELECT CAST(d.doc_id AS VARCHAR) AS id, e.embedding AS v
+FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id"""
+
+
+def knn_sql(k: int) -> str:
+    return f"""WITH s AS (SELECT q.query_id, c.id,
+         list_dot_product(CAST(q.qv AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS score
+       FROM ({Q_VEC}) q, ({C_VEC}) c)
+SELECT query_id, id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id ASC) AS rank FROM s) x
+WHERE rank <= {k}"""
+
+
+def bm25_sql(k: int) -> str:
+    dt = TOKS.format(c="text")
+    return f"""WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS id, {dt} AS toks FROM documents),
+dl AS (SELECT id, len(toks) AS dl FROM d),
+stats AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dl),
+qt AS (SELECT DISTINCT query_id, term FROM (SELECT item_id AS query_id, unnest({dt}) AS term FROM benchmark) q),
+post AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(toks) AS term FROM d) x
+         WHERE term IN (SELECT term FROM qt) GROUP BY 1, 2),
+dfreq AS (SELECT term, count(*) AS df FROM post GROUP BY 1),
+sc AS (SELECT qt.query_id, post.id,
+         sum(ln(1.0 + (stats.n - dfreq.df + 0.5) / (dfreq.df + 0.5)) * CAST(post.tf AS DOUBLE) * 2.2
+             / (CAST(post.tf AS DOUBLE) + 1.2 * (0.25 + 0.75 * dl.dl / stats.avgdl))) AS raw_score
+       FROM post JOIN dfreq ON post.term = dfreq.term JOIN dl ON dl.id = post.id
+         JOIN qt ON qt.term = post.term, stats GROUP BY 1, 2)
+SELECT query_id, id, raw_score AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(raw_score, 9) DESC, id ASC) AS rank FROM sc) x
+WHERE rank <= {k}"""
+
+
+ORACLE["knn_topk"] = f"SELECT query_id, id, round(score, 6) AS score, rank FROM ({knn_sql(3)}) t"
+ORACLE["keyword_topk"] = f"SELECT query_id, id, round(score, 6) AS score, rank FROM ({bm25_sql(3)}) t"
+
+HYBRID = f"""SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, id ASC) AS rank FROM (
+    SELECT coalesce(v.query_id, k.query_id) AS query_id, coalesce(v.id, k.id) AS id,
+      v.rank AS vector_rank, k.rank AS keyword_rank, v.score AS vector_score,
+      coalesce(1.0::DOUBLE / (60 + v.rank), 0.0) + coalesce(1.0::DOUBLE / (60 + k.rank), 0.0) AS rrf_score
+    FROM ({knn_sql(50)}) v FULL OUTER JOIN ({bm25_sql(50)}) k ON v.query_id = k.query_id AND v.id = k.id) f) x
+WHERE rank <= 3"""
+
+ORACLE["hybrid_topk"] = f"""SELECT query_id, id, rank, vector_rank, keyword_rank, round(rrf_score, 6) AS rrf_score
+FROM ({HYBRID}) h"""
+
+FALLBACK = f"""SELECT * FROM (SELECT *, coalesce(nullif(vector_score, 0.0), rrf_score * 30.0, 0.0) AS score
+  FROM ({HYBRID}) h) x WHERE score >= 0.6"""
+
+ORACLE["score_fallback_filter"] = f"SELECT query_id, rank, id, round(score, 6) AS score FROM ({FALLBACK}) f"
+
+ORACLE["rag_context"] = f"""WITH h AS (SELECT f.query_id, f.rank, f.score, d.text AS content
+           FROM ({FALLBACK}) f JOIN documents d ON CAST(d.doc_id AS VARCHAR) = f.id),
+p AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS pos FROM h),
+g AS (SELECT query_id, count(*) AS n, string_agg(chr(10) || '[Fuente ' || pos || ' | Relevancia: '
+        || format('{{:,.2f}}', score) || ']' || chr(10) || regexp_replace(content, '^\\s+|\\s+$', '', 'g'),
+        chr(10) ORDER BY pos) AS body FROM p GROUP BY 1)
+SELECT b.item_id AS query_id, coalesce(g.n, 0) AS n_hits,
+  CASE WHEN g.query_id IS NULL THEN ''
+       ELSE '--- Información de la base de conocimiento del banco ---' || chr(10) || g.body || chr(10)
+            || '--- Fin del contexto ---' END AS context
+FROM benchmark b LEFT JOIN g ON g.query_id = b.item_id"""
+
+DOC_INDEX = """SELECT CAST(d.doc_id AS VARCHAR) AS id, 'doc-' || CAST(d.doc_id AS VARCHAR) AS title, d.text AS content,
+  d.source, d.lang AS product_type, CAST(d.doc_id AS VARCHAR) AS chunk_id, e.vec_id IS NOT NULL AS has_vector
+FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id"""
+
+UPSERT_BATCH = """SELECT CAST(item_id * 7 AS VARCHAR) AS id, 'faq-' || CAST(item_id AS VARCHAR) AS title, text AS content,
+  'faq' AS source, 'faq' AS product_type, 1 AS _seq FROM benchmark
+UNION ALL SELECT CAST(item_id * 7 AS VARCHAR), 'faq-v2-' || CAST(item_id AS VARCHAR), text, 'faq', 'faq', 2
+  FROM benchmark WHERE item_id % 3 = 0
+UNION ALL SELECT 'new-' || CAST(item_id AS VARCHAR), 'faq-' || CAST(item_id AS VARCHAR), text, 'faq', 'faq', 1
+  FROM benchmark"""
+
+ORACLE["doc_upsert"] = f"""WITH b AS (SELECT id, title, content, source, product_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY _seq DESC) AS rn FROM ({UPSERT_BATCH}) u) x WHERE rn = 1)
+SELECT t.id, t.title, t.content, t.source, t.product_type, t.chunk_id, t.has_vector FROM ({DOC_INDEX}) t
+WHERE t.id NOT IN (SELECT id FROM b)
+UNION ALL SELECT id, title, content, source, product_type, id, false FROM b"""

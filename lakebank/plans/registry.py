@@ -520,3 +520,90 @@ def q_chat_audit(spark, d):
     from lakebank.operators import guard
     return guard.chat_audit(FX.requests(spark, d), FX.claims(spark, d), FX.request_severities(spark, d),
                             limit=3, window_seconds=3600)
+
+
+# ---------------------------------------------------------------- retrieval
+
+def _rounded(df, *cols):
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+def _vector_hits(spark, d, k):
+    from lakebank.operators import retrieval as R
+    return R.knn_topk(FX.documents_index(spark, d), FX.search_queries(spark, d), k)
+
+
+def _keyword_hits(spark, d, k):
+    from lakebank.operators import retrieval as R
+    return R.keyword_topk(FX.documents_index(spark, d), FX.search_queries(spark, d), k)
+
+
+def _hybrid(spark, d, k=3):
+    from lakebank.operators import retrieval as R
+    return R.hybrid_topk(_vector_hits(spark, d, R.FUSION_DEPTH), _keyword_hits(spark, d, R.FUSION_DEPTH), k)
+
+
+@register("knn_topk")
+def q_knn_topk(spark, d):
+    """Exact top-3 document vectors per benchmark query vector."""
+    return _rounded(_vector_hits(spark, d, 3), "score")
+
+
+@register("keyword_topk")
+def q_keyword_topk(spark, d):
+    """BM25 top-3 documents per benchmark query text."""
+    return _rounded(_keyword_hits(spark, d, 3).select("query_id", "id", "raw_score", "rank")
+                    .withColumnRenamed("raw_score", "score"), "score")
+
+
+@register("hybrid_topk")
+def q_hybrid_topk(spark, d):
+    """Reciprocal rank fusion of the top-50 vector and keyword lists, top 3."""
+    return _rounded(_hybrid(spark, d).select("query_id", "id", "rank", "vector_rank", "keyword_rank",
+                                            "rrf_score"), "rrf_score")
+
+
+def _fallback_hits(spark, d):
+    from lakebank.operators import retrieval as R
+    h = _hybrid(spark, d).withColumns({"search_score": F.col("rrf_score") * 30.0,
+                                       "reranker_score": F.col("vector_score")})
+    return R.score_fallback_filter(h)
+
+
+@register("score_fallback_filter")
+def q_score_fallback_filter(spark, d):
+    """Reranker score, else base score; keep >= 0.6."""
+    return _rounded(_fallback_hits(spark, d).select("query_id", "rank", "id", "score"), "score")
+
+
+@register("rag_context")
+def q_rag_context(spark, d):
+    """Numbered context text per query (empty when nothing passes)."""
+    from lakebank.operators import retrieval as R
+    hits = _fallback_hits(spark, d).join(FX.documents_index(spark, d).select("id", "content"), "id")
+    return R.rag_context(hits, FX.search_queries(spark, d))
+
+
+def _upsert_batch(spark, d):
+    b = FX.read_table(spark, d, "benchmark")
+    i = F.col("item_id")
+    base = b.select((i * 7).cast("string").alias("id"), F.concat(F.lit("faq-"), i.cast("string")).alias("title"),
+                    F.col("text").alias("content"), F.lit("faq").alias("source"), F.lit("faq").alias("product_type"),
+                    F.lit(1).alias("_seq"))
+    v2 = b.filter(i % 3 == 0).select(
+        (i * 7).cast("string").alias("id"), F.concat(F.lit("faq-v2-"), i.cast("string")).alias("title"),
+        F.col("text").alias("content"), F.lit("faq").alias("source"), F.lit("faq").alias("product_type"),
+        F.lit(2).alias("_seq"))
+    new = b.select(F.concat(F.lit("new-"), i.cast("string")).alias("id"),
+                   F.concat(F.lit("faq-"), i.cast("string")).alias("title"), F.col("text").alias("content"),
+                   F.lit("faq").alias("source"), F.lit("faq").alias("product_type"), F.lit(1).alias("_seq"))
+    return base.unionByName(v2).unionByName(new)
+
+
+@register("doc_upsert")
+def q_doc_upsert(spark, d):
+    """Upsert a batch of FAQ documents into the knowledge index (latest wins)."""
+    from lakebank.operators import retrieval as R
+    out = R.doc_upsert(FX.documents_index(spark, d), _upsert_batch(spark, d))
+    return out.select("id", "title", "content", "source", "product_type", "chunk_id",
+                      F.col("content_vector").isNotNull().alias("has_vector"))
