@@ -114,3 +114,18 @@ def first_match(text: str | Column, patterns: Sequence[str]) -> Column:
 def scopes(scp: str | Column, default: str = "banking.read") -> Column:
     """Scope list from the space-separated ``scp`` claim; null -> ``default``."""
     return F.split(F.coalesce(col_(scp), F.lit(default)), " ")
+
+
+def epoch_micros(ts: str | Column) -> Column:
+    """Microseconds since 1970 of a wall-clock timestamp, independent of the session zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), col_(ts).cast("timestamp_ntz"))
+
+
+def ntz_to_instant(ts: str | Column) -> Column:
+    """Wall-clock timestamp -> TIMESTAMP instant read as UTC (what watermarks need)."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def instant_to_ntz(ts: str | Column) -> Column:
+    """Inverse of ``ntz_to_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col_(ts)), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))

@@ -690,3 +690,15 @@ ORACLE["doc_upsert"] = f"""WITH b AS (SELECT id, title, content, source, product
 SELECT t.id, t.title, t.content, t.source, t.product_type, t.chunk_id, t.has_vector FROM ({DOC_INDEX}) t
 WHERE t.id NOT IN (SELECT id FROM b)
 UNION ALL SELECT id, title, content, source, product_type, id, false FROM b"""
+
+
+# ---------------------------------------------------------------- streaming
+
+ORACLE["stream_cdc_target"] = ORACLE["cdc_scd2"]
+
+ORACLE["session_stream"] = """WITH p AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS pt FROM events),
+s AS (SELECT *, sum(CASE WHEN pt IS NULL OR date_diff('microsecond', pt, ts) >= 1800000000 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sn FROM p),
+g AS (SELECT user_id, min(ts) AS started_at, max(ts) AS last_activity, count(*) AS n_events,
+        max(ts) + INTERVAL 1800 SECOND AS expires_at FROM s GROUP BY user_id, sn)
+SELECT * FROM g WHERE expires_at <= (SELECT max(ts) FROM events)"""

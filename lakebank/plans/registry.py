@@ -607,3 +607,52 @@ def q_doc_upsert(spark, d):
     out = R.doc_upsert(FX.documents_index(spark, d), _upsert_batch(spark, d))
     return out.select("id", "title", "content", "source", "product_type", "chunk_id",
                       F.col("content_vector").isNotNull().alias("has_vector"))
+
+
+# ---------------------------------------------------------------- streaming
+
+PART_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+
+
+def _time_parts(ts: str):
+    a, b = (F.lit(x).cast("timestamp_ntz") for x in PART_CUTS)
+    c = F.col(ts)
+    return [c < a, (c >= a) & (c < b), (c >= b) | c.isNull()]
+
+
+@register("stream_cdc_target")
+def q_stream_cdc_target(spark, d):
+    """The change feed arrives in three out-of-order parts; the
+    streaming target must equal the batch SCD-2 history."""
+    from lakebank.session import scratch_path
+    from lakebank.streaming.cdc_stream import CdcTarget, start_cdc_stream
+    from lakebank.streaming.harness import run_in_parts
+    ch = FX.account_changes(spark, d)
+    target = CdcTarget(scratch_path(spark, "cdc-target"), ["cuenta_id"], ["_ingest_timestamp", "_change_id"],
+                       except_columns=M.CDC_EXCEPT_COLUMNS + ["_change_id"])
+    k = F.col("_change_id")
+    run_in_parts(spark, ch, [k % 3 == 2, k % 3 == 0, k % 3 == 1], "cdc",
+                 start=lambda src, ckpt: start_cdc_stream(spark, src, ch.schema, target, ckpt))
+    return target.current(spark)
+
+
+@register("rate_limit_stream")
+def q_rate_limit_stream(spark, d):
+    """I2 stream: 2 accepted per sliding day, requests arriving in three parts."""
+    from lakebank.streaming.harness import run_in_parts
+    from lakebank.streaming.rate_limit_stream import rate_limit_stream
+    req = FX.requests(spark, d).select("request_id", "customer_id", "ts")
+    sink = run_in_parts(spark, req, _time_parts("ts"), "ratelimit",
+                        build=lambda s: rate_limit_stream(s, "customer_id", "ts", "request_id", 2, 86400))
+    return spark.read.parquet(sink)
+
+
+@register("session_stream")
+def q_session_stream(spark, d):
+    """I3 stream: 30-minute session windows, emitted once the watermark passes."""
+    from lakebank.streaming.harness import run_in_parts
+    from lakebank.streaming.session_stream import session_stream
+    ev = FX.read_table(spark, d, "events").select("user_id", "ts")
+    sink = run_in_parts(spark, ev, _time_parts("ts"), "sessions",
+                        build=lambda s: session_stream(s, "user_id", "ts", 1800))
+    return spark.read.parquet(sink)
