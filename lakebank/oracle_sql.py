@@ -702,3 +702,12 @@ s AS (SELECT *, sum(CASE WHEN pt IS NULL OR date_diff('microsecond', pt, ts) >=
 g AS (SELECT user_id, min(ts) AS started_at, max(ts) AS last_activity, count(*) AS n_events,
         max(ts) + INTERVAL 1800 SECOND AS expires_at FROM s GROUP BY user_id, sn)
 SELECT * FROM g WHERE expires_at <= (SELECT max(ts) FROM events)"""
+
+
+# ---------------------------------------------------------------- sinks and catalog
+
+ORACLE["sink_partitioned"] = f"""SELECT transaccion_id, fecha_transaccion, CAST(year(fecha_transaccion) AS INTEGER) AS year_partition,
+  CAST(month(fecha_transaccion) AS INTEGER) AS month_partition, tipo_tx_cod
+FROM ({RAW_TXN}) r WHERE year(fecha_transaccion) >= 1998"""
+
+ORACLE["scan_table"] = ORACLE["project_columns"]

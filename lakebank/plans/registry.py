@@ -656,3 +656,26 @@ def q_session_stream(spark, d):
     sink = run_in_parts(spark, ev, _time_parts("ts"), "sessions",
                         build=lambda s: session_stream(s, "user_id", "ts", 1800))
     return spark.read.parquet(sink)
+
+
+# ---------------------------------------------------------------- sinks and catalog
+
+@register("sink_partitioned")
+def q_sink_partitioned(spark, d):
+    """Bronze transactions written partitioned by year and month
+    (rebalanced files, dynamic overwrite), read back with a partition filter."""
+    from lakebank.session import scratch_path
+    from lakebank.sources.sinks import write_partitioned
+    path = write_partitioned(M.bronze_transactions(spark, d), scratch_path(spark, "bronze-txn"),
+                             ["year_partition", "month_partition"])
+    back = spark.read.parquet(path)
+    return back.filter(F.col("year_partition") >= 1998).select(
+        "transaccion_id", "fecha_transaccion", "year_partition", "month_partition", "tipo_tx_cod")
+
+
+@register("scan_table")
+def q_scan_table(spark, d):
+    """Read the account master through the catalog by name."""
+    from lakebank.sources.tables import scan_table
+    FX.accounts(spark, d).createOrReplaceTempView("silver_cuentas")
+    return scan_table(spark, "silver_cuentas")
