@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakebank.sources.tables import spread
+
 # Fixed values from the reference.
 TOP_K = 3
 MIN_SCORE = 0.6
@@ -77,8 +79,8 @@ def knn_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str
                                                           F.col(qvec_col).alias("qv"))
     n_q = q.count()
     n_blocks = max(1, -(-n_q // max_broadcast_queries))
-    c = corpus.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"),
-                                                        F.col(vec_col).alias("vec"))
+    c = spread(corpus.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"),
+                                                               F.col(vec_col).alias("vec")))
     schema = T.StructType([T.StructField("query_id", queries.schema[qid_col].dataType),
                            T.StructField("id", T.StringType()), T.StructField("score", T.DoubleType())])
     parts = []
@@ -117,22 +119,39 @@ def tokens(text: str) -> F.Column:
 def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "id",
                  text_col: str = "content", qid_col: str = "query_id", qtext_col: str = "query_text",
                  k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """BM25 top-k documents per query. Output: query_id, rank, id, score."""
+    """BM25 top-k documents per query. Output: query_id, rank, id, score, raw_score.
+
+    One tokenising pass: ``split`` + ``explode`` with a codegen'd empty-token
+    filter; the document length comes from the same split array. Tokens are
+    pruned to the query vocabulary (broadcast semi-join) before the
+    (doc, term) aggregate; document frequency is aggregated from the same
+    postings (the postings exchange is reused, not recomputed).
+    """
     qt = (queries.select(F.col(qid_col).alias("query_id"), F.explode(tokens(qtext_col)).alias("term"))
           .distinct())
     vocab = qt.select("term").distinct()
-    docs = corpus.select(F.col(id_col).cast("string").alias("id"), tokens(text_col).alias("toks"))
-    dl = docs.select("id", F.size("toks").alias("dl"))
-    n_docs = dl.agg(F.count(F.lit(1))).scalar()
-    avgdl = dl.agg(F.avg("dl")).scalar()
-    post = (docs.select("id", F.explode("toks").alias("term"))
+    docs = spread(corpus.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("t0"))).select(
+        "id", F.lower("t0").alias("t"))
+    # token count from the split array itself: with limit -1, empty strings
+    # only appear first (leading separator) and last (trailing separator)
+    toks = F.split("t", TOKEN_SPLIT)
+    n_tok = (F.size("toks") - F.when(F.get("toks", 0) == "", 1).otherwise(0)
+             - F.when((F.size("toks") > 1) & (F.element_at("toks", -1) == ""), 1).otherwise(0))
+    per_doc = docs.select("id", toks.alias("toks")).select("id", "toks", n_tok.alias("dl"))
+    stats = per_doc.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
+    n_docs, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
+    post = (per_doc.select("id", "dl", F.explode("toks").alias("term"))
+            .filter(F.col("term") != "")
             .join(F.broadcast(vocab), "term", "left_semi")          # prune to query vocabulary
-            .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")))
-    dfreq = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+            .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl")))
+    # counts (id, term) rows; the predicate keeps tf and dl in this branch so
+    # both branches share one postings aggregate (exchange reuse)
+    dfreq = post.groupBy("term").agg(
+        F.count(F.when((F.col("tf") > 0) & (F.col("dl") >= 0), F.lit(1))).alias("df"))
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf").cast("double")
     norm = tf + k1 * (1 - b + b * F.col("dl") / avgdl)
-    scored = (post.join(dfreq, "term").join(dl, "id").join(qt, "term")
+    scored = (post.join(dfreq, "term").join(qt, "term")
               .withColumn("s", idf * tf * (k1 + 1) / norm)
               .groupBy("query_id", "id").agg(F.sum("s").alias("raw_score"))
               # rank on 9 decimals: exact copies of a document tie despite float summation order

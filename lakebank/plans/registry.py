@@ -535,7 +535,9 @@ def _vector_hits(spark, d, k):
 
 def _keyword_hits(spark, d, k):
     from lakebank.operators import retrieval as R
-    return R.keyword_topk(FX.documents_index(spark, d), FX.search_queries(spark, d), k)
+    b = FX.read_table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"),
+                                                     F.col("text").alias("query_text"))
+    return R.keyword_topk(FX.knowledge_text(spark, d), b, k)
 
 
 def _hybrid(spark, d, k=3):

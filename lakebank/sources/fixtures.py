@@ -200,6 +200,12 @@ def documents_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("chunk_id")))
 
 
+def knowledge_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Knowledge documents without vectors (what keyword search reads)."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
+
+
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retrieval queries: every ``benchmark`` item, with the vector of the same id."""
     b = read_table(spark, sf_dir, "benchmark")

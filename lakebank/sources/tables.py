@@ -29,3 +29,16 @@ def register_views(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> Non
     """Expose driver tables as temp views so ``spark.sql`` / ``read.table`` see them."""
     for n in names:
         read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition, but only when the input has fewer partitions
+    than the cluster can run at once.
+
+    A large table stored as many files is already split by the scan, so this
+    is a no-op there; a table stored as one row group (one scan task) would
+    otherwise run CPU-heavy per-row work (tokenising, regex, vector math) on
+    a single core.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
