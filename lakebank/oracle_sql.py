@@ -711,3 +711,65 @@ ORACLE["sink_partitioned"] = f"""SELECT transaccion_id, fecha_transaccion, CAST(
 FROM ({RAW_TXN}) r WHERE year(fecha_transaccion) >= 1998"""
 
 ORACLE["scan_table"] = ORACLE["project_columns"]
+
+
+# ---------------------------------------------------------------- remaining CDC keys and composites
+
+def scd2_sql(where: str = "TRUE") -> str:
+    return f"""WITH ch AS (SELECT * FROM ({CHANGES}) c WHERE {where}),
+tr AS (SELECT _ingest_timestamp AS tts, _change_id AS tid FROM ch WHERE operacion = 'TRUNCATE'),
+sq AS (SELECT *, lead(_ingest_timestamp) OVER (PARTITION BY cuenta_id ORDER BY _ingest_timestamp, _change_id) AS nxt
+       FROM ch WHERE operacion <> 'TRUNCATE' OR operacion IS NULL)
+SELECT cuenta_id, CAST(saldo AS DOUBLE) AS saldo, estado, operacion, _ingest_timestamp AS __START_AT,
+  CASE WHEN nxt IS NULL THEN nt WHEN nt IS NULL THEN nxt ELSE least(nxt, nt) END AS __END_AT
+FROM (SELECT s.*, (SELECT min(tts) FROM tr WHERE tts > s._ingest_timestamp
+                   OR (tts = s._ingest_timestamp AND tid > s._change_id)) AS nt FROM sq s) x
+WHERE operacion <> 'D' OR operacion IS NULL"""
+
+
+ORACLE["cdc_delete"] = scd2_sql("operacion <> 'TRUNCATE'")
+ORACLE["cdc_truncate"] = f"""SELECT * FROM ({scd2_sql()}) h
+WHERE __END_AT IN (SELECT _ingest_timestamp FROM ({CHANGES}) c WHERE operacion = 'TRUNCATE')"""
+ORACLE["silver_accounts"] = ORACLE["cdc_scd2"]
+
+CHANGES_B = CHANGES.replace("ts AS _ingest_timestamp, event_id AS _change_id",
+                            "ts AS _ingest_timestamp, event_id AS _change_id, 'b' || CAST(event_id // 1000 AS VARCHAR) AS _batch_id")
+ORACLE["cdc_except_columns"] = f"""WITH ch AS ({CHANGES_B}),
+lt AS (SELECT _ingest_timestamp AS tts, _change_id AS tid FROM ch WHERE operacion = 'TRUNCATE'
+       ORDER BY tts DESC, tid DESC LIMIT 1),
+live AS (SELECT ch.* FROM ch LEFT JOIN lt ON TRUE
+         WHERE (operacion <> 'TRUNCATE' OR operacion IS NULL)
+           AND (lt.tts IS NULL OR ch._ingest_timestamp > lt.tts
+                OR (ch._ingest_timestamp = lt.tts AND ch._change_id > lt.tid))),
+rk AS (SELECT *, row_number() OVER (PARTITION BY cuenta_id ORDER BY _ingest_timestamp DESC, _change_id DESC) AS rn
+       FROM live)
+SELECT cuenta_id, CAST(saldo AS DOUBLE) AS saldo, estado, operacion, _batch_id FROM rk
+WHERE rn = 1 AND (operacion <> 'D' OR operacion IS NULL)"""
+
+ORACLE["bronze_accounts"] = f"""SELECT a.cuenta_id, a.tipo_producto, a.segmento_cliente, a.moneda,
+  CAST(a.saldo_inicial AS DOUBLE) AS saldo_inicial,
+  TIMESTAMP '2012-01-01 00:00:00' + INTERVAL (a.cuenta_id % 3650) DAY AS fecha_apertura, 'I' AS operacion,
+  CAST(year(TIMESTAMP '2012-01-01 00:00:00' + INTERVAL (a.cuenta_id % 3650) DAY) AS INTEGER) AS year_partition,
+  TIMESTAMP '{PROCESSED_AT}' AS _ingest_timestamp, 'mainframe_sql_replica' AS _source_system,
+  'batch-0001' AS _batch_id
+FROM ({ACCOUNTS}) a"""
+
+ORACLE["bronze_transactions"] = f"""SELECT r.*, CAST(year(fecha_transaccion) AS INTEGER) AS year_partition,
+  CAST(month(fecha_transaccion) AS INTEGER) AS month_partition,
+  TIMESTAMP '{PROCESSED_AT}' AS _ingest_timestamp, 'mainframe_sql_replica' AS _source_system
+FROM ({RAW_TXN}) r
+WHERE fecha_transaccion > (SELECT coalesce(max(o_orderdate), TIMESTAMP '2020-01-01')
+                           FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00')
+  AND fecha_transaccion <= TIMESTAMP '2001-06-30 00:00:00'"""
+
+ORACLE["json_roundtrip"] = """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+  CASE WHEN props IS NULL THEN NULL ELSE '{"k":' || coalesce(CAST(CAST(json_extract(props, '$.k') AS BIGINT) AS VARCHAR), 'null') || '}' END AS json
+FROM events"""
+
+ORACLE["called_functions"] = """SELECT event_id AS request_id,
+  CAST(CASE WHEN event_type = 'error' THEN 0 ELSE 2 END AS BIGINT) AS n_calls,
+  CASE WHEN event_type = 'error' THEN ''
+       ELSE coalesce(CASE event_type WHEN 'view' THEN 'get_account_balance' WHEN 'purchase' THEN 'get_card_movements'
+                                     WHEN 'click' THEN 'get_credit_cards' END, '')
+            || ',' || CASE WHEN event_id % 2 = 0 THEN 'get_loans' ELSE '' END END AS functions_called
+FROM events"""

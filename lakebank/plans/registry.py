@@ -681,3 +681,76 @@ def q_scan_table(spark, d):
     from lakebank.sources.tables import scan_table
     FX.accounts(spark, d).createOrReplaceTempView("silver_cuentas")
     return scan_table(spark, "silver_cuentas")
+
+
+# ---------------------------------------------------------------- remaining CDC keys and composites
+
+def _scd2_args(**kw):
+    base = dict(keys=["cuenta_id"], sequence_by=["_ingest_timestamp", "_change_id"],
+                except_columns=M.CDC_EXCEPT_COLUMNS + ["_change_id"])
+    base.update(kw)
+    return base
+
+
+@register("cdc_delete")
+def q_cdc_delete(spark, d):
+    """Delete rows close a key's open version (feed without truncates)."""
+    ch = FX.account_changes(spark, d).filter(F.col("operacion") != "TRUNCATE")
+    return cdc.apply_changes(ch, **_scd2_args())
+
+
+@register("cdc_truncate")
+def q_cdc_truncate(spark, d):
+    """C4: versions closed by a truncate (end = a truncate's sequence time)."""
+    ch = FX.account_changes(spark, d)
+    h = cdc.apply_changes(ch, **_scd2_args())
+    t = ch.filter(F.col("operacion") == "TRUNCATE").select(F.col("_ingest_timestamp").alias("__END_AT")).distinct()
+    return h.join(t, "__END_AT", "left_semi")
+
+
+@register("cdc_except_columns")
+def q_cdc_except_columns(spark, d):
+    """Latest state keeping the batch id but leaving out the source system."""
+    return cdc.apply_changes(FX.account_changes(spark, d), ["cuenta_id"], ["_ingest_timestamp", "_change_id"],
+                             except_columns=["_source_system", "_change_id"], scd_type=1)
+
+
+@register("silver_accounts")
+def q_silver_accounts(spark, d):
+    """C1 + C3 + C4 + C5 over the account change feed."""
+    return M.silver_accounts(FX.account_changes(spark, d))
+
+
+@register("bronze_accounts")
+def q_bronze_accounts(spark, d):
+    """Account snapshot + YEAR() partition + ingest metadata (the JDBC source is
+    replaced by the driver table; ``ingest.read_jdbc_partitioned`` is the database form)."""
+    snap = FX.accounts_snapshot(spark, d)
+    return ingest.ingest_metadata(ingest.derive_partitions(snap, "fecha_apertura", ("year",)), M.PROCESSED_AT,
+                                  batch_id="batch-0001")
+
+
+@register("bronze_transactions")
+def q_bronze_transactions(spark, d):
+    """Watermark of the existing bronze table, incremental slice, partitions, metadata."""
+    src = FX.raw_transactions(spark, d)
+    target = src.filter(F.col("fecha_transaccion") < F.lit(INCR_TARGET_CUT).cast("timestamp_ntz"))
+    inc = ingest.incremental(src, target, "fecha_transaccion", INCR_UPPER)
+    return ingest.ingest_metadata(ingest.derive_partitions(inc, "fecha_transaccion"), M.PROCESSED_AT)
+
+
+@register("json_roundtrip")
+def q_json_roundtrip(spark, d):
+    """Cached JSON payloads decoded and encoded again (to_json / from_json)."""
+    e = FX.read_table(spark, d, "events")
+    parsed = F.from_json("props", "k long")
+    return e.select("event_id", parsed.getField("k").alias("k"), F.to_json(parsed).alias("json"))
+
+
+@register("called_functions")
+def q_called_functions(spark, d):
+    """Names of the tools a reply called, missing names as ''."""
+    fc = FX.function_calls(spark, d)
+    names = F.transform("function_calls", lambda x: F.coalesce(x["name"], F.lit("")))
+    return fc.select("request_id", F.size(names).cast("long").alias("n_calls"),
+                     F.array_join(names, ",").alias("functions_called"))

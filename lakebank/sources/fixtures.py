@@ -329,3 +329,24 @@ def stage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = F.col("event_id")
     return e.select(x.alias("request_id"), (x % 13 != 0).alias("token_valid"), (x % 7 == 0).alias("input_blocked"),
                     (x % 19 == 0).alias("llm_error"), (x % 23 == 0).alias("output_blocked"))
+
+
+def accounts_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account rows as the source database returns them (raw_cuentas before stamping)."""
+    return accounts(spark, sf_dir).withColumn(
+        "fecha_apertura", F.timestamp_add("DAY", (F.col("cuenta_id") % 3650).cast("int"),
+                                          F.lit("2012-01-01 00:00:00").cast("timestamp_ntz"))
+    ).withColumn("operacion", F.lit("I"))
+
+
+def function_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model metadata per request: the list of called tools (some names missing)."""
+    e = read_table(spark, sf_dir, "events")
+    et = F.col("event_type")
+    tool = (F.when(et == "view", "get_account_balance").when(et == "purchase", "get_card_movements")
+            .when(et == "click", "get_credit_cards"))
+    calls = F.array(F.struct(tool.alias("name")),
+                    F.struct(F.when(F.col("event_id") % 2 == 0, F.lit("get_loans")).alias("name")))
+    return e.select(F.col("event_id").alias("request_id"),
+                    F.when(et == "error", F.array().cast("array<struct<name:string>>")).otherwise(calls)
+                    .alias("function_calls"))
