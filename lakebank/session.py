@@ -46,6 +46,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     conf = dict(BASE_CONF)
     if shuffle_partitions is None and master.startswith("local"):
         shuffle_partitions = os.cpu_count() or 8
+    elif shuffle_partitions is None:
+        # cluster: start shuffles wide and let AQE coalesce to ~128 MB partitions,
+        # so a 100 TB aggregate does not run with 200 oversized, spilling tasks
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "8192"
+        conf["spark.sql.shuffle.partitions"] = "8192"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "8g")
