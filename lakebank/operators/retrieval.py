@@ -91,8 +91,12 @@ def knn_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str
             continue
         qids = np.array([r[0] for r in rows])
         qmat = np.stack([np.asarray(r[1], dtype=np.float64) for r in rows])
-        bc = spark.sparkContext.broadcast((qids, qmat))
-        parts.append(c.mapInPandas(lambda it, bc=bc: _topk_block(bc.value[0], bc.value[1], k)(it), schema))
+        try:
+            bc = spark.sparkContext.broadcast((qids, qmat))
+            fn = (lambda it, bc=bc: _topk_block(bc.value[0], bc.value[1], k)(it))
+        except Exception:  # noqa: BLE001 -- no SparkContext (Spark Connect): ship the block with the function
+            fn = _topk_block(qids, qmat, k)
+        parts.append(c.mapInPandas(fn, schema))
     if not parts:
         return spark.createDataFrame([], schema.add("rank", T.LongType()))
     cand = parts[0]

@@ -68,7 +68,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from the session. Only when it is unset (tests, local runs) do we
     create a fresh scratch folder and register it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Spark Connect: only the conf is visible
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return d
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(

@@ -40,5 +40,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     otherwise run CPU-heavy per-row work (tokenising, regex, vector math) on
     a single core.
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    except Exception:  # noqa: BLE001 -- no RDD access (e.g. Spark Connect): leave the plan as is
+        return df
