@@ -41,6 +41,7 @@ BM25_K1, BM25_B = 1.2, 0.75
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 FUSION_DEPTH = 50
 MAX_BROADCAST_QUERIES = 20000
+MAX_BROADCAST_TERMS = 2_000_000
 
 
 def _topk_block(qids: np.ndarray, qmat: np.ndarray, k: int):
@@ -134,6 +135,9 @@ def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col:
     qt = (queries.select(F.col(qid_col).alias("query_id"), F.explode(tokens(qtext_col)).alias("term"))
           .distinct())
     vocab = qt.select("term").distinct()
+    # the query vocabulary is broadcast only under a checked size; above it the
+    # semi-join is left to the planner (shuffle join, AQE skew splitting)
+    vocab_side = F.broadcast(vocab) if vocab.count() <= MAX_BROADCAST_TERMS else vocab
     docs = spread(corpus.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("t0"))).select(
         "id", F.lower("t0").alias("t"))
     # token count from the split array itself: with limit -1, empty strings
@@ -146,7 +150,7 @@ def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col:
     n_docs, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
     post = (per_doc.select("id", "dl", F.explode("toks").alias("term"))
             .filter(F.col("term") != "")
-            .join(F.broadcast(vocab), "term", "left_semi")          # prune to query vocabulary
+            .join(vocab_side, "term", "left_semi")                  # prune to query vocabulary
             .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl")))
     # counts (id, term) rows; the predicate keeps tf and dl in this branch so
     # both branches share one postings aggregate (exchange reuse)
