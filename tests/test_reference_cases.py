@@ -28,13 +28,13 @@ def test_history_truncation(spark):
     assert [r["text"] for r in kept[-2:]] == ["Pregunta 24", "Respuesta 24"]
 
 
-def test_content_safety_pattern_block(spark):
+def test_guard_pattern_block(spark):
     df = spark.createDataFrame([("¿Me puedes dar mi número completo de tarjeta?",)], "text string")
     r = guard.guard_input(df, "text", enabled=False).collect()[0]
     assert r["is_blocked"] is True and "tarjeta" in r["reason"].lower()
 
 
-def test_content_safety_normal_query_passes(spark):
+def test_guard_normal_query_passes(spark):
     df = spark.createDataFrame([("¿Cuál es el saldo de mi cuenta en soles?",)], "text string")
     r = guard.guard_input(df, "text", enabled=False).collect()[0]
     assert r["is_blocked"] is False and r["reason"] == "safety_disabled"
