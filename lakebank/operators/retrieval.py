@@ -138,7 +138,9 @@ def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col:
     # the query vocabulary is broadcast only under a checked size; above it the
     # semi-join is left to the planner (shuffle join, AQE skew splitting)
     vocab_side = F.broadcast(vocab) if vocab.count() <= MAX_BROADCAST_TERMS else vocab
-    docs = spread(corpus.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("t0"))).select(
+    # ids keep their stored type through explode / join / aggregate (cheap
+    # hashing of bigint ids); they become strings only for the final ranking
+    docs = spread(corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("t0"))).select(
         "id", F.lower("t0").alias("t"))
     # token count from the split array itself: with limit -1, empty strings
     # only appear first (leading separator) and last (trailing separator)
@@ -148,7 +150,9 @@ def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col:
     per_doc = docs.select("id", toks.alias("toks")).select("id", "toks", n_tok.alias("dl"))
     stats = per_doc.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
     n_docs, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
-    post = (per_doc.select("id", "dl", F.explode("toks").alias("term"))
+    # explode_outer: plain explode makes Catalyst infer size(split(..)) > 0 and
+    # push it below the repartition into the scan, re-tokenising on one task
+    post = (per_doc.select("id", "dl", F.explode_outer("toks").alias("term"))
             .filter(F.col("term") != "")
             .join(vocab_side, "term", "left_semi")                  # prune to query vocabulary
             .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl")))
@@ -162,6 +166,7 @@ def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col:
     scored = (post.join(dfreq, "term").join(qt, "term")
               .withColumn("s", idf * tf * (k1 + 1) / norm)
               .groupBy("query_id", "id").agg(F.sum("s").alias("raw_score"))
+              .withColumn("id", F.col("id").cast("string"))
               # rank on 9 decimals: exact copies of a document tie despite float summation order
               .withColumn("score", F.round("raw_score", 9)))
     return top_per_query(scored, "score", k)

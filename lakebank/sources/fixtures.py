@@ -203,7 +203,7 @@ def documents_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def knowledge_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Knowledge documents without vectors (what keyword search reads)."""
     d = read_table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"))
+    return d.select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
 
 
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
