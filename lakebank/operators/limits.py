@@ -72,10 +72,11 @@ def rate_limit(requests: DataFrame, key: str, ts: str, id_col: str, limit: int =
     """Add ``accepted`` and ``error_reason`` to every request row."""
     window_us = window_seconds * 1_000_000
     r = requests.withColumn("__us", _micros(ts))
-    p = prev_value(r, [key], [ts, id_col], "__us", "__prev_us", bucket=time_bucket(ts, bucket_seconds))
+    p = prev_value(r, [key], [ts, id_col], "__us", "__prev_us", bucket=time_bucket(ts, bucket_seconds),
+                   keep_bucket=True)
     start = (F.col("__prev_us").isNull() | (F.col("__us") - F.col("__prev_us") >= window_us)).cast("long")
     s = running(p.withColumn("__start", start), [key], [ts, id_col], {"__seg": (F.col("__start"), "sum")},
-                bucket=time_bucket(ts, bucket_seconds))
+                bucket=None)              # same (key, bucket) partitioning as the gap phase
     keep = list(requests.columns)
     work = (s.select(*keep, F.col(key).cast("string").alias("__k"), "__seg", "__us")
             .repartition("__k", "__seg")

@@ -35,11 +35,17 @@ def block_bucket(c: str, size: int) -> Column:
     return F.floor(F.col(c) / F.lit(size))
 
 
+def _with_bucket(df: DataFrame, bucket: Column | None) -> DataFrame:
+    """Add the bucket column, or reuse it when ``bucket`` is None (keeps the
+    (key, bucket) partitioning of a previous phase, saving a shuffle)."""
+    return df if bucket is None else df.withColumn(BUCKET, bucket)
+
+
 def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, out: str,
-               bucket: Column) -> DataFrame:
+               bucket: Column | None, keep_bucket: bool = False) -> DataFrame:
     """``lead(value)`` over ``keys`` in ``order``."""
     ks = list(keys)
-    b = df.withColumn(BUCKET, bucket).withColumn("__val", value if isinstance(value, Column) else F.col(value))
+    b = _with_bucket(df, bucket).withColumn("__val", value if isinstance(value, Column) else F.col(value))
     b = b.withColumn("__local", F.lead("__val").over(Window.partitionBy(*ks, BUCKET).orderBy(*order)))
     summ = (b.groupBy(*ks, BUCKET)
             .agg(F.min_by(F.col("__val"), F.struct(*order)).alias("__first"))
@@ -48,14 +54,14 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     last = F.row_number().over(Window.partitionBy(*ks, BUCKET).orderBy(*[F.desc(c) for c in order])) == 1
     return (b.join(summ, [*ks, BUCKET], "left")
             .withColumn(out, F.when(last, F.col("__carry")).otherwise(F.col("__local")))
-            .drop("__val", "__local", "__carry", BUCKET))
+            .drop("__val", "__local", "__carry", *([] if keep_bucket else [BUCKET])))
 
 
 def prev_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, out: str,
-               bucket: Column) -> DataFrame:
+               bucket: Column | None, keep_bucket: bool = False) -> DataFrame:
     """``lag(value)`` over ``keys`` in ``order``."""
     ks = list(keys)
-    b = df.withColumn(BUCKET, bucket).withColumn("__val", value if isinstance(value, Column) else F.col(value))
+    b = _with_bucket(df, bucket).withColumn("__val", value if isinstance(value, Column) else F.col(value))
     w = Window.partitionBy(*ks, BUCKET).orderBy(*order)
     b = b.withColumn("__local", F.lag("__val").over(w)).withColumn("__first", F.row_number().over(w) == 1)
     summ = (b.groupBy(*ks, BUCKET)
@@ -64,7 +70,7 @@ def prev_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
             .select(*ks, BUCKET, "__carry"))
     return (b.join(summ, [*ks, BUCKET], "left")
             .withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__local")))
-            .drop("__val", "__local", "__carry", "__first", BUCKET))
+            .drop("__val", "__local", "__carry", "__first", *([] if keep_bucket else [BUCKET])))
 
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -77,13 +83,14 @@ def _combine(how: str, local: Column, carry: Column) -> Column:
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-            aggs: Mapping[str, tuple[Column, str]], bucket: Column, include_current: bool = True) -> DataFrame:
+            aggs: Mapping[str, tuple[Column, str]], bucket: Column | None, include_current: bool = True,
+            keep_bucket: bool = False) -> DataFrame:
     """Running aggregates per key in ``order``: ``aggs = {out: (expr, "sum"|"max"|"min")}``.
 
     ``include_current=False`` gives the aggregate over strictly earlier rows.
     """
     ks = list(keys)
-    b = df.withColumn(BUCKET, bucket)
+    b = _with_bucket(df, bucket)
     vals = {f"__v{i}": e for i, (e, _) in enumerate(aggs.values())}
     b = b.withColumns(vals)
     hi = 0 if include_current else -1
@@ -98,4 +105,4 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     j = j.withColumns({out: _combine(h, F.col(f"__l{i}"), F.col(f"__c{i}"))
                        for i, (out, h) in enumerate(zip(aggs.keys(), hows))})
     drop = [c for i in range(len(hows)) for c in (f"__v{i}", f"__l{i}", f"__c{i}")]
-    return j.drop(*drop, BUCKET)
+    return j.drop(*drop, *([] if keep_bucket else [BUCKET]))

@@ -117,11 +117,11 @@ def session_ttl(events: DataFrame, key: str, ts: str, ttl_seconds: int = SESSION
     lo = F.lit(False) if logout is None else F.coalesce(logout, F.lit(False))
     e = events.withColumn("__logout", lo)
     p = prev_value(e, [key], [ts], F.struct(F.col(ts).alias("t"), F.col("__logout").alias("l")), "__prev",
-                   bucket=time_bucket(ts, bucket_seconds))
+                   bucket=time_bucket(ts, bucket_seconds), keep_bucket=True)
     gap = F.timestamp_diff("MICROSECOND", F.col("__prev.t"), F.col(ts))
     start = (F.col("__prev").isNull() | (gap >= F.lit(ttl_seconds * 1_000_000)) | F.col("__prev.l"))
     s = running(p.withColumn("__start", start.cast("long")), [key], [ts], {"session_no": (F.col("__start"), "sum")},
-                bucket=time_bucket(ts, bucket_seconds))
+                bucket=None)              # same (key, bucket) partitioning as the lag phase
     g = s.groupBy(key, "session_no").agg(
         F.min(ts).alias("started_at"), F.max(ts).alias("last_activity"), F.count(F.lit(1)).alias("n_events"),
         F.max_by("__logout", F.col(ts)).alias("__ended"))
