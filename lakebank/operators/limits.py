@@ -40,27 +40,44 @@ def _micros(ts: str):
 
 
 def _replay(limit: int, window_us: int, keep: list[str]):
+    """mapInPandas body over rows sorted by (customer, segment, time, id).
+
+    A run of one (customer, segment) with at most ``limit`` rows is accepted
+    whole without a Python loop (vectorised; the common case for sparse
+    customers). Longer runs are replayed row by row with a deque of the
+    accepted timestamps still in the window (at most ``limit``). A run cut by
+    an Arrow batch boundary continues with the carried state.
+    """
     def run(batches):
         cur = None
         acc: deque = deque()
         for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
             keys = pdf["__k"].to_numpy()
             segs = pdf["__seg"].to_numpy()
             us = pdf["__us"].to_numpy()
-            out = np.empty(len(pdf), dtype=bool)
-            for i in range(len(pdf)):
-                ks = (keys[i], segs[i])
+            out = np.ones(n, dtype=bool)
+            brk = np.flatnonzero((keys[1:] != keys[:-1]) | (segs[1:] != segs[:-1])) + 1
+            starts = np.concatenate(([0], brk))
+            ends = np.concatenate((brk, [n]))
+            for a, b in zip(starts.tolist(), ends.tolist()):
+                ks = (keys[a], segs[a])
                 if ks != cur:
                     cur = ks
                     acc.clear()
-                t = us[i]
-                while acc and acc[0] <= t - window_us:
-                    acc.popleft()
-                if len(acc) >= limit:
-                    out[i] = False
-                else:
-                    out[i] = True
-                    acc.append(t)
+                    if b - a <= limit:            # short run: everything accepted
+                        acc.extend(us[a:b].tolist())
+                        continue
+                for i in range(a, b):
+                    t = us[i]
+                    while acc and acc[0] <= t - window_us:
+                        acc.popleft()
+                    if len(acc) >= limit:
+                        out[i] = False
+                    else:
+                        acc.append(t)
             res = pdf[keep].copy()
             res["accepted"] = out
             yield res

@@ -120,3 +120,26 @@ def test_knn_matches_brute_force(spark):
         s = D @ np.array(v)
         order = sorted(range(len(docs)), key=lambda j: (-s[j], docs[j][0]))[:4]
         assert [got[(qi, r + 1)] for r in range(4)] == [docs[j][0] for j in order]
+
+
+def test_rate_limit_random_with_tiny_batches(spark):
+    import random
+
+    from lakebank.operators.limits import rate_limit, rate_limit_replay
+    rnd = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(2000):
+        c = "hot" if i % 3 == 0 else f"c{rnd.randint(0, 30)}"
+        rows.append((i, c, t0 + dt.timedelta(seconds=rnd.randint(0, 4000))))
+    df = spark.createDataFrame(rows, "request_id long, customer_id string, ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for limit, win in [(3, 60), (5, 600), (1, 30)]:
+            got = {r[0]: r[1] for r in rate_limit(df, "customer_id", "ts", "request_id", limit, win)
+                   .select("request_id", "accepted").collect()}
+            exp = rate_limit_replay([(c, t.timestamp(), i) for i, c, t in rows], limit, win)
+            assert got == exp
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
