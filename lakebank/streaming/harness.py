@@ -34,6 +34,22 @@ def run_in_parts(spark: SparkSession, df: DataFrame, parts: Sequence[Column], na
     ckpt = scratch_path(spark, f"{name}-ckpt")
     sink = scratch_path(spark, f"{name}-out")
     schema = df.schema
+    # state partitions are fixed in the checkpoint at the first run; size them to
+    # the parallelism available (a fresh small stream need not run 200 state tasks)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        par = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        par = int(old)
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(old), max(1, par))))
+    try:
+        _run(spark, df, parts, src, ckpt, sink, schema, build, start, timeout_s)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    return sink
+
+
+def _run(spark, df, parts, src, ckpt, sink, schema, build, start, timeout_s):
     for i, p in enumerate(parts):
         df.filter(p).write.mode("append").parquet(f"{src}")
         if start is not None:
@@ -45,4 +61,3 @@ def run_in_parts(spark: SparkSession, df: DataFrame, parts: Sequence[Column], na
         q.awaitTermination(timeout_s)
         if q.exception() is not None:
             raise q.exception()
-    return sink
