@@ -26,7 +26,11 @@ ACCOUNTS = f"""SELECT c_custkey AS cuenta_id,
   c_mktsegment AS segmento_cliente,
   {_case_mod('c_nationkey % 4', CUR)} AS moneda,
   CAST(c_acctbal AS DECIMAL(18,2)) AS saldo_inicial
-FROM customer"""
+FROM customer
+UNION ALL
+SELECT s_suppkey + 1000000000 AS cuenta_id, 'CORRIENTE' AS tipo_producto, 'EMPRESA' AS segmento_cliente,
+  {_case_mod('s_nationkey % 4', CUR)} AS moneda, CAST(s_acctbal AS DECIMAL(18,2)) AS saldo_inicial
+FROM supplier"""
 
 RAW_TXN = f"""SELECT o_orderkey AS transaccion_id,
   CASE WHEN o_orderkey % 89 = 0 THEN NULL ELSE o_custkey END AS cuenta_id,
@@ -281,18 +285,18 @@ ORACLE["view_account_movements"] = f"""SELECT customer_id, currency, pos, moveme
 ORACLE["statement_text"] = f"""
 WITH g AS (SELECT customer_id, count(*) AS n, string_agg(line, chr(10) ORDER BY pos) AS body
            FROM ({top_movements_sql(5)}) t GROUP BY 1)
-SELECT c.c_custkey AS customer_id, coalesce(g.n, 0) AS n_items,
+SELECT c.cuenta_id AS customer_id, coalesce(g.n, 0) AS n_items,
   CASE WHEN g.customer_id IS NULL THEN 'No hay movimientos recientes en tu cuenta PEN.'
        ELSE 'Últimos ' || g.n || ' movimientos en PEN:' || chr(10) || g.body END AS text
-FROM customer c LEFT JOIN g ON g.customer_id = c.c_custkey"""
+FROM ({ACCOUNTS}) c LEFT JOIN g ON g.customer_id = c.cuenta_id"""
 
 ORACLE["account_balance_text"] = f"""
 WITH g AS (SELECT customer_id, count(*) AS n, string_agg(line, chr(10) ORDER BY account_number) AS body
            FROM ({BALANCE_LINES}) t GROUP BY 1)
-SELECT c.c_custkey AS customer_id, coalesce(g.n, 0) AS n_items,
+SELECT c.cuenta_id AS customer_id, coalesce(g.n, 0) AS n_items,
   CASE WHEN g.customer_id IS NULL THEN 'No se encontraron cuentas en PEN para el cliente.'
        ELSE 'Saldos de cuentas en PEN:' || chr(10) || g.body END AS text
-FROM customer c LEFT JOIN g ON g.customer_id = c.c_custkey"""
+FROM ({ACCOUNTS}) c LEFT JOIN g ON g.customer_id = c.cuenta_id"""
 
 CARDS = f"""SELECT cliente_id AS customer_id, tarjeta_id AS card_id,
   CASE WHEN tarjeta_id % 13 = 0 THEN CAST(tarjeta_id % 1000 AS VARCHAR)

@@ -38,16 +38,30 @@ def card_id(custkey: Column, orderkey: Column) -> Column:
     return custkey * 2 + orderkey % 2
 
 
+BUSINESS_ACCOUNT_OFFSET = 1_000_000_000
+
+
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Account master (silver_cuentas current rows) from ``customer``."""
+    """Account master (silver_cuentas current rows): personal accounts from
+    ``customer`` and business accounts from ``supplier`` (ids offset by 10^9).
+    Suppliers place no orders, so their accounts have no movements."""
     c = read_table(spark, sf_dir, "customer")
-    return c.select(
+    s = read_table(spark, sf_dir, "supplier")
+    personal = c.select(
         F.col("c_custkey").alias("cuenta_id"),
         _pick((F.col("c_nationkey") % 3).cast("int"), PRODUCT_TYPES).alias("tipo_producto"),
         F.col("c_mktsegment").alias("segmento_cliente"),
         _pick((F.col("c_nationkey") % 4).cast("int"), CURRENCIES).alias("moneda"),
         F.col("c_acctbal").cast("decimal(18,2)").alias("saldo_inicial"),
     )
+    business = s.select(
+        (F.col("s_suppkey") + BUSINESS_ACCOUNT_OFFSET).alias("cuenta_id"),
+        F.lit("CORRIENTE").alias("tipo_producto"),
+        F.lit("EMPRESA").alias("segmento_cliente"),
+        _pick((F.col("s_nationkey") % 4).cast("int"), CURRENCIES).alias("moneda"),
+        F.col("s_acctbal").cast("decimal(18,2)").alias("saldo_inicial"),
+    )
+    return personal.unionByName(business)
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
