@@ -516,10 +516,11 @@ def q_rate_limit_day2(spark, d):
 
 @register("chat_audit")
 def q_chat_audit(spark, d):
-    """Request checks, rate limit (3 per hour), claims, input guard, outcome."""
+    """Request checks, rate limit (2 per sliding hour, so it bites on the
+    test log), claims, input guard, outcome."""
     from lakebank.operators import guard
     return guard.chat_audit(FX.requests(spark, d), FX.claims(spark, d), FX.request_severities(spark, d),
-                            limit=3, window_seconds=3600)
+                            limit=2, window_seconds=3600)
 
 
 # ---------------------------------------------------------------- retrieval
