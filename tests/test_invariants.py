@@ -65,3 +65,51 @@ def test_chat_audit_statuses(spark):
     assert set(st) <= {200, 400, 401, 422} and sum(st.values()) == 10000
     assert a.filter((F.col("check_status") == 200) & (F.col("security_error") == "RATE_LIMIT_EXCEEDED")
                     & (F.col("http_status") != 401)).count() == 0
+
+
+def test_chat_audit_equals_python_replay(spark):
+    """X8 has no oracle SQL (sequential limiter): replay the request pipeline in Python."""
+    import datetime as dt
+
+    from lakebank.operators.guard import BANKING_BLOCK_PATTERNS
+    req = {r["request_id"]: r for r in FX.requests(spark, SF_MID).collect()}
+    cl = {r["request_id"]: r for r in FX.claims(spark, SF_MID).collect()}
+    sv = {r["request_id"]: r for r in FX.request_severities(spark, SF_MID).collect()}
+    epoch0 = dt.datetime(1970, 1, 1)
+
+    def check(r):
+        m = r["message"]
+        if m is None or not (1 <= len(m) <= 2000):
+            return 422
+        if not (r["authorization"] or "").startswith("Bearer "):
+            return 401
+        if len(r["customer_id"] or "") < 3:
+            return 400
+        return 200
+
+    status = {i: check(r) for i, r in req.items()}
+    ok = [(r["customer_id"], (r["ts"] - epoch0).total_seconds(), i) for i, r in req.items() if status[i] == 200]
+    accepted = rate_limit_replay(ok, 2, 3600)
+    expect = {}
+    for i, r in req.items():
+        if status[i] != 200:
+            expect[i] = status[i]
+            continue
+        c = cl[i]
+        secs = int((r["ts"] - epoch0).total_seconds())
+        if not accepted[i]:
+            expect[i] = 401
+            continue
+        if c["exp"] <= secs or r["customer_id"] not in (c["sub"] or "", c["oid"] or "",
+                                                           c["extension_customer_id"] or ""):
+            expect[i] = 401
+            continue
+        text = r["message"].strip(" ").lower()
+        s = sv[i]
+        sev = [s[k] for k in ("hate", "violence", "self_harm", "sexual")]
+        blocked = any(p in text for p in BANKING_BLOCK_PATTERNS) or (
+            any(v is not None for v in sev) and max(v or 0 for v in sev) >= 2)
+        expect[i] = 422 if blocked else 200
+    got = {r["request_id"]: r["http_status"] for r in QUERIES["chat_audit"](spark, SF_MID)
+           .select("request_id", "http_status").collect()}
+    assert got == expect
