@@ -38,6 +38,7 @@ CUSTOMER_ID_MIN = 3
 BEARER = "Bearer "
 UNAUTHORIZED, CONTENT_BLOCKED = "UNAUTHORIZED", "CONTENT_BLOCKED"
 CUSTOMER_ID_MISMATCH, TOKEN_EXPIRED = "CUSTOMER_ID_MISMATCH", "TOKEN_EXPIRED"
+JWT_VALIDATION_SKIPPED = "JWT_VALIDATION_SKIPPED"
 
 
 def scope_flags(claims: DataFrame, scp: str = "scp") -> DataFrame:
@@ -157,13 +158,20 @@ def chat_outcome(df: DataFrame, token_valid: str = "token_valid", input_blocked:
     return df.withColumns({"outcome": outcome, "error": err})
 
 
-def token_check(requests_claims: DataFrame, ts: str = "ts", exp: str = "exp") -> DataFrame:
+def token_check(requests_claims: DataFrame, ts: str = "ts", exp: str = "exp",
+                claim_cols: Sequence[str] = ("sub", "oid", "extension_customer_id")) -> DataFrame:
     """Security verdict from decoded claims: expired token, customer mismatch,
-    else valid with scopes (claims already verified upstream)."""
+    else valid (claims already verified upstream). A request with no claims at
+    all had no key store to validate against: it passes with
+    ``JWT_VALIDATION_SKIPPED`` (and the default scope), as the reference does."""
+    none = F.col(exp).isNull()
+    for c in claim_cols:
+        none = none & F.col(c).isNull()
     expired = F.coalesce(F.col(exp) <= epoch_seconds(ts), F.lit(True))
-    match = claim_match(requests_claims)
-    reason = F.when(expired, F.lit(TOKEN_EXPIRED)).when(~match, F.lit(CUSTOMER_ID_MISMATCH))
-    return requests_claims.withColumns({"token_valid": reason.isNull(), "token_error": reason})
+    match = claim_match(requests_claims, claim_cols=claim_cols)
+    reason = (F.when(none, F.lit(JWT_VALIDATION_SKIPPED)).when(expired, F.lit(TOKEN_EXPIRED))
+              .when(~match, F.lit(CUSTOMER_ID_MISMATCH)))
+    return requests_claims.withColumns({"token_valid": none | reason.isNull(), "token_error": reason})
 
 
 def chat_audit(requests: DataFrame, claims: DataFrame, severities: DataFrame | None,

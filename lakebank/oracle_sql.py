@@ -120,6 +120,15 @@ SELECT coalesce(dm.fecha_corte, DATE '{AS_OF}') AS fecha_corte, a.cuenta_id, a.t
   dm.num_transacciones
 FROM ({ACCOUNTS}) a LEFT JOIN ({DAILY_MOVEMENTS}) dm ON a.cuenta_id = dm.cuenta_id"""
 
+ORACLE["gold_daily_balances_cumulative"] = f"""
+SELECT coalesce(dm.fecha_corte, DATE '{AS_OF}') AS fecha_corte, a.cuenta_id, a.tipo_producto, a.segmento_cliente,
+  a.moneda, CAST(a.saldo_inicial + sum(coalesce(dm.total_creditos, 0) + coalesce(dm.total_debitos, 0))
+    OVER (PARTITION BY a.cuenta_id ORDER BY dm.fecha_corte ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    AS DOUBLE) AS saldo_cierre,
+  CAST(dm.total_creditos AS DOUBLE) AS total_creditos, CAST(dm.total_debitos AS DOUBLE) AS total_debitos,
+  dm.num_transacciones
+FROM ({ACCOUNTS}) a LEFT JOIN ({DAILY_MOVEMENTS}) dm ON a.cuenta_id = dm.cuenta_id"""
+
 ORACLE["agg_daily_movements"] = f"""
 SELECT cuenta_id, fecha_corte, CAST(total_creditos AS DOUBLE) AS total_creditos,
   CAST(total_debitos AS DOUBLE) AS total_debitos, num_transacciones FROM ({DAILY_MOVEMENTS}) dm"""

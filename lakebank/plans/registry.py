@@ -39,6 +39,12 @@ def q_gold_daily_balances(spark, d):
     return M.gold_daily_balances(spark, d)
 
 
+@register("gold_daily_balances_cumulative")
+def q_gold_daily_balances_cumulative(spark, d):
+    """G2 with ``cumulative=True``: the closing balance carries earlier days."""
+    return kpi.gold_daily_balances(FX.accounts(spark, d), M.silver_txns_for(spark, d), FX.AS_OF, cumulative=True)
+
+
 @register("agg_daily_movements")
 def q_agg_daily_movements(spark, d):
     """G1: credits, debits, count per account and day."""

