@@ -80,6 +80,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
             "spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            # a machine-local folder does not survive executor loss on a cluster
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="lakebank-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
