@@ -41,32 +41,42 @@ BM25_K1, BM25_B = 1.2, 0.75
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 FUSION_DEPTH = 50
 MAX_BROADCAST_QUERIES = 20000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 MAX_BROADCAST_TERMS = 2_000_000
 
 
-def _topk_block(qids: np.ndarray, qmat: np.ndarray, k: int):
-    """mapInPandas body: running top-k per query over the partition's rows."""
+def _topk_block(qids: np.ndarray, qmat: np.ndarray, k: int, sub: int = 512):
+    """mapInPandas body: running top-k per query over the partition's rows.
+
+    Scores are computed ``sub`` queries at a time, so the score matrix held in
+    memory is at most ``sub`` x (Arrow batch rows) doubles.
+    """
+    def merge(bs, bi, s, ids, keep):
+        cs = np.concatenate([bs, s], axis=1)
+        ci = np.concatenate([bi, np.broadcast_to(ids, s.shape)], axis=1)
+        # order by score desc, then id asc (stable sort over the id order)
+        order = np.argsort(ci, axis=1, kind="stable")
+        cs, ci = np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
+        order = np.argsort(-cs, axis=1, kind="stable")[:, :keep]
+        return np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
+
     def run(batches):
         m = len(qids)
-        best_s = np.full((m, 0), -np.inf)
-        best_i = np.empty((m, 0), dtype=object)
+        best_s = [np.full((min(sub, m - a), 0), -np.inf) for a in range(0, m, sub)]
+        best_i = [np.empty((min(sub, m - a), 0), dtype=object) for a in range(0, m, sub)]
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             ids = pdf["id"].to_numpy(dtype=object)
             mat = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"].to_numpy()])
-            s = qmat @ mat.T                                   # (m, n)
-            cs = np.concatenate([best_s, s], axis=1)
-            ci = np.concatenate([best_i, np.broadcast_to(ids, s.shape)], axis=1)
-            keep = min(k, cs.shape[1])
-            # order by score desc, then id asc (stable over the id sort)
-            order = np.argsort(ci, axis=1, kind="stable")
-            cs, ci = np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
-            order = np.argsort(-cs, axis=1, kind="stable")[:, :keep]
-            best_s, best_i = np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
-        if best_s.shape[1]:
-            yield pd.DataFrame({"query_id": np.repeat(qids, best_s.shape[1]),
-                                "id": best_i.reshape(-1).astype(str), "score": best_s.reshape(-1)})
+            for j, a in enumerate(range(0, m, sub)):
+                s = qmat[a:a + sub] @ mat.T                     # (sub, n)
+                keep = min(k, best_s[j].shape[1] + s.shape[1])
+                best_s[j], best_i[j] = merge(best_s[j], best_i[j], s, ids, keep)
+        if m and best_s[0].shape[1]:
+            bs, bi = np.concatenate(best_s), np.concatenate(best_i)
+            yield pd.DataFrame({"query_id": np.repeat(qids, bs.shape[1]),
+                                "id": bi.reshape(-1).astype(str), "score": bs.reshape(-1)})
     return run
 
 
@@ -79,7 +89,10 @@ def knn_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str
     q = queries.filter(F.col(qvec_col).isNotNull()).select(F.col(qid_col).alias("query_id"),
                                                           F.col(qvec_col).alias("qv"))
     n_q = q.count()
-    n_blocks = max(1, -(-n_q // max_broadcast_queries))
+    dim = (q.select(F.size("qv")).first() or [0])[0] if n_q else 0
+    # queries per broadcast block: bounded by count and by bytes (float64 vectors)
+    per_block = max(1, min(max_broadcast_queries, MAX_BROADCAST_BYTES // max(1, 8 * dim)))
+    n_blocks = max(1, -(-n_q // per_block))
     c = spread(corpus.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"),
                                                                F.col(vec_col).alias("vec")))
     schema = T.StructType([T.StructField("query_id", queries.schema[qid_col].dataType),
@@ -87,7 +100,7 @@ def knn_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str
     parts = []
     for b in range(n_blocks):
         blk = q if n_blocks == 1 else q.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b)
-        rows = blk.collect()              # one block: at most max_broadcast_queries vectors (checked)
+        rows = blk.collect()              # one block: bounded by per_block (count and bytes checked)
         if not rows:
             continue
         qids = np.array([r[0] for r in rows])

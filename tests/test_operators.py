@@ -111,12 +111,14 @@ def test_knn_matches_brute_force(spark):
     import numpy as np
     rng = np.random.default_rng(1)
     docs = [(str(i), [float(x) for x in rng.normal(size=8)]) for i in range(300)]
-    qs = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(7)]
+    qs = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(700)]
     c = spark.createDataFrame(docs, "id string, content_vector array<double>").repartition(5)
     q = spark.createDataFrame(qs, "query_id long, query_vector array<double>")
-    got = {(r["query_id"], r["rank"]): r["id"] for r in retrieval.knn_topk(c, q, 4, max_broadcast_queries=3).collect()}
+    got = {(r["query_id"], r["rank"]): r["id"] for r in retrieval.knn_topk(c, q, 4, max_broadcast_queries=300).collect()}
+    got2 = {(r["query_id"], r["rank"]): r["id"] for r in retrieval.knn_topk(c, q, 4).collect()}
+    assert got2 == got
     D = np.array([d[1] for d in docs])
-    for qi, v in qs:
+    for qi, v in qs[::37]:
         s = D @ np.array(v)
         order = sorted(range(len(docs)), key=lambda j: (-s[j], docs[j][0]))[:4]
         assert [got[(qi, r + 1)] for r in range(4)] == [docs[j][0] for j in order]
