@@ -786,3 +786,80 @@ ORACLE["called_functions"] = """SELECT event_id AS request_id,
                                      WHEN 'click' THEN 'get_credit_cards' END, '')
             || ',' || CASE WHEN event_id % 2 = 0 THEN 'get_loans' ELSE '' END END AS functions_called
 FROM events"""
+
+
+# ---------------------------------------------------------------- sequential rate limit (recursive SQL)
+
+def rate_limit_sql(src: str, limit: int, window: int) -> str:
+    """Accepted-only sliding window, replayed per customer by a recursive CTE
+    that carries the accepted timestamps (depth = requests per customer)."""
+    kept = f"list_filter(r.acc, lambda x: x > e.ts - INTERVAL {window} SECOND)"
+    return f"""WITH RECURSIVE ev AS (
+  SELECT request_id, customer_id, ts,
+         row_number() OVER (PARTITION BY customer_id ORDER BY ts, request_id) AS rn FROM ({src}) s),
+r AS (
+  SELECT customer_id, rn, request_id, [ts] AS acc, true AS accepted FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.customer_id, e.rn, e.request_id,
+    CASE WHEN len({kept}) >= {limit} THEN {kept} ELSE list_append({kept}, e.ts) END,
+    len({kept}) < {limit}
+  FROM r JOIN ev e ON e.customer_id = r.customer_id AND e.rn = r.rn + 1)
+SELECT ev.request_id, ev.customer_id, ev.ts, r.accepted,
+  CASE WHEN NOT r.accepted THEN 'RATE_LIMIT_EXCEEDED' END AS error_reason
+FROM ev JOIN r ON r.customer_id = ev.customer_id AND r.rn = ev.rn"""
+
+
+_REQ3 = f"SELECT request_id, customer_id, ts FROM ({REQUESTS}) q"
+ORACLE["rate_limit"] = rate_limit_sql(_REQ3, 30, 60)
+ORACLE["rate_limit_day2"] = rate_limit_sql(_REQ3, 2, 86400)
+ORACLE["rate_limit_stream"] = ORACLE["rate_limit_day2"]
+
+
+def _rlvl(e: str) -> str:
+    return f"CASE WHEN event_id % 9 = 0 THEN NULL ELSE CAST(floor({e}) AS INTEGER) END"
+
+
+REQUEST_SEVERITIES = f"""SELECT event_id AS request_id,
+  {_rlvl('(event_id * 7 % 11) / 4')} AS hate, {_rlvl('(event_id * 3 % 13) / 5')} AS violence,
+  {_rlvl('(event_id % 17) / 8')} AS self_harm, {_rlvl('(event_id * 5 % 19) / 9')} AS sexual
+FROM events"""
+
+_CHECKED = f"""SELECT *, CASE WHEN message IS NULL OR length(message) < 1 OR length(message) > 2000 THEN 422
+       WHEN NOT coalesce(starts_with("authorization", 'Bearer '), false) THEN 401
+       WHEN coalesce(length(customer_id), 0) < 3 THEN 400 ELSE 200 END AS check_status,
+  trim(message) AS message_clean
+FROM ({REQUESTS}) q"""
+
+_FP = _first_pattern("message_clean", REF_PATTERNS)
+
+ORACLE["chat_audit"] = f"""WITH chk AS ({_CHECKED}),
+rl AS ({rate_limit_sql("SELECT request_id, customer_id, ts FROM chk WHERE check_status = 200", 2, 3600)}),
+sv AS (SELECT chk.*, rl.accepted, c.sub, c.oid, c.extension_customer_id, c.exp,
+         s.hate, s.violence, s.self_harm, s.sexual
+       FROM chk LEFT JOIN rl ON rl.request_id = chk.request_id
+         LEFT JOIN ({CLAIMS}) c ON c.request_id = chk.request_id
+         LEFT JOIN ({REQUEST_SEVERITIES}) s ON s.request_id = chk.request_id),
+d AS ({SEV_DECISION.replace('FROM sv', 'FROM sv m')}),
+t AS (SELECT *,
+  exp IS NULL AND sub IS NULL AND oid IS NULL AND extension_customer_id IS NULL AS no_claims,
+  NOT coalesce(accepted, true) AS limited,
+  {_FP} AS pattern
+  FROM d),
+u AS (SELECT *,
+  CASE WHEN no_claims THEN 'JWT_VALIDATION_SKIPPED'
+       WHEN coalesce(exp <= {EPOCH}, true) THEN 'TOKEN_EXPIRED'
+       WHEN NOT coalesce(customer_id IN (coalesce(sub, ''), coalesce(oid, ''), coalesce(extension_customer_id, '')),
+                         false) THEN 'CUSTOMER_ID_MISMATCH' END AS token_error
+  FROM t),
+v AS (SELECT *, NOT limited AND (no_claims OR token_error IS NULL) AS token_valid,
+  pattern IS NOT NULL OR severity_blocked AS is_blocked FROM u)
+SELECT request_id, customer_id, ts, check_status,
+  CASE WHEN check_status = 200 THEN CASE WHEN limited THEN 'RATE_LIMIT_EXCEEDED' ELSE token_error END END
+    AS security_error,
+  CASE WHEN check_status = 200 THEN CASE WHEN NOT token_valid THEN 'unauthorized'
+       WHEN is_blocked THEN 'content_blocked' ELSE 'ok' END END AS outcome,
+  CASE WHEN check_status = 200 THEN CASE WHEN pattern IS NOT NULL
+       THEN 'Patrón bancario sensible detectado: ''' || pattern || '''' ELSE severity_reason END END AS guard_reason,
+  CASE WHEN check_status <> 200 THEN check_status WHEN NOT token_valid THEN 401 WHEN is_blocked THEN 422
+       ELSE 200 END AS http_status
+FROM v"""
