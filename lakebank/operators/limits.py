@@ -20,12 +20,10 @@ from __future__ import annotations
 from collections import deque
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebank.functions.expr import epoch_seconds
 from lakebank.operators.ordered import prev_value, running, time_bucket
 
 RATE_LIMIT_MAX = 30
@@ -117,5 +115,3 @@ def rate_limit_replay(rows, limit: int, window_seconds: float):
         store[k] = lst
     return res
 
-
-__all__ = ["rate_limit", "rate_limit_replay", "epoch_seconds"]

@@ -214,8 +214,8 @@ def rag_context(hits: DataFrame, queries: DataFrame, content: str = "content", q
     w = Window.partitionBy(qid).orderBy("rank")
     h = hits.withColumn("pos", F.row_number().over(w))
     body = F.regexp_replace(F.col(content), r"^\s+|\s+$", "")
-    item = F.format_string("\n[Fuente %d | Relevancia: %s]\n%s", F.col("pos"),
-                           F.format_number(F.col("score"), 2), body)
+    fmt = CONTEXT_ITEM.replace("{i}", "%d").replace("{score}", "%s").replace("{content}", "%s")
+    item = F.format_string(fmt, F.col("pos"), F.format_number(F.col("score"), 2), body)
     g = (h.groupBy(qid).agg(F.sort_array(F.collect_list(F.struct("pos", item.alias("t")))).alias("items")))
     text = F.concat_ws("\n", F.lit(CONTEXT_HEADER), F.concat_ws("\n", F.transform("items", lambda x: x["t"])),
                        F.lit(CONTEXT_FOOTER))
