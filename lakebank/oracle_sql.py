@@ -863,3 +863,8 @@ SELECT request_id, customer_id, ts, check_status,
   CASE WHEN check_status <> 200 THEN check_status WHEN NOT token_valid THEN 401 WHEN is_blocked THEN 422
        ELSE 200 END AS http_status
 FROM v"""
+
+
+ORACLE["session_stream_logout"] = f"""SELECT user_id, started_at, last_activity, n_events, ended_by, expires_at
+FROM ({session_ttl_sql(1800)}) s
+WHERE ended_by = 'logout' OR expires_at < (SELECT max(ts) FROM events)"""

@@ -667,6 +667,18 @@ def q_session_stream(spark, d):
     return spark.read.parquet(sink)
 
 
+@register("session_stream_logout")
+def q_session_stream_logout(spark, d):
+    """I3 stream with logout: 'error' events end their session at once."""
+    from lakebank.streaming.harness import run_in_parts
+    from lakebank.streaming.session_stream import session_stream_logout
+    ev = FX.read_table(spark, d, "events").select("user_id", "ts", "event_type")
+    sink = run_in_parts(spark, ev, _time_parts("ts"), "sessions-logout",
+                        build=lambda s: session_stream_logout(s, "user_id", "ts", F.col("event_type") == "error",
+                                                              1800))
+    return spark.read.parquet(sink)
+
+
 # ---------------------------------------------------------------- sinks and catalog
 
 @register("sink_partitioned")

@@ -1,8 +1,10 @@
 """Streaming session expiry (I3): ``session_window`` with a watermark.
 
-Each event extends its customer's session by the gap; append mode emits a
-session once the watermark has passed its end, so state holds only open
-sessions. Logout splitting is done by the batch form (``sessions.session_ttl``).
+``session_stream``: each event extends its customer's session by the gap;
+append mode emits a session once the watermark has passed its end, so state
+holds only open sessions. ``session_stream_logout`` adds the logout split with
+``applyInPandasWithState`` (one open session per customer as state), matching
+the batch form ``sessions.session_ttl``.
 """
 
 from __future__ import annotations
@@ -23,3 +25,65 @@ def session_stream(events: DataFrame, key: str, ts: str, gap_seconds: int = 1800
             .agg(F.count(F.lit(1)).alias("n_events"), F.max(ts).alias("last_activity"))
             .select(key, instant_to_ntz("sw.start").alias("started_at"), "last_activity", "n_events",
                     instant_to_ntz("sw.end").alias("expires_at")))
+
+
+def _session_fn(key: str, ts: str, ttl_us: int):
+    import pandas as pd
+
+    cols = [key, "started_at", "last_activity", "n_events", "ended_by", "expires_at"]
+
+    def emit(k, start, last, n, how):
+        end = last if how == "logout" else last + ttl_us
+        return (k, pd.Timestamp(start, unit="us"), pd.Timestamp(last, unit="us"), n, how,
+                pd.Timestamp(end, unit="us"))
+
+    def fn(k, pdfs, state):
+        kv = k[0]
+        out = []
+        if state.hasTimedOut:
+            s0, l0, n0 = state.get
+            state.remove()
+            yield pd.DataFrame([emit(kv, s0, l0, n0, "ttl")], columns=cols)
+            return
+        cur = tuple(state.get) if state.exists else None
+        for pdf in pdfs:
+            pdf = pdf.sort_values(["__us"], kind="stable")
+            for t, lo in zip(pdf["__us"].to_numpy(), pdf["__logout"].to_numpy()):
+                t = int(t)
+                if cur is not None and t - cur[1] >= ttl_us:
+                    out.append(emit(kv, cur[0], cur[1], cur[2], "ttl"))
+                    cur = None
+                cur = (t, t, 1) if cur is None else (cur[0], t, cur[2] + 1)
+                if bool(lo):
+                    out.append(emit(kv, cur[0], cur[1], cur[2], "logout"))
+                    cur = None
+        if cur is None:
+            state.remove()
+        else:
+            state.update(cur)
+            state.setTimeoutTimestamp((cur[1] + ttl_us) // 1000)
+        if out:
+            yield pd.DataFrame(out, columns=cols)
+    return fn
+
+
+def session_stream_logout(events: DataFrame, key: str, ts: str, logout, gap_seconds: int = 1800,
+                          watermark: str = "0 seconds") -> DataFrame:
+    """I3 stream with the batch rules: a session ends ``gap_seconds`` after its
+    last event (emitted when the next event or the watermark shows it) or at
+    once on a logout event. State per customer is one open session (three
+    numbers); an event-time timeout emits and drops it."""
+    from pyspark.sql import types as T
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    from lakebank.functions.expr import epoch_micros
+    e = events.withColumns({"__us": epoch_micros(ts), "__et": ntz_to_instant(ts),
+                            "__logout": F.coalesce(logout, F.lit(False))}).withWatermark("__et", watermark)
+    key_type = events.schema[key].dataType
+    out = T.StructType([T.StructField(key, key_type), T.StructField("started_at", T.TimestampNTZType()),
+                        T.StructField("last_activity", T.TimestampNTZType()), T.StructField("n_events", T.LongType()),
+                        T.StructField("ended_by", T.StringType()), T.StructField("expires_at", T.TimestampNTZType())])
+    st = T.StructType([T.StructField("start_us", T.LongType()), T.StructField("last_us", T.LongType()),
+                       T.StructField("n", T.LongType())])
+    return e.select(key, "__us", "__et", "__logout").groupBy(key).applyInPandasWithState(
+        _session_fn(key, ts, gap_seconds * 1_000_000), out, st, "append", GroupStateTimeout.EventTimeTimeout)
