@@ -29,14 +29,20 @@ def _decide(limit: int, window_us: int, id_col: str):
         acc = list(state.get[0]) if state.exists else []
         for pdf in pdfs:
             pdf = pdf.sort_values(["__us", id_col], kind="stable")
-            out = []
-            for t in pdf["__us"].to_numpy():
-                acc = [x for x in acc if x > t - window_us]
-                if len(acc) >= limit:
-                    out.append(False)
-                else:
-                    acc.append(int(t))
-                    out.append(True)
+            us = pdf["__us"].to_numpy()
+            if len(acc) + len(us) <= limit:
+                # the window can never fill: accept all without the row loop
+                acc = [x for x in acc + [int(t) for t in us] if x > int(us[-1]) - window_us]
+                out = [True] * len(us)
+            else:
+                out = []
+                for t in us:
+                    acc = [x for x in acc if x > t - window_us]
+                    if len(acc) >= limit:
+                        out.append(False)
+                    else:
+                        acc.append(int(t))
+                        out.append(True)
             res = pdf.drop(columns=["__us", "__et"]).copy()
             res["accepted"] = out
             yield res
