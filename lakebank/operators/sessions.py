@@ -83,17 +83,24 @@ def session_history(saved: DataFrame, key: str = "session_id", order: str = "pos
 
 
 def prompt_assembly(messages: DataFrame, contexts: DataFrame | None = None, key: str = "session_id",
-                    order: str = "turn") -> DataFrame:
-    """For every user turn, the prompt sent to the model: the loaded
+                    order: str = "turn", cap: int = HISTORY_CAP) -> DataFrame:
+    """For every user turn, the prompt sent to the model: the saved
     history before the turn, preceded by the system message (with retrieved
     context or the fallback) only when that history is empty.
 
-    The prior-history size is a running count split by turn blocks.
+    The saved history is trimmed at every save, so past ``cap`` messages it
+    holds the system messages plus the last ``cap - 1`` user/assistant ones.
+    Prior counts are running sums split by turn blocks.
     """
-    loaded = F.col("role").isin(*LOADED_ROLES).cast("int")
-    r = running(messages, [key], [order], {"__prior": (loaded, "sum")},
+    role = F.col("role")
+    loaded = role.isin(*LOADED_ROLES).cast("int")
+    system = (role == SYSTEM).cast("int")
+    r = running(messages, [key], [order], {"__prior": (loaded, "sum"), "__sys": (system, "sum")},
                 bucket=block_bucket(order, TURN_BLOCK), include_current=False)
-    users = r.filter(F.col("role") == USER).withColumn("n_prior", F.coalesce("__prior", F.lit(0)).cast("long"))
+    total = F.coalesce("__prior", F.lit(0)).cast("long")
+    n_sys = F.coalesce("__sys", F.lit(0)).cast("long")
+    saved = F.when(total > cap, n_sys + F.least(total - n_sys, F.lit(cap - 1))).otherwise(total)
+    users = r.filter(role == USER).withColumn("n_prior", saved)
     if contexts is not None:
         users = users.join(contexts.select(key, order, "context"), [key, order], "left")
     else:

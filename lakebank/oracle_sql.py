@@ -450,9 +450,14 @@ Sin contexto adicional disponible.
 ORACLE["prompt_assembly"] = f"""SELECT session_id, turn, n_prior, n_prior = 0 AS system_added,
   n_prior + 1 + CASE WHEN n_prior = 0 THEN 1 ELSE 0 END AS prompt_size,
   CASE WHEN n_prior = 0 THEN '{SYSTEM_PROMPT_SQL}' END AS system_text
-FROM (SELECT *, CAST(coalesce(sum(CASE WHEN role IN ('system', 'user', 'assistant') THEN 1 ELSE 0 END)
+FROM (SELECT *, CASE WHEN tot > 20 THEN n_sys + least(tot - n_sys, 19) ELSE tot END AS n_prior FROM (
+  SELECT *, CAST(coalesce(sum(CASE WHEN role IN ('system', 'user', 'assistant') THEN 1 ELSE 0 END)
         OVER (PARTITION BY session_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-        AS BIGINT) AS n_prior FROM ({MESSAGES}) m) x
+        AS BIGINT) AS tot,
+    CAST(coalesce(sum(CASE WHEN role = 'system' THEN 1 ELSE 0 END)
+        OVER (PARTITION BY session_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        AS BIGINT) AS n_sys
+  FROM ({MESSAGES}) m) y) x
 WHERE role = 'user'"""
 
 

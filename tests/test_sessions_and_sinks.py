@@ -71,3 +71,13 @@ def test_partitioned_write_and_checkpoint_table(spark):
     back = spark.read.parquet(path)
     assert back.filter("m = 3").count() == 10
     assert checkpoint_table(df).count() == 50
+
+
+def test_prompt_assembly_uses_the_trimmed_history(spark):
+    rows = [("s", 0, "system", "sys")]
+    for i in range(15):
+        rows += [("s", 1 + 2 * i, "user", f"q{i}"), ("s", 2 + 2 * i, "assistant", f"a{i}")]
+    m = spark.createDataFrame(rows, "session_id string, turn long, role string, text string")
+    r = {x["turn"]: x["n_prior"] for x in sessions.prompt_assembly(m, cap=20).collect()}
+    assert r[1] == 1 and r[19] == 19                 # up to the cap: whole history
+    assert r[29] == 1 + 19                           # past it: system + last 19 others
