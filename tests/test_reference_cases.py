@@ -77,3 +77,14 @@ def test_unauthorized_returns_error(spark):
                                "output_blocked boolean")
     r = guard.request_outcome(guard.chat_outcome(df)).collect()[0]
     assert r["error"] == "UNAUTHORIZED" and r["http_status"] == 401 and r["outcome"] == "unauthorized"
+
+
+def test_history_trim_other_roles_count_then_drop(spark):
+    rows = [("s", 0, "system", "sys")]
+    for i in range(12):
+        rows += [("s", 1 + 2 * i, "user", f"q{i}"), ("s", 2 + 2 * i, "tool", f"t{i}")]
+    kept = sessions.history_trim(_msgs(spark, rows), cap=20).orderBy("pos").collect()
+    # 25 messages > 20: system + the last 19 non-system (10 user + 9 tool), tools then dropped
+    assert [r["role"] for r in kept] == ["system"] + ["user"] * 10
+    loaded = sessions.session_history(sessions.history_trim(_msgs(spark, rows[:5]), cap=20)).collect()[0]
+    assert [m["role"] for m in loaded["messages"]] == ["system", "user", "user"]   # load keeps known roles
