@@ -84,7 +84,9 @@ def test_history_trim_other_roles_count_then_drop(spark):
     for i in range(12):
         rows += [("s", 1 + 2 * i, "user", f"q{i}"), ("s", 2 + 2 * i, "tool", f"t{i}")]
     kept = sessions.history_trim(_msgs(spark, rows), cap=20).orderBy("pos").collect()
-    # 25 messages > 20: system + the last 19 non-system (10 user + 9 tool), tools then dropped
-    assert [r["role"] for r in kept] == ["system"] + ["user"] * 10
+    # 25 messages > 20: system + the last 19 non-system (t2, u3, t3, ..., u11, t11 = 9 user + 10 tool),
+    # then the tool messages are dropped
+    assert [r["role"] for r in kept] == ["system"] + ["user"] * 9
+    assert [r["text"] for r in kept][1] == "q3"
     loaded = sessions.session_history(sessions.history_trim(_msgs(spark, rows[:5]), cap=20)).collect()[0]
     assert [m["role"] for m in loaded["messages"]] == ["system", "user", "user"]   # load keeps known roles
