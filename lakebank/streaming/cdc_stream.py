@@ -7,9 +7,10 @@
    replaces rather than duplicates its rows);
 2. only the keys touched by the batch are recomputed from the log (late
    events for a closed key re-open and re-close its intervals, because the
-   sequence decides, not arrival). A truncate that follows everything already
-   logged (in-order arrival) just closes the untouched keys' open versions; a
-   late truncate inside known history recomputes all keys;
+   sequence decides, not arrival). For the untouched keys a batch's
+   truncates -- in order or late -- only cut versions: end =
+   least(end, first new truncate after the start), a projection through the
+   bounded per-day truncate lookup; nothing else is recomputed;
 3. a new target version = untouched rows of the previous version + the
    recomputed keys, written to ``v<epoch>``; the commit log records the epoch
    last. A retried epoch whose version is committed is skipped (idempotent).
@@ -25,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakebank.operators.cdc import apply_changes
+from lakebank.operators.cdc import END, START, apply_changes, next_truncate
 
 
 class CdcTarget:
@@ -71,29 +72,22 @@ class CdcTarget:
          .option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(self.log_path))
         log = spark.read.parquet(self.log_path).filter(F.col("_epoch") <= epoch_id).drop("_epoch")
         op = F.col(self.op_col)
-        seq = F.struct(*self.sequence_by)
         is_trunc = op.isin(*self.truncate_ops)
-        first_trunc = batch.filter(is_trunc).agg(F.min(seq).alias("s")).first()["s"]
         prev_epochs = [e for e in done if e < epoch_id]
-        in_order = False
-        if first_trunc is not None and prev_epochs:
-            before = spark.read.parquet(self.log_path).filter(F.col("_epoch") < epoch_id)
-            last_seen = before.agg(F.max(seq).alias("s")).first()["s"]
-            in_order = last_seen is None or tuple(first_trunc) > tuple(last_seen)
-        if not prev_epochs or (first_trunc is not None and not in_order):
-            # first batch, or a late truncate inside known history: recompute all keys
-            new = self._apply(log)
+        if not prev_epochs:
+            new = self._apply(log)                       # first batch: build the history
         else:
             prev = spark.read.parquet(self.version_path(max(prev_epochs)))
             touched = batch.filter(~is_trunc | op.isNull()).select(*self.keys).distinct()
-            # the touched keys' full change history plus every truncate (they close all keys)
+            # touched keys: their full change history plus every truncate, recomputed
             relevant = log.join(touched, self.keys, "left_semi").unionByName(log.filter(is_trunc))
+            # untouched keys: history unchanged except that this batch's truncates
+            # (in order or late) cut each version at the first truncate after its
+            # start: end = least(end, next truncate) -- exact, and a projection
             untouched = prev.join(touched, self.keys, "left_anti")
-            if first_trunc is not None:
-                # in-order truncate: it follows everything already applied, so it only
-                # closes the open versions of untouched keys -- a projection, no recompute
-                t_end = F.lit(first_trunc[0]).cast(prev.schema["__END_AT"].dataType)
-                untouched = untouched.withColumn("__END_AT", F.coalesce("__END_AT", t_end))
+            truncs = batch.filter(is_trunc).select(F.col(self.sequence_by[0]).alias(START))
+            cut = next_truncate(untouched, truncs, START, [START])
+            untouched = cut.withColumn(END, F.least(END, "__next_trunc")).drop("__next_trunc")
             new = untouched.unionByName(self._apply(relevant))
         new.write.mode("overwrite").parquet(self.version_path(epoch_id))
         spark.createDataFrame([(epoch_id,)], "epoch long").write.mode("append").parquet(self.commits_path)
