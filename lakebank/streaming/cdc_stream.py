@@ -10,7 +10,8 @@
    sequence decides, not arrival). For the untouched keys a batch's
    truncates -- in order or late -- only cut versions: end =
    least(end, first new truncate after the start), a projection through the
-   bounded per-day truncate lookup; nothing else is recomputed;
+   bounded per-day truncate lookup; nothing else is recomputed. A batch that
+   touches more than half of the known keys rebuilds instead (cheaper);
 3. a new target version = untouched rows of the previous version + the
    recomputed keys, written to ``v<epoch>``; the commit log records the epoch
    last. A retried epoch whose version is committed is skipped (idempotent).
@@ -74,11 +75,13 @@ class CdcTarget:
         op = F.col(self.op_col)
         is_trunc = op.isin(*self.truncate_ops)
         prev_epochs = [e for e in done if e < epoch_id]
-        if not prev_epochs:
-            new = self._apply(log)                       # first batch: build the history
+        touched = batch.filter(~is_trunc | op.isNull()).select(*self.keys).distinct()
+        prev = spark.read.parquet(self.version_path(max(prev_epochs))) if prev_epochs else None
+        # when a batch touches most keys, rebuilding is cheaper than patching
+        broad = prev is None or touched.count() * 2 > prev.select(*self.keys).distinct().count()
+        if broad:
+            new = self._apply(log)
         else:
-            prev = spark.read.parquet(self.version_path(max(prev_epochs)))
-            touched = batch.filter(~is_trunc | op.isNull()).select(*self.keys).distinct()
             # touched keys: their full change history plus every truncate, recomputed
             relevant = log.join(touched, self.keys, "left_semi").unionByName(log.filter(is_trunc))
             # untouched keys: history unchanged except that this batch's truncates
