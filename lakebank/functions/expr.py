@@ -105,10 +105,16 @@ def utilization_pct(used: str | Column, limit: str | Column) -> Column:
 
 
 def first_match(text: str | Column, patterns: Sequence[str]) -> Column:
-    """First pattern (list order) contained in lower(text), or null."""
+    """First pattern (list order) contained in lower(text), or null.
+
+    A ``CASE WHEN contains(..)`` chain: same first-hit rule as a loop over the
+    list, but compiled into the stage's generated code (no per-row lambda)."""
     low = F.lower(col_(text))
-    hits = F.filter(F.array(*[F.lit(p.lower()) for p in patterns]), lambda p: F.contains(low, p))
-    return F.get(hits, 0)
+    expr = None
+    for p in patterns:
+        lit = F.lit(p.lower())
+        expr = F.when(F.contains(low, lit), lit) if expr is None else expr.when(F.contains(low, lit), lit)
+    return expr if expr is not None else F.lit(None).cast("string")
 
 
 def scopes(scp: str | Column, default: str = "banking.read") -> Column:
