@@ -88,8 +88,8 @@ def knn_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str
     spark = corpus.sparkSession
     q = queries.filter(F.col(qvec_col).isNotNull()).select(F.col(qid_col).alias("query_id"),
                                                           F.col(qvec_col).alias("qv"))
-    n_q = q.count()
-    dim = (q.select(F.size("qv")).first() or [0])[0] if n_q else 0
+    pre = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qv")).alias("d")).first()   # one small job
+    n_q, dim = pre["n"], pre["d"] or 0
     # queries per broadcast block: bounded by count and by bytes (float64 vectors)
     per_block = max(1, min(max_broadcast_queries, MAX_BROADCAST_BYTES // max(1, 8 * dim)))
     n_blocks = max(1, -(-n_q // per_block))
