@@ -35,6 +35,10 @@ def main():
     print(f"rows={hot.count()} partitions={parts} hot-user share={1/3:.3f}")
     print(f"plain window: largest task holds {share(plain):.3f} of rows")
     print(f"bucketed scan: largest task holds {share(bucketed):.3f} of rows; results equal: {same}")
+    from lakebank.operators.limits import rate_limit
+    rl = rate_limit(hot.select("event_id", "user_id", "ts"), "user_id", "ts", "event_id", 30, 60)
+    print(f"rate limit replay (30 / 60 s): largest task holds {share(rl.withColumn('prev', F.col('accepted'))):.3f} "
+          f"of rows")
     spark.stop()
 
 
