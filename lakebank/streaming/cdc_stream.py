@@ -50,15 +50,16 @@ class CdcTarget:
     def version_path(self, epoch: int) -> str:
         return f"{self.base}/v{epoch:010d}"
 
-    def committed(self, spark: SparkSession) -> list[int]:
+    def last_committed(self, spark: SparkSession) -> int | None:
+        """Newest committed epoch (streaming epochs only grow), or None."""
         try:
-            return [r[0] for r in spark.read.parquet(self.commits_path).select("epoch").distinct().collect()]
+            return spark.read.parquet(self.commits_path).agg(F.max("epoch")).first()[0]
         except Exception:  # noqa: BLE001 -- no commit yet
-            return []
+            return None
 
     def current(self, spark: SparkSession) -> DataFrame | None:
-        done = self.committed(spark)
-        return spark.read.parquet(self.version_path(max(done))) if done else None
+        last = self.last_committed(spark)
+        return None if last is None else spark.read.parquet(self.version_path(last))
 
     def _apply(self, changes: DataFrame) -> DataFrame:
         return apply_changes(changes, self.keys, self.sequence_by, self.op_col, self.delete_ops,
@@ -66,17 +67,16 @@ class CdcTarget:
 
     def foreach_batch(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        done = self.committed(spark)
-        if epoch_id in done:
-            return
+        last = self.last_committed(spark)
+        if last is not None and epoch_id <= last:
+            return                                   # a replayed epoch that already committed
         (batch.withColumn("_epoch", F.lit(epoch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(self.log_path))
         log = spark.read.parquet(self.log_path).filter(F.col("_epoch") <= epoch_id).drop("_epoch")
         op = F.col(self.op_col)
         is_trunc = op.isin(*self.truncate_ops)
-        prev_epochs = [e for e in done if e < epoch_id]
         touched = batch.filter(~is_trunc | op.isNull()).select(*self.keys).distinct()
-        prev = spark.read.parquet(self.version_path(max(prev_epochs))) if prev_epochs else None
+        prev = spark.read.parquet(self.version_path(last)) if last is not None else None
         # when a batch touches most keys, rebuilding is cheaper than patching
         broad = prev is None or touched.count() * 2 > prev.select(*self.keys).distinct().count()
         if broad:
