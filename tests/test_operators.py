@@ -145,3 +145,18 @@ def test_rate_limit_random_with_tiny_batches(spark):
             assert got == exp
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_cdc_stream_target_replayed_epoch_is_a_no_op(spark):
+    from lakebank.session import scratch_path
+    from lakebank.streaming.cdc_stream import CdcTarget
+    rows = [(1, "a", "I", _ts(0), 1), (2, "x", "I", _ts(1), 2), (1, "b", "U", _ts(2), 3)]
+    ch = spark.createDataFrame(rows, "k long, v string, op string, ts timestamp_ntz, id long")
+    t = CdcTarget(scratch_path(spark, "cdc-idem"), ["k"], ["ts", "id"], op_col="op", except_columns=["op"])
+    t.foreach_batch(ch.filter("id < 3"), 0)
+    t.foreach_batch(ch.filter("id = 3"), 1)
+    first = sorted(tuple(r) for r in t.current(spark).collect())
+    t.foreach_batch(ch.filter("id = 3"), 1)             # the engine replays epoch 1 after a failure
+    assert sorted(tuple(r) for r in t.current(spark).collect()) == first
+    assert t.last_committed(spark) == 1
+    assert [(r[0], r[1]) for r in first] == [(1, "a"), (1, "b"), (2, "x")]
