@@ -162,7 +162,10 @@ ORACLE["mask_pan"] = f"SELECT transaccion_id, {PAN_MASK} AS numero_tarjeta_maske
 
 ORACLE["silver_transactions"] = f"""
 SELECT transaccion_id, cuenta_id, tarjeta_id, CAST(monto AS DOUBLE) AS monto, moneda, fecha_transaccion,
-  tipo_tx_cod, tipo_transaccion_desc, numero_tarjeta_masked, _silver_timestamp FROM ({SILVER}) s"""
+  tipo_tx_cod, tipo_transaccion_desc, numero_tarjeta_masked, _silver_timestamp,
+  CAST(year(fecha_transaccion) AS INTEGER) AS year_partition, CAST(month(fecha_transaccion) AS INTEGER) AS month_partition,
+  TIMESTAMP '{PROCESSED_AT}' AS _ingest_timestamp, 'mainframe_sql_replica' AS _source_system
+FROM ({SILVER}) s"""
 
 ORACLE["dq_drop"] = f"SELECT transaccion_id, cuenta_id, CAST(monto AS DOUBLE) AS monto FROM ({SILVER}) s"
 

@@ -107,8 +107,9 @@ def q_mask_pan(spark, d):
 
 @register("silver_transactions")
 def q_silver_transactions(spark, d):
-    """Casts + labels + mask + stamp, then drop/warn rules."""
-    return M.silver_transactions(FX.raw_transactions(spark, d))
+    """Bronze transactions (partitions, ingest metadata) -> casts + labels +
+    mask + stamp, then drop/warn rules."""
+    return M.silver_transactions(M.bronze_transactions(spark, d))
 
 
 @register("dq_drop")
