@@ -49,3 +49,8 @@ def test_query_matches_oracle(spark, con, key):
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, s) == _rows(ocols, cur.fetchall())
+
+
+def test_every_key_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
+    assert len(E.queries()) >= 82
