@@ -38,6 +38,8 @@ class CdcTarget:
         self.keys, self.sequence_by = list(keys), list(sequence_by)
         self.op_col, self.delete_ops, self.truncate_ops = op_col, list(delete_ops), list(truncate_ops)
         self.except_columns = list(except_columns)
+        self._last: int | None = None          # cache of the newest committed epoch (driver side)
+        self._loaded = False
 
     @property
     def log_path(self) -> str:
@@ -51,11 +53,15 @@ class CdcTarget:
         return f"{self.base}/v{epoch:010d}"
 
     def last_committed(self, spark: SparkSession) -> int | None:
-        """Newest committed epoch (streaming epochs only grow), or None."""
-        try:
-            return spark.read.parquet(self.commits_path).agg(F.max("epoch")).first()[0]
-        except Exception:  # noqa: BLE001 -- no commit yet
-            return None
+        """Newest committed epoch (streaming epochs only grow), or None. Read
+        from the commit log once per driver process, then kept in memory."""
+        if not self._loaded:
+            try:
+                self._last = spark.read.parquet(self.commits_path).agg(F.max("epoch")).first()[0]
+            except Exception:  # noqa: BLE001 -- no commit yet
+                self._last = None
+            self._loaded = True
+        return self._last
 
     def current(self, spark: SparkSession) -> DataFrame | None:
         last = self.last_committed(spark)
@@ -94,6 +100,7 @@ class CdcTarget:
             new = untouched.unionByName(self._apply(relevant))
         new.write.mode("overwrite").parquet(self.version_path(epoch_id))
         spark.createDataFrame([(epoch_id,)], "epoch long").write.mode("append").parquet(self.commits_path)
+        self._last, self._loaded = epoch_id, True
 
 
 def start_cdc_stream(spark: SparkSession, source_dir: str, schema, target: CdcTarget, checkpoint: str,
