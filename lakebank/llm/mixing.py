@@ -63,12 +63,11 @@ def mix(docs: DataFrame, weights: list[int], share: float = 1.5, cap: float = 2.
 
     Null text: size 0, taken with its hash. Null source: a source of its own,
     last in order. Empty table: empty result. Equal rows are told apart by their
-    row number in the scan. Other columns pass through untouched (names in use here
-    start with ``_mix``). Reruns over the same files agree.
+    row number in the scan. Other columns pass through untouched. Reruns over the same files agree.
     """
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     own = ["_mix_size", "_mix_hash", "_mix_row"]
-    rows = (docs.withColumn("_mix_row", F.monotonically_increasing_id())
+    rows = (docs.select(F.struct("*").alias("_mix_doc"), "doc_id", "source", "text").withColumn("_mix_row", F.monotonically_increasing_id())
             .withColumn("_mix_size", word_count(F.col("text")))
             .withColumn("_mix_hash", F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")))
     meta = stored(rows.select("source", *own), "mix_meta")
@@ -115,7 +114,7 @@ def mix(docs: DataFrame, weights: list[int], share: float = 1.5, cap: float = 2.
     wide = path.withColumnsRenamed({"source": "_mix_s", "source_size": "_mix_source_size", "target": "_mix_target", "base": "_mix_base"})
     out = rows.join(wide, F.col("source").eqNullSafe(F.col("_mix_s")))
     return (out.withColumn("_mix_copies", (F.col("_mix_base") + F.when(more, 1).otherwise(0)).cast("int"))
-            .select(*[docs[c] for c in docs.columns], "_mix_size", "_mix_source_size", "_mix_target", "_mix_copies"))
+            .select(*[F.col("_mix_doc")[c].alias(c) for c in docs.columns], "_mix_size", "_mix_source_size", "_mix_target", "_mix_copies"))
 
 
 WEIGHTS = [3, 1, 2]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lakebank.llm import mixing, tokens
+from lakebank.llm import mixing, pii, quality, sharding, tokens
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,8 +13,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_quality": quality.op1_line_quality,
+    "op2_context_pii": pii.op2_context_pii,
     "op3_bpe": tokens.op3_bpe,
     "op7_mix_sources": mixing.op7_mix_sources,
+    "op9_kd_shards": sharding.op9_kd_shards,
     "pipeline": pipeline,
 }
 
