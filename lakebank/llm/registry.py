@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lakebank.llm import licenses, mixing, pii, quality, sharding, tokens, urls
+from lakebank.llm import licenses, mixing, pii, quality, search, sharding, tokens, urls
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,7 @@ QUERIES = {
     "op1_line_quality": quality.op1_line_quality,
     "op2_context_pii": pii.op2_context_pii,
     "op3_bpe": tokens.op3_bpe,
+    "op4_impact_topk": search.op4_impact_topk,
     "op5_url_aliases": urls.op5_url_aliases,
     "op6_license_signatures": licenses.op6_license_signatures,
     "op7_mix_sources": mixing.op7_mix_sources,
@@ -24,6 +25,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_impact_topk": search.ORACLE,
     "op5_url_aliases": urls.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
 }

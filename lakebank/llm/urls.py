@@ -118,8 +118,8 @@ fit AS (
 -- pages without rule follow the addresses that their markup names, however many steps away
 link AS (
   SELECT split_part(url, '#', 1) AS a, split_part(regexp_extract(html, '(?is)<link\b[^>]*\brel="canonical"[^>]*\bhref="([^"]*)"', 1), '#', 1) AS b FROM pages WHERE html ILIKE '%rel="canonical"%'),
-both AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
-reach(a, b) AS (SELECT a, b FROM both UNION SELECT reach.a, both.b FROM reach JOIN both ON reach.b = both.a),
+sym AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM sym UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a),
 vote AS (
   SELECT reach.a, bool_or(fit.verdict = 'allow') AS allowed, bool_or(fit.verdict = 'block') AS blocked
   FROM reach JOIN fit ON split_part(fit.url, '#', 1) = reach.b GROUP BY reach.a)
