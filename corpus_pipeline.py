@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakebank.llm import mixing, tokens
+from lakebank.llm import mixing, neardup, pii, quality, tokens
 from lakebank.llm.common import stored, table
 
 STAGES = [
+    ("quality rules", quality.stage_quality),
+    ("MinHash near-dedup", neardup.stage_dedup),
+    ("PII", pii.stage_pii),
     ("mixing sources to target weights", mixing.stage_mix),
     ("byte-level BPE encoding and decoding", tokens.stage_tokens),
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lakebank.llm import licenses, mixing, pii, quality, search, sharding, tokens, urls
+from lakebank.llm import licenses, mixing, neardup, pii, quality, search, sharding, tokens, urls
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,7 @@ QUERIES = {
     "op5_url_aliases": urls.op5_url_aliases,
     "op6_license_signatures": licenses.op6_license_signatures,
     "op7_mix_sources": mixing.op7_mix_sources,
+    "op8_superminhash": neardup.op8_superminhash,
     "op9_kd_shards": sharding.op9_kd_shards,
     "pipeline": pipeline,
 }
@@ -28,4 +29,5 @@ ORACLE = {
     "op4_impact_topk": search.ORACLE,
     "op5_url_aliases": urls.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
+    "op8_superminhash": neardup.ORACLE,
 }
