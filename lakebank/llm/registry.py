@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lakebank.llm import licenses, mixing, neardup, pii, quality, search, sharding, tokens, urls
+from lakebank.llm import licenses, mixing, neardup, pagetext, pii, quality, search, sharding, tokens, urls
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,7 @@ QUERIES = {
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_superminhash": neardup.op8_superminhash,
     "op9_kd_shards": sharding.op9_kd_shards,
+    "op10_block_lstm": pagetext.op10_block_lstm,
     "pipeline": pipeline,
 }
 
