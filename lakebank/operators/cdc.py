@@ -12,19 +12,20 @@ Semantics (the reference only declares them):
 * ``except_columns`` are left out of the target.
 
 Plan: one ordered per-key scan (``lead``), split by time bucket so a hot key
-does not land in one task (``ordered.next_value``). Truncates are joined in
-through a per-day lookup whose size is bounded by the number of calendar days
-between the first and last truncate -- not by the data -- so it is broadcast.
+does not land in one task (``ordered.next_value``). Truncates become half-open
+intervals, one row per day that an interval touches; a version finds its interval
+by an equality join on the day. Both sides may grow: nothing is listed or forced
+to be broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakebank.operators.ordered import next_value, time_bucket
+from lakebank.operators.ordered import next_value, prev_value, time_bucket
 
 START, END = "__START_AT", "__END_AT"
 
@@ -34,27 +35,41 @@ def _payload(df: DataFrame, keys, sequence_by, except_columns) -> list[str]:
     return [c for c in df.columns if c not in drop]
 
 
-def next_truncate(versions: DataFrame, truncates: DataFrame, seq_ts: str, seq_cols: Sequence[str]) -> DataFrame:
-    """Add ``__next_trunc``: timestamp of the first truncate after each row's sequence."""
-    seq = F.struct(*[F.col(c) for c in seq_cols])
-    t = truncates.select(F.struct(*[F.col(c) for c in seq_cols]).alias("s"),
-                         F.to_date(seq_ts).alias("day"))
-    per_day = t.groupBy("day").agg(F.sort_array(F.collect_list("s")).alias("day_truncs"),
-                                   F.min("s").alias("day_first"))
-    span = t.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    cal = span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
-    # one row per calendar day between the first and last truncate: bounded size
-    w_after = Window.orderBy("day").rowsBetween(1, Window.unboundedFollowing)
-    lookup = (cal.join(per_day, "day", "left")
-              .withColumn("first_after", F.min("day_first").over(w_after)))
-    first_all = t.agg(F.min("s")).scalar()
-    lo_day = t.agg(F.min("day")).scalar()
-    v = versions.withColumn("__day", F.to_date(seq_ts))
-    j = v.join(F.broadcast(lookup.withColumnRenamed("day", "__day")), "__day", "left")
-    same_day = F.get(F.filter(F.col("day_truncs"), lambda x: x > seq), 0)
-    nxt = F.coalesce(same_day, F.col("first_after"), F.when(F.col("__day") < lo_day, first_all))
-    return j.withColumn("__next_trunc", nxt.getField(seq_cols[0])).drop(
-        "__day", "day_truncs", "day_first", "first_after")
+def next_truncate(versions: DataFrame, truncates: DataFrame, seq_cols: Sequence[str]) -> DataFrame:
+    """Add ``__next_trunc``: timestamp of the first truncate after each row's sequence.
+
+    The truncates in order give intervals (previous, this one]; a row in
+    [previous, this one) is closed by this one. Rows on days before the first
+    truncate are closed by the first; rows after the last have none.
+    """
+    ts = seq_cols[0]
+    seq = F.struct(*seq_cols)
+    t = truncates.select(*seq_cols).distinct()
+    t = prev_value(t, [], list(seq_cols), seq, "__lo", bucket=F.to_date(ts))
+    intervals = t.select("__lo", seq.alias("__hi"), F.explode(F.sequence(
+        F.to_date(F.coalesce(F.col(f"__lo.{ts}"), F.col(ts))), F.to_date(ts))).alias("__day"))
+    first = truncates.agg(F.min(seq)).scalar()
+    v = versions.withColumns({"__seq": seq, "__on": F.to_date(ts)})
+    j = v.join(intervals, (F.col("__on") == F.col("__day")) & (F.col("__seq") < F.col("__hi"))
+               & (F.col("__lo").isNull() | (F.col("__lo") <= F.col("__seq"))), "left")
+    nxt = F.coalesce(F.col(f"__hi.{ts}"), F.when(F.col("__on") < F.to_date(first.getField(ts)), first.getField(ts)))
+    return j.withColumn("__next_trunc", nxt).drop("__seq", "__on", "__day", "__lo", "__hi")
+
+
+def versions(keyed: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], op_col: str,
+             delete_ops: Sequence[str], bucket_seconds: int = 86400) -> DataFrame:
+    """Upserts with ``__lead``, the time of the key's next change (truncates not yet applied)."""
+    with_next = next_value(keyed, keys, sequence_by, sequence_by[0], "__lead",
+                           bucket=time_bucket(sequence_by[0], bucket_seconds))
+    op = F.col(op_col)
+    return with_next.filter(~op.isin(*delete_ops) | op.isNull())
+
+
+def close_versions(open_versions: DataFrame, truncates: DataFrame, keys: Sequence[str], sequence_by: Sequence[str],
+                   payload: Sequence[str]) -> DataFrame:
+    """Validity of each version: up to the key's next change or the next truncate."""
+    cut = next_truncate(open_versions, truncates, sequence_by)
+    return cut.select(*keys, *payload, F.col(sequence_by[0]).alias(START), F.least("__lead", "__next_trunc").alias(END))
 
 
 def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[str],
@@ -64,17 +79,11 @@ def apply_changes(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence
     """Apply a change feed (C1-C5). ``scd_type`` 2 -> history, 1 -> latest state."""
     if scd_type == 1:
         return scd1(changes, keys, sequence_by, op_col, delete_ops, truncate_ops, except_columns)
-    seq_ts = sequence_by[0]
     op = F.col(op_col)
     keyed = changes.filter(~op.isin(*truncate_ops) | op.isNull())
     truncs = changes.filter(op.isin(*truncate_ops))
-    with_next = next_value(keyed, keys, sequence_by, seq_ts, "__lead",
-                           bucket=time_bucket(seq_ts, bucket_seconds))
-    ups = with_next.filter(~op.isin(*delete_ops) | op.isNull())
-    ups = next_truncate(ups, truncs, seq_ts, sequence_by)
-    payload = _payload(changes, keys, sequence_by, except_columns)
-    return ups.select(*keys, *payload, F.col(seq_ts).alias(START),
-                      F.least("__lead", "__next_trunc").alias(END))
+    return close_versions(versions(keyed, keys, sequence_by, op_col, delete_ops, bucket_seconds), truncs, keys,
+                          sequence_by, _payload(changes, keys, sequence_by, except_columns))
 
 
 def scd1(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[str],

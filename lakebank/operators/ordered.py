@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lakebank.functions.expr import epoch_seconds
 
-BUCKET = "__bucket"
+BUCKET, KEY = "__bucket", "__key"
 
 
 def time_bucket(ts: str, seconds: int) -> Column:
@@ -35,42 +35,48 @@ def block_bucket(c: str, size: int) -> Column:
     return F.floor(F.col(c) / F.lit(size))
 
 
-def _with_bucket(df: DataFrame, bucket: Column | None) -> DataFrame:
-    """Add the bucket column, or reuse it when ``bucket`` is None (keeps the
-    (key, bucket) partitioning of a previous phase, saving a shuffle)."""
-    return df if bucket is None else df.withColumn(BUCKET, bucket)
+def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column | None) -> DataFrame:
+    """Add the key (as one struct, so that null keys meet in joins as they do in
+    windows) and the bucket, or reuse both when ``bucket`` is None (keeps the
+    partitioning of a previous phase, saving a shuffle)."""
+    if bucket is None:
+        return df
+    return df.withColumns({KEY: F.struct(*keys) if keys else F.lit(0), BUCKET: bucket})
+
+
+def _value(v: str | Column) -> Column:
+    return v if isinstance(v, Column) else F.col(v)
 
 
 def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, out: str,
                bucket: Column | None, keep_bucket: bool = False) -> DataFrame:
     """``lead(value)`` over ``keys`` in ``order``."""
-    ks = list(keys)
-    b = _with_bucket(df, bucket).withColumn("__val", value if isinstance(value, Column) else F.col(value))
-    b = b.withColumn("__local", F.lead("__val").over(Window.partitionBy(*ks, BUCKET).orderBy(*order)))
-    summ = (b.groupBy(*ks, BUCKET)
+    w = Window.partitionBy(KEY, BUCKET).orderBy(*order)
+    b = _bucketed(df, keys, bucket).withColumn("__val", _value(value))
+    # the bucket's last row is the one without a next row in the same window
+    b = b.withColumns({"__local": F.lead("__val").over(w), "__last": F.lead(F.lit(1)).over(w).isNull()})
+    summ = (b.groupBy(KEY, BUCKET)
             .agg(F.min_by(F.col("__val"), F.struct(*order)).alias("__first"))
-            .withColumn("__carry", F.lead("__first").over(Window.partitionBy(*ks).orderBy(BUCKET)))
-            .select(*ks, BUCKET, "__carry"))
-    last = F.row_number().over(Window.partitionBy(*ks, BUCKET).orderBy(*[F.desc(c) for c in order])) == 1
-    return (b.join(summ, [*ks, BUCKET], "left")
-            .withColumn(out, F.when(last, F.col("__carry")).otherwise(F.col("__local")))
-            .drop("__val", "__local", "__carry", *([] if keep_bucket else [BUCKET])))
+            .withColumn("__carry", F.lead("__first").over(Window.partitionBy(KEY).orderBy(BUCKET)))
+            .select(KEY, BUCKET, "__carry"))
+    return (b.join(summ, [KEY, BUCKET], "left")
+            .withColumn(out, F.when(F.col("__last"), F.col("__carry")).otherwise(F.col("__local")))
+            .drop("__val", "__local", "__last", "__carry", *([] if keep_bucket else [KEY, BUCKET])))
 
 
 def prev_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column, out: str,
                bucket: Column | None, keep_bucket: bool = False) -> DataFrame:
     """``lag(value)`` over ``keys`` in ``order``."""
-    ks = list(keys)
-    b = _with_bucket(df, bucket).withColumn("__val", value if isinstance(value, Column) else F.col(value))
-    w = Window.partitionBy(*ks, BUCKET).orderBy(*order)
-    b = b.withColumn("__local", F.lag("__val").over(w)).withColumn("__first", F.row_number().over(w) == 1)
-    summ = (b.groupBy(*ks, BUCKET)
+    w = Window.partitionBy(KEY, BUCKET).orderBy(*order)
+    b = _bucketed(df, keys, bucket).withColumn("__val", _value(value))
+    b = b.withColumns({"__local": F.lag("__val").over(w), "__first": F.lag(F.lit(1)).over(w).isNull()})
+    summ = (b.groupBy(KEY, BUCKET)
             .agg(F.max_by(F.col("__val"), F.struct(*order)).alias("__last"))
-            .withColumn("__carry", F.lag("__last").over(Window.partitionBy(*ks).orderBy(BUCKET)))
-            .select(*ks, BUCKET, "__carry"))
-    return (b.join(summ, [*ks, BUCKET], "left")
+            .withColumn("__carry", F.lag("__last").over(Window.partitionBy(KEY).orderBy(BUCKET)))
+            .select(KEY, BUCKET, "__carry"))
+    return (b.join(summ, [KEY, BUCKET], "left")
             .withColumn(out, F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__local")))
-            .drop("__val", "__local", "__carry", "__first", *([] if keep_bucket else [BUCKET])))
+            .drop("__val", "__local", "__carry", "__first", *([] if keep_bucket else [KEY, BUCKET])))
 
 
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -89,20 +95,18 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     ``include_current=False`` gives the aggregate over strictly earlier rows.
     """
-    ks = list(keys)
-    b = _with_bucket(df, bucket)
+    b = _bucketed(df, keys, bucket)
     vals = {f"__v{i}": e for i, (e, _) in enumerate(aggs.values())}
     b = b.withColumns(vals)
     hi = 0 if include_current else -1
-    w_local = Window.partitionBy(*ks, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
-    w_prev = Window.partitionBy(*ks).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    w_local = Window.partitionBy(KEY, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
+    w_prev = Window.partitionBy(KEY).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     hows = [h for _, h in aggs.values()]
     b = b.withColumns({f"__l{i}": _AGG[h](f"__v{i}").over(w_local) for i, h in enumerate(hows)})
-    summ = b.groupBy(*ks, BUCKET).agg(*[_AGG[h](f"__v{i}").alias(f"__b{i}") for i, h in enumerate(hows)])
-    summ = summ.select(*ks, BUCKET, *[_AGG[h](f"__b{i}").over(w_prev).alias(f"__c{i}")
-                                      for i, h in enumerate(hows)])
-    j = b.join(summ, [*ks, BUCKET], "left")
+    summ = b.groupBy(KEY, BUCKET).agg(*[_AGG[h](f"__v{i}").alias(f"__b{i}") for i, h in enumerate(hows)])
+    summ = summ.select(KEY, BUCKET, *[_AGG[h](f"__b{i}").over(w_prev).alias(f"__c{i}") for i, h in enumerate(hows)])
+    j = b.join(summ, [KEY, BUCKET], "left")
     j = j.withColumns({out: _combine(h, F.col(f"__l{i}"), F.col(f"__c{i}"))
                        for i, (out, h) in enumerate(zip(aggs.keys(), hows))})
     drop = [c for i in range(len(hows)) for c in (f"__v{i}", f"__l{i}", f"__c{i}")]
-    return j.drop(*drop, *([] if keep_bucket else [BUCKET]))
+    return j.drop(*drop, *([] if keep_bucket else [KEY, BUCKET]))

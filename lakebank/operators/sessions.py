@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakebank.operators.ordered import block_bucket, prev_value, running, time_bucket
+from lakebank.operators.ordered import BUCKET, KEY, _bucketed, block_bucket, running, time_bucket
 
 # Fixed values from the reference.
 HISTORY_CAP = 20
@@ -22,7 +22,6 @@ SYSTEM, USER, ASSISTANT = "system", "user", "assistant"
 LOADED_ROLES = (SYSTEM, USER, ASSISTANT)
 SESSION_TTL_SECONDS = 1800
 BANKING_DATA_TTL_SECONDS = 300
-PROFILE_TTL_SECONDS = 3600
 NO_CONTEXT = "Sin contexto adicional disponible."
 SYSTEM_PROMPT = """Eres un asistente bancario virtual inteligente del banco.
 Ayudas a los clientes con consultas sobre sus productos digitales:
@@ -113,25 +112,36 @@ def prompt_assembly(messages: DataFrame, contexts: DataFrame | None = None, key:
                         F.when(system_added, sys_text).alias("system_text"))
 
 
-def session_ttl(events: DataFrame, key: str, ts: str, ttl_seconds: int = SESSION_TTL_SECONDS,
+def session_ttl(events: DataFrame, key: str, ts: str, id_col: str, ttl_seconds: int = SESSION_TTL_SECONDS,
                 logout: F.Column | None = None, bucket_seconds: int = 3600) -> DataFrame:
     """Sessions that expire ``ttl_seconds`` after the last activity (each
-    event renews it); a logout event ends its session at once.
+    event renews it); a logout event ends its session at once. Events of one
+    instant go by ``id_col``.
 
-    Batch form of a session window: gap flag from the previous event (``lag``)
-    + running sum of flags, both split by time bucket for hot keys.
+    One bucketed scan: within a (key, time bucket) the previous event and the
+    number of session starts come from one window; one row per bucket with its
+    first and last event carries both over to the next buckets.
     """
+    ttl = F.lit(ttl_seconds * 1_000_000)
+    order = F.struct(ts, id_col)
     lo = F.lit(False) if logout is None else F.coalesce(logout, F.lit(False))
-    e = events.withColumn("__logout", lo)
-    p = prev_value(e, [key], [ts], F.struct(F.col(ts).alias("t"), F.col("__logout").alias("l")), "__prev",
-                   bucket=time_bucket(ts, bucket_seconds), keep_bucket=True)
-    gap = F.timestamp_diff("MICROSECOND", F.col("__prev.t"), F.col(ts))
-    start = (F.col("__prev").isNull() | (gap >= F.lit(ttl_seconds * 1_000_000)) | F.col("__prev.l"))
-    s = running(p.withColumn("__start", start.cast("long")), [key], [ts], {"session_no": (F.col("__start"), "sum")},
-                bucket=None)              # same (key, bucket) partitioning as the lag phase
-    g = s.groupBy(key, "session_no").agg(
-        F.min(ts).alias("started_at"), F.max(ts).alias("last_activity"), F.count(F.lit(1)).alias("n_events"),
-        F.max_by("__logout", F.col(ts)).alias("__ended"))
+    e = _bucketed(events.withColumn("__logout", lo), [key], time_bucket(ts, bucket_seconds))
+    w = Window.partitionBy(KEY, BUCKET).orderBy(ts, id_col)
+    e = e.withColumns({"__prev": F.lag(ts).over(w), "__prev_out": F.lag("__logout").over(w)})
+    begins = lambda prev, out, now: out | (F.timestamp_diff("MICROSECOND", prev, now) >= ttl)
+    # the bucket's first event begins a session as far as the bucket knows; the carry below corrects that
+    e = e.withColumn("__start", F.when(F.col("__prev").isNull(), 0).otherwise(
+        begins(F.col("__prev"), F.col("__prev_out"), F.col(ts)).cast("int")))
+    e = e.withColumn("__no", F.sum("__start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    over = Window.partitionBy(KEY).orderBy(BUCKET)
+    s = e.groupBy(KEY, BUCKET).agg(F.min(ts).alias("first"), F.max(F.struct(order.alias("o"), "__logout")).alias("last"),
+                                   F.sum("__start").alias("starts"))
+    before = F.lag("last").over(over)
+    s = s.select(KEY, BUCKET, "starts", F.coalesce(begins(before["o"][ts], before["__logout"], F.col("first")), F.lit(True)).cast("int").alias("fresh"))
+    s = s.select(KEY, BUCKET, (F.sum(F.col("starts") + F.col("fresh")).over(over) - F.col("starts")).alias("__base"))
+    g = (e.join(s, [KEY, BUCKET]).groupBy(key, (F.col("__base") + F.col("__no")).cast("long").alias("session_no"))
+         .agg(F.min(ts).alias("started_at"), F.max(ts).alias("last_activity"), F.count(F.lit(1)).alias("n_events"),
+              F.max_by("__logout", order).alias("__ended")))
     return g.select(key, "session_no", "started_at", "last_activity", "n_events",
                     F.when(F.col("__ended"), F.lit("logout")).otherwise(F.lit("ttl")).alias("ended_by"),
                     F.when(F.col("__ended"), F.col("last_activity"))
@@ -155,14 +165,13 @@ def ttl_lookup(cache_events: DataFrame, data_types: Sequence[str], ttl_seconds:
     inv = (cache_events.filter(k == "invalidate")
            .withColumn(type_col, F.explode(types)))
     ev = cache_events.filter(k != "invalidate").unionByName(inv)
-    put_t = F.when(k == "put", F.col(ts))
-    inv_t = F.when(k == "invalidate", F.col(ts))
-    r = running(ev, [key, type_col], [ts, id_col], {"__last_put": (put_t, "max"), "__last_inv": (inv_t, "max")},
+    at = F.struct(F.col(ts).alias("t"), F.col(id_col).alias("i"))     # events of one instant go by id
+    r = running(ev, [key, type_col], [ts, id_col], {"__put": (F.when(k == "put", at), "max"),
+                                                    "__inv": (F.when(k == "invalidate", at), "max")},
                 bucket=time_bucket(ts, bucket_seconds))
-    age = F.timestamp_diff("MICROSECOND", F.col("__last_put"), F.col(ts))
-    hit = (F.col("__last_put").isNotNull()
-           & (F.col("__last_inv").isNull() | (F.col("__last_inv") < F.col("__last_put")))
+    age = F.timestamp_diff("MICROSECOND", F.col("__put.t"), F.col(ts))
+    hit = (F.col("__put").isNotNull() & (F.col("__inv").isNull() | (F.col("__inv") < F.col("__put")))
            & (age < F.lit(ttl_seconds * 1_000_000)))
     return (r.filter(k == "request")
-            .select(id_col, key, type_col, ts, F.col("__last_put").alias("last_put"),
-                    F.col("__last_inv").alias("last_invalidation"), hit.alias("hit")))
+            .select(id_col, key, type_col, ts, F.col("__put.t").alias("last_put"),
+                    F.col("__inv.t").alias("last_invalidation"), hit.alias("hit")))

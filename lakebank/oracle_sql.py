@@ -80,7 +80,7 @@ DEDUP_CARDS = f"""SELECT tarjeta_id, cliente_id, tipo_tarjeta, estado_cod, _inge
 SILVER_CARDS = f"SELECT *, {CARD_STATE} AS estado_tarjeta FROM ({DEDUP_CARDS}) d"
 
 CHANGES = """SELECT user_id AS cuenta_id, CAST(value AS DECIMAL(18,2)) AS saldo, event_type AS estado,
-  CASE WHEN event_id % 4999 = 4998 THEN 'TRUNCATE' WHEN event_type = 'error' THEN 'D'
+  CASE WHEN event_id % 4999 = 2400 THEN 'TRUNCATE' WHEN event_type = 'error' THEN 'D'
        WHEN event_type = 'signup' THEN 'I' ELSE 'U' END AS operacion,
   ts AS _ingest_timestamp, event_id AS _change_id
 FROM events"""
@@ -373,7 +373,7 @@ LOANS = f"""SELECT o_custkey AS customer_id, 'LN' || lpad(CAST(o_orderkey AS VAR
   CAST(o_orderkey % 36 AS INTEGER) AS remaining_installments,
   CAST(o_orderdate AS DATE) + INTERVAL 30 DAY AS next_due_date,
   CASE o_orderkey % 2 WHEN 0 THEN 'PEN' WHEN 1 THEN 'USD' END AS currency
-FROM orders WHERE o_orderpriority = '5-LOW'"""
+FROM orders"""
 
 ORACLE["view_loans"] = f"""SELECT customer_id, left(coalesce(loan_id, 'N/A'), 8) AS loan_ref,
   coalesce(loan_type, 'Personal') AS loan_type, {_money('outstanding_balance')} AS outstanding_balance,
@@ -465,15 +465,15 @@ WHERE role = 'user'"""
 
 
 def session_ttl_sql(ttl: int) -> str:
-    return f"""WITH e AS (SELECT user_id, ts, coalesce(event_type = 'error', false) AS lo FROM events),
-p AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS pt,
-             lag(lo) OVER (PARTITION BY user_id ORDER BY ts) AS pl FROM e),
+    return f"""WITH e AS (SELECT user_id, ts, event_id, coalesce(event_type = 'error', false) AS lo FROM events),
+p AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pt,
+             lag(lo) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pl FROM e),
 s AS (SELECT *, CAST(sum(CASE WHEN pt IS NULL OR date_diff('microsecond', pt, ts) >= {ttl * 1_000_000} OR pl
                               THEN 1 ELSE 0 END)
-                 OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_no FROM p)
+                 OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_no FROM p)
 SELECT user_id, session_no, min(ts) AS started_at, max(ts) AS last_activity, count(*) AS n_events,
-  CASE WHEN arg_max(lo, ts) THEN 'logout' ELSE 'ttl' END AS ended_by,
-  CASE WHEN arg_max(lo, ts) THEN max(ts) ELSE max(ts) + INTERVAL {ttl} SECOND END AS expires_at
+  CASE WHEN arg_max(lo, (ts, event_id)) THEN 'logout' ELSE 'ttl' END AS ended_by,
+  CASE WHEN arg_max(lo, (ts, event_id)) THEN max(ts) ELSE max(ts) + INTERVAL {ttl} SECOND END AS expires_at
 FROM s GROUP BY 1, 2"""
 
 
@@ -483,8 +483,8 @@ ORACLE["session_ttl_12h"] = session_ttl_sql(43200)
 CACHE_EVENTS = """SELECT event_id, 'C' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS customer_id,
   CASE WHEN event_type = 'error' THEN NULL
        ELSE CASE event_id % 3 WHEN 0 THEN 'balance' WHEN 1 THEN 'cards' WHEN 2 THEN 'loans' END END AS data_type,
-  ts, CASE event_type WHEN 'purchase' THEN 'put' WHEN 'error' THEN 'invalidate' WHEN 'view' THEN 'request' END AS kind
-FROM events WHERE event_type IN ('purchase', 'error', 'view')"""
+  ts, CASE event_type WHEN 'purchase' THEN 'put' WHEN 'error' THEN 'invalidate' ELSE 'request' END AS kind
+FROM events"""
 
 
 def ttl_lookup_sql(ttl: int) -> str:
@@ -492,12 +492,12 @@ def ttl_lookup_sql(ttl: int) -> str:
 ev AS (SELECT event_id, customer_id, data_type, ts, kind FROM ce WHERE kind <> 'invalidate'
        UNION ALL SELECT event_id, customer_id, t.data_type, ts, kind FROM ce,
          (SELECT unnest(['balance', 'cards', 'loans']) AS data_type) t WHERE kind = 'invalidate'),
-r AS (SELECT *, max(CASE WHEN kind = 'put' THEN ts END) OVER w AS last_put,
-             max(CASE WHEN kind = 'invalidate' THEN ts END) OVER w AS last_inv
+r AS (SELECT *, max(CASE WHEN kind = 'put' THEN (ts, event_id) END) OVER w AS put,
+             max(CASE WHEN kind = 'invalidate' THEN (ts, event_id) END) OVER w AS inv
       FROM ev WINDOW w AS (PARTITION BY customer_id, data_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
-SELECT event_id, customer_id, data_type, ts, last_put, last_inv AS last_invalidation,
-  coalesce(last_put IS NOT NULL AND (last_inv IS NULL OR last_inv < last_put)
-           AND date_diff('microsecond', last_put, ts) < {ttl * 1_000_000}, false) AS hit
+SELECT event_id, customer_id, data_type, ts, put[1] AS last_put, inv[1] AS last_invalidation,
+  coalesce(put IS NOT NULL AND (inv IS NULL OR inv < put)
+           AND date_diff('microsecond', put[1], ts) < {ttl * 1_000_000}, false) AS hit
 FROM r WHERE kind = 'request'"""
 
 
@@ -729,7 +729,7 @@ SELECT * FROM g WHERE expires_at <= (SELECT max(ts) FROM events)"""
 
 ORACLE["sink_partitioned"] = f"""SELECT transaccion_id, fecha_transaccion, CAST(year(fecha_transaccion) AS INTEGER) AS year_partition,
   CAST(month(fecha_transaccion) AS INTEGER) AS month_partition, tipo_tx_cod
-FROM ({RAW_TXN}) r WHERE year(fecha_transaccion) >= 1998"""
+FROM ({RAW_TXN}) r"""
 
 ORACLE["scan_table"] = ORACLE["project_columns"]
 
@@ -748,7 +748,8 @@ FROM (SELECT s.*, (SELECT min(tts) FROM tr WHERE tts > s._ingest_timestamp
 WHERE operacion <> 'D' OR operacion IS NULL"""
 
 
-ORACLE["cdc_delete"] = scd2_sql("operacion <> 'TRUNCATE'")
+ORACLE["cdc_delete"] = f"""SELECT h.* FROM ({scd2_sql()}) h
+WHERE EXISTS (SELECT 1 FROM ({CHANGES}) c WHERE c.operacion = 'D' AND c.cuenta_id = h.cuenta_id AND c._ingest_timestamp = h.__END_AT)"""
 ORACLE["cdc_truncate"] = f"""SELECT * FROM ({scd2_sql()}) h
 WHERE __END_AT IN (SELECT _ingest_timestamp FROM ({CHANGES}) c WHERE operacion = 'TRUNCATE')"""
 ORACLE["silver_accounts"] = ORACLE["cdc_scd2"]

@@ -383,7 +383,7 @@ def q_prompt_assembly(spark, d):
 def _session_ttl(spark, d, ttl):
     from lakebank.operators import sessions
     e = FX.read_table(spark, d, "events")
-    return sessions.session_ttl(e.select("user_id", "ts", "event_type"), "user_id", "ts", ttl,
+    return sessions.session_ttl(e.select("user_id", "ts", "event_id", "event_type"), "user_id", "ts", "event_id", ttl,
                                 logout=F.col("event_type") == "error")
 
 
@@ -685,13 +685,13 @@ def q_session_stream_logout(spark, d):
 @register("sink_partitioned")
 def q_sink_partitioned(spark, d):
     """Bronze transactions written partitioned by year and month
-    (rebalanced files, dynamic overwrite), read back with a partition filter."""
+    (rebalanced files, dynamic overwrite), all of it read back."""
     from lakebank.session import scratch_path
     from lakebank.sources.sinks import write_partitioned
     path = write_partitioned(M.bronze_transactions(spark, d), scratch_path(spark, "bronze-txn"),
                              ["year_partition", "month_partition"])
     back = spark.read.parquet(path)
-    return back.filter(F.col("year_partition") >= 1998).select(
+    return back.select(
         "transaccion_id", "fecha_transaccion", "year_partition", "month_partition", "tipo_tx_cod")
 
 
@@ -714,9 +714,10 @@ def _scd2_args(**kw):
 
 @register("cdc_delete")
 def q_cdc_delete(spark, d):
-    """Delete rows close a key's open version (feed without truncates)."""
-    ch = FX.account_changes(spark, d).filter(F.col("operacion") != "TRUNCATE")
-    return cdc.apply_changes(ch, **_scd2_args())
+    """Versions closed by a delete row of their key (whole feed, truncates included)."""
+    ch = FX.account_changes(spark, d)
+    gone = ch.filter(F.col("operacion") == "D").select("cuenta_id", F.col("_ingest_timestamp").alias("__END_AT")).distinct()
+    return cdc.apply_changes(ch, **_scd2_args()).join(gone, ["cuenta_id", "__END_AT"], "left_semi")
 
 
 @register("cdc_truncate")

@@ -116,7 +116,7 @@ def account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("cuenta_id"),
         F.col("value").cast("decimal(18,2)").alias("saldo"),
         et.alias("estado"),
-        F.when(eid % 4999 == 4998, "TRUNCATE").when(et == "error", "D")
+        F.when(eid % 4999 == 2400, "TRUNCATE").when(et == "error", "D")
          .when(et == "signup", "I").otherwise("U").alias("operacion"),
         F.col("ts").alias("_ingest_timestamp"),
         eid.alias("_change_id"),
@@ -191,14 +191,13 @@ def cache_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cache puts / invalidations / requests from ``events``."""
     e = read_table(spark, sf_dir, "events")
     et = F.col("event_type")
-    kind = F.when(et == "purchase", "put").when(et == "error", "invalidate").when(et == "view", "request")
+    kind = F.when(et == "purchase", "put").when(et == "error", "invalidate").otherwise("request")
     return (e.select(
         F.col("event_id").alias("event_id"),
         customer_code(F.col("user_id")).alias("customer_id"),
         F.when(et == "error", F.lit(None).cast("string"))
          .otherwise(_pick((F.col("event_id") % 3).cast("int"), ["balance", "cards", "loans"])).alias("data_type"),
-        F.col("ts"), kind.alias("kind"), F.col("props").alias("value"))
-        .filter(F.col("kind").isNotNull()))
+        F.col("ts"), kind.alias("kind"), F.col("props").alias("value")))
 
 
 def documents_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +229,7 @@ def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "5-LOW")
+    o = read_table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     return o.select(
         F.col("o_custkey").alias("customer_id"),

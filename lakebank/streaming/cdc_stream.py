@@ -1,23 +1,18 @@
 """Streaming change application into an SCD-2 target.
 
-``readStream`` of change files -> ``foreachBatch``. Per micro-batch:
-
-1. the batch's change rows are appended to a change log partitioned by
-   epoch (dynamic overwrite of that epoch's partition, so a retried epoch
-   replaces rather than duplicates its rows);
-2. only the keys touched by the batch are recomputed from the log (late
-   events for a closed key re-open and re-close its intervals, because the
-   sequence decides, not arrival). For the untouched keys a batch's
-   truncates -- in order or late -- only cut versions: end =
-   least(end, first new truncate after the start), a projection through the
-   bounded per-day truncate lookup; nothing else is recomputed. A batch that
-   touches more than half of the known keys rebuilds instead (cheaper);
-3. a new target version = untouched rows of the previous version + the
-   recomputed keys, written to ``v<epoch>``; the commit log records the epoch
-   last. A retried epoch whose version is committed is skipped (idempotent).
-
-No MERGE is needed, and every step is a Spark job on shared storage, so an
-executor or driver restart resumes from the streaming checkpoint.
+``readStream`` of change files -> ``foreachBatch``. The change log and the
+target are partitioned by a hash bucket of the key. Per micro-batch:
+
+1. the batch's changes are added to the log under (bucket, epoch); truncates go
+   to a small table of their own. Both are dynamic overwrites of the epoch's own
+   partitions, so a retried epoch replaces its rows and never doubles them;
+2. the versions of the touched buckets are computed anew from those buckets'
+   log -- late events re-open and re-close intervals, because the sequence
+   decides, not arrival -- and overwrite these buckets of the target alone;
+3. versions keep their whole sequence (tie-breaker included); truncates are
+   applied when the target is read, by the same interval join as in batch.
+
+There is one path for every batch, in order or late, whatever it touches.
 """
 
 from __future__ import annotations
@@ -26,81 +21,53 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakebank.operators.cdc import END, START, apply_changes, next_truncate
+from lakebank.operators.cdc import _payload, close_versions, versions
+
+BUCKET, EPOCH = "_bucket", "_epoch"
 
 
 class CdcTarget:
+    """An SCD-2 table at ``base`` fed by micro-batches. ``buckets`` is fixed for the table's life: choose it so
+    that one bucket's log is a small job (the work of a batch is the touched buckets' share of the log)."""
+
     def __init__(self, base: str, keys: Sequence[str], sequence_by: Sequence[str], op_col: str = "operacion",
                  delete_ops: Sequence[str] = ("D",), truncate_ops: Sequence[str] = ("TRUNCATE",),
-                 except_columns: Sequence[str] = ()):
+                 except_columns: Sequence[str] = (), buckets: int = 32):
         self.base = base.rstrip("/")
         self.keys, self.sequence_by = list(keys), list(sequence_by)
         self.op_col, self.delete_ops, self.truncate_ops = op_col, list(delete_ops), list(truncate_ops)
-        self.except_columns = list(except_columns)
-        self._last: int | None = None          # cache of the newest committed epoch (driver side)
-        self._loaded = False
-
-    @property
-    def log_path(self) -> str:
-        return f"{self.base}/log"
-
-    @property
-    def commits_path(self) -> str:
-        return f"{self.base}/_commits"
-
-    def version_path(self, epoch: int) -> str:
-        return f"{self.base}/v{epoch:010d}"
-
-    def last_committed(self, spark: SparkSession) -> int | None:
-        """Newest committed epoch (streaming epochs only grow), or None. Read
-        from the commit log once per driver process, then kept in memory."""
-        if not self._loaded:
-            try:
-                self._last = spark.read.parquet(self.commits_path).agg(F.max("epoch")).first()[0]
-            except Exception:  # noqa: BLE001 -- no commit yet
-                self._last = None
-            self._loaded = True
-        return self._last
-
-    def current(self, spark: SparkSession) -> DataFrame | None:
-        last = self.last_committed(spark)
-        return None if last is None else spark.read.parquet(self.version_path(last))
-
-    def _apply(self, changes: DataFrame) -> DataFrame:
-        return apply_changes(changes, self.keys, self.sequence_by, self.op_col, self.delete_ops,
-                             self.truncate_ops, self.except_columns, scd_type=2)
+        self.except_columns, self.buckets = list(except_columns), buckets
+        self.schema = None
+
+    def _overwrite(self, df: DataFrame, part: str, *by: str) -> None:
+        """Replace exactly the partitions that ``df`` holds."""
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+         .parquet(f"{self.base}/{part}"))
 
     def foreach_batch(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        last = self.last_committed(spark)
-        if last is not None and epoch_id <= last:
-            return                                   # a replayed epoch that already committed
-        (batch.withColumn("_epoch", F.lit(epoch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(self.log_path))
-        log = spark.read.parquet(self.log_path).filter(F.col("_epoch") <= epoch_id).drop("_epoch")
-        op = F.col(self.op_col)
-        is_trunc = op.isin(*self.truncate_ops)
-        touched = batch.filter(~is_trunc | op.isNull()).select(*self.keys).distinct()
-        prev = spark.read.parquet(self.version_path(last)) if last is not None else None
-        # when a batch touches most keys, rebuilding is cheaper than patching
-        broad = prev is None or touched.count() * 2 > prev.select(*self.keys).distinct().count()
-        if broad:
-            new = self._apply(log)
-        else:
-            # touched keys: their full change history plus every truncate, recomputed
-            relevant = log.join(touched, self.keys, "left_semi").unionByName(log.filter(is_trunc))
-            # untouched keys: history unchanged except that this batch's truncates
-            # (in order or late) cut each version at the first truncate after its
-            # start: end = least(end, next truncate) -- exact, and a projection
-            untouched = prev.join(touched, self.keys, "left_anti")
-            truncs = batch.filter(is_trunc).select(F.col(self.sequence_by[0]).alias(START))
-            cut = next_truncate(untouched, truncs, START, [START])
-            untouched = cut.withColumn(END, F.least(END, "__next_trunc")).drop("__next_trunc")
-            new = untouched.unionByName(self._apply(relevant))
-        new.write.mode("overwrite").parquet(self.version_path(epoch_id))
-        spark.createDataFrame([(epoch_id,)], "epoch long").write.mode("append").parquet(self.commits_path)
-        self._last, self._loaded = epoch_id, True
+        self.schema = batch.schema
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        is_trunc = F.coalesce(F.col(self.op_col).isin(*self.truncate_ops), F.lit(False))
+        stamped = batch.withColumn(EPOCH, F.lit(epoch_id))
+        self._overwrite(stamped.filter(is_trunc), "truncates", EPOCH)
+        keyed = stamped.filter(~is_trunc).withColumn(BUCKET, bucket)
+        self._overwrite(keyed, "log", BUCKET, EPOCH)
+        touched = [r[0] for r in keyed.select(BUCKET).distinct().collect()]       # at most ``buckets`` numbers
+        if not touched:
+            return
+        log = spark.read.schema(T.StructType([*batch.schema, T.StructField(BUCKET, T.IntegerType()), T.StructField(EPOCH, T.LongType())])).parquet(f"{self.base}/log")
+        log = log.filter(F.col(BUCKET).isin(touched) & (F.col(EPOCH) <= epoch_id)).drop(EPOCH)
+        self._overwrite(versions(log, self.keys, self.sequence_by, self.op_col, self.delete_ops), "versions", BUCKET)
+
+    def current(self, spark: SparkSession) -> DataFrame:
+        """The history as of the last batch, truncates applied."""
+        held = spark.read.parquet(f"{self.base}/versions").drop(BUCKET)
+        truncates = spark.read.schema(self.schema).parquet(f"{self.base}/truncates").drop(EPOCH)
+        payload = _payload(truncates, self.keys, self.sequence_by, self.except_columns)
+        return close_versions(held, truncates, self.keys, self.sequence_by, payload)
 
 
 def start_cdc_stream(spark: SparkSession, source_dir: str, schema, target: CdcTarget, checkpoint: str,
