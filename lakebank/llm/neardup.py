@@ -357,8 +357,17 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
 
 
-def shingle_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, shingles) of the wanted documents, the full sets as bytes."""
+#: Words of 64 bits in the filter before the join below: a bound of 2^18 rows whatever the input.
+FILTER_WORDS = 1 << 18
+
+
+def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, shingles) of the wanted rows (id, row), the full sets as bytes.
+
+    Before texts move, a bit filter of the wanted rows drops nearly all others;
+    it has FILTER_WORDS rows at most, so it may be broadcast at any size. The
+    exact join follows.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -368,8 +377,13 @@ def shingle_table(docs: DataFrame, ids: DataFrame) -> DataFrame:
             sets = shingle_sets(batch.column(1).to_pylist(), hashes)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "shingles"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(ids, "id", "left_semi")
-    return wanted.mapInArrow(run, "id long, shingles binary")
+    h = F.xxhash64("row")
+    word, bit = h.bitwiseAND(F.lit(FILTER_WORDS - 1)).alias("word"), F.shiftrightunsigned(h, 18).bitwiseAND(F.lit(63)).cast("int")
+    bits = wanted.groupBy(word).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"))
+    likely = (rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word")
+              .where(F.getbit("bits", F.col("bit")) == 1).select("row", "text"))
+    return likely.join(wanted, "row").select("id", "text").mapInArrow(run, "id long, shingles binary")
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -392,21 +406,22 @@ def groups(docs: DataFrame) -> DataFrame:
     """
     prints = stored(fingerprints(docs), "dup_prints")
     whole = prints.where("same is not null and doc_id is not null")
-    reps = stored(whole.groupBy("same").agg(F.min(F.struct("doc_id", "n", "sig", "bands")).alias("r"))
-                  .select("same", "r.doc_id", "r.n", "r.sig", "r.bands").withColumnRenamed("doc_id", "id"), "dup_classes")
+    reps = stored(whole.groupBy("same").agg(F.min(F.struct("doc_id", "row", "n", "sig", "bands")).alias("r"))
+                  .select("same", "r.doc_id", "r.row", "r.n", "r.sig", "r.bands").withColumnRenamed("doc_id", "id"), "dup_classes")
     rows = reps.select("id", "n", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.count("*").alias("held"), F.sum("n").alias("size")).where("held > 1").select(
         "key", F.greatest(F.ceil(F.col("held") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
     members = stored(rows.join(buckets, "key").join(reps.select("id", "sig"), "id"), "dup_members")
     tries = stored(likely_links(members), "dup_tries")
     ends = tries.select(F.col("u").alias("id")).union(tries.select("v"))
-    sets = stored(shingle_table(docs, ends.distinct()).dropDuplicates(["id"]), "dup_sets")
+    at = reps.select("id", "row").groupBy("id").agg(F.min("row").alias("row"))
+    sets = stored(shingle_table(docs, at.join(ends.distinct(), "id", "left_semi")), "dup_sets")
     links = stored(verified(tries, sets), "dup_links")
     comps = components(links, "dup_groups", contract)
     marked = members.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     open_ = stored(open_members(marked), "dup_open")
     if not open_.isEmpty():
-        more = shingle_table(docs, open_.select("id").distinct()).dropDuplicates(["id"])
+        more = shingle_table(docs, at.join(open_.select("id").distinct(), "id", "left_semi"))
         links = stored(links.union(closing_links(open_, more)), "dup_all_links")
         comps = components(links, "dup_final", contract)
     # one row per class, then back to the documents by the class
