@@ -6,12 +6,16 @@ are not recorded. Because only accepted requests count, the decision is
 sequential per customer -- a plain range-frame count over all attempts would
 over-deny. Plan:
 
-1. Split each customer's stream at quiet gaps of at least ``window``: the
-   limiter state is empty there, so the pieces (segments) are independent.
-   Gap detection and segment numbering are bucketed ordered scans, so a hot
-   customer is split as well.
-2. Hash-partition by (customer, segment), sort within partitions, and replay
-   each segment with a bounded state (at most ``limit`` timestamps) in
+1. Cut each customer's stream where the trailing two windows hold no more
+   attempts than the limit: every attempt in the last window was accepted
+   there, so a piece can begin at that row, with the last window's rows as
+   warm-up. One scan per (customer, time bucket) looks for the first such row
+   of each bucket; the last two windows of a bucket are seen by the next one
+   too. So steady traffic below the limit is cut about once a bucket, however
+   busy the customer. Only a stretch that stays saturated is one piece: there
+   each decision depends on the one before.
+2. Hash-partition by (customer, piece), sort within partitions, and replay
+   each piece with a bounded state (at most ``limit`` timestamps) in
    ``mapInPandas``. Rows stream through in order; no group is collected.
 """
 
@@ -20,11 +24,11 @@ from __future__ import annotations
 from collections import deque
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebank.operators.ordered import prev_value, running, time_bucket
+from lakebank.operators.ordered import BUCKET, KEY
 
 RATE_LIMIT_MAX = 30
 RATE_LIMIT_WINDOW_SECONDS = 60
@@ -38,13 +42,13 @@ def _micros(ts: str):
 
 
 def _replay(limit: int, window_us: int, keep: list[str]):
-    """mapInPandas body over rows sorted by (customer, segment, time, id).
+    """mapInPandas body over rows sorted by (customer, piece, time, id).
 
-    A run of one (customer, segment) with at most ``limit`` rows is accepted
-    whole without a Python loop (vectorised; the common case for sparse
-    customers). Longer runs are replayed row by row with a deque of the
-    accepted timestamps still in the window (at most ``limit``). A run cut by
-    an Arrow batch boundary continues with the carried state.
+    Warm-up rows are known to be accepted: they fill the state and give no
+    output. A piece with at most ``limit`` rows is accepted whole; longer ones
+    are replayed row by row with the accepted times still in the window (at
+    most ``limit``): the rule is sequential there. A piece cut by an Arrow
+    batch goes on with the carried state.
     """
     def run(batches):
         cur = None
@@ -53,50 +57,69 @@ def _replay(limit: int, window_us: int, keep: list[str]):
             n = len(pdf)
             if n == 0:
                 continue
-            keys = pdf["__k"].to_numpy()
-            segs = pdf["__seg"].to_numpy()
-            us = pdf["__us"].to_numpy()
+            keys, pieces = pdf["__k"].to_numpy(), pdf["__piece"].to_numpy()
+            us, warm = pdf["__us"].to_numpy(), pdf["__warm"].to_numpy()
             out = np.ones(n, dtype=bool)
-            brk = np.flatnonzero((keys[1:] != keys[:-1]) | (segs[1:] != segs[:-1])) + 1
-            starts = np.concatenate(([0], brk))
-            ends = np.concatenate((brk, [n]))
-            for a, b in zip(starts.tolist(), ends.tolist()):
-                ks = (keys[a], segs[a])
-                if ks != cur:
-                    cur = ks
+            brk = np.flatnonzero((keys[1:] != keys[:-1]) | (pieces[1:] != pieces[:-1])) + 1
+            for a, b in zip(np.r_[0, brk].tolist(), np.r_[brk, n].tolist()):
+                fresh = (keys[a], pieces[a]) != cur
+                if fresh:
+                    cur = (keys[a], pieces[a])
                     acc.clear()
-                    if b - a <= limit:            # short run: everything accepted
-                        acc.extend(us[a:b].tolist())
-                        continue
+                if fresh and b - a <= limit:
+                    acc.extend(us[a:b].tolist())
+                    continue
                 for i in range(a, b):
                     t = us[i]
                     while acc and acc[0] <= t - window_us:
                         acc.popleft()
-                    if len(acc) >= limit:
-                        out[i] = False
-                    else:
+                    if warm[i] or len(acc) < limit:
                         acc.append(t)
+                    else:
+                        out[i] = False
             res = pdf[keep].copy()
             res["accepted"] = out
-            yield res
+            yield res[~warm]
     return run
 
 
 def rate_limit(requests: DataFrame, key: str, ts: str, id_col: str, limit: int = RATE_LIMIT_MAX,
                window_seconds: int = RATE_LIMIT_WINDOW_SECONDS, bucket_seconds: int = 3600) -> DataFrame:
-    """Add ``accepted`` and ``error_reason`` to every request row."""
+    """Add ``accepted`` and ``error_reason`` to every request row. Null customers are one customer."""
     window_us = window_seconds * 1_000_000
-    r = requests.withColumn("__us", _micros(ts))
-    p = prev_value(r, [key], [ts, id_col], "__us", "__prev_us", bucket=time_bucket(ts, bucket_seconds),
-                   keep_bucket=True)
-    start = (F.col("__prev_us").isNull() | (F.col("__us") - F.col("__prev_us") >= window_us)).cast("long")
-    s = running(p.withColumn("__start", start), [key], [ts, id_col], {"__seg": (F.col("__start"), "sum")},
-                bucket=None)              # same (key, bucket) partitioning as the gap phase
+    bucket_us = max(bucket_seconds * 1_000_000, 2 * window_us)
     keep = list(requests.columns)
-    work = (s.select(*keep, F.col(key).cast("string").alias("__k"), "__seg", "__us")
-            .repartition("__k", "__seg")
-            .sortWithinPartitions("__k", "__seg", "__us", id_col))
-    schema = T.StructType(list(requests.schema.fields) + [T.StructField("accepted", T.BooleanType())])
+    r = requests.withColumns({"__us": _micros(ts), KEY: F.struct(key)})
+    own = F.floor(F.col("__us") / bucket_us)
+    # the last two windows of a bucket are seen by the next one too
+    late = F.col("__us") > (own + 1) * bucket_us - 2 * window_us
+    b = r.withColumn(BUCKET, F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own))))
+    w = Window.partitionBy(KEY, BUCKET).orderBy("__us", id_col)
+    # at most ``limit`` attempts in the trailing two windows, this one included: then every attempt of
+    # the last window was accepted, and the replay can begin here with those as warm-up
+    earlier = F.lag("__us", limit).over(w)
+    real = F.floor(F.col("__us") / bucket_us) == F.col(BUCKET)
+    at = F.struct(F.col("__us").alias("us"), F.col(id_col).alias("id"))
+    safe = real & (earlier.isNull() | (earlier <= F.col("__us") - 2 * window_us))
+    b = b.withColumns({"__real": real, "__at": at, "__safe": safe})
+    b = b.withColumn("__cut", F.min(F.when(F.col("__safe"), F.col("__at"))).over(Window.partitionBy(KEY, BUCKET)))
+    b = b.filter("__real")
+    s = b.groupBy(KEY, BUCKET).agg(F.min("__cut").alias("__c"))
+    by = Window.partitionBy(KEY).orderBy(BUCKET)
+    has = F.col("__c").isNotNull().cast("long")
+    s = s.select(KEY, BUCKET, (F.sum(has).over(by) - has).alias("__before"),
+                 F.first("__c", ignorenulls=True).over(by.rowsBetween(1, Window.unboundedFollowing)).alias("__next"))
+    b = b.join(s, [KEY, BUCKET])
+    after = F.coalesce(F.col("__at") >= F.col("__cut"), F.lit(False))
+    piece = F.col("__before") + after.cast("long")
+    upcoming = F.when(after | F.col("__cut").isNull(), F.col("__next")).otherwise(F.col("__cut"))
+    unit = lambda n, warm: F.struct(n.alias("n"), F.lit(warm).alias("warm"))
+    spread = F.explode(F.when(F.col("__us") > upcoming["us"] - window_us, F.array(unit(piece, False), unit(piece + 1, True)))
+                       .otherwise(F.array(unit(piece, False)))).alias("__u")
+    work = b.select(*keep, F.col(key).cast("string").alias("__k"), "__us", spread)
+    work = (work.select(*keep, "__k", "__us", F.col("__u.n").alias("__piece"), F.col("__u.warm").alias("__warm"))
+            .repartition("__k", "__piece").sortWithinPartitions("__k", "__piece", "__us", id_col))
+    schema = T.StructType([*requests.schema.fields, T.StructField("accepted", T.BooleanType())])
     out = work.mapInPandas(_replay(limit, window_us, keep), schema)
     return out.withColumn("error_reason", F.when(~F.col("accepted"), F.lit(RATE_LIMIT_REASON)))
 

@@ -717,12 +717,17 @@ UNION ALL SELECT id, title, content, source, product_type, id, false FROM b"""
 
 ORACLE["stream_cdc_target"] = ORACLE["cdc_scd2"]
 
-ORACLE["session_stream"] = """WITH p AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS pt FROM events),
-s AS (SELECT *, sum(CASE WHEN pt IS NULL OR date_diff('microsecond', pt, ts) >= 1800000000 THEN 1 ELSE 0 END)
-        OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sn FROM p),
-g AS (SELECT user_id, min(ts) AS started_at, max(ts) AS last_activity, count(*) AS n_events,
-        max(ts) + INTERVAL 1800 SECOND AS expires_at FROM s GROUP BY user_id, sn)
-SELECT * FROM g WHERE expires_at <= (SELECT max(ts) FROM events)"""
+
+
+def session_stream_sql(batch: str) -> str:
+    """Every session of the batch rules; a customer's last one is still open unless a logout ended it."""
+    return f"""SELECT user_id, started_at, last_activity, n_events,
+  CASE WHEN ended_by = 'ttl' AND session_no = max(session_no) OVER (PARTITION BY user_id) THEN 'open' ELSE ended_by END AS ended_by,
+  expires_at FROM ({batch}) s"""
+
+
+ORACLE["session_stream"] = session_stream_sql(session_ttl_sql(1800).replace("event_type = 'error'", "false"))
+ORACLE["session_stream_logout"] = session_stream_sql(session_ttl_sql(1800))
 
 
 # ---------------------------------------------------------------- sinks and catalog
@@ -821,7 +826,7 @@ FROM ev JOIN r ON r.customer_id = ev.customer_id AND r.rn = ev.rn"""
 _REQ3 = f"SELECT request_id, customer_id, ts FROM ({REQUESTS}) q"
 ORACLE["rate_limit"] = rate_limit_sql(_REQ3, 30, 60)
 ORACLE["rate_limit_day2"] = rate_limit_sql(_REQ3, 2, 86400)
-ORACLE["rate_limit_stream"] = ORACLE["rate_limit_day2"]
+ORACLE["rate_limit_stream"] = f"SELECT *, false AS late FROM ({ORACLE['rate_limit_day2']}) b"
 
 
 def _rlvl(e: str) -> str:
@@ -873,7 +878,3 @@ SELECT request_id, customer_id, ts, check_status,
        ELSE 200 END AS http_status
 FROM v"""
 
-
-ORACLE["session_stream_logout"] = f"""SELECT user_id, started_at, last_activity, n_events, ended_by, expires_at
-FROM ({session_ttl_sql(1800)}) s
-WHERE ended_by = 'logout' OR expires_at < (SELECT max(ts) FROM events)"""

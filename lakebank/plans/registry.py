@@ -652,32 +652,30 @@ def q_rate_limit_stream(spark, d):
     from lakebank.streaming.harness import run_in_parts
     from lakebank.streaming.rate_limit_stream import rate_limit_stream
     req = FX.requests(spark, d).select("request_id", "customer_id", "ts")
-    sink = run_in_parts(spark, req, _time_parts("ts"), "ratelimit",
-                        build=lambda s: rate_limit_stream(s, "customer_id", "ts", "request_id", 2, 86400))
+    sink, _ = run_in_parts(spark, req, _time_parts("ts"), "ratelimit",
+                           build=lambda s: rate_limit_stream(s, "customer_id", "ts", "request_id", 3600, 2, 86400))
     return spark.read.parquet(sink)
 
 
+def _session_stream(spark, d, logout, name):
+    from lakebank.streaming.harness import run_in_parts
+    from lakebank.streaming.session_stream import open_sessions, session_stream
+    ev = FX.read_table(spark, d, "events").select("user_id", "ts", "event_id", "event_type")
+    sink, checkpoint = run_in_parts(spark, ev, _time_parts("ts"), name,
+                                    build=lambda s: session_stream(s, "user_id", "ts", "event_id", logout, 1800))
+    return spark.read.parquet(sink).unionByName(open_sessions(spark, checkpoint, "user_id", 1800))
+
+
 @register("session_stream")
 def q_session_stream(spark, d):
-    """I3 stream: 30-minute session windows, emitted once the watermark passes."""
-    from lakebank.streaming.harness import run_in_parts
-    from lakebank.streaming.session_stream import session_stream
-    ev = FX.read_table(spark, d, "events").select("user_id", "ts")
-    sink = run_in_parts(spark, ev, _time_parts("ts"), "sessions",
-                        build=lambda s: session_stream(s, "user_id", "ts", 1800))
-    return spark.read.parquet(sink)
+    """I3 stream: 30-minute sessions, closed and still open."""
+    return _session_stream(spark, d, None, "sessions")
 
 
 @register("session_stream_logout")
 def q_session_stream_logout(spark, d):
     """I3 stream with logout: 'error' events end their session at once."""
-    from lakebank.streaming.harness import run_in_parts
-    from lakebank.streaming.session_stream import session_stream_logout
-    ev = FX.read_table(spark, d, "events").select("user_id", "ts", "event_type")
-    sink = run_in_parts(spark, ev, _time_parts("ts"), "sessions-logout",
-                        build=lambda s: session_stream_logout(s, "user_id", "ts", F.col("event_type") == "error",
-                                                              1800))
-    return spark.read.parquet(sink)
+    return _session_stream(spark, d, F.col("event_type") == "error", "sessions-logout")
 
 
 # ---------------------------------------------------------------- sinks and catalog

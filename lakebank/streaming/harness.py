@@ -16,48 +16,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from lakebank.session import scratch_path
 
 
-def stage_parts(df: DataFrame, parts: Sequence[Column], name: str) -> tuple[str, list[DataFrame]]:
-    src = scratch_path(df.sparkSession, f"{name}-src")
-    return src, [df.filter(p) for p in parts]
-
-
 def run_in_parts(spark: SparkSession, df: DataFrame, parts: Sequence[Column], name: str,
                  build: Callable[[DataFrame], DataFrame] | None = None,
-                 start: Callable[[str, str], object] | None = None, timeout_s: int = 600) -> str:
+                 start: Callable[[str, str], object] | None = None) -> tuple[str, str]:
     """Write each part into a fresh source folder, then run the stream once.
 
     Either ``build`` (streaming DataFrame -> streaming DataFrame, written in
-    append mode to a parquet sink whose path is returned) or ``start``
-    (``(source_dir, checkpoint) -> StreamingQuery``) must be given.
+    append mode to a parquet sink) or ``start``
+    (``(source_dir, checkpoint) -> StreamingQuery``) must be given. Returns the
+    sink's path and the checkpoint's.
     """
     src = scratch_path(spark, f"{name}-src")
     ckpt = scratch_path(spark, f"{name}-ckpt")
     sink = scratch_path(spark, f"{name}-out")
-    schema = df.schema
-    # state partitions are fixed in the checkpoint at the first run; size them to
-    # the parallelism available (a fresh small stream need not run 200 state tasks)
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        par = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        par = int(old)
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(old), max(1, par))))
-    try:
-        _run(spark, df, parts, src, ckpt, sink, schema, build, start, timeout_s)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    return sink
-
-
-def _run(spark, df, parts, src, ckpt, sink, schema, build, start, timeout_s):
-    for i, p in enumerate(parts):
-        df.filter(p).write.mode("append").parquet(f"{src}")
+    for p in parts:
+        df.filter(p).write.mode("append").parquet(src)
         if start is not None:
             q = start(src, ckpt)
         else:
-            stream = spark.readStream.schema(schema).parquet(src)
+            stream = spark.readStream.schema(df.schema).parquet(src)
             q = (build(stream).writeStream.format("parquet").option("path", sink)
                  .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
-        q.awaitTermination(timeout_s)
-        if q.exception() is not None:
-            raise q.exception()
+        q.awaitTermination()          # to the end, however long it takes; a failed query raises here
+    return sink, ckpt

@@ -1,10 +1,11 @@
 """Streaming sliding-window rate limit per customer.
 
-``applyInPandasWithState`` keyed by customer. The state is the accepted
-timestamps still inside the window -- at most ``limit`` values per customer,
-so state size is bounded by (active customers x limit). Rows of a micro-batch
-are decided in event-time order; an event-time timeout drops a customer's
-state once the watermark is a full window past its last accepted request.
+``applyInPandasWithState`` keyed by customer. Every request gets a row, in the
+micro-batch in which it arrives; no watermark drops any. A batch's rows of a
+customer are decided in event-time order over all their Arrow pieces. The state
+holds the customer's accepted times of the last window plus ``lateness``, and
+the newest time seen. A request that is older than that newest time by more
+than ``lateness`` is not decided: its row is marked ``late``.
 """
 
 from __future__ import annotations
@@ -17,52 +18,44 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from lakebank.functions.expr import ntz_to_instant
+from lakebank.functions.expr import epoch_micros
 from lakebank.operators.limits import RATE_LIMIT_MAX, RATE_LIMIT_REASON, RATE_LIMIT_WINDOW_SECONDS
 
+LATE_REASON = "LATE_REQUEST"
 
-def _decide(limit: int, window_us: int, id_col: str):
+
+def _decide(limit: int, window_us: int, late_us: int, id_col: str):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        acc = list(state.get[0]) if state.exists else []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["__us", id_col], kind="stable")
-            us = pdf["__us"].to_numpy()
-            if len(acc) + len(us) <= limit:
-                # the window can never fill: accept all without the row loop
-                acc = [x for x in acc + [int(t) for t in us] if x > int(us[-1]) - window_us]
-                out = [True] * len(us)
-            else:
-                out = []
-                for t in us:
-                    acc = [x for x in acc if x > t - window_us]
-                    if len(acc) >= limit:
-                        out.append(False)
-                    else:
-                        acc.append(int(t))
-                        out.append(True)
-            res = pdf.drop(columns=["__us", "__et"]).copy()
-            res["accepted"] = out
-            yield res
-        if acc:
-            state.update((acc,))
-            state.setTimeoutTimestamp(int(max(acc) // 1000) + window_us // 1000)
-        else:
-            state.remove()
+        accepted, newest = (list(state.get[0]), state.get[1]) if state.exists else ([], None)
+        rows = pd.concat(list(pdfs)).sort_values(["__us", id_col], kind="stable")    # of one customer and micro-batch
+        out, late = [], []
+        for t in rows["__us"].tolist():
+            late.append(newest is not None and t < newest - late_us)
+            ok = not late[-1] and sum(t - window_us < x <= t for x in accepted) < limit
+            if ok:
+                accepted.append(t)
+            out.append(ok)
+            newest = t if newest is None else max(newest, t)
+            accepted = [x for x in accepted if x > newest - late_us - window_us]
+        res = rows.drop(columns=["__us"])
+        res["accepted"], res["late"] = out, late
+        state.update((accepted, newest))
+        yield res
     return fn
 
 
-def rate_limit_stream(requests: DataFrame, key: str, ts: str, id_col: str, limit: int = RATE_LIMIT_MAX,
-                      window_seconds: int = RATE_LIMIT_WINDOW_SECONDS, watermark: str = "0 seconds") -> DataFrame:
-    """Streaming form of ``limits.rate_limit``: adds ``accepted`` and ``error_reason``."""
-    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                          F.col(ts).cast("timestamp_ntz"))
-    src = requests.withColumns({"__us": us, "__et": ntz_to_instant(ts)}).withWatermark("__et", watermark)
-    out_schema = T.StructType(list(requests.schema.fields) + [T.StructField("accepted", T.BooleanType())])
-    state_schema = T.StructType([T.StructField("accepted_us", T.ArrayType(T.LongType()))])
+def rate_limit_stream(requests: DataFrame, key: str, ts: str, id_col: str, lateness_seconds: int,
+                      limit: int = RATE_LIMIT_MAX, window_seconds: int = RATE_LIMIT_WINDOW_SECONDS) -> DataFrame:
+    """Streaming form of ``limits.rate_limit``: adds ``accepted``, ``late`` and ``error_reason``.
+
+    A request within the lateness counts the accepted requests of the window
+    that ends with it; what was decided before stays. State is kept per customer:
+    at most ``limit`` times per window, over the window and the lateness.
+    """
+    src = requests.withColumn("__us", epoch_micros(ts))
+    out_schema = T.StructType([*requests.schema.fields, T.StructField("accepted", T.BooleanType()), T.StructField("late", T.BooleanType())])
+    state_schema = T.StructType([T.StructField("accepted_us", T.ArrayType(T.LongType())), T.StructField("newest_us", T.LongType())])
     res = src.groupBy(key).applyInPandasWithState(
-        _decide(limit, window_seconds * 1_000_000, id_col), out_schema, state_schema, "append",
-        GroupStateTimeout.EventTimeTimeout)
-    return res.withColumn("error_reason", F.when(~F.col("accepted"), F.lit(RATE_LIMIT_REASON)))
+        _decide(limit, window_seconds * 1_000_000, lateness_seconds * 1_000_000, id_col), out_schema, state_schema, "append",
+        GroupStateTimeout.NoTimeout)
+    return res.withColumn("error_reason", F.when(F.col("late"), F.lit(LATE_REASON)).when(~F.col("accepted"), F.lit(RATE_LIMIT_REASON)))

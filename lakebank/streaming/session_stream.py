@@ -1,89 +1,89 @@
-"""Streaming session expiry (I3): ``session_window`` with a watermark.
+"""Streaming session expiry (I3), with the batch rules of ``sessions.session_ttl``.
 
-``session_stream``: each event extends its customer's session by the gap;
-append mode emits a session once the watermark has passed its end, so state
-holds only open sessions. ``session_stream_logout`` adds the logout split with
-``applyInPandasWithState`` (one open session per customer as state), matching
-the batch form ``sessions.session_ttl``.
+A session ends ``gap_seconds`` after its last event or at once on a logout. The
+state per customer is its one open session. No watermark drops an event: one
+that lies before the open session and does not touch it comes out as a session
+of its own, marked ``late``. A session that is still open when a run stops
+stays in the checkpoint's state; ``open_sessions`` reads it from there, so
+closed and open sessions together hold every event.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from lakebank.functions.expr import instant_to_ntz, ntz_to_instant
+from lakebank.functions.expr import epoch_micros
 
 
-def session_stream(events: DataFrame, key: str, ts: str, gap_seconds: int = 1800,
-                   watermark: str = "0 seconds") -> DataFrame:
-    """Wall-clock timestamps are mapped to instants (UTC reading) for the
-    watermark and back, so results do not depend on the session zone."""
-    e = events.withColumn("__et", ntz_to_instant(ts))
-    w = F.session_window(F.col("__et"), f"{gap_seconds} seconds")
-    return (e.withWatermark("__et", watermark).groupBy(key, w.alias("sw"))
-            .agg(F.count(F.lit(1)).alias("n_events"), F.max(ts).alias("last_activity"))
-            .select(key, instant_to_ntz("sw.start").alias("started_at"), "last_activity", "n_events",
-                    instant_to_ntz("sw.end").alias("expires_at")))
+def _cut(us, logout, ttl_us: int):
+    """Sessions of sorted events as (first, last, count, ended by logout): a gap or a logout before an event begins one."""
+    import numpy as np
 
+    fresh = np.r_[True, (np.diff(us) >= ttl_us) | logout[:-1]]
+    start = np.flatnonzero(fresh)
+    end = np.r_[start[1:], len(us)]
+    return list(zip(us[start].tolist(), us[end - 1].tolist(), (end - start).tolist(), logout[end - 1].tolist()))
 
-def _session_fn(key: str, ts: str, ttl_us: int):
-    import pandas as pd
 
-    cols = [key, "started_at", "last_activity", "n_events", "ended_by", "expires_at"]
+def _session_fn(cols: list[str], ttl_us: int, id_col: str):
+    def fn(k, pdfs, state):
+        import pandas as pd
 
-    def emit(k, start, last, n, how):
-        end = last if how == "logout" else last + ttl_us
-        return (k, pd.Timestamp(start, unit="us"), pd.Timestamp(last, unit="us"), n, how,
-                pd.Timestamp(end, unit="us"))
+        def rows(found):
+            at = lambda i: [pd.Timestamp(x[i], unit="us") for x in found]
+            how = [x[3] for x in found]
+            ends = [pd.Timestamp(x[1] + (0 if h == "logout" else ttl_us), unit="us") for x, h in zip(found, how)]
+            return pd.DataFrame(dict(zip(cols, ([k[0]] * len(found), at(0), at(1), [x[2] for x in found], how, ends))))
 
-    def fn(k, pdfs, state):
-        kv = k[0]
+        held = tuple(state.get) if state.exists else None
+        ev = pd.concat(list(pdfs)).sort_values(["__us", id_col], kind="stable")     # of one customer and micro-batch
+        us, logout = ev["__us"].to_numpy(), ev["__logout"].to_numpy(dtype=bool)
         out = []
-        if state.hasTimedOut:
-            s0, l0, n0 = state.get
+        if held is not None:
+            before = us < held[0] - ttl_us
+            out += [(a, b, n, "late") for a, b, n, _ in _cut(us[before], logout[before], ttl_us)] if before.any() else []
+            us, logout = us[~before], logout[~before]
+        found = [[*x] for x in _cut(us, logout, ttl_us)] if len(us) else []
+        if held is not None and found and found[0][0] - held[1] < ttl_us:      # goes on with the open session
+            found[0] = [min(held[0], found[0][0]), max(held[1], found[0][1]), held[2] + found[0][2], found[0][3]]
+        elif held is not None:
+            found.insert(0, [*held, False])
+        out += [(a, b, n, "logout" if lo else "ttl") for a, b, n, lo in found[:-1]]
+        if found and found[-1][3]:
+            out.append((*found[-1][:3], "logout"))
+            found = []
+        if found:
+            state.update(tuple(found[-1][:3]))
+        elif state.exists:
             state.remove()
-            yield pd.DataFrame([emit(kv, s0, l0, n0, "ttl")], columns=cols)
-            return
-        cur = tuple(state.get) if state.exists else None
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["__us"], kind="stable")
-            for t, lo in zip(pdf["__us"].to_numpy(), pdf["__logout"].to_numpy()):
-                t = int(t)
-                if cur is not None and t - cur[1] >= ttl_us:
-                    out.append(emit(kv, cur[0], cur[1], cur[2], "ttl"))
-                    cur = None
-                cur = (t, t, 1) if cur is None else (cur[0], t, cur[2] + 1)
-                if bool(lo):
-                    out.append(emit(kv, cur[0], cur[1], cur[2], "logout"))
-                    cur = None
-        if cur is None:
-            state.remove()
-        else:
-            state.update(cur)
-            state.setTimeoutTimestamp((cur[1] + ttl_us) // 1000)
         if out:
-            yield pd.DataFrame(out, columns=cols)
+            yield rows(out)
     return fn
 
 
-def session_stream_logout(events: DataFrame, key: str, ts: str, logout, gap_seconds: int = 1800,
-                          watermark: str = "0 seconds") -> DataFrame:
-    """I3 stream with the batch rules: a session ends ``gap_seconds`` after its
-    last event (emitted when the next event or the watermark shows it) or at
-    once on a logout event. State per customer is one open session (three
-    numbers); an event-time timeout emits and drops it."""
-    from pyspark.sql import types as T
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    from lakebank.functions.expr import epoch_micros
-    e = events.withColumns({"__us": epoch_micros(ts), "__et": ntz_to_instant(ts),
-                            "__logout": F.coalesce(logout, F.lit(False))}).withWatermark("__et", watermark)
-    key_type = events.schema[key].dataType
-    out = T.StructType([T.StructField(key, key_type), T.StructField("started_at", T.TimestampNTZType()),
-                        T.StructField("last_activity", T.TimestampNTZType()), T.StructField("n_events", T.LongType()),
-                        T.StructField("ended_by", T.StringType()), T.StructField("expires_at", T.TimestampNTZType())])
-    st = T.StructType([T.StructField("start_us", T.LongType()), T.StructField("last_us", T.LongType()),
-                       T.StructField("n", T.LongType())])
-    return e.select(key, "__us", "__et", "__logout").groupBy(key).applyInPandasWithState(
-        _session_fn(key, ts, gap_seconds * 1_000_000), out, st, "append", GroupStateTimeout.EventTimeTimeout)
+def _schema(key: str, key_type) -> T.StructType:
+    ntz = T.TimestampNTZType()
+    return T.StructType([T.StructField(key, key_type), T.StructField("started_at", ntz), T.StructField("last_activity", ntz),
+                         T.StructField("n_events", T.LongType()), T.StructField("ended_by", T.StringType()), T.StructField("expires_at", ntz)])
+
+
+def session_stream(events: DataFrame, key: str, ts: str, id_col: str, logout=None, gap_seconds: int = 1800) -> DataFrame:
+    """Closed sessions: ended by ``ttl`` (shown by the customer's next event), by ``logout``, or ``late``."""
+    lo = F.lit(False) if logout is None else F.coalesce(logout, F.lit(False))
+    e = events.select(key, id_col, epoch_micros(ts).alias("__us"), lo.alias("__logout"))
+    out = _schema(key, events.schema[key].dataType)
+    held = T.StructType([T.StructField(c, T.LongType()) for c in ("start_us", "last_us", "n")])
+    return e.groupBy(key).applyInPandasWithState(_session_fn(out.names, gap_seconds * 1_000_000, id_col), out, held, "append",
+                                                 GroupStateTimeout.NoTimeout)
+
+
+def open_sessions(spark: SparkSession, checkpoint: str, key: str, gap_seconds: int = 1800) -> DataFrame:
+    """Sessions still open in the stream's state, ``ended_by`` = ``open``."""
+    s = spark.read.format("statestore").load(checkpoint).select("key.*", "value.*")
+    at = lambda us: F.timestamp_add("MICROSECOND", us, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    g = F.col("groupState")
+    return s.select(F.col(s.columns[0]).alias(key), at(g["start_us"]).alias("started_at"), at(g["last_us"]).alias("last_activity"),
+                    g["n"].alias("n_events"), F.lit("open").alias("ended_by"), at(g["last_us"] + gap_seconds * 1_000_000).alias("expires_at"))
