@@ -41,6 +41,11 @@ CUSTOMER_ID_MISMATCH, TOKEN_EXPIRED = "CUSTOMER_ID_MISMATCH", "TOKEN_EXPIRED"
 JWT_VALIDATION_SKIPPED = "JWT_VALIDATION_SKIPPED"
 
 
+def strip(col: Column) -> Column:
+    """Without white space at both ends: all of Unicode's, and the four ASCII separators."""
+    return F.regexp_replace(col, r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$", "")
+
+
 def scope_flags(claims: DataFrame, scp: str = "scp") -> DataFrame:
     """Scope list (null claim -> banking.read) and the three RBAC flags."""
     s = scopes(scp)
@@ -73,12 +78,12 @@ def request_check(requests: DataFrame, message: str = "message", auth: str = "au
     bad_auth = ~F.coalesce(F.startswith(F.col(auth), F.lit(BEARER)), F.lit(False))
     bad_cust = F.coalesce(F.length(F.col(customer)), F.lit(0)) < CUSTOMER_ID_MIN
     status = (F.when(bad_msg, 422).when(bad_auth, 401).when(bad_cust, 400).otherwise(200))
-    token = F.when(~bad_auth, F.trim(F.regexp_replace(F.col(auth), "^Bearer ", "")))
+    token = F.when(~bad_auth, strip(F.regexp_replace(F.col(auth), "^Bearer ", "")))
     return requests.withColumns({
         "status": status,
         "token": token,
-        "message_clean": F.trim(F.col(message)),
-        "is_blank": F.coalesce(F.length(F.trim(F.col(message))) == 0, F.lit(False)),
+        "message_clean": strip(F.col(message)),
+        "is_blank": F.coalesce(F.length(strip(F.col(message))) == 0, F.lit(False)),
     })
 
 
@@ -175,8 +180,13 @@ def token_check(requests_claims: DataFrame, ts: str = "ts", exp: str = "exp",
 
 
 def chat_audit(requests: DataFrame, claims: DataFrame, severities: DataFrame | None,
-               limit: int = 30, window_seconds: int = 60, key: str = "request_id") -> DataFrame:
-    """Request check -> rate limit -> token/claims -> input guard -> outcome.
+               limit: int = 30, window_seconds: int = 60, key: str = "request_id",
+               replies: DataFrame | None = None) -> DataFrame:
+    """Request check -> rate limit -> token/claims -> input guard -> model reply -> output guard -> outcome.
+
+    ``replies`` (key, reply, llm_error and the reply's severities) are what the
+    model gave; a reply that failed gives the fallback text, a blocked one is
+    replaced, as ``outcome`` tells. Without it those two stages pass.
 
     Requests rejected by the REST checks never reach the agent, so they do not
     consume the rate limit. Rate-limited calls surface as 401, as in the
@@ -198,8 +208,12 @@ def chat_audit(requests: DataFrame, claims: DataFrame, severities: DataFrame | N
     j = j.withColumns({"security_error": F.when(is_limited, F.lit("RATE_LIMIT_EXCEEDED"))
                        .otherwise(F.col("token_error")),
                        "token_valid": ~is_limited & F.col("token_valid"),
-                       "input_blocked": F.col("is_blocked"), "llm_error": F.lit(False),
-                       "output_blocked": F.lit(False)})
+                       "input_blocked": F.col("is_blocked"), "guard_reason": F.col("reason")})
+    if replies is None:
+        j = j.withColumns({"llm_error": F.lit(False), "output_blocked": F.lit(False)})
+    else:
+        out = guard_input(replies, "reply", "output").select(key, "llm_error", F.col("is_blocked").alias("output_blocked"))
+        j = j.join(out, key, "left")
     j = chat_outcome(j)
     reached = F.col("status") == 200
     http = F.when(~reached, F.col("status")).when(F.col("error") == UNAUTHORIZED, 401).when(
@@ -207,4 +221,4 @@ def chat_audit(requests: DataFrame, claims: DataFrame, severities: DataFrame | N
     return j.select(key, "customer_id", "ts", F.col("status").alias("check_status"),
                     F.when(reached, F.col("security_error")).alias("security_error"),
                     F.when(reached, F.col("outcome")).alias("outcome"),
-                    F.when(reached, F.col("reason")).alias("guard_reason"), http.alias("http_status"))
+                    F.when(reached, F.col("guard_reason")).alias("guard_reason"), http.alias("http_status"))

@@ -32,6 +32,10 @@ SELECT s_suppkey + 1000000000 AS cuenta_id, 'CORRIENTE' AS tipo_producto, 'EMPRE
   {_case_mod('s_nationkey % 4', CUR)} AS moneda, CAST(s_acctbal AS DECIMAL(18,2)) AS saldo_inicial
 FROM supplier"""
 
+CURRENT_ACCOUNTS = f"""SELECT cuenta_id, tipo_producto, segmento_cliente, moneda,
+  CAST(CASE WHEN cuenta_id % 3 = 0 THEN saldo_inicial + 100 ELSE saldo_inicial END AS DECIMAL(18,2)) AS saldo_inicial
+FROM ({ACCOUNTS}) a WHERE cuenta_id % 17 <> 0"""
+
 RAW_TXN = f"""SELECT o_orderkey AS transaccion_id,
   CASE WHEN o_orderkey % 89 = 0 THEN NULL ELSE o_custkey END AS cuenta_id,
   o_custkey * 2 + o_orderkey % 2 AS tarjeta_id,
@@ -118,7 +122,7 @@ SELECT coalesce(dm.fecha_corte, DATE '{AS_OF}') AS fecha_corte, a.cuenta_id, a.t
   a.moneda, CAST(a.saldo_inicial + coalesce(dm.total_creditos, 0) + coalesce(dm.total_debitos, 0) AS DOUBLE) AS saldo_cierre,
   CAST(dm.total_creditos AS DOUBLE) AS total_creditos, CAST(dm.total_debitos AS DOUBLE) AS total_debitos,
   dm.num_transacciones
-FROM ({ACCOUNTS}) a LEFT JOIN ({DAILY_MOVEMENTS}) dm ON a.cuenta_id = dm.cuenta_id"""
+FROM ({CURRENT_ACCOUNTS}) a LEFT JOIN ({DAILY_MOVEMENTS}) dm ON a.cuenta_id = dm.cuenta_id"""
 
 ORACLE["gold_daily_balances_cumulative"] = f"""
 SELECT coalesce(dm.fecha_corte, DATE '{AS_OF}') AS fecha_corte, a.cuenta_id, a.tipo_producto, a.segmento_cliente,
@@ -127,7 +131,7 @@ SELECT coalesce(dm.fecha_corte, DATE '{AS_OF}') AS fecha_corte, a.cuenta_id, a.t
     AS DOUBLE) AS saldo_cierre,
   CAST(dm.total_creditos AS DOUBLE) AS total_creditos, CAST(dm.total_debitos AS DOUBLE) AS total_debitos,
   dm.num_transacciones
-FROM ({ACCOUNTS}) a LEFT JOIN ({DAILY_MOVEMENTS}) dm ON a.cuenta_id = dm.cuenta_id"""
+FROM ({CURRENT_ACCOUNTS}) a LEFT JOIN ({DAILY_MOVEMENTS}) dm ON a.cuenta_id = dm.cuenta_id"""
 
 ORACLE["agg_daily_movements"] = f"""
 SELECT cuenta_id, fecha_corte, CAST(total_creditos AS DOUBLE) AS total_creditos,
@@ -866,12 +870,13 @@ u AS (SELECT *,
                          false) THEN 'CUSTOMER_ID_MISMATCH' END AS token_error
   FROM t),
 v AS (SELECT *, NOT limited AND (no_claims OR token_error IS NULL) AS token_valid,
-  pattern IS NOT NULL OR severity_blocked AS is_blocked FROM u)
+  pattern IS NOT NULL OR severity_blocked AS is_blocked, request_id % 19 = 0 AS llm_error,
+  request_id % 8 <> 0 AND (floor((request_id % 23) / 11) >= 2 OR floor((request_id % 29) / 14) >= 2) AS output_blocked FROM u)
 SELECT request_id, customer_id, ts, check_status,
   CASE WHEN check_status = 200 THEN CASE WHEN limited THEN 'RATE_LIMIT_EXCEEDED' ELSE token_error END END
     AS security_error,
   CASE WHEN check_status = 200 THEN CASE WHEN NOT token_valid THEN 'unauthorized'
-       WHEN is_blocked THEN 'content_blocked' ELSE 'ok' END END AS outcome,
+       WHEN is_blocked THEN 'content_blocked' WHEN llm_error THEN 'llm_error' WHEN output_blocked THEN 'output_blocked' ELSE 'ok' END END AS outcome,
   CASE WHEN check_status = 200 THEN CASE WHEN pattern IS NOT NULL
        THEN 'Patrón bancario sensible detectado: ''' || pattern || '''' ELSE severity_reason END END AS guard_reason,
   CASE WHEN check_status <> 200 THEN check_status WHEN NOT token_valid THEN 401 WHEN is_blocked THEN 422

@@ -59,9 +59,15 @@ def silver_txns_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_transactions(fixtures.raw_transactions(spark, sf_dir))
 
 
+def account_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCD-2 history of the account master; gold reads its current rows."""
+    return cdc.apply_changes(fixtures.account_history_changes(spark, sf_dir), keys=["cuenta_id"],
+                             sequence_by=["_ingest_timestamp", "_change_id"], except_columns=["operacion"])
+
+
 def gold_daily_balances(spark: SparkSession, sf_dir: str, as_of: str = fixtures.AS_OF) -> DataFrame:
-    """X6 over the fixtures (accounts master + silver transactions)."""
-    return kpi.gold_daily_balances(fixtures.accounts(spark, sf_dir), silver_txns_for(spark, sf_dir), as_of)
+    """X6 over the fixtures (SCD-2 accounts, current rows + silver transactions)."""
+    return kpi.gold_daily_balances(account_history(spark, sf_dir), silver_txns_for(spark, sf_dir), as_of)
 
 
 def gold_card_usage(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ def q_gold_daily_balances(spark, d):
 @register("gold_daily_balances_cumulative")
 def q_gold_daily_balances_cumulative(spark, d):
     """G2 with ``cumulative=True``: the closing balance carries earlier days."""
-    return kpi.gold_daily_balances(FX.accounts(spark, d), M.silver_txns_for(spark, d), FX.AS_OF, cumulative=True)
+    return kpi.gold_daily_balances(M.account_history(spark, d), M.silver_txns_for(spark, d), FX.AS_OF, cumulative=True)
 
 
 @register("agg_daily_movements")
@@ -524,10 +524,10 @@ def q_rate_limit_day2(spark, d):
 @register("chat_audit")
 def q_chat_audit(spark, d):
     """Request checks, rate limit (2 per sliding hour, so it bites on the
-    test log), claims, input guard, outcome."""
+    test log), claims, input guard, model reply, output guard, outcome."""
     from lakebank.operators import guard
     return guard.chat_audit(FX.requests(spark, d), FX.claims(spark, d), FX.request_severities(spark, d),
-                            limit=2, window_seconds=3600)
+                            limit=2, window_seconds=3600, replies=FX.replies(spark, d))
 
 
 # ---------------------------------------------------------------- retrieval

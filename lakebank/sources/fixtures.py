@@ -336,6 +336,29 @@ def request_severities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model replies per request with the classifier's scores (every 19th call failed, every 8th reply is unscored)."""
+    e = read_table(spark, sf_dir, "events")
+    x = F.col("event_id")
+    lvl = lambda c: F.when(x % 8 == 0, F.lit(None).cast("int")).otherwise(c.cast("int"))
+    return e.select(x.alias("request_id"), F.concat(F.lit("respuesta "), F.col("props")).alias("reply"), (x % 19 == 0).alias("llm_error"),
+                    lvl(F.floor((x % 23) / 11)).alias("hate"), lvl(F.floor((x % 29) / 14)).alias("violence"),
+                    lvl(F.lit(0)).alias("self_harm"), lvl(F.lit(1)).alias("sexual"))
+
+
+def account_history_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change feed of the account master: every account is inserted on 2000-01-01; every third is updated
+    (100 more) and every seventeenth deleted a month later."""
+    a = accounts(spark, sf_dir)
+    k = F.col("cuenta_id")
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    first = a.withColumns({"operacion": F.lit("I"), "_ingest_timestamp": at("2000-01-01 00:00:00"), "_change_id": k * 2})
+    later = (a.filter((k % 3 == 0) | (k % 17 == 0))
+             .withColumns({"saldo_inicial": (F.col("saldo_inicial") + 100).cast("decimal(18,2)"), "operacion": F.when(k % 17 == 0, "D").otherwise("U"),
+                           "_ingest_timestamp": at("2000-02-01 00:00:00"), "_change_id": k * 2 + 1}))
+    return first.unionByName(later)
+
+
 def stage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-request stage results of the chat pipeline (inputs of P19)."""
     e = read_table(spark, sf_dir, "events")

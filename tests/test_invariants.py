@@ -104,7 +104,7 @@ def test_chat_audit_equals_python_replay(spark):
                                                            c["extension_customer_id"] or ""):
             expect[i] = 401
             continue
-        text = r["message"].strip(" ").lower()
+        text = r["message"].strip().lower()
         s = sv[i]
         sev = [s[k] for k in ("hate", "violence", "self_harm", "sexual")]
         blocked = any(p in text for p in BANKING_BLOCK_PATTERNS) or (
@@ -116,7 +116,7 @@ def test_chat_audit_equals_python_replay(spark):
 
 
 def test_cdc_stream_in_order_arrival_equals_batch(spark):
-    """Parts arrive in time order, so truncates take the in-order fast path."""
+    """Parts arrive in time order."""
     from lakebank.session import scratch_path
     from lakebank.streaming.cdc_stream import CdcTarget, start_cdc_stream
     from lakebank.streaming.harness import run_in_parts
@@ -135,8 +135,7 @@ def test_cdc_stream_in_order_arrival_equals_batch(spark):
 
 
 def test_cdc_stream_incremental_path_with_late_truncates(spark):
-    """Later batches touch few keys (incremental path) and bring every truncate
-    late, so untouched keys are cut by projection; the result equals batch."""
+    """Later batches touch few keys and bring every truncate late; the result equals batch."""
     from lakebank.session import scratch_path
     from lakebank.streaming.cdc_stream import CdcTarget, start_cdc_stream
     from lakebank.streaming.harness import run_in_parts

@@ -18,13 +18,32 @@ def test_session_ttl_gap_and_logout(spark):
     rows = [(1, _t(0), "view"), (1, _t(29), "view"), (1, _t(59), "view"),    # 30 min gap exactly -> new session
             (1, _t(60), "error"), (1, _t(61), "view"),                      # logout ends at once
             (2, _t(0), "view")]
-    e = spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, event_type string")
-    s = sessions.session_ttl(e, "user_id", "ts", 1800, logout=F.col("event_type") == "error").orderBy(
+    e = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "event_id long, user_id long, ts timestamp_ntz, event_type string")
+    s = sessions.session_ttl(e, "user_id", "ts", "event_id", 1800, logout=F.col("event_type") == "error").orderBy(
         "user_id", "session_no").collect()
     got = [(r["user_id"], r["n_events"], r["ended_by"], r["expires_at"]) for r in s]
     assert got == [(1, 2, "ttl", _t(59)), (1, 2, "logout", _t(60)), (1, 1, "ttl", _t(91)), (2, 1, "ttl", _t(30))]
 
 
+def test_session_ttl_ties_and_null_users(spark):
+    """Events of one instant go by id, and a null user is a user like any other, whatever the buckets."""
+    rows = [(1, 7, _t(0), "view"), (3, 7, _t(5), "view"), (2, 7, _t(5), "error"), (4, None, _t(0), "view"), (5, None, _t(20), "view"), (6, None, _t(45), "view")]
+    for order in (rows, rows[::-1]):
+        e = spark.createDataFrame(order, "event_id long, user_id long, ts timestamp_ntz, event_type string")
+        for bucket in (600, 86400):
+            s = sessions.session_ttl(e, "user_id", "ts", "event_id", 1800, F.col("event_type") == "error", bucket)
+            got = sorted(((r["user_id"], r["n_events"], r["ended_by"]) for r in s.collect()), key=str)
+            assert got == [(7, 1, "ttl"), (7, 2, "logout"), (None, 3, "ttl")]
+
+
+def test_ttl_lookup_ties_go_by_id(spark):
+    rows = [(1, "C1", "cards", _t(0), "put"), (2, "C1", None, _t(0), "invalidate"), (3, "C1", "cards", _t(0), "put"), (4, "C1", "cards", _t(1), "request"),
+            (5, None, "cards", _t(0), "put"), (6, None, "cards", _t(3), "request")]
+    ce = spark.createDataFrame(rows, "event_id long, customer_id string, data_type string, ts timestamp_ntz, kind string")
+    hits = {r["event_id"]: r["hit"] for r in sessions.ttl_lookup(ce, ["cards"], 300, bucket_seconds=60).collect()}
+    assert hits == {4: True, 6: True}
+
+
 def test_ttl_lookup_hit_expiry_and_invalidation(spark):
     rows = [(1, "C1", "balance", _t(0), "put"), (2, "C1", "balance", _t(3), "request"),
             (3, "C1", "balance", _t(6), "request"),                                   # 6 min > 300 s TTL
