@@ -8,6 +8,8 @@ movement list, and a statement text assembled from a bounded list per group.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,11 +28,52 @@ DEFAULT_MERCHANT = "Comercio"
 DEFAULT_INSTALLMENTS = 1
 DEFAULT_LOAN_TYPE = "Personal"
 DEFAULT_REASON = "No disponible"
+CARDS_HEADING = "Tus tarjetas de crédito digitales:"
+CARDS_EMPTY = "No tienes tarjetas de crédito digitales activas."
+CARD_ITEM = """
+📱 Tarjeta: {masked} ({card_type})
+   Estado: {status}
+   Límite: {credit_limit} {currency}
+   Usado: {used_balance} ({utilization}%)
+   Disponible: {available_balance}
+   Fecha de corte: {cut_date}
+   Pago mínimo: {minimum_payment}
+   Pago total: {total_payment}"""
+CARD_MOVEMENTS_HEADING = "Últimos movimientos de tarjeta ({days} días):"
+CARD_MOVEMENTS_EMPTY = "No hay movimientos en tus tarjetas en los últimos {days} días."
+CARD_MOVEMENT_ITEM = "• {date} | {merchant} | {amount} {currency} | {installments} cuota(s)"
+LOANS_HEADING = "Tus préstamos digitales activos:"
+LOANS_EMPTY = "No tienes préstamos digitales activos."
+LOAN_ITEM = """
+💰 Préstamo #{loan_ref}...
+   Tipo: {loan_type}
+   Saldo pendiente: {outstanding_balance} {currency}
+   Cuota mensual: {monthly_payment}
+   Tasa TEA: {annual_rate}%
+   Cuotas restantes: {remaining_installments}
+   Próximo vencimiento: {next_due_date}"""
+OFFER_TEXT = """¡Tienes una oferta pre-aprobada!
+   Monto máximo: {max_amount} {currency}
+   Tasa desde: {min_rate}% TEA
+   Plazo máximo: {max_term_months} meses
+   ¿Deseas solicitar el préstamo ahora? Puedo guiarte en el proceso."""
+NO_OFFER_TEXT = ("En este momento no calificas para un nuevo préstamo digital. Motivo: {reason}. "
+                 "Si tienes dudas, puedes contactar a un asesor.")
+TRANSFER_TEXT = """Tus límites de transferencia:
+   Diario usado: {daily_used} / {daily_limit} PEN
+   Mensual usado: {monthly_used} / {monthly_limit} PEN
+   Disponible hoy: {daily_available} PEN"""
 MAX_MOVEMENTS = 10
 MAX_CARD_DAYS = 90
 LOAN_ID_CHARS = 8
 
 
+def fill(template: str, **given: Column) -> Column:
+    """A fixed text with its ``{names}`` replaced by ``given`` columns or those of that name."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[F.lit(x) if i % 2 == 0 else given.get(x, F.col(x)).cast("string") for i, x in enumerate(parts)])
+
+
 def account_balance_lines(accounts: DataFrame, currency: str = DEFAULT_CURRENCY) -> DataFrame:
     """V1: accounts of each customer in ``currency`` with masked number and balances."""
     a = accounts.filter(F.col("currency") == currency)
@@ -173,3 +216,49 @@ def transfer_limits(silver_txns: DataFrame, daily_limit: float = DAILY_TRANSFER_
     return day.select("customer_id", "day", "daily_used", dl.alias("daily_limit"),
                       F.sum("daily_used").over(w).alias("monthly_used"), ml.alias("monthly_limit"),
                       F.greatest(dl - F.col("daily_used"), F.lit(0)).alias("daily_available"))
+
+
+def credit_cards_text(cards: DataFrame, customers: DataFrame) -> DataFrame:
+    """G6 over V3: one text per customer of the list."""
+    lines = credit_cards_view(cards).select("customer_id", F.col("card_id").alias("pos"), fill(CARD_ITEM).alias("line"))
+    return statement_text(customers, lines, F.lit(CARDS_HEADING), CARDS_EMPTY)
+
+
+def card_movements_text(card_movements: DataFrame, customers: DataFrame, as_of: str, last_n_days: int = 30) -> DataFrame:
+    """G6 over V4: newest purchases first."""
+    n = str(min(last_n_days, MAX_CARD_DAYS))
+    order = F.struct((-F.unix_date("when")).alias("d"), F.col("movement_id"))
+    seen = card_movements_view(card_movements, as_of, last_n_days).withColumn("when", F.to_date("date"))
+    lines = seen.select("customer_id", order.alias("pos"), fill(CARD_MOVEMENT_ITEM).alias("line"))
+    return statement_text(customers, lines, F.lit(CARD_MOVEMENTS_HEADING.format(days=n)), CARD_MOVEMENTS_EMPTY.format(days=n))
+
+
+def loans_text(loans: DataFrame, customers: DataFrame) -> DataFrame:
+    """G6 over V5, in order of the loan id."""
+    lines = loans_view(loans).withColumn("line", fill(LOAN_ITEM))
+    keyed = lines.withColumn("pos", F.struct("loan_ref", "next_due_date", "line"))
+    return statement_text(customers, keyed, F.lit(LOANS_HEADING), LOANS_EMPTY)
+
+
+def loan_eligibility_text(elig: DataFrame, customers: DataFrame) -> DataFrame:
+    """G6 over V6: the offer, or why there is none; a customer without an answer is not eligible."""
+    j = customers.select("customer_id").distinct().join(loan_eligibility_view(elig), "customer_id", "left")
+    no = fill(NO_OFFER_TEXT, reason=F.coalesce("reason", F.lit(DEFAULT_REASON)))
+    return j.select("customer_id", F.when(F.col("eligible"), fill(OFFER_TEXT)).otherwise(no).alias("text"))
+
+
+def transfer_limits_text(silver_txns: DataFrame, customers: DataFrame, as_of: str,
+                         daily_limit: float = DAILY_TRANSFER_LIMIT, monthly_limit: float = MONTHLY_TRANSFER_LIMIT) -> DataFrame:
+    """G6 over V7: every customer of the list, with nothing used where no transfer is on record for the day or month."""
+    day = F.lit(as_of).cast("date")
+    on = F.to_date("fecha_transaccion")
+    used = (silver_txns.filter((F.col("tipo_transaccion_desc") == "TRANSFERENCIA") & (on >= F.trunc(day, "month")) & (on <= day))
+            .groupBy(F.col("cuenta_id").alias("customer_id"))
+            .agg(F.sum(F.when(on == day, F.col("monto"))).alias("d"), F.sum("monto").alias("m")))
+    j = customers.select("customer_id").distinct().join(used, "customer_id", "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("decimal(18,2)"))
+    limit = lambda x: F.lit(x).cast("decimal(18,2)")
+    return j.select("customer_id", fill(
+        TRANSFER_TEXT, daily_used=money(zero("d")), daily_limit=money(limit(daily_limit)), monthly_used=money(zero("m")),
+        monthly_limit=money(limit(monthly_limit)),
+        daily_available=money(F.greatest(limit(daily_limit) - zero("d"), F.lit(0)))).alias("text"))

@@ -10,6 +10,10 @@ at the end, matching the Spark side.
 
 from __future__ import annotations
 
+import re
+
+from lakebank.operators import sessions, views
+
 AS_OF = "2001-08-01"
 PROCESSED_AT = "2001-08-02 00:00:00"
 
@@ -410,6 +414,38 @@ SELECT customer_id, day, CAST(daily_used AS DOUBLE) AS daily_used, CAST(20000 AS
 FROM d"""
 
 
+def _fill(template: str, **given: str) -> str:
+    """SQL for a fixed text with its names replaced by columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return " || ".join(f"'{x}'" if i % 2 == 0 else f"CAST({given.get(x, x)} AS VARCHAR)" for i, x in enumerate(parts))
+
+
+def _texts(lines: str, order: str, heading: str, empty: str) -> str:
+    return f"""WITH g AS (SELECT customer_id, count(*) AS n, string_agg(line, chr(10) ORDER BY {order}) AS body FROM ({lines}) t GROUP BY 1)
+SELECT c.cuenta_id AS customer_id, coalesce(g.n, 0) AS n_items,
+  CASE WHEN g.customer_id IS NULL THEN '{empty}' ELSE '{heading}' || chr(10) || g.body END AS text
+FROM ({ACCOUNTS}) c LEFT JOIN g ON g.customer_id = c.cuenta_id"""
+
+
+ORACLE["credit_cards_text"] = _texts(f"SELECT *, {_fill(views.CARD_ITEM)} AS line FROM ({CARDS_VIEW}) v", "card_id",
+                                     views.CARDS_HEADING, views.CARDS_EMPTY)
+ORACLE["card_movements_text"] = _texts(
+    f"SELECT *, {_fill(views.CARD_MOVEMENT_ITEM)} AS line FROM ({card_movements_sql(90)}) v", "date DESC, movement_id",
+    views.CARD_MOVEMENTS_HEADING.format(days=90), views.CARD_MOVEMENTS_EMPTY.format(days=90))
+ORACLE["loans_text"] = _texts(f"SELECT *, {_fill(views.LOAN_ITEM)} AS line FROM ({ORACLE['view_loans']}) v",
+                              "loan_ref, next_due_date, line", views.LOANS_HEADING, views.LOANS_EMPTY)
+ORACLE["loan_eligibility_text"] = f"""SELECT c.cuenta_id AS customer_id,
+  CASE WHEN v.eligible THEN {_fill(views.OFFER_TEXT)} ELSE {_fill(views.NO_OFFER_TEXT, reason="coalesce(reason, 'No disponible')")} END AS text
+FROM ({ACCOUNTS}) c LEFT JOIN ({ORACLE['view_loan_eligibility']}) v ON v.customer_id = c.cuenta_id"""
+ORACLE["transfer_limits_text"] = f"""WITH u AS (
+  SELECT cuenta_id, sum(CASE WHEN CAST(fecha_transaccion AS DATE) = DATE '2001-07-16' THEN monto END) AS d, sum(monto) AS m
+  FROM ({SILVER}) s WHERE tipo_transaccion_desc = 'TRANSFERENCIA' AND CAST(fecha_transaccion AS DATE) BETWEEN DATE '2001-07-01' AND DATE '2001-07-16'
+  GROUP BY 1)
+SELECT c.cuenta_id AS customer_id, {_fill(views.TRANSFER_TEXT, daily_used=_money('d'), daily_limit=_money('20000'), monthly_used=_money('m'),
+                                          monthly_limit=_money('200000'), daily_available=_money('greatest(20000 - coalesce(d, 0), 0)'))} AS text
+FROM ({ACCOUNTS}) c LEFT JOIN u ON u.cuenta_id = c.cuenta_id"""
+
+
 # ---------------------------------------------------------------- sessions and cache
 
 MESSAGES = "SELECT conv_id AS session_id, turn, role, text FROM conversations"
@@ -435,24 +471,7 @@ ORACLE["session_history"] = f"""SELECT session_id, count(*) AS n_messages, strin
   md5(string_agg(text, chr(10) ORDER BY pos)) AS digest
 FROM ({history_trim_sql(5)}) h WHERE role IN ('system', 'user', 'assistant') GROUP BY 1"""
 
-SYSTEM_PROMPT_SQL = """Eres un asistente bancario virtual inteligente del banco.
-Ayudas a los clientes con consultas sobre sus productos digitales:
-  - Tarjetas de crédito digitales
-  - Cuentas en soles y dólares
-  - Préstamos digitales
-  - Transferencias y operaciones
-
-Reglas estrictas:
-1. NUNCA inventes saldos, tasas ni datos financieros. Usa SIEMPRE las funciones disponibles.
-2. Si el cliente pide operaciones (transferencias, pagos), confirma antes de ejecutar.
-3. Responde SIEMPRE en el mismo idioma que usa el cliente.
-4. Para datos sensibles, muestra solo los últimos 4 dígitos de cuentas/tarjetas.
-5. Si detectas actividad sospechosa, escala al equipo humano.
-6. Sé conciso, preciso y empático.
-
-Contexto adicional de la base de conocimiento del banco:
-Sin contexto adicional disponible.
-"""
+SYSTEM_PROMPT_SQL = sessions.SYSTEM_PROMPT.replace("{rag_context}", sessions.NO_CONTEXT)
 
 ORACLE["prompt_assembly"] = f"""SELECT session_id, turn, n_prior, n_prior = 0 AS system_added,
   n_prior + 1 + CASE WHEN n_prior = 0 THEN 1 ELSE 0 END AS prompt_size,

@@ -342,6 +342,41 @@ def q_view_transfer_limits(spark, d):
     return views.transfer_limits(M.silver_txns_for(spark, d))
 
 
+@register("credit_cards_text")
+def q_credit_cards_text(spark, d):
+    """G6 over V3: one card text per customer (fixed message when none)."""
+    from lakebank.operators import views
+    return views.credit_cards_text(_cards(spark, d), _customers(spark, d))
+
+
+@register("card_movements_text")
+def q_card_movements_text(spark, d):
+    """G6 over V4: purchases of the last 90 days per customer."""
+    from lakebank.operators import views
+    return views.card_movements_text(FX.card_movements(M.silver_txns_for(spark, d)), _customers(spark, d), FX.AS_OF, 90)
+
+
+@register("loans_text")
+def q_loans_text(spark, d):
+    """G6 over V5: one loan text per customer."""
+    from lakebank.operators import views
+    return views.loans_text(FX.loans(spark, d), _customers(spark, d))
+
+
+@register("loan_eligibility_text")
+def q_loan_eligibility_text(spark, d):
+    """G6 over V6: the offer or the reason per customer."""
+    from lakebank.operators import views
+    return views.loan_eligibility_text(FX.eligibility(spark, d), _customers(spark, d))
+
+
+@register("transfer_limits_text")
+def q_transfer_limits_text(spark, d):
+    """G6 over V7: use of the day and month for every customer."""
+    from lakebank.operators import views
+    return views.transfer_limits_text(M.silver_txns_for(spark, d), _customers(spark, d), "2001-07-16")
+
+
 # ---------------------------------------------------------------- sessions and cache
 
 def _long(df, *cols):
