@@ -5,24 +5,20 @@ rank fusion, score fallback filter, context text and document upsert
 The reference calls a hosted search index one query at a time. Here a whole
 query set is answered in one job:
 
-* **k-NN (J3)**: the query vectors are broadcast in blocks whose size is
-  checked (``max_broadcast_queries`` vectors per block); each corpus partition
-  scores its rows against a block with one matrix product and keeps only a
-  running top-k per query (``mapInPandas``), so at most k rows per query per
-  partition are shuffled -- no cross join, no all-pairs output. A final
-  ``row_number`` keeps k per query.
+* **k-NN (J3)**: corpus and queries are dealt into tiles; each pair of tiles is
+  one co-group, scored with matrix products, and sends on k rows per query --
+  no cross join, no all-pairs output, nothing collected or broadcast, no job
+  while the plan is built. A final ``row_number`` keeps k per query.
 * **BM25 (J4)**: documents are tokenised with built-in ``split``/``explode``;
-  tokens are pruned to the query vocabulary (broadcast semi-join, bounded by
-  the query set) before the term-frequency aggregate; document frequencies
+  tokens are pruned to the query vocabulary (semi-join) before the term-frequency aggregate; document frequencies
   come from the same aggregate; query terms join postings on the term.
 * **Fusion (J5)**: reciprocal rank fusion (Cormack, Clarke, Buettcher 2009),
-  constant 60, over the top-``depth`` of each list.
+  constant 60, over the vector list cut at ``top_k`` and the whole keyword list.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,93 +35,66 @@ CONTEXT_ITEM = "\n[Fuente {i} | Relevancia: {score}]\n{content}"
 RRF_K = 60
 BM25_K1, BM25_B = 1.2, 0.75
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
-FUSION_DEPTH = 50
-MAX_BROADCAST_QUERIES = 20000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_BROADCAST_TERMS = 2_000_000
 
 
-def _topk_block(qids: np.ndarray, qmat: np.ndarray, k: int, sub: int = 512):
-    """mapInPandas body: running top-k per query over the partition's rows.
-
-    Scores are computed ``sub`` queries at a time, so the score matrix held in
-    memory is at most ``sub`` x (Arrow batch rows) doubles.
-    """
-    def merge(bs, bi, s, ids, keep):
-        cs = np.concatenate([bs, s], axis=1)
-        ci = np.concatenate([bi, np.broadcast_to(ids, s.shape)], axis=1)
-        # order by score desc, then id asc (stable sort over the id order)
-        order = np.argsort(ci, axis=1, kind="stable")
-        cs, ci = np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
-        order = np.argsort(-cs, axis=1, kind="stable")[:, :keep]
-        return np.take_along_axis(cs, order, 1), np.take_along_axis(ci, order, 1)
-
-    def run(batches):
-        m = len(qids)
-        best_s = [np.full((min(sub, m - a), 0), -np.inf) for a in range(0, m, sub)]
-        best_i = [np.empty((min(sub, m - a), 0), dtype=object) for a in range(0, m, sub)]
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            ids = pdf["id"].to_numpy(dtype=object)
-            mat = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"].to_numpy()])
-            for j, a in enumerate(range(0, m, sub)):
-                s = qmat[a:a + sub] @ mat.T                     # (sub, n)
-                keep = min(k, best_s[j].shape[1] + s.shape[1])
-                best_s[j], best_i[j] = merge(best_s[j], best_i[j], s, ids, keep)
-        if m and best_s[0].shape[1]:
-            bs, bi = np.concatenate(best_s), np.concatenate(best_i)
-            yield pd.DataFrame({"query_id": np.repeat(qids, bs.shape[1]),
-                                "id": bi.reshape(-1).astype(str), "score": bs.reshape(-1)})
+def _tile_topk(k: int, step: int = 256):
+    """Co-group body: k best corpus rows of a tile for each of its queries, ``step`` queries at a time."""
+    def run(corpus, queries):
+        import pyarrow as pa
+
+        out: list = [[], [], []]
+        if corpus.num_rows and queries.num_rows:
+            matrix = lambda t: np.array(t["vec"].to_pylist(), np.float64)
+            ids = np.array(corpus["id"].to_pylist(), dtype=object)
+            rank = np.empty(len(ids), np.int64)
+            rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))       # ties go by id, ranked once
+            c, q, qids = matrix(corpus), matrix(queries), queries["query_id"].to_pylist()
+            for a in range(0, len(q), step):
+                scores = q[a:a + step] @ c.T
+                keep = min(k, len(ids))
+                least = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1]
+                for i, row in enumerate(scores):
+                    near = np.flatnonzero(row >= least[i])
+                    near = near[np.lexsort((rank[near], -row[near]))[:keep]]
+                    out[0] += [qids[a + i]] * len(near)
+                    out[1] += ids[near].tolist()
+                    out[2] += row[near].tolist()
+        return pa.Table.from_arrays([pa.array(out[0], queries.schema.field("query_id").type), pa.array(out[1], pa.string()),
+                                     pa.array(out[2], pa.float64())], names=["query_id", "id", "score"])
     return run
 
 
 def knn_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "id",
              vec_col: str = "content_vector", qid_col: str = "query_id", qvec_col: str = "query_vector",
-             max_broadcast_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+             corpus_tiles: int | None = None, query_tiles: int = 1) -> DataFrame:
     """Exact k nearest corpus vectors per query by dot product (cosine on
-    unit vectors). Output: query_id, rank, id, score."""
-    spark = corpus.sparkSession
-    q = queries.filter(F.col(qvec_col).isNotNull()).select(F.col(qid_col).alias("query_id"),
-                                                          F.col(qvec_col).alias("qv"))
-    pre = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qv")).alias("d")).first()   # one small job
-    n_q, dim = pre["n"], pre["d"] or 0
-    # queries per broadcast block: bounded by count and by bytes (float64 vectors)
-    per_block = max(1, min(max_broadcast_queries, MAX_BROADCAST_BYTES // max(1, 8 * dim)))
-    n_blocks = max(1, -(-n_q // per_block))
-    c = spread(corpus.filter(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("string").alias("id"),
-                                                               F.col(vec_col).alias("vec")))
+    unit vectors). Output: query_id, rank, id, score.
+
+    A task holds one corpus tile and one query tile: choose their numbers (by
+    default the session's shuffle partitions, and one) so that both fit. Queries
+    are shuffled once per corpus tile, corpus rows once per query tile.
+    """
+    tiles = corpus_tiles or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    c = corpus.filter(F.col(vec_col).isNotNull()).select(
+        deal(F.col(id_col), tiles).alias("t"), each(query_tiles).alias("u"), F.col(id_col).cast("string").alias("id"), F.col(vec_col).alias("vec"))
+    q = queries.filter(F.col(qvec_col).isNotNull()).select(
+        each(tiles).alias("t"), deal(F.col(qid_col), query_tiles).alias("u"), F.col(qid_col).alias("query_id"), F.col(qvec_col).alias("vec"))
     schema = T.StructType([T.StructField("query_id", queries.schema[qid_col].dataType),
                            T.StructField("id", T.StringType()), T.StructField("score", T.DoubleType())])
-    parts = []
-    for b in range(n_blocks):
-        blk = q if n_blocks == 1 else q.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b)
-        rows = blk.collect()              # one block: bounded by per_block (count and bytes checked)
-        if not rows:
-            continue
-        qids = np.array([r[0] for r in rows])
-        qmat = np.stack([np.asarray(r[1], dtype=np.float64) for r in rows])
-        try:
-            bc = spark.sparkContext.broadcast((qids, qmat))
-            fn = (lambda it, bc=bc: _topk_block(bc.value[0], bc.value[1], k)(it))
-        except Exception:  # noqa: BLE001 -- no SparkContext (Spark Connect): ship the block with the function
-            fn = _topk_block(qids, qmat, k)
-        parts.append(c.mapInPandas(fn, schema))
-    if not parts:
-        return spark.createDataFrame([], schema.add("rank", T.LongType()))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    return top_per_query(cand, "score", k)
-
-
-def top_per_query(df: DataFrame, score: str, k: int, qid: str = "query_id", id_col: str = "id") -> DataFrame:
+    best = c.groupBy("t", "u").cogroup(q.groupBy("t", "u")).applyInArrow(_tile_topk(k), schema)
+    return top_per_query(best, "score", k)
+
+
+def top_per_query(df: DataFrame, score: str, k: int | None, qid: str = "query_id", id_col: str = "id") -> DataFrame:
     """Keep k rows per query by ``score`` desc, ``id`` asc; ``rank`` 1..k.
 
     ``row_number() <= k`` plans as WindowGroupLimit, partial before the
     shuffle, so a query matching every document ships k rows per map task."""
     w = Window.partitionBy(qid).orderBy(F.desc(score), F.asc(id_col))
-    return (df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k)
+    ranked = df.withColumn("__rn", F.row_number().over(w))
+    return ((ranked if k is None else ranked.filter(F.col("__rn") <= k))
             .withColumn("rank", F.col("__rn").cast("long")).drop("__rn"))
 
 
@@ -134,10 +103,10 @@ def tokens(text: str) -> F.Column:
     return F.filter(F.split(F.lower(F.col(text)), TOKEN_SPLIT), lambda t: F.length(t) > 0)
 
 
-def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "id",
+def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int | None = TOP_K, id_col: str = "id",
                  text_col: str = "content", qid_col: str = "query_id", qtext_col: str = "query_text",
                  k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """BM25 top-k documents per query. Output: query_id, rank, id, score, raw_score.
+    """BM25 top-k documents per query (``k`` None: all that match). Output: query_id, rank, id, score, raw_score.
 
     One tokenising pass: ``split`` + ``explode`` with a codegen'd empty-token
     filter; the document length comes from the same split array. Tokens are
@@ -147,10 +116,8 @@ def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col:
     """
     qt = (queries.select(F.col(qid_col).alias("query_id"), F.explode(tokens(qtext_col)).alias("term"))
           .distinct())
-    vocab = qt.select("term").distinct()
-    # the query vocabulary is broadcast only under a checked size; above it the
-    # semi-join is left to the planner (shuffle join, AQE skew splitting)
-    vocab_side = F.broadcast(vocab) if vocab.count() <= MAX_BROADCAST_TERMS else vocab
+    # broadcast or shuffled as the planner measures it
+    vocab_side = qt.select("term").distinct()
     # ids keep their stored type through explode / join / aggregate (cheap
     # hashing of bigint ids); they become strings only for the final ranking
     docs = spread(corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("t0"))).select(
@@ -186,9 +153,13 @@ def keyword_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col:
 
 
 def hybrid_topk(vector_hits: DataFrame, keyword_hits: DataFrame, k: int = TOP_K,
-                rrf_k: int = RRF_K) -> DataFrame:
-    """Reciprocal rank fusion of two ranked lists (each cut to its depth
-    by the caller), full outer join on (query, id), top-k by fused score."""
+                rrf_k: int = RRF_K, vector_depth: int | None = TOP_K, keyword_depth: int | None = None) -> DataFrame:
+    """Reciprocal rank fusion of two ranked lists, full outer join on
+    (query, id), top-k by fused score. The vector list counts to
+    ``vector_depth`` (the search asks for k neighbours), the keyword list to
+    ``keyword_depth`` (None: to its end)."""
+    vector_hits = vector_hits if vector_depth is None else vector_hits.filter(F.col("rank") <= vector_depth)
+    keyword_hits = keyword_hits if keyword_depth is None else keyword_hits.filter(F.col("rank") <= keyword_depth)
     v = vector_hits.select("query_id", "id", F.col("rank").alias("vector_rank"),
                            F.col("score").alias("vector_score"))
     kw = keyword_hits.select("query_id", "id", F.col("rank").alias("keyword_rank"),

@@ -50,24 +50,22 @@ def history_trim(messages: DataFrame, cap: int = HISTORY_CAP, key: str = "sessio
     system message plus the last ``cap - 1`` others, of which only user and
     assistant messages survive (other roles count towards the ``cap - 1``).
 
-    Counts come from a partial aggregate; the "last cap - 1" is a
-    ``row_number`` limit (WindowGroupLimit, also applied before the shuffle),
-    so a very long session never sorts in one task. ``pos`` is the stored
-    order: system messages first when trimmed.
+    Two scans: the sessions' totals (a partial aggregate), and a bucketed running
+    count of the other messages; what is left to the end follows from both, so
+    one filter decides and a very long session is split over turn blocks.
+    ``pos`` is the stored order: system messages first when trimmed.
     """
     role = F.col("role")
-    n = messages.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    m = messages.join(n, key)
-    small = m.filter(F.col("__n") <= cap).withColumn("__g", F.lit(0))
-    big = m.filter(F.col("__n") > cap)
-    sys_rows = big.filter(role == SYSTEM).withColumn("__g", F.lit(0))
-    w = Window.partitionBy(key).orderBy(F.desc(order))
-    recent = (big.filter((role != SYSTEM) | role.isNull())
-              .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= cap - 1)
-              .filter(role.isin(USER, ASSISTANT)).drop("__rn").withColumn("__g", F.lit(1)))
-    kept = small.unionByName(sys_rows).unionByName(recent)
-    pos = F.row_number().over(Window.partitionBy(key).orderBy("__g", order))
-    return kept.withColumn("pos", pos).drop("__n", "__g")
+    is_system = F.coalesce(role == SYSTEM, F.lit(False))
+    other = (~is_system).cast("int")
+    totals = messages.groupBy(F.struct(key).alias("__tk")).agg(F.count(F.lit(1)).alias("__n"), F.sum(other).alias("__all"))
+    m = running(messages, [key], [order], {"__upto": (other, "sum")}, bucket=block_bucket(order, TURN_BLOCK), keep_bucket=True)
+    m = m.join(totals, F.col(KEY) == F.col("__tk"))
+    small = F.col("__n") <= cap
+    recent = role.isin(USER, ASSISTANT) & (F.col("__all") - F.col("__upto") < cap - 1)
+    kept = m.filter(small | is_system | recent).withColumn("__g", (~small & ~is_system).cast("int"))
+    pos = F.row_number().over(Window.partitionBy(KEY).orderBy("__g", order))     # over what was kept: cap and the system messages
+    return kept.select(*messages.columns, pos.alias("pos"))
 
 
 def session_history(saved: DataFrame, key: str = "session_id", order: str = "pos") -> DataFrame:
@@ -83,33 +81,53 @@ def session_history(saved: DataFrame, key: str = "session_id", order: str = "pos
 
 def prompt_assembly(messages: DataFrame, contexts: DataFrame | None = None, key: str = "session_id",
                     order: str = "turn", cap: int = HISTORY_CAP) -> DataFrame:
-    """For every user turn, the prompt sent to the model: the saved
-    history before the turn, preceded by the system message (with retrieved
-    context or the fallback) only when that history is empty.
-
-    The saved history is trimmed at every save, so past ``cap`` messages it
-    holds the system messages plus the last ``cap - 1`` user/assistant ones.
-    Prior counts are running sums split by turn blocks.
+    """For every user turn, the prompt sent to the model: the saved and
+    loaded history before the turn (``messages``), preceded by the system
+    message -- with the retrieved context of ``contexts`` (key, order, context)
+    or the fallback -- only when that history is empty, then the turn itself.
+
+    The history is what ``history_trim`` keeps of the earlier messages: all up
+    to ``cap``; beyond, the system messages and of the last ``cap - 1`` others
+    those of user and assistant. Messages are numbered by bucketed running
+    counts, and a turn meets the ``cap`` others before it by equality joins on
+    the number, so a long session is not gathered in one task. System messages
+    are few per session and uncut, as in the reference.
     """
     role = F.col("role")
-    loaded = role.isin(*LOADED_ROLES).cast("int")
-    system = (role == SYSTEM).cast("int")
-    r = running(messages, [key], [order], {"__prior": (loaded, "sum"), "__sys": (system, "sum")},
+    is_system = F.coalesce(role == SYSTEM, F.lit(False))
+    m = running(messages, [key], [order], {"__n": (F.lit(1), "sum"), "__other": ((~is_system).cast("int"), "sum")},
                 bucket=block_bucket(order, TURN_BLOCK), include_current=False)
-    total = F.coalesce("__prior", F.lit(0)).cast("long")
-    n_sys = F.coalesce("__sys", F.lit(0)).cast("long")
-    saved = F.when(total > cap, n_sys + F.least(total - n_sys, F.lit(cap - 1))).otherwise(total)
-    users = r.filter(role == USER).withColumn("n_prior", saved)
+    m = m.withColumns({"__n": F.coalesce("__n", F.lit(0)), "__other": F.coalesce("__other", F.lit(0))})
+    users = m.filter(role == USER).select(key, order, "text", "__n", "__other")
+    ask = users.select(F.col(key).alias("__k"), F.col(order).alias("__at"), "__n", "__other")
+    reach = F.when(F.col("__n") <= cap, cap).otherwise(cap - 1)
+    # number of each message wanted: the last ``reach`` others before the turn
+    wanted = ask.select("__k", "__at", "__n", F.explode(F.when(F.col("__other") > 0, F.sequence(
+        F.greatest(F.col("__other") - reach, F.lit(0)), F.col("__other") - 1))).alias("__no"))
+    said = m.filter(role.isin(USER, ASSISTANT)).select(F.struct(key).alias("__mk"), "__other", order, "role", "text")
+    near = wanted.join(said, (F.struct(F.col("__k").alias(key)) == F.col("__mk")) & (F.col("__no") == F.col("__other")))
+    system = m.filter(is_system).select(F.struct(key).alias("__mk"), order, "role", "text")
+    above = ask.join(system, (F.struct(F.col("__k").alias(key)) == F.col("__mk")) & (F.col(order) < F.col("__at")))
+    line = F.struct((F.col("__n") > cap) & (role != SYSTEM), F.col(order), F.col("role"), F.col("text"))
+    cols = [F.col("__k"), F.col("__at"), line.alias("line")]
+    prior = (near.select(*cols).unionByName(above.select(*cols)).groupBy(F.struct(F.col("__k").alias(key)).alias("__mk"), "__at")
+             .agg(F.sort_array(F.collect_list("line")).alias("__lines")))           # of one turn: cap and the system messages
+    users = users.withColumn("__uk", F.struct(key)).join(prior, (F.col("__uk") == F.col("__mk")) & (F.col(order) == F.col("__at")), "left")
     if contexts is not None:
-        users = users.join(contexts.select(key, order, "context"), [key, order], "left")
+        users = users.join(contexts.select(F.struct(key).alias("__ck"), F.col(order).alias("__ct"), "context"),
+                           (F.col("__uk") == F.col("__ck")) & (F.col(order) == F.col("__ct")), "left")
     else:
         users = users.withColumn("context", F.lit(None).cast("string"))
     ctx = F.when(F.coalesce(F.length("context"), F.lit(0)) > 0, F.col("context")).otherwise(F.lit(NO_CONTEXT))
-    system_added = F.col("n_prior") == 0
     sys_text = F.replace(F.lit(SYSTEM_PROMPT), F.lit("{rag_context}"), ctx)
-    return users.select(key, order, "n_prior", system_added.alias("system_added"),
-                        (F.col("n_prior") + 1 + system_added.cast("long")).alias("prompt_size"),
-                        F.when(system_added, sys_text).alias("system_text"))
+    message = lambda r, t: F.struct(r.alias("role"), t.alias("text"))
+    history = F.transform(F.coalesce("__lines", F.array()), lambda x: message(x["role"], x["text"]))
+    added = F.col("__lines").isNull()
+    first = F.when(added, F.array(message(F.lit(SYSTEM), sys_text))).otherwise(history)
+    n = F.when(added, 0).otherwise(F.size("__lines")).cast("long")
+    return users.select(key, order, n.alias("n_prior"), added.alias("system_added"), (n + 1 + added.cast("long")).alias("prompt_size"),
+                        F.when(added, sys_text).alias("system_text"),
+                        F.concat(first, F.array(message(F.lit(USER), F.col("text")))).alias("messages"))
 
 
 def session_ttl(events: DataFrame, key: str, ts: str, id_col: str, ttl_seconds: int = SESSION_TTL_SECONDS,

@@ -473,18 +473,20 @@ FROM ({history_trim_sql(5)}) h WHERE role IN ('system', 'user', 'assistant') GRO
 
 SYSTEM_PROMPT_SQL = sessions.SYSTEM_PROMPT.replace("{rag_context}", sessions.NO_CONTEXT)
 
-ORACLE["prompt_assembly"] = f"""SELECT session_id, turn, n_prior, n_prior = 0 AS system_added,
+ORACLE["prompt_assembly"] = f"""WITH m AS ({MESSAGES}),
+u AS (SELECT session_id, turn FROM m WHERE role = 'user'),
+p AS (SELECT u.session_id, u.turn AS ask, m.turn, m.role, m.text,
+        count(*) OVER (PARTITION BY u.session_id, u.turn) AS n,
+        row_number() OVER (PARTITION BY u.session_id, u.turn, coalesce(m.role, '') = 'system' ORDER BY m.turn DESC) AS rn
+      FROM u JOIN m ON m.session_id = u.session_id AND m.turn < u.turn),
+h AS (SELECT session_id, ask AS turn, count(*) AS n_prior,
+        md5(string_agg(role || ': ' || text, chr(10) ORDER BY n > 20 AND role <> 'system', p.turn)) AS prior_md5
+      FROM p WHERE role IN ('system', 'user', 'assistant') AND (role = 'system' OR n <= 20 OR rn <= 19) GROUP BY 1, 2),
+x AS (SELECT u.*, coalesce(n_prior, 0) AS n_prior, prior_md5 FROM u LEFT JOIN h ON h.session_id = u.session_id AND h.turn = u.turn)
+SELECT session_id, turn, n_prior, n_prior = 0 AS system_added,
   n_prior + 1 + CASE WHEN n_prior = 0 THEN 1 ELSE 0 END AS prompt_size,
-  CASE WHEN n_prior = 0 THEN '{SYSTEM_PROMPT_SQL}' END AS system_text
-FROM (SELECT *, CASE WHEN tot > 20 THEN n_sys + least(tot - n_sys, 19) ELSE tot END AS n_prior FROM (
-  SELECT *, CAST(coalesce(sum(CASE WHEN role IN ('system', 'user', 'assistant') THEN 1 ELSE 0 END)
-        OVER (PARTITION BY session_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-        AS BIGINT) AS tot,
-    CAST(coalesce(sum(CASE WHEN role = 'system' THEN 1 ELSE 0 END)
-        OVER (PARTITION BY session_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-        AS BIGINT) AS n_sys
-  FROM ({MESSAGES}) m) y) x
-WHERE role = 'user'"""
+  CASE WHEN n_prior = 0 THEN '{SYSTEM_PROMPT_SQL}' END AS system_text, prior_md5
+FROM x"""
 
 
 def session_ttl_sql(ttl: int) -> str:
@@ -695,7 +697,7 @@ HYBRID = f"""SELECT * FROM (
     SELECT coalesce(v.query_id, k.query_id) AS query_id, coalesce(v.id, k.id) AS id,
       v.rank AS vector_rank, k.rank AS keyword_rank, v.score AS vector_score,
       coalesce(1.0::DOUBLE / (60 + v.rank), 0.0) + coalesce(1.0::DOUBLE / (60 + k.rank), 0.0) AS rrf_score
-    FROM ({knn_sql(50)}) v FULL OUTER JOIN ({bm25_sql(50)}) k ON v.query_id = k.query_id AND v.id = k.id) f) x
+    FROM ({knn_sql(3)}) v FULL OUTER JOIN ({bm25_sql(1 << 40)}) k ON v.query_id = k.query_id AND v.id = k.id) f) x
 WHERE rank <= 3"""
 
 ORACLE["hybrid_topk"] = f"""SELECT query_id, id, rank, vector_rank, keyword_rank, round(rrf_score, 6) AS rrf_score

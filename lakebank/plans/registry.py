@@ -412,7 +412,10 @@ def q_session_history(spark, d):
 def q_prompt_assembly(spark, d):
     """Prompt per user turn (system message only on an empty history)."""
     from lakebank.operators import sessions
-    return sessions.prompt_assembly(FX.messages(spark, d))
+    p = sessions.prompt_assembly(FX.messages(spark, d))
+    prior = F.slice("messages", F.lit(1), F.col("n_prior").cast("int"))
+    text = F.array_join(F.transform(prior, lambda x: F.concat(x["role"], F.lit(": "), x["text"])), "\n")
+    return p.withColumn("prior_md5", F.when(F.col("n_prior") > 0, F.md5(text))).drop("messages")
 
 
 def _session_ttl(spark, d, ttl):
@@ -585,7 +588,7 @@ def _keyword_hits(spark, d, k):
 
 def _hybrid(spark, d, k=3):
     from lakebank.operators import retrieval as R
-    return R.hybrid_topk(_vector_hits(spark, d, R.FUSION_DEPTH), _keyword_hits(spark, d, R.FUSION_DEPTH), k)
+    return R.hybrid_topk(_vector_hits(spark, d, k), _keyword_hits(spark, d, None), k, vector_depth=k)
 
 
 @register("knn_topk")
@@ -603,7 +606,7 @@ def q_keyword_topk(spark, d):
 
 @register("hybrid_topk")
 def q_hybrid_topk(spark, d):
-    """Reciprocal rank fusion of the top-50 vector and keyword lists, top 3."""
+    """Reciprocal rank fusion of the 3 nearest vectors and the whole keyword list, top 3."""
     return _rounded(_hybrid(spark, d).select("query_id", "id", "rank", "vector_rank", "keyword_rank",
                                             "rrf_score"), "rrf_score")
 

@@ -32,16 +32,12 @@ def register_views(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> Non
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition, but only when the input has fewer partitions
-    than the cluster can run at once.
+    """Deal the rows of a table of few files over the cluster's cores.
 
-    A large table stored as many files is already split by the scan, so this
-    is a no-op there; a table stored as one row group (one scan task) would
-    otherwise run CPU-heavy per-row work (tokenising, regex, vector math) on
-    a single core.
+    A large table stored as many files is already split by the scan and stays
+    as it is; a table of one file would otherwise run CPU-heavy per-row work
+    (tokenising, regex) on a single core. Decided from the scan's file list,
+    without running anything.
     """
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-    except Exception:  # noqa: BLE001 -- no RDD access (e.g. Spark Connect): leave the plan as is
-        return df
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if len(df.inputFiles()) < n else df
