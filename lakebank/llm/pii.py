@@ -152,7 +152,7 @@ def find(docs: DataFrame) -> DataFrame:
     """
     based = with_base(docs.select("doc_id", "text"))
     own = stored(based.select("doc_id", "_key", *[F.transform(f"_{k}", lambda x: F.struct(x["start"], x["stop"])).alias(f"_{k}") for k in KINDS]), "pii_base")
-    more = discovered(based)
+    more = stored(discovered(based), "pii_more")
     base = F.concat(*[named(k, F.col(f"_{k}")) for k in KINDS])
     both = F.concat(*[named(k, F.array_sort(F.concat(f"_{k}", places(k)))) for k in KINDS])
     out = own.join(more, "_key", "left").withColumn("more", F.coalesce("more", F.array().cast("array<struct<start:int,stop:int,kind:string>>")))
@@ -168,7 +168,8 @@ def op2_context_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans as one. Null texts stay null."""
     based = with_base(docs.select(F.struct("*").alias("_doc"), "text"))
-    more = discovered(with_base(docs.select("text")))
+    # written first, so that the planner knows its size before it decides whether texts must move
+    more = stored(discovered(with_base(docs.select("text"))), "pii_more")
     listed = "array<struct<start:int,stop:int,kind:string>>"
     spans_ = F.concat(*[F.transform(labelled(k), lambda x: F.struct(x["start"], x["stop"], x["kind"])) for k in KINDS],
                       F.coalesce("_more", F.array().cast(listed)))
