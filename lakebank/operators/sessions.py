@@ -44,6 +44,11 @@ Contexto adicional de la base de conocimiento del banco:
 TURN_BLOCK = 1024
 
 
+def with_session_id(requests: DataFrame, col: str = "session_id") -> DataFrame:
+    """Requests without a session id get a new one of their own (a random UUID: write it before it is used twice)."""
+    return requests.withColumn(col, F.coalesce(F.col(col), F.uuid()))
+
+
 def history_trim(messages: DataFrame, cap: int = HISTORY_CAP, key: str = "session_id",
                  order: str = "turn") -> DataFrame:
     """What ``save`` stores. Sessions over ``cap`` messages keep every

@@ -814,6 +814,14 @@ WHERE fecha_transaccion > (SELECT coalesce(max(o_orderdate), TIMESTAMP '2020-01-
                            FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01 00:00:00')
   AND fecha_transaccion <= TIMESTAMP '2001-06-30 00:00:00'"""
 
+ORACLE["bronze_cards"] = f"""SELECT tarjeta_id, cliente_id, tipo_tarjeta, estado_cod, _ingest_timestamp AS fecha_version, version_id,
+  CAST(year(_ingest_timestamp) AS INTEGER) AS year_partition, CAST(month(_ingest_timestamp) AS INTEGER) AS month_partition,
+  TIMESTAMP '{PROCESSED_AT}' AS _ingest_timestamp, 'mainframe_sql_replica' AS _source_system, 'batch-0001' AS _batch_id
+FROM ({RAW_CARDS}) r"""
+
+ORACLE["session_ids"] = """SELECT event_id AS request_id, event_id % 41 <> 0 AS given, event_id % 41 = 0 AS is_new,
+  CASE WHEN event_id % 41 <> 0 THEN 'S' || CAST(user_id AS VARCHAR) END AS session_id FROM events"""
+
 ORACLE["json_roundtrip"] = """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
   CASE WHEN props IS NULL THEN NULL ELSE '{"k":' || coalesce(CAST(CAST(json_extract(props, '$.k') AS BIGINT) AS VARCHAR), 'null') || '}' END AS json
 FROM events"""

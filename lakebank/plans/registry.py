@@ -796,6 +796,23 @@ def q_bronze_transactions(spark, d):
     return ingest.ingest_metadata(ingest.derive_partitions(inc, "fecha_transaccion"), M.PROCESSED_AT)
 
 
+@register("bronze_cards")
+def q_bronze_cards(spark, d):
+    """Bronze card versions: year / month partitions of the version date, ingest metadata."""
+    raw = FX.raw_cards(spark, d).withColumnRenamed("_ingest_timestamp", "fecha_version")
+    return ingest.ingest_metadata(ingest.derive_partitions(raw, "fecha_version"), M.PROCESSED_AT, batch_id="batch-0001")
+
+
+@register("session_ids")
+def q_session_ids(spark, d):
+    """Session id per request, a new one where it is missing (every 41st): the length and form of it."""
+    from lakebank.operators import sessions
+    given = FX.requests(spark, d).withColumn("session_id", F.when(F.col("request_id") % 41 != 0, F.col("session_id")))
+    out = sessions.with_session_id(given.withColumn("given", F.col("session_id").isNotNull()))
+    form = F.col("session_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    return out.select("request_id", "given", form.alias("is_new"), F.when(F.col("given"), F.col("session_id")).alias("session_id"))
+
+
 @register("json_roundtrip")
 def q_json_roundtrip(spark, d):
     """Cached JSON payloads decoded and encoded again (to_json / from_json)."""

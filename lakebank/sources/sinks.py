@@ -48,7 +48,8 @@ def save_table(df: DataFrame, name: str, partition_cols: Sequence[str] = (),
     if comment:
         props["comment"] = comment
     if props:
-        kv = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+        quoted = lambda x: "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        kv = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in props.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({kv})")
 
 

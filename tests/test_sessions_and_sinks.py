@@ -100,3 +100,11 @@ def test_prompt_assembly_uses_the_trimmed_history(spark):
     r = {x["turn"]: x["n_prior"] for x in sessions.prompt_assembly(m, cap=20).collect()}
     assert r[1] == 1 and r[19] == 19                 # up to the cap: whole history
     assert r[29] == 1 + 19                           # past it: system + last 19 others
+
+
+def test_table_comment_with_quotes(spark):
+    from lakebank.sources.sinks import save_table
+    save_table(spark.range(3).toDF("k"), "quoted_comment", comment="the bank's \\ table")
+    props = {r[0]: r[1] for r in spark.sql("SHOW TBLPROPERTIES quoted_comment").collect()}
+    assert props["comment"] == "the bank's \\ table"
+    spark.sql("DROP TABLE quoted_comment")
