@@ -297,7 +297,7 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES):
             .orderBy("h", "page_id", F.md5("html")).limit(sample).collect())   # a bounded sample
     rng = np.random.default_rng(11)
     hashes = WordHashes()
-    words = [html.escape(w) for r in rows for w in re.sub(r"<[^>]*>", " ", html.unescape(r.html[:4000])).split()] or ["word"]
+    words = [html.escape(w) for r in rows for w in re.sub(r"<[^>]*>", " ", html.unescape(r.html)).split()] or ["word"]
     samples = []
     for r in rows:
         for page in (r.html, varied(r.html, words, rng), varied(r.html, words, rng)):
