@@ -55,6 +55,18 @@ def pieces(batches: Iterator, rows: int, column: int = -1, nbytes: int = 8 << 20
                 yield batch.slice(start, rows)
 
 
+def hash_sample(df: DataFrame, rows: int, *keys) -> DataFrame:
+    """``rows`` rows of least hash of ``keys`` (all, if fewer): a bounded sample for fitting.
+
+    A threshold first lets about twice as many through, so what the tasks send
+    on for the cut does not grow with their number.
+    """
+    total = df.count()
+    h, range_ = F.xxhash64(*keys), 1 << 30
+    low = df.withColumn("_h", h).where(F.pmod("_h", F.lit(range_)) < int(range_ * min(1.0, 2 * rows / max(1, total))))
+    return low.orderBy(F.pmod("_h", F.lit(range_)), "_h").limit(rows).drop("_h")
+
+
 def running_total(df: DataFrame, group: str, order: list, weight: str, name: str) -> DataFrame:
     """Adds ``before`` and ``whole``: the group's weight before the row in ``order``, and in all.
 

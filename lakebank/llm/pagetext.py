@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebank.llm.common import pieces, table
+from lakebank.llm.common import hash_sample, pieces, table
 from lakebank.llm.neardup import WordHashes
 
 #: Bounds of the training sample: pages, and blocks of each. Width of the hashed vectors and of the recurrent state.
@@ -293,8 +293,8 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES):
     """Network fitted on ``sample`` pages chosen by hash, as they are and with varied surroundings."""
     import numpy as np
 
-    rows = (pages.where("html is not null").select("page_id", F.xxhash64("page_id").alias("h"), F.col("html").cast("string").alias("html"))
-            .orderBy("h", "page_id", F.md5("html")).limit(sample).collect())   # a bounded sample
+    known = pages.where("html is not null").select("page_id", F.col("html").cast("string").alias("html"), F.monotonically_increasing_id().alias("at"))
+    rows = sorted(hash_sample(known, sample, "page_id", "at").collect(), key=lambda r: (r.page_id or 0, r.html))   # a bounded sample
     rng = np.random.default_rng(11)
     hashes = WordHashes()
     words = [html.escape(w) for r in rows for w in re.sub(r"<[^>]*>", " ", html.unescape(r.html)).split()] or ["word"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebank.llm.common import pieces, table
+from lakebank.llm.common import hash_sample, pieces, table
 
 #: Bounds of the training sample: labelled documents, and lines of each.
 SAMPLE_DOCS, SAMPLE_LINES = 1000, 32
@@ -153,8 +153,8 @@ def fit(sequences: list[tuple[list[list[float]], int]], rounds: int = 150, rate:
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS):
     """Field fitted on a bounded sample: ``sample_docs`` labelled documents chosen by hash, the first lines of each."""
-    picked = (labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs))
+    known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    picked = hash_sample(known, sample_docs, "doc_id")
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()),
                            T.StructField("feats", T.ArrayType(T.ArrayType(T.DoubleType())))])
 
