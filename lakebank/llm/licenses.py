@@ -136,8 +136,12 @@ NOTICES = [
 #: Confidence of a detection by tier: tags and notices, grants and addresses, mentions.
 CONFIDENCE = {1: 1.0, 2: 0.9, 3: 0.5}
 
+#: Words that a grant opens with.
+GRANTS = r"(?:licensed|released|distributed|available|published|provided|covered|governed|redistributed)"
+
 #: A text without any of these holds no detection: every rule below needs one of them.
-GATE = (r"(?i)licen[cs]|copyright|spdx|creative[^0-9a-z]{0,9}commons|public[^0-9a-z]+domain|all[^0-9a-z]+rights|confidential|warranty|"
+GATE = (rf"(?i)licen[cs]|{GRANTS}[^0-9a-z]+(?:under|by)|"
+        r"copyright|spdx|creative[^0-9a-z]{0,9}commons|public[^0-9a-z]+domain|all[^0-9a-z]+rights|confidential|warranty|"
         r"redistribut|permission|advertising|endorse|waived|unencumbered|(?<![0-9a-z])cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by(?![0-9a-z])")
 
 
@@ -154,7 +158,7 @@ class Rule:
 
 def rules() -> list[Rule]:
     """All signatures in order: notices, then for each family its tag, its grant and its mention."""
-    grant = r"(?:licensed|released|distributed|available|published|provided|covered|governed|redistributed) (?:under|by)(?: the terms of)?(?: the| a| an)?"
+    grant = rf"{GRANTS} (?:under|by)(?: the terms of)?(?: the| a| an)?"
     out = list(NOTICES)
     for label, (keyword, names) in FAMILIES.items():
         ending = r" licen[cs]e" if label in COMMON_WORDS else r"(?: licen[cs]e)?"

@@ -193,6 +193,40 @@ def test_licenses(spark):
     assert len(licenses.rules()) > 200
 
 
+def samples(parts):
+    """Texts that a parsed pattern matches: each alternative and both ends of each repeat, one change at a time."""
+    outs = [""]
+    for op, arg in parts:
+        name = str(op)
+        if name == "LITERAL":
+            some = [chr(arg)]
+        elif name == "SUBPATTERN":
+            some = samples(arg[3])
+        elif name == "BRANCH":
+            some = [x for branch in arg[1] for x in samples(branch)]
+        elif name in ("MAX_REPEAT", "POSSESSIVE_REPEAT"):
+            some = [x * n for n in sorted({arg[0], min(arg[1], arg[0] + 1)}) for x in samples(arg[2])]
+        elif name == "IN":
+            some = [chr(x if str(kind) == "LITERAL" else x[0]) for kind, x in arg[:1]]
+        elif name in ("ASSERT", "ASSERT_NOT"):
+            some = [""]
+        else:
+            raise ValueError(name)
+        outs = [outs[0] + x for x in some] + [x + some[0] for x in outs[1:]]
+    return list(dict.fromkeys(outs))
+
+
+def test_license_gate_lets_all_rules_through(spark):
+    short = ["This code is released under GPL v3", "Distributed under the LGPL 2.1.", "RELEASED\nUNDER CC0", "available under: MPL 2.0", "published  under GFDL"]
+    rows = list(enumerate(short))
+    got = rows_of(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).drop("detections"))
+    assert got == Counter((i, *license_row(t)) for i, t in rows)
+    assert [r[6] for r in sorted(got)] == ["gpl-3", "lgpl-2.1", "cc0-1", "mpl-2", "gfdl"]
+    for rule in licenses.rules():
+        for text in samples(re._parser.parse(rule.pattern)):
+            assert re.search(rule.pattern, f" {text} ") and re.search(licenses.GATE, text), (rule.label, text)
+
+
 def test_mix(spark, sf):
     got = mixing.op7_mix_sources(spark, sf).collect()
     rows = helpers.documents()
