@@ -16,7 +16,7 @@ WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Fixed phrases: consecutive words and their label.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Families: label -> (keyword that any of its names holds, regex of its names). Texts are
+#: Families: label -> (keywords, of which any of its names holds one, parted by "|"; regex of its names). Texts are
 #: words with single blanks: "BSD-3-Clause" reads "bsd 3 clause", "2.0" reads "2 0".
 FAMILIES = {
     "0bsd": ("bsd", r"0 ?bsd|bsd zero clause|zero clause bsd"),
@@ -48,11 +48,11 @@ FAMILIES = {
     "cddl-1": ("c", r"cddl 1 [01]|common development and distribution license(?: version)?(?: 1 [01])?"),
     "cecill-2": ("cecill", r"cecill 2(?: [01])?"),
     "cecill": ("cecill", r"cecill(?: [bc])?"),
-    "clear-bsd": ("clear bsd", r"clear bsd|bsd 3 clause clear"),
+    "clear-bsd": ("bsd", r"clear bsd|bsd 3 clause clear"),
     "cpl-1": ("c", r"common public license(?: version)?(?: 1 0)?|cpl 1 0"),
     "ecl-2": ("e", r"educational community license(?: version)?(?: 2 0)?|ecl 2 0"),
     "efl-2": ("e", r"eiffel forum license(?: version)?(?: 2)?|efl 2 0"),
-    "elastic-2": ("elastic", r"elastic(?: license)?(?: version)? 2 0|elv2"),
+    "elastic-2": ("elastic|elv2", r"elastic(?: license)?(?: version)? 2 0|elv2"),
     "epl-1": ("e", r"eclipse public license(?: v| version)? ?1 0|epl 1 0"),
     "epl-2": ("e", r"eclipse public license(?: v| version)? ?2 0|epl 2 0"),
     "eupl": ("eu", r"eupl(?: 1 [0-2])?|european union public licen[cs]e(?: v| version)?(?: ?1 [0-2])?"),
@@ -70,7 +70,7 @@ FAMILIES = {
     "lgpl": ("l", r"gnu lgpl|lgpl|gnu (?:lesser|library) general public license"),
     "lppl": ("l", r"latex project public license(?: version)?(?: 1 [0-3]c?)?|lppl"),
     "mit-0": ("mit", r"mit no attribution|mit 0"),
-    "mit": ("mit", r"mit|expat"),
+    "mit": ("mit|expat", r"mit|expat"),
     "mpl-1.1": ("m", r"mozilla public license(?: v| version)? ?1 1|mpl 1 1"),
     "mpl-2": ("m", r"mozilla public license(?: v| version)? ?2 0|mpl 2 0"),
     "mpl": ("m", r"mozilla public license"),
@@ -147,12 +147,12 @@ GATE = (rf"(?i)licen[cs]|{GRANTS}[^0-9a-z]+(?:under|by)|"
 
 @dataclass(frozen=True)
 class Rule:
-    """A signature: lower ``order`` goes first among equal spans; ``keyword`` is in every match."""
+    """A signature: lower ``order`` goes first among equal spans; one of the ``keywords`` is in every match."""
 
     order: int
     tier: int
     label: str
-    keyword: str
+    keywords: tuple[str, ...]
     pattern: str
 
 
@@ -165,7 +165,7 @@ def rules() -> list[Rule]:
         out.append((1, label, "spdx license identifier", rf"spdx license identifier (?:{names})(?: only| or later)?"))
         out.append((2, label, keyword, rf"{grant} (?:{names}){ending}"))
         out.append((3, label, keyword, rf"(?:{names}) licen[cs]e"))
-    return [Rule(i, tier, label, keyword, rf"(?<= )(?:{pattern})(?= )") for i, (tier, label, keyword, pattern) in enumerate(out)]
+    return [Rule(i, tier, label, tuple(keyword.split("|")), rf"(?<= )(?:{pattern})(?= )") for i, (tier, label, keyword, pattern) in enumerate(out)]
 
 
 HIT = "array<struct<start:int,back:int,tier:int,rule:int,label:string>>"
@@ -205,7 +205,7 @@ def scan(docs: DataFrame, ruleset: list[Rule] | None = None) -> DataFrame:
     """Per document: words, base phrases, labels, score and detections (array of start, stop, tier, label in code points of the word text).
 
     The text becomes lower-case words with single blanks. Texts that the gate
-    passes try the rules whose keyword they hold; a detection within another of
+    passes try the rules of which they hold a keyword; a detection within another of
     the same or a stronger tier gives way, of equal spans the first rule stays.
     The base phrases always count. ``score`` is the confidence of the strongest
     tier found, 0 without any. All in the row: no shuffle, no Python.
@@ -215,7 +215,7 @@ def scan(docs: DataFrame, ruleset: list[Rule] | None = None) -> DataFrame:
     """
     ruleset = rules() if ruleset is None else ruleset
     listed = F.array(*[F.struct(F.lit(r.order).alias("rule"), F.lit(r.tier).alias("tier"), F.lit(r.label).alias("label"),
-                                F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern")) for r in ruleset])
+                                F.array(*map(F.lit, r.keywords)).alias("keywords"), F.lit(r.pattern).alias("pattern")) for r in ruleset])
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("_text"))
     rows = rows.select("doc_id", F.regexp_count("_text", F.lit(WORDS)).cast("long").alias("n_words"),
@@ -224,7 +224,7 @@ def scan(docs: DataFrame, ruleset: list[Rule] | None = None) -> DataFrame:
     base = [F.struct(F.lit(-1 - i).alias("rule"), F.lit(2).alias("tier"), F.lit(label).alias("label"), F.lit(f"(?<= ){phrase}(?= )").alias("pattern"))
             for i, (phrase, label) in enumerate(PHRASES.items())]
     rows = rows.withColumn("_base", F.when(words.isNotNull(), F.concat(*[places(words, b) for b in base])))
-    tried = F.filter(listed, lambda r: F.contains(words, r["keyword"]))
+    tried = F.filter(listed, lambda r: F.exists(r["keywords"], lambda k: F.contains(words, k)))
     rows = rows.withColumn("_found", F.when(words.isNotNull(), survivors(F.flatten(F.transform(tried, lambda r: places(words, r))))))
     rows = rows.withColumn("_base", F.coalesce("_base", F.array().cast(HIT))).withColumn("_found", F.coalesce("_found", F.array().cast(HIT)))
     # a match starts behind a blank, and one blank stands before the first word

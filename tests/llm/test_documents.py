@@ -227,6 +227,16 @@ def test_license_gate_lets_all_rules_through(spark):
             assert re.search(rule.pattern, f" {text} ") and re.search(licenses.GATE, text), (rule.label, text)
 
 
+def test_license_keywords_are_in_all_names(spark):
+    rows = list(enumerate(["Licensed under the Expat License", "licensed under ELv2", "licensed under BSD-3-Clause-Clear", "Clear BSD license"]))
+    got = rows_of(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).drop("detections"))
+    assert got == Counter((i, *license_row(t)) for i, t in rows)
+    assert [r[6] for r in sorted(got)] == ["mit", "elastic-2", "clear-bsd", "clear-bsd"]
+    for rule in licenses.rules():
+        for text in samples(re._parser.parse(rule.pattern)):
+            assert any(k in text for k in rule.keywords), (rule.label, text)
+
+
 def test_mix(spark, sf):
     got = mixing.op7_mix_sources(spark, sf).collect()
     rows = helpers.documents()
