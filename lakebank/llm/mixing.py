@@ -70,7 +70,9 @@ def mix(docs: DataFrame, weights: list[int], share: float = 1.5, cap: float = 2.
     rows = (docs.select(F.struct("*").alias("_mix_doc"), "doc_id", "source", "text").withColumn("_mix_row", F.monotonically_increasing_id())
             .withColumn("_mix_size", word_count(F.col("text")))
             .withColumn("_mix_hash", F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")))
-    meta = stored(rows.select("source", *own), "mix_meta")
+    # written once: a row number taken anew in a second scan depends on how that scan is split
+    rows = stored(rows.drop("doc_id", "text"), "mix_rows")
+    meta = rows.select("source", *own)
     sizes = meta.groupBy("source").agg(F.sum("_mix_size").alias("source_size"))
     targets = stored(source_targets(sizes, weights, share, cap), "mix_targets")
     plan = targets.select("source", "source_size", "target",

@@ -108,8 +108,8 @@ def superminhash(sets: list, size: int):
     return sig
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """row, doc_id, n, same (hash of the whole set), sig (one byte per position) and bands (hashes) of every document."""
+def fingerprints(texts: DataFrame) -> DataFrame:
+    """From (row, doc_id, text): row, doc_id, n, same (hash of the whole set), sig (one byte per position) and bands (hashes) of every document."""
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("same", T.BinaryType()),
                            T.StructField("sig", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
     size = BANDS * ROWS
@@ -146,7 +146,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                 pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=schema.names)
 
-    return docs.select(F.monotonically_increasing_id(), F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return texts.select("row", "doc_id", "text").mapInArrow(run, schema)
 
 
 class Groups:
@@ -361,8 +361,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 FILTER_WORDS = 1 << 18
 
 
-def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, shingles) of the wanted rows (id, row), the full sets as bytes.
+def shingle_table(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, shingles) of the wanted rows (id, row) of (row, doc_id, text), the full sets as bytes.
 
     Before texts move, a bit filter of the wanted rows drops nearly all others;
     it has FILTER_WORDS rows at most, so it may be broadcast at any size. The
@@ -380,14 +380,25 @@ def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     h = F.xxhash64("row")
     word, bit = h.bitwiseAND(F.lit(FILTER_WORDS - 1)).alias("word"), F.shiftrightunsigned(h, 18).bitwiseAND(F.lit(63)).cast("int")
     bits = wanted.groupBy(word).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"))
+    rows = texts.select("row", "text")
     likely = (rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word")
               .where(F.getbit("bits", F.col("bit")) == 1).select("row", "text"))
     return likely.join(wanted, "row").select("id", "text").mapInArrow(run, "id long, shingles binary")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(row, doc): every document with its row number, written once. A number taken anew in a later scan
+    depends on how that scan is split, which changes with the executors at hand."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "dup_docs")
+
+
 def groups(docs: DataFrame) -> DataFrame:
-    """row (in the scan), doc_id, n_shingles, component_id and kept of every document.
+    """``row_groups`` of documents that have no row number yet."""
+    return row_groups(numbered(docs.select("doc_id", "text")))
+
+
+def row_groups(rows: DataFrame) -> DataFrame:
+    """From the stored (row, doc) of ``numbered``: row, doc_id, n_shingles, component_id and kept of every document.
 
     1. Every document's full shingle set gives a SuperMinHash signature and its
        bands. Equal sets form one class, of which the least doc_id goes on, so
@@ -404,24 +415,25 @@ def groups(docs: DataFrame) -> DataFrame:
     one doc_id are told apart only by their sets. Empty table: empty result.
     Other columns are not read.
     """
-    prints = stored(fingerprints(docs), "dup_prints")
+    texts = rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
+    prints = stored(fingerprints(texts), "dup_prints")
     whole = prints.where("same is not null and doc_id is not null")
     reps = stored(whole.groupBy("same").agg(F.min(F.struct("doc_id", "row", "n", "sig", "bands")).alias("r"))
                   .select("same", "r.doc_id", "r.row", "r.n", "r.sig", "r.bands").withColumnRenamed("doc_id", "id"), "dup_classes")
-    rows = reps.select("id", "n", F.explode("bands").alias("key"))
-    buckets = rows.groupBy("key").agg(F.count("*").alias("held"), F.sum("n").alias("size")).where("held > 1").select(
+    banded = reps.select("id", "n", F.explode("bands").alias("key"))
+    buckets = banded.groupBy("key").agg(F.count("*").alias("held"), F.sum("n").alias("size")).where("held > 1").select(
         "key", F.greatest(F.ceil(F.col("held") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
-    members = stored(rows.join(buckets, "key").join(reps.select("id", "sig"), "id"), "dup_members")
+    members = stored(banded.join(buckets, "key").join(reps.select("id", "sig"), "id"), "dup_members")
     tries = stored(likely_links(members), "dup_tries")
     ends = tries.select(F.col("u").alias("id")).union(tries.select("v"))
     at = reps.select("id", "row").groupBy("id").agg(F.min("row").alias("row"))
-    sets = stored(shingle_table(docs, at.join(ends.distinct(), "id", "left_semi")), "dup_sets")
+    sets = stored(shingle_table(texts, at.join(ends.distinct(), "id", "left_semi")), "dup_sets")
     links = stored(verified(tries, sets), "dup_links")
     comps = components(links, "dup_groups", contract)
     marked = members.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
     open_ = stored(open_members(marked), "dup_open")
     if not open_.isEmpty():
-        more = shingle_table(docs, at.join(open_.select("id").distinct(), "id", "left_semi"))
+        more = shingle_table(texts, at.join(open_.select("id").distinct(), "id", "left_semi"))
         links = stored(links.union(closing_links(open_, more)), "dup_all_links")
         comps = components(links, "dup_final", contract)
     # one row per class, then back to the documents by the class
@@ -437,11 +449,11 @@ def op8_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the first row with the component's smallest doc_id. Rows without doc_id all stay."""
-    found = stored(groups(docs), "dup_rows")
-    keep = found.where("kept").groupBy("doc_id").agg(F.min("row").alias("_row")).select("_row")
+    rows = numbered(docs)
+    found = stored(row_groups(rows), "dup_rows")
+    keep = found.where("kept").groupBy("doc_id").agg(F.min("row").alias("row")).select("row")
     keep = keep.union(found.where("doc_id is null").select("row"))
-    rows = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_row"))
-    return rows.join(keep, "_row", "left_semi").select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
+    return rows.join(keep, "row", "left_semi").select(*[F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 #: All pairs that share a shingle, compared on their full sets; smallest doc_id reachable in a recursive query.

@@ -1,6 +1,7 @@
 """Operators on documents against brute force, on awkward rows and on an empty table."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -8,7 +9,7 @@ from collections import Counter, defaultdict
 import helpers
 import pytest
 
-from lakebank.llm import licenses, mixing, neardup, pii, quality, sharding, tokens
+from lakebank.llm import common, licenses, mixing, neardup, pii, quality, sharding, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -348,6 +349,46 @@ def test_dedup_stage_keeps_one_of_each_group(spark, sf):
     assert sorted(x for x in kept if x is not None) == sorted(want) and kept.count(None) == 2
 
 
+@pytest.fixture
+def shifting(spark, tmp_path, monkeypatch):
+    """Documents in small files that every other scan splits in another way, as when executors come and go."""
+    key = "spark.sql.files.minPartitionNum"
+    rows = [(i, f"{t} {helpers.words(rng, 3)}" if i % 3 else t, "s") for rng in [random.Random(3)] for i in range(160) for t in [helpers.words(random.Random(i % 40), 80)]]
+    rows += [(7, "equal rows of the one document", "s")] * 80
+    for i in range(8):
+        spark.createDataFrame(rows[i::8], "doc_id long, text string, source string").coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    before, write = spark.conf.get(key, None), common.stored
+    turns = iter(range(10**6))
+
+    def stored(df, name):
+        out = write(df, name)
+        spark.conf.set(key, "64" if next(turns) % 2 == 0 else "1")
+        return out
+
+    spark.conf.set(key, "1")
+    for module in (neardup, mixing, common):
+        monkeypatch.setattr(module, "stored", stored)
+    yield rows, spark.read.parquet(str(tmp_path / "docs"))
+    spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_dedup_holds_when_scans_are_split_anew(spark, shifting):
+    rows, docs = shifting
+    rows = [r[:2] for r in rows if r[2] and r[0] != 7]
+    docs = docs.where("doc_id <> 7")
+    want = expected_groups(rows)
+    assert rows_of(neardup.groups(docs).drop("row")) == want
+    assert sorted(r.doc_id for r in neardup.stage_dedup(spark, docs, "").collect()) == sorted(i for i, _, _, k in want if k)
+
+
+def test_mix_of_equal_rows_when_scans_are_split_anew(spark, shifting):
+    _, docs = shifting
+    equal = docs.where("text = 'equal rows of the one document'")
+    for share in (0.3, 0.55, 0.8):
+        taken = sum(r["_mix_copies"] for r in mixing.mix(equal, [1], share, 2.0).collect())
+        assert abs(taken - share * 80) <= 0.5
+
+
 def test_kd_shards(spark, sf):
     got = sharding.op9_kd_shards(spark, sf).collect()
     rows = helpers.documents()
