@@ -17,8 +17,10 @@ SAMPLE_PAGES, SAMPLE_BLOCKS = 400, 120
 PATH, WORDS, NUMBERS, STATE = 96, 32, 6, 16
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe|select|object)\b[^>]*+(?:>|\Z).*?(?:</\1\s*+>|\Z)"""
+    r"""<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe)(?=[\s/>]|\Z)[^>]*+(?:>|\Z).*?(?:</\1\s*+>|\Z)"""
     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^'">])*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S | re.I)
+#: Elements left out with all they hold, if they end at all; of the others above a page can't show what follows.
+_SKIPPED = {name: re.compile(rf"</{name}\s*+>", re.I) for name in ("noscript", "template", "svg", "select", "object")}
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _VOID = frozenset("br hr img input meta link wbr source area base col embed param track".split())
 _BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure
@@ -33,7 +35,8 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
     """(text, tag path, share of linked characters) of the leaf blocks in page order.
 
     Comments and elements that hold no text of the page (scripts, styles, ...)
-    are left out; block elements part the text, all others only mark it up.
+    are left out, some of them only if they have an end tag; block elements
+    part the text, all others only mark it up.
     Unclosed and misnested tags, and a page that breaks off in one, are taken
     as far as they go.
     """
@@ -56,7 +59,8 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
 
     page = page or ""
     at = 0
-    for m in _TOKEN.finditer(page):
+    endless = set()
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             part = page[at:m.start()]
             text.append(part)
@@ -66,6 +70,11 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
         name = (m[3] or "").lower()
         if not name:
             continue
+        if name in _SKIPPED and not m[2] and name not in endless and not (name == "svg" and m[4].endswith("/")):
+            if end := _SKIPPED[name].search(page, at):
+                at = end.end()
+                continue
+            endless.add(name)   # none further on either: each name is searched for in vain once
         if name == "br":
             text.append(" ")
         if name in _BLOCK:

@@ -145,6 +145,21 @@ def test_blocks():
     assert not re.search("[<>]", " ".join(t for t, _, _ in got))
 
 
+@pytest.mark.parametrize("before", [
+    '<svg viewBox="0 0 1 1"/>', "<svg/>", "<svg />", "<svg-icon name=x></svg-icon>", "<select-menu></select-menu>", "<title-bar></title-bar>", "<template-part>",
+    "<object-view>", "<script-x>", "<svg>", "<select>", "<object data=x>", "<template>", "<noscript>", "<SVG/><Select>", "<svg><path d=x/><text>no</text></svg>",
+    "<select><option>no</select>", "<object>no</object >", "<template><p>no</p></template>", "<noscript>no</noscript>", "<svg/><svg>no</svg>"])
+def test_blocks_go_on_after(before):
+    got = [t for t, _, _ in pagetext.blocks(f"<body>{before}<article><p>one</p><p>two</p></article>")]
+    assert got == ["one", "two"]
+
+
+def test_blocks_end_with_unclosed_raw_text():
+    for name in ("script", "style", "textarea", "title", "iframe"):
+        assert [t for t, _, _ in pagetext.blocks(f"<p>one</p><{name} a=b>x<p>two</p>")] == ["one"]
+    assert len(pagetext.blocks("<object><p>x</p>" * 20_000)) == 20_000
+
+
 def test_lstm_gradients():
     net = pagetext.BiLstm(5, 3)
     rng = np.random.default_rng(0)
