@@ -6,20 +6,31 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakebank.llm.common import running_total, stored, table
 
 
-def axis(df: DataFrame, name: str) -> Column:
-    """A column as a number in its own order: strings by their first six UTF-8 bytes; null as 0."""
-    kind = df.schema[name].dataType.typeName()
-    if kind in ("string", "char", "varchar"):
-        head = F.rpad(F.hex(F.substring(F.encode(name, "UTF-8"), 1, 6)), 12, "0")
-        return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(0.0))
+def axis(name: str) -> Column:
+    """A number column as a double; null and NaN as 0."""
     value = F.col(name).cast("double")
     return F.coalesce(F.when(F.isnan(value), 0.0).otherwise(value), F.lit(0.0))
 
 
+def ranks(df: DataFrame, name: str) -> DataFrame:
+    """(_value, _rank): the distinct values of a string column in code-point order, from 1; without null.
+
+    A range-partitioned sort and one offset per task, so many values do not meet in one task.
+    """
+    task = F.shiftright("_at", 33).alias("_p")
+    values = stored(df.select(F.col(name).alias("_value")).where("_value is not null").distinct().orderBy("_value")
+                    .withColumn("_at", F.monotonically_increasing_id()), "kd_values")
+    # one row per sort task
+    offs = values.groupBy(task).agg(F.count("*").alias("_n")).select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_off"))
+    rank = F.col("_off") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return values.withColumn("_p", task).join(offs, "_p").select("_value", rank.cast("double").alias("_rank"))
+
+
 def kd_shards(rows: DataFrame, size: str, dims: list[str], leaves: int | None = None, target_bytes: int | None = None) -> DataFrame:
     """``rows`` with _shard (from 0) and _slot (gapless from 0 in the shard).
 
@@ -32,14 +43,20 @@ def kd_shards(rows: DataFrame, size: str, dims: list[str], leaves: int | None =
     whatever the size of a node. Ties along the dimension go by row number, so
     equal rows, a third of the table included, are cut too.
 
-    Null sizes count 0, null dimensions are 0. Empty table: empty result. Only
+    Strings count by their rank among the column's distinct values, so any
+    difference counts, however far in. Null sizes count 0, null dimensions are 0. Empty table: empty result. Only
     the total and the dimensions' ranges reach the driver. ``rows`` should be
     narrow (no texts) and must not use names starting with an underscore.
     """
     cols = rows.columns
     n = len(dims)
+    texts = {i: ranks(rows, c) for i, c in enumerate(dims) if rows.schema[c].dataType.typeName() in ("string", "char", "varchar")}
     rows = rows.withColumns({"_row": F.monotonically_increasing_id(), "_size": F.coalesce(F.col(size), F.lit(0)).cast("long"),
-                             **{f"_d{i}": axis(rows, c) for i, c in enumerate(dims)}})
+                             **{f"_d{i}": axis(c) for i, c in enumerate(dims) if i not in texts}})
+    for i, ranked in texts.items():
+        ranked = ranked.toDF(f"_v{i}", f"_r{i}")
+        rows = (rows.join(ranked, F.col(dims[i]) == F.col(f"_v{i}"), "left")
+                .withColumn(f"_d{i}", F.coalesce(f"_r{i}", F.lit(0.0))).drop(f"_v{i}", f"_r{i}"))
     rows = stored(rows, "kd_rows")
     spans = [F.max(f"_d{i}") - F.min(f"_d{i}") for i in range(n)]
     total, *width = rows.agg(F.coalesce(F.sum("_size"), F.lit(0)), *spans).head()

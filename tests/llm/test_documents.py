@@ -407,3 +407,11 @@ def test_kd_cuts_are_near_equal_also_for_equal_rows(spark):
     total = sum(r[1] for r in got)
     assert len(got) == 24 and all(abs(r[1] - total / 24) < 500 for r in got)
     assert sharding.kd_shards(df, "size", ["doc_id"], target_bytes=total // 5 + 1).select("_shard").distinct().count() == 5
+
+
+def test_kd_cuts_along_strings_with_a_common_beginning(spark):
+    df = spark.range(2000).selectExpr("1 as flat", "case when id % 500 > 0 then concat('https://site_', lpad(id * 7919 % 500, 4, '0')) end as source", "100L as size")
+    got = sharding.kd_shards(df, "size", ["flat", "source"], leaves=4).selectExpr("coalesce(source, '') as s", "_shard").groupBy("_shard").agg({"s": "array_agg"}).collect()
+    spans = sorted((min(r[1]), max(r[1]), len(r[1])) for r in got)
+    assert len(spans) == 4 and all(abs(n - 500) < 3 for *_, n in spans)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
