@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from paths import SF_MID
 from lakebank.operators import sessions
 from lakebank.operators.limits import rate_limit, rate_limit_replay
 from lakebank.plans import medallion as M

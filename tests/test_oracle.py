@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from lakebank.sources.tables import DRIVER_TABLES
 
 ORACLE = E.oracle_sql()
