@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lakebank.llm import licenses, mixing, neardup, pagetext, pii, quality, search, sharding, tokens, urls
+from lakebank.llm import langid, licenses, manifest, mixing, neardup, pagetext, phrases, pii, quality, search, sharding, tokens, urls
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,9 @@ QUERIES = {
     "op8_superminhash": neardup.op8_superminhash,
     "op9_kd_shards": sharding.op9_kd_shards,
     "op10_block_lstm": pagetext.op10_block_lstm,
+    "op11_ppm_language": langid.op11_ppm_language,
+    "op12_collocations": phrases.op12_collocations,
+    "op13_merkle_manifest": manifest.op13_merkle_manifest,
     "pipeline": pipeline,
 }
 
@@ -31,4 +34,6 @@ ORACLE = {
     "op5_url_aliases": urls.ORACLE,
     "op7_mix_sources": mixing.ORACLE,
     "op8_superminhash": neardup.ORACLE,
+    "op12_collocations": phrases.ORACLE,
+    "op13_merkle_manifest": manifest.ORACLE,
 }
