@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,11 +16,11 @@ from lakebank.llm.neardup import WordHashes, mix
 
 #: Longest phrase, least occurrences of a candidate, phrases reported per language.
 LONGEST, LEAST, TOP = 5, 100, 2000
-#: 64-bit words of the filter that keeps phrases with a rare part out of the stripes.
-#: A bound on what goes to every task; it saves work and decides nothing.
-FILTER_WORDS = 1 << 18
+#: Hash buckets in which phrases are counted a level ahead, and the bits of the filter that comes
+#: from them: bounds on what is counted and sent, whatever the input. They save work and decide nothing.
+BUCKET_BITS, RANGE_BITS, FILTER_WORDS = 28, 16, 1 << 18
 #: Bytes of text whose stripes a task merges before it sends them on.
-HELD_BYTES = 16 << 20
+HELD_BYTES = 8 << 20
 
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _STOP = bytes.maketrans(SEPARATORS + UPPER.encode(), b"." * len(SEPARATORS) + UPPER.lower().encode())
@@ -36,111 +39,145 @@ def word_stream(texts: list[str | None]) -> list[bytes]:
     return b".".join((t or "").encode() for t in texts).translate(_STOP).replace(b".", b" . ").split()
 
 
-def chain_hash(lang: str, columns):
-    """64-bit hashes of phrases given as one array of word hashes per place."""
-    import numpy as np
+def longer(hash_, word_hash):
+    return mix(hash_ * np.uint64(0x9E3779B97F4A7C15) + word_hash)
 
-    acc = np.full(len(columns[0]), WordHashes()[lang.encode()], np.uint64)
-    for column in columns:
-        acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + column)
-    return acc
 
+def grams(lang: str, ids, of_word, k: int, hashes: WordHashes):
+    """Hash of the ``k`` words from every place on, and whether they are words of one piece."""
+    m = max(0, len(ids) - k + 1)
+    h, whole = np.full(m, hashes[lang.encode()], np.uint64), np.ones(m, bool)
+    for j in range(k):
+        h, whole = longer(h, of_word[ids[j:m + j]]), whole & (ids[j:m + j] > 0)
+    return h, whole
 
-def stripes_of(lang: str, texts: list[str | None], k: int, keep, hashes: WordHashes):
-    """Stripes of one language's texts: (lang, prefix, next, n), one row per prefix of k - 1 words.
 
-    With ``keep`` (bits of the frequent phrases of k - 1 words) only phrases whose
-    first and last k - 1 words pass are counted. Prefixes are told apart by word
-    numbers, not hashes, so counts are exact.
-    """
-    import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
+def passes(keep, h):
+    """Whether the filter holds the bit of a hash (of the lowest bits of its bucket)."""
+    return (keep[(h & np.uint64(FILTER_WORDS - 1)).astype(np.int64)] >> (h >> np.uint64(FILTER_WORDS.bit_length() - 1) & np.uint64(63)) & np.uint64(1)).astype(bool)
+
 
+def read_part(lang: str, texts: list[str | None], k: int, keep, hashes: WordHashes):
+    """One language's stripes of phrases of ``k`` words, and the hashes of phrases of one word more.
+
+    Stripes are (prefix, next, n), one row per prefix of k - 1 words, or None. With ``keep`` (the filter of
+    level k) only phrases that pass are counted, and only phrases hashed whose first and last k words pass.
+    Words are told apart by numbers, not hashes, so counts are exact.
+    """
     numbers = Numbers({b".": 0})
     words = word_stream(texts)
     ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
     names = pa.array(list(numbers), pa.binary()).cast(pa.string())
-    v = len(numbers)
-    if k == 1:
-        count = np.bincount(ids, minlength=v)
-        prefix, at, next_, n = pa.array([""]), np.array([0]), np.arange(1, v), count[1:]
-    else:
-        of_word = np.fromiter((hashes[w] for w in numbers), np.uint64, v)
-        m = len(ids) - k + 2
-        if m < 2:
-            return None
-        whole = np.logical_and.reduce([ids[j:m + j] > 0 for j in range(k - 1)])
-        h = chain_hash(lang, [of_word[ids[j:m + j]] for j in range(k - 1)])
-        passed = whole & (keep[(h & np.uint64(FILTER_WORDS - 1)).astype(np.int64)] >> (h >> np.uint64(58)) & np.uint64(1)).astype(bool)
-        pos = np.flatnonzero(passed[:-1] & passed[1:])
-        code = ids[pos]
-        for j in range(1, k - 1):
-            code = np.unique(code * v + ids[pos + j], return_inverse=True)[1]
-        both, first, n = np.unique(code * v + ids[pos + k - 1], return_index=True, return_counts=True)
-        at = np.flatnonzero(np.r_[True, both[1:] // v != both[:-1] // v]) if len(both) else np.zeros(0, int)
-        pos = pos[first]
-        parts = [names.take(pa.array(ids[pos[at] + j])) for j in range(k - 1)]
-        prefix, next_ = pc.binary_join_element_wise(*parts, " "), ids[pos + k - 1]
-    offsets = pa.array(np.r_[at, len(next_)].astype(np.int32))
-    return pa.RecordBatch.from_arrays([
-        pa.array([lang] * len(prefix), pa.string()), prefix.cast(pa.string()),
-        pa.ListArray.from_arrays(offsets, names.take(pa.array(next_))),
-        pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int64)))], names=["lang", "prefix", "next", "n"])
-
-
-def stripes(texts: DataFrame, k: int, keep=None, held_bytes: int = HELD_BYTES) -> DataFrame:
-    """Merged stripes of all (lang, text): (lang, prefix, next, n), one row per element.
-
-    Tasks merge what they read; elementwise sums follow. A merged stripe is dealt
-    out by (prefix, next), so that of a very common prefix lies on many tasks.
-    """
+    of_word = np.fromiter((hashes[w] for w in numbers), np.uint64, len(numbers))
+    h, passed = grams(lang, ids, of_word, k, hashes)
+    if keep is not None:
+        passed &= passes(keep, h)
+    pos, v = np.flatnonzero(passed), len(numbers)
+    ahead = pos[:-1][pos[1:] == pos[:-1] + 1]
+    next_hashes = longer(h[ahead], of_word[ids[ahead + k]])
+    if not len(pos):
+        return None, next_hashes
+    code = ids[pos]
+    for j in range(1, k - 1):
+        code = np.unique(code * v + ids[pos + j], return_inverse=True)[1]
+    if k > 1:
+        code = code * v + ids[pos + k - 1]
+    both, first, n = np.unique(code, return_index=True, return_counts=True)
+    pos = pos[first]
+    at = np.flatnonzero(np.r_[True, both[1:] // v != both[:-1] // v])
+    prefix = pc.binary_join_element_wise(*[names.take(pa.array(ids[pos[at] + j])) for j in range(k - 1)], " ") if k > 1 else pa.array([""])
+    ends = pa.array(np.r_[at, len(pos)].astype(np.int32))
+    return (prefix.cast(pa.string()), pa.ListArray.from_arrays(ends, names.take(pa.array(ids[pos + k - 1]))),
+            pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int64)))), next_hashes
+
+
+def bucket_rows(hashes):
+    """Counts of the hashes' buckets as (range, places, counts): per range of buckets the touched places as uint16, and their counts (65,535 at most) as uint16."""
+    bucket, n = np.unique(hashes & np.uint64((1 << BUCKET_BITS) - 1), return_counts=True)
+    ranges = (bucket >> np.uint64(RANGE_BITS)).astype(np.int32)
+    place = (bucket & np.uint64((1 << RANGE_BITS) - 1)).astype(np.uint16).tobytes()
+    n = np.minimum(n, 65_535).astype(np.uint16).tobytes()
+    cuts = np.flatnonzero(np.r_[True, ranges[1:] != ranges[:-1]]) if len(ranges) else np.zeros(0, int)
+    return [(r, place[2 * a:2 * b], n[2 * a:2 * b]) for r, a, b in zip(ranges[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(ranges)])]
+
+
+LEVEL = "lang string, prefix string, next array<string>, n array<long>, range int, places binary, counts binary"
+
+
+def read_level(texts: DataFrame, k: int, keep, ahead: bool, held_bytes: int | None = None) -> DataFrame:
+    """Stripes of phrases of k words of (lang, text), merged over what a task holds at a time; with ``ahead`` also
+    bucket counts of phrases of one word more, in rows of their own (lang null)."""
+    bound = held_bytes or HELD_BYTES
 
     def run(batches):
         hashes = WordHashes()
 
         def flush(held):
+            counted = []
             for lang, part in held.items():
-                out = stripes_of(lang, part, k, keep, hashes)
-                if out is not None and out.num_rows:
-                    yield out
-
+                out, more = read_part(lang, part, k, keep, hashes)
+                counted.append(more)
+                if out:
+                    m = len(out[0])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), *out, pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], names=columns)
+            rows = bucket_rows(np.concatenate(counted)) if ahead and counted else []
+            for i in range(0, len(rows), 1024):
+                r, places, counts = zip(*rows[i:i + 1024])
+                empty = [pa.nulls(len(r), t) for t in (pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*empty, pa.array(r, pa.int32()), pa.array(places, pa.binary()), pa.array(counts, pa.binary())], names=columns)
+
+        columns = ["lang", "prefix", "next", "n", "range", "places", "counts"]
         held: dict[str, list] = {}
         size = 0
-        for batch in pieces(batches, 4096, 1, held_bytes):
+        for batch in pieces(batches, 4096, 1, bound):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.setdefault(lang, []).append(text)
             size += batch.column(1).nbytes
-            if size >= held_bytes:
+            if size >= bound:
                 yield from flush(held)
                 held, size = {}, 0
         yield from flush(held)
 
-    local = texts.mapInArrow(run, "lang string, prefix string, next array<string>, n array<long>")
-    return local.select("lang", "prefix", F.inline(F.arrays_zip("next", "n"))).groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, LEVEL)
+
 
+def merged(level: DataFrame) -> DataFrame:
+    """Elementwise sums of the stripes: (lang, prefix, next, n), one row per element.
+
+    A merged stripe is dealt out by (prefix, next), so that of a very common prefix lies on many tasks.
+    """
+    return (level.where("lang is not null").select("lang", "prefix", F.inline(F.arrays_zip("next", "n")))
+            .groupBy("lang", "prefix", "next").agg(F.sum("n").alias("n")))
 
-def bit_filter(phrases: DataFrame):
-    """Bits of the hashes of (lang, phrase), FILTER_WORDS words whatever the number of phrases: no frequent phrase fails."""
+
+def bucket_filter(level: DataFrame, least: int):
+    """Filter of the buckets with ``least`` phrases or more: no phrase that frequent fails, whatever shares its bucket.
+
+    A range of buckets is summed in one array of fixed size, its rows one after the other.
+    FILTER_WORDS words reach the driver at most.
+    """
+    floor = min(least, 65_535)
 
     def run(batches):
-        import numpy as np
-        import pyarrow as pa
+        last, total = None, None
+
+        def bits():
+            bucket = np.uint64(last << RANGE_BITS) + np.flatnonzero(total >= floor).astype(np.uint64)
+            word, bit = bucket & np.uint64(FILTER_WORDS - 1), np.uint64(1) << (bucket >> np.uint64(FILTER_WORDS.bit_length() - 1) & np.uint64(63))
+            return pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(bit.view(np.int64))], names=["word", "bits"])
 
-        hashes = WordHashes()
         for batch in batches:
-            words = [p.encode().split(b" ") for p in batch.column(1).to_pylist()]
-            h = np.zeros(len(words), np.uint64)
-            langs = np.array(batch.column(0).to_pylist(), object)
-            for lang in set(langs):
-                at = np.flatnonzero(langs == lang)
-                h[at] = chain_hash(lang, np.array([[hashes[w] for w in words[i]] for i in at], np.uint64).T)
-            word, bit = h & np.uint64(FILTER_WORDS - 1), np.uint64(1) << (h >> np.uint64(58))
-            yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(bit.view(np.int64))], names=["word", "bits"])
-
-    import numpy as np
-
-    rows = phrases.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+            for r, places, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if r != last:
+                    if last is not None:
+                        yield bits()
+                    last, total = r, np.zeros(1 << RANGE_BITS, np.int64)
+                total[np.frombuffer(places, np.uint16)] += np.frombuffer(counts, np.uint16)
+        if last is not None:
+            yield bits()
+
+    rows = level.where("range is not null").select("range", "places", "counts").repartition("range").sortWithinPartitions("range")
+    rows = rows.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
     keep = np.zeros(FILTER_WORDS, np.uint64)
     keep[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
     return keep
@@ -149,13 +186,14 @@ def bit_filter(phrases: DataFrame):
 def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP) -> DataFrame:
     """Each language's ``top`` phrases of 2 to ``longest`` words by their lowest cut score.
 
-    Level k counts phrases of k words as stripes: prefix -> next word. A phrase
-    with ``least`` occurrences has such parts only, so level k reads the texts
-    with a bit filter of level k - 1 and counts what passes exactly. From the
-    stripes come the extensions (elements of ``least`` or more), the totals of
-    all parts of a cut, and per phrase the largest count among its extensions to
-    either side: a phrase inside a longer candidate as frequent as itself is
-    inside one that is one word longer, so these maxima decide subsumption.
+    Level k counts phrases of k words as stripes: prefix -> next word. While it
+    reads the texts it also counts phrases of one word more in hash buckets; a
+    bucket below ``least`` holds no candidate, so the next level leaves its
+    phrases out and counts the others exactly. From the stripes come the
+    extensions (elements of ``least`` or more), the totals of all parts of a
+    cut, and per phrase the largest count among its extensions to either side: a
+    phrase inside a longer candidate as frequent as itself is inside one that is
+    one word longer, so these maxima decide subsumption.
 
     Null language: ``und``. Null or empty text, and pieces without a word: none.
     Long texts are read whole. Repeated rows count as often as they stand there.
@@ -164,13 +202,18 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     texts = texts.where("text <> ''")
-    words = stored(stripes(texts, 1), "phrase_words")
+    level = stored(read_level(texts, 1, None, longest > 1), "phrase_level")
+    words = stored(merged(level), "phrase_words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     found = [words.where(F.col("n") >= least).select("lang", "prefix", "next", F.col("next").alias("phrase"), F.lit(1).alias("len"), "n")]
-    while len(found) < longest and not found[-1].isEmpty():
-        keep = bit_filter(found[-1].select("lang", "phrase"))
-        level = stripes(texts, len(found) + 1, keep).where(F.col("n") >= least)
-        found.append(stored(level.select("lang", "prefix", "next", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.lit(len(found) + 1).alias("len"), "n"), "phrase_stripes"))
+    while len(found) < longest:
+        keep = bucket_filter(level, least)
+        if not keep.any():
+            break
+        k = len(found) + 1
+        level = stored(read_level(texts, k, keep, k < longest), "phrase_level")
+        found.append(stored(merged(level).where(F.col("n") >= least).select(
+            "lang", "prefix", "next", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.lit(k).alias("len"), "n"), "phrase_stripes"))
     every = reduce(DataFrame.unionByName, found)
     counts = every.select("lang", "phrase", "n")
 

@@ -165,13 +165,19 @@ def test_scores_beyond_64_bits(spark):
 
 
 def test_filter_keeps_every_frequent_phrase(spark):
-    frame = spark.createDataFrame([("en", f"w{i} v{i % 7}") for i in range(500)] + [("de", "é ß")], "lang string, phrase string")
-    keep = phrases.bit_filter(frame)
+    rng = random.Random(1)
+    docs = [("en", " ".join(rng.choice("abcdefghij") for _ in range(50))) for _ in range(30)] + [("de", "é ß " * 40)]
+    level = phrases.read_level(spark.createDataFrame(docs, "lang string, text string").repartition(3), 1, None, True)
+    keep = phrases.bucket_filter(level, 20)
     hashes = phrases.WordHashes()
-    for lang, phrase in frame.collect():
-        h = int(phrases.chain_hash(lang, [np.array([hashes[w.encode()]], np.uint64) for w in phrase.split()])[0])
-        assert int(keep[h & phrases.FILTER_WORDS - 1]) >> (h >> 58) & 1
-    assert len(keep) == phrases.FILTER_WORDS
+    count = Counter((lang, pair) for lang, text in docs for pair in zip(text.split(), text.split()[1:]))
+    let = 0
+    for (lang, pair), n in count.items():
+        h, whole = phrases.grams(lang, np.array([1, 2]), np.array([0, *(hashes[w.encode()] for w in pair)], np.uint64), 2, hashes)
+        held = bool(phrases.passes(keep, h)[0])
+        assert whole.all() and (held or n < 20)
+        let += held
+    assert sum(n >= 20 for n in count.values()) <= let < len(count)
 
 
 # -- manifest ---------------------------------------------------------------------------------------------------------
