@@ -7,9 +7,10 @@ query set is answered in one job:
 
 * **k-NN (J3)**: corpus and queries are dealt into tiles; each pair of tiles is
   one co-group, scored with matrix products, and sends on k rows per query --
-  no cross join, no all-pairs output, nothing collected or broadcast, no job
-  while the plan is built. A final ``row_number`` keeps k per query.
-* **BM25 (J4)**: documents are tokenised with built-in ``split``/``explode``;
+  no cross join, no all-pairs output, nothing collected or broadcast. A final
+  ``row_number`` keeps k per query. ``lsh.knn_lsh`` is the approximate form.
+* **BM25 (J4)**, in one pass for whole match lists (``keyword_index`` answers
+  top-k queries and fuses by counting): documents are tokenised with built-in ``split``/``explode``;
   tokens are pruned to the query vocabulary (semi-join) before the term-frequency aggregate; document frequencies
   come from the same aggregate; query terms join postings on the term.
 * **Fusion (J5)**: reciprocal rank fusion (Cormack, Clarke, Buettcher 2009),
@@ -34,6 +35,8 @@ CONTEXT_ITEM = "\n[Fuente {i} | Relevancia: {score}]\n{content}"
 # Published constants.
 RRF_K = 60
 BM25_K1, BM25_B = 1.2, 0.75
+#: Rows of the tiles that meet in one task of the exact k-NN.
+CORPUS_TILE, QUERY_TILE = 2048, 4096
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -66,15 +69,16 @@ def _tile_topk(k: int, step: int = 256):
 
 def knn_topk(corpus: DataFrame, queries: DataFrame, k: int = TOP_K, id_col: str = "id",
              vec_col: str = "content_vector", qid_col: str = "query_id", qvec_col: str = "query_vector",
-             corpus_tiles: int | None = None, query_tiles: int = 1) -> DataFrame:
+             corpus_tiles: int | None = None, query_tiles: int | None = None) -> DataFrame:
     """Exact k nearest corpus vectors per query by dot product (cosine on
     unit vectors). Output: query_id, rank, id, score.
 
-    A task holds one corpus tile and one query tile: choose their numbers (by
-    default the session's shuffle partitions, and one) so that both fit. Queries
-    are shuffled once per corpus tile, corpus rows once per query tile.
+    A task holds one corpus tile and one query tile: about CORPUS_TILE and
+    QUERY_TILE rows by default, whatever the tables' sizes (two counts run).
+    Queries are shuffled once per corpus tile, corpus rows once per query tile.
     """
-    tiles = corpus_tiles or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = corpus_tiles or max(1, -(-corpus.count() // CORPUS_TILE))
+    query_tiles = query_tiles or max(1, -(-queries.count() // QUERY_TILE))
     deal = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     c = corpus.filter(F.col(vec_col).isNotNull()).select(

@@ -579,16 +579,17 @@ def _vector_hits(spark, d, k):
     return R.knn_topk(FX.documents_index(spark, d), FX.search_queries(spark, d), k)
 
 
-def _keyword_hits(spark, d, k):
-    from lakebank.operators import retrieval as R
+def _keyword_search(spark, d):
+    """Index of the documents, written once, and the benchmark items as its query set."""
+    from lakebank.operators import keyword_index as KI
     b = FX.read_table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"),
                                                      F.col("text").alias("query_text"))
-    return R.keyword_topk(FX.knowledge_text(spark, d), b, k)
+    return KI.Search(spark, KI.build(FX.knowledge_text(spark, d)), b)
 
 
 def _hybrid(spark, d, k=3):
-    from lakebank.operators import retrieval as R
-    return R.hybrid_topk(_vector_hits(spark, d, k), _keyword_hits(spark, d, None), k, vector_depth=k)
+    from lakebank.operators import keyword_index as KI
+    return KI.hybrid_topk(_vector_hits(spark, d, k), _keyword_search(spark, d), k)
 
 
 @register("knn_topk")
@@ -597,10 +598,18 @@ def q_knn_topk(spark, d):
     return _rounded(_vector_hits(spark, d, 3), "score")
 
 
+@register("knn_lsh")
+def q_knn_lsh(spark, d):
+    """J3, approximate: top-3 by random-projection buckets and exact rescoring."""
+    from lakebank.operators import lsh
+    hits = lsh.knn_lsh(FX.documents_index(spark, d), FX.search_queries(spark, d), 3)
+    return _rounded(hits.select("query_id", "id", "score", "rank"), "score")
+
+
 @register("keyword_topk")
 def q_keyword_topk(spark, d):
-    """BM25 top-3 documents per benchmark query text."""
-    return _rounded(_keyword_hits(spark, d, 3).select("query_id", "id", "raw_score", "rank")
+    """BM25 top-3 documents per benchmark query text, from the block index."""
+    return _rounded(_keyword_search(spark, d).topk(3).select("query_id", "id", "raw_score", "rank")
                     .withColumnRenamed("raw_score", "score"), "score")
 
 
