@@ -682,14 +682,14 @@ def q_stream_cdc_target(spark, d):
     """The change feed arrives in three out-of-order parts; the
     streaming target must equal the batch SCD-2 history."""
     from lakebank.session import scratch_path
-    from lakebank.streaming.cdc_stream import CdcTarget, start_cdc_stream
+    from lakebank.streaming.cdc_state import KeyedCdcTarget
     from lakebank.streaming.harness import run_in_parts
     ch = FX.account_changes(spark, d)
-    target = CdcTarget(scratch_path(spark, "cdc-target"), ["cuenta_id"], ["_ingest_timestamp", "_change_id"],
-                       except_columns=M.CDC_EXCEPT_COLUMNS + ["_change_id"])
+    target = KeyedCdcTarget(scratch_path(spark, "cdc-target"), ch.schema, ["cuenta_id"], ["_ingest_timestamp", "_change_id"],
+                            except_columns=M.CDC_EXCEPT_COLUMNS + ["_change_id"])
     k = F.col("_change_id")
     run_in_parts(spark, ch, [k % 3 == 2, k % 3 == 0, k % 3 == 1], "cdc",
-                 start=lambda src, ckpt: start_cdc_stream(spark, src, ch.schema, target, ckpt))
+                 start=lambda src, ckpt: target.start(spark.readStream.schema(ch.schema).parquet(src), ckpt))
     return target.current(spark)
 
 
