@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,50 @@ _ENDS = {"p": ({"p"}, _BLOCK - {"p"}), "li": ({"li"}, {"ul", "ol", "menu"}), "dt
          "tr": ({"tr"}, {"table", "tbody", "thead", "tfoot"}), "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"})}
 
 
-def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
+class Path:
+    """Names of the open elements, outermost first, as a link to those of the element around it: deep pages stay linear in memory."""
+
+    __slots__ = ("up", "names", "size", "held")
+
+    def __init__(self, up: Path | None = None, names: tuple[str, ...] = ()):
+        self.up, self.names, self.held = up, names, None
+        self.size = len(names) + (up.size if up else 0)
+
+    def _chain(self) -> list[Path]:
+        node, out = self, []
+        while node is not None:
+            out.append(node)
+            node = node.up
+        return out[::-1]
+
+    def __iter__(self):
+        return (name for node in self._chain() for name in node.names)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __eq__(self, other) -> bool:
+        return tuple(self) == tuple(other)
+
+    def vector(self, hashes: WordHashes):
+        """Hashed names, each path's from that of the element around it."""
+        import numpy as np
+
+        todo, node = [], self
+        while node is not None and node.held is None:
+            todo.append(node)
+            node = node.up
+        vector = node.held if node else np.zeros(PATH, np.float32)
+        for node in reversed(todo):
+            vector = vector.copy()
+            for name in node.names:
+                h = hashes[name.encode()]
+                vector[h % PATH] += 1.0 if h >> 40 & 1 else -1.0
+            node.held = vector
+        return vector
+
+
+def blocks(page: str | None) -> list[tuple[str, Path, float]]:
     """(text, tag path, share of linked characters) of the leaf blocks in page order.
 
     Comments and elements that hold no text of the page (scripts, styles, ...)
@@ -41,7 +85,9 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
     as far as they go.
     """
     out: list = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, Path]] = []
+    opened: Counter = Counter()
+    root = Path()
     text: list[str] = []
     linked = 0
 
@@ -49,12 +95,12 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
         nonlocal linked
         words = " ".join(html.unescape("".join(text)).split())
         if words:
-            path = tuple(x for _, names in stack for x in names)
-            out.append((words, path, min(1.0, linked / len(words))))
+            out.append((words, stack[-1][1] if stack else root, min(1.0, linked / len(words))))
         text.clear()
         linked = 0
 
     def close(at: int):
+        opened.subtract(name for name, _ in stack[at:])
         del stack[at:]
 
     page = page or ""
@@ -64,7 +110,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
         if m.start() > at:
             part = page[at:m.start()]
             text.append(part)
-            if any(name == "a" for name, _ in stack):
+            if opened["a"]:
                 linked += len(part)
         at = m.end()
         name = (m[3] or "").lower()
@@ -80,7 +126,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
         if name in _BLOCK:
             flush()
         if m[2]:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[name] else ():
                 if stack[i][0] == name:
                     close(i)
                     break
@@ -91,7 +137,7 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
             continue
         if name in _ENDS:
             ends, stops = _ENDS[name]
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if any(opened[e] for e in ends) else ():
                 if stack[i][0] in ends:
                     close(i)
                     break
@@ -102,7 +148,8 @@ def blocks(page: str | None) -> list[tuple[str, tuple[str, ...], float]]:
             for kind, *values in _NAMES.findall(m[4] or ""):
                 names += [f"{kind.lower()}={w}" for w in re.split(r"[\s_-]+", "".join(values).lower()) if w]
         if name in _BLOCK or name == "a" or len(names) > 1:
-            stack.append((name, tuple(names)))
+            stack.append((name, Path(stack[-1][1] if stack else root, tuple(names))))
+            opened[name] += 1
     if at < len(page):
         text.append(page[at:])
     flush()
@@ -116,9 +163,7 @@ def features(page_blocks: list, hashes: WordHashes):
     n = len(page_blocks)
     x = np.zeros((n, PATH + WORDS + NUMBERS), np.float32)
     for i, (text, path, linked) in enumerate(page_blocks):
-        for depth, name in enumerate(path):
-            h = hashes[name.encode()]
-            x[i, h % PATH] += 1.0 if h >> 40 & 1 else -1.0
+        x[i, :PATH] = path.vector(hashes)
         words = text.encode().split()
         h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
         sign = np.where(h >> np.uint64(41) & np.uint64(1), 1.0, -1.0)
@@ -209,8 +254,9 @@ class BiLstm:
         return {"w": np.einsum("ntk,nt->k", both, dz), "c": dz.sum(keepdims=True)[0],
                 **self._back(dh[:, :, :s], fm, "f"), **self._back(np.take_along_axis(dh[:, :, s:], turn, 1), bm, "b")}
 
-    def fit(self, samples: list, rounds: int = 12, batch: int = 32, rate: float = 0.01, seed: int = 7):
-        """Adam over padded batches of (features, labels); at random a block's path is hidden, so that neighbours and words count too."""
+    def fit(self, samples: list, rounds: int = 16, batch: int = 32, rate: float = 0.01, seed: int = 7):
+        """Adam over padded batches of (features, labels); at random a block's path
+        or a page's words are hidden, so that neighbours count too and no wording decides alone."""
         import numpy as np
 
         rng = np.random.default_rng(seed)
@@ -226,6 +272,7 @@ class BiLstm:
                 for i, (_, labels) in enumerate(part):
                     y[i, :len(labels)] = labels
                 x[:, :, :PATH] *= rng.random(x.shape[:2])[:, :, None] > 0.03
+                x[:, :, PATH:PATH + WORDS] *= rng.random(len(x))[:, None, None] > 0.5
                 step += 1
                 for k, g in self.gradients(x, lens, y).items():
                     m[k] = 0.9 * m[k] + 0.1 * g
@@ -280,7 +327,7 @@ SURROUNDINGS = ["<p>{}</p>", "<p>{}<br><p>{}</p>", "<header><p>{}</p></header>",
                 "<div class=\"newsletter\"><p>{}</p></div>", "<div class=\"popup\">{}</div>", "<div class=\"social\">{}</div>", "<div class=\"widget\">{}</div>"]
 
 
-def teach(path: tuple[str, ...]) -> float:
+def teach(path) -> float:
     """Label of a training block by its path: in an article, and in nothing that surrounds one."""
     return float(any(p in CONTENT for p in path) and not any(p in AROUND for p in path))
 
@@ -298,8 +345,22 @@ def varied(page: str, words: list[str], rng) -> str:
     return page
 
 
+#: What an article stands in on pages that do not name it: (start, end) in place of its tags.
+CONTAINERS = [("<div>", "</div>"), ("<div class=\"content\">", "</div>"), ("<div id=\"main\">", "</div>"), ("<div class=\"post-body\">", "</div>"),
+              ("<div class=\"entry\"><div>", "</div></div>"), ("<section>", "</section>"), ("<div id=\"page\"><div class=\"text\">", "</div></div>"),
+              ("<table><tr><td>", "</td></tr></table>"), ("<div class=\"story\">", "</div>"), ("", "")]
+
+
+def disguised(page: str, rng) -> str:
+    """The page with its articles in containers that do not say so."""
+    start, end = CONTAINERS[int(rng.integers(len(CONTAINERS)))]
+    page = re.sub(r"(?i)<(article|main)\b[^>]*>", start, page)
+    return re.sub(r"(?i)</(article|main)\s*>", end, page)
+
+
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES):
-    """Network fitted on ``sample`` pages chosen by hash, as they are and with varied surroundings."""
+    """Network fitted on ``sample`` pages chosen by hash: as they are, with varied surroundings, and each of these
+    once more with the container of the article replaced or left out, its blocks' labels kept."""
     import numpy as np
 
     known = pages.where("html is not null").select("page_id", F.col("html").cast("string").alias("html"), F.monotonically_increasing_id().alias("at"))
@@ -311,8 +372,12 @@ def train(pages: DataFrame, sample: int = SAMPLE_PAGES):
     for r in rows:
         for page in (r.html, varied(r.html, words, rng), varied(r.html, words, rng)):
             found = blocks(page)[:SAMPLE_BLOCKS]
+            labels = [teach(path) for _, path, _ in found]
+            plain = blocks(disguised(page, rng))[:SAMPLE_BLOCKS]
             if found:
-                samples.append((features(found, hashes), [teach(path) for _, path, _ in found]))
+                samples.append((features(found, hashes), labels))
+            if found and [t for t, _, _ in plain] == [t for t, _, _ in found]:
+                samples.append((features(plain, hashes), labels))
     net = BiLstm(PATH + WORDS + NUMBERS)
     return net.fit(samples) if samples else net
 
@@ -321,7 +386,7 @@ def extract(pages: DataFrame, net: BiLstm) -> DataFrame:
     """page_id, url, text and n_chars of every page: its content blocks joined by one space.
 
     One map over the pages, no shuffle; every block of a page is labelled with
-    the whole page in view, whatever its length. Null or empty html: empty text.
+    the whole page in view, whatever its length. Null or empty html: empty text. Empty table: empty result.
     Null url and page_id pass through. Repeated rows give equal results; other
     columns are not read.
     """

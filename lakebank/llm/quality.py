@@ -20,6 +20,8 @@ SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(65, 91))
 _DIGIT = b"0123456789"
 N_FEATURES = 13
+#: Place of a line's own words among its features; those of the line before come last.
+_WORDS = 7
 
 
 def share_without(line: bytes, drop: bytes) -> int:
@@ -96,26 +98,73 @@ def viterbi(feats, weights) -> list[int]:
     return out[::-1]
 
 
+def line_labels(sequences: list[tuple[list[list[float]], int]], rounds: int = 3, lean: float = 1.0) -> list:
+    """Labels of every line (1: content) from labels of whole documents.
+
+    A logistic model of single lines learns from the documents' labels; a line
+    then keeps its document's label unless the model is surer of the other by
+    more than ``lean``, and the model learns anew from the lines' labels. So a
+    menu in a good document and a paragraph in a bad one get labels of their own.
+    """
+    import numpy as np
+
+    x = np.concatenate([np.asarray(f) for f, _ in sequences])
+    own = np.repeat([y for _, y in sequences], [len(f) for f, _ in sequences])
+    weight = np.repeat([1 / len(f) for f, _ in sequences], [len(f) for f, _ in sequences])
+    y = own
+    for _ in range(rounds):
+        if len(set(y.tolist())) < 2:
+            break
+        w = weight * np.where(y == 1, 0.5 / weight[y == 1].sum(), 0.5 / weight[y == 0].sum())
+        theta, curve = np.zeros(N_FEATURES), np.eye(N_FEATURES) * 1e-4
+        for _ in range(30):     # Newton steps
+            p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
+            step = np.linalg.solve((x * (w * p * (1 - p))[:, None]).T @ x + curve, x.T @ (w * (y - p)) - 1e-4 * theta)
+            theta = theta + np.clip(step, -2, 2)
+        y = (x @ theta + np.where(own == 1, lean, -lean) > 0).astype(int)
+    return np.split(y, np.cumsum([len(f) for f, _ in sequences])[:-1])
+
+
+def spliced(sequences: list, labels: list, seed: int = 5) -> list:
+    """(features, labels) of the documents as they are, and of each once more with a run of lines of the other
+    label put in: what a page with a menu, or a menu with a paragraph, looks like."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    pool = {y: [f for (feats, _), ys in zip(sequences, labels) for f, v in zip(feats, ys) if v == y] for y in (0, 1)}
+    out = []
+    for (feats, _), ys in zip(sequences, labels):
+        out.append((feats, ys))
+        for _ in range(int(rng.integers(1, 3))):
+            other = 1 - int(ys.mean() >= 0.5)
+            if not pool[other]:
+                continue
+            at, n = int(rng.choice([0, len(feats), rng.integers(0, len(feats) + 1)])), int(rng.integers(1, 4))
+            run = [pool[other][int(k)] for k in rng.integers(0, len(pool[other]), n)]
+            feats, ys = [*feats[:at], *run, *feats[at:]], np.r_[ys[:at], np.full(n, other), ys[at:]]
+        # the words of the line before, as the lines now stand
+        out.append(([[*f[:-1], feats[i - 1][_WORDS] if i else 0.0] for i, f in enumerate(feats)], ys))
+    return out
+
+
 def fit(sequences: list[tuple[list[list[float]], int]], rounds: int = 150, rate: float = 0.1, decay: float = 1e-3):
     """Weights of the field from (line features, label) of documents, by full-batch gradient steps.
 
-    Every line of a document carries the document's label; sequences are padded
-    to a matrix and the forward-backward sums run over all of them at a time.
-    Without documents of both labels: every line is content.
+    Lines get labels of their own first, and documents are mixed with lines of
+    the other label; sequences are padded to a matrix and the forward-backward
+    sums run over all of them at a time. Without documents of both labels:
+    every line is content.
     """
     import numpy as np
 
     if len({y for _, y in sequences}) < 2:
         return np.r_[1.0, np.zeros(N_FEATURES - 1)], [[0.0, 0.0], [0.0, 0.0]], [0.0, 0.0]
-    n, t = len(sequences), max(len(x) for x, _ in sequences)
-    x = np.zeros((n, t, N_FEATURES))
-    mask = np.zeros((n, t), bool)
-    y = np.array([label for _, label in sequences])
-    for i, (feats, _) in enumerate(sequences):
-        x[i, :len(feats)] = feats
-        mask[i, :len(feats)] = True
-    # both labels weigh alike
-    weight = np.where(y == 1, 0.5 / (y == 1).sum(), 0.5 / (y == 0).sum())
+    labelled = spliced(sequences, line_labels(sequences))
+    n, t = len(labelled), max(len(x) for x, _ in labelled)
+    x, y, mask = np.zeros((n, t, N_FEATURES)), np.zeros((n, t), int), np.zeros((n, t), bool)
+    for i, (feats, ys) in enumerate(labelled):
+        x[i, :len(feats)], y[i, :len(feats)], mask[i, :len(feats)] = feats, ys, True
+    weight = np.full(n, 1 / n)
     theta = np.zeros(N_FEATURES + 6)
     m = v = np.zeros_like(theta)
     at = np.arange(n)
@@ -139,12 +188,11 @@ def fit(sequences: list[tuple[list[list[float]], int]], rounds: int = 150, rate:
             bwd[:, i - 1] = np.where(mask[:, i, None], step, bwd[:, i])
         prob = np.exp(np.minimum(fwd + bwd - norm[:, None, None], 0)) * (mask * weight[:, None])[:, :, None]
         seen = np.zeros((2, 2))
-        for label in (0, 1):
-            seen[label, label] = (mask[:, 1:].sum(1) * weight)[y == label].sum()
+        np.add.at(seen, (y[:, :-1], y[:, 1:]), mask[:, 1:] * weight[:, None])
         first = np.zeros(2)
-        np.add.at(first, y, weight)
+        np.add.at(first, y[:, 0], weight)
         grad = np.concatenate([
-            ((y[:, None] * mask * weight[:, None])[:, :, None] * x).sum((0, 1)) - (prob[:, :, 1:] * x).sum((0, 1)),
+            ((y * mask * weight[:, None])[:, :, None] * x).sum((0, 1)) - (prob[:, :, 1:] * x).sum((0, 1)),
             (seen - pair).ravel(), first - prob[at, 0].sum(0)]) - decay * theta
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta = theta + rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
@@ -165,8 +213,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS):
             feats = [line_table((t or "").encode())[0][:SAMPLE_LINES] for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(feats, pa.list_(pa.list_(pa.float64())))], names=schema.names)
 
-    rows = (docs.select("doc_id", "text").join(picked, "doc_id")   # sample_docs rows at most
-            .select(F.col("doc_id").cast("long"), F.col("quality").cast("int"), F.col("text").cast("string")).mapInArrow(run, schema).collect())
+    # one row per doc_id, however often it stands there; its text of least hash
+    rows = (docs.select("doc_id", F.col("text").cast("string").alias("text")).join(picked, "doc_id")
+            .groupBy("doc_id", "quality").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+            .select(F.col("doc_id").cast("long"), F.col("quality").cast("int"), "text").mapInArrow(run, schema).collect())
     rows.sort(key=lambda r: (r.doc_id, repr(r.feats)))
     return fit([(r.feats, r.quality) for r in rows if r.feats])
 
@@ -189,8 +239,8 @@ def judge(docs: DataFrame, weights, content_share: float = CONTENT_SHARE) -> Dat
     """Every document's counts, base verdict, content share and final verdict.
 
     One map over the documents, no shuffle; each text is held alone and whole.
-    Null or empty text: no words, fails the base rules, content_share 0. A line
-    without a word is not labelled. Repeated rows are judged alike; other columns
+    Null or empty text: no words, fails the base rules, content_share 0. Empty
+    table: empty result. A line without a word is not labelled. Repeated rows are judged alike; other columns
     are not read.
     """
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_content_lines"]

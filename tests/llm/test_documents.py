@@ -415,3 +415,37 @@ def test_kd_cuts_along_strings_with_a_common_beginning(spark):
     spans = sorted((min(r[1]), max(r[1]), len(r[1])) for r in got)
     assert len(spans) == 4 and all(abs(n - 500) < 3 for *_, n in spans)
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+GOOD = "The thing of the and that was with on in tion the hed anshi for are of that with and to the re. Ones are in the and then with that of the to a."
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    sf = "/root/testdata/sf0.01"
+    return quality.train(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
+@pytest.mark.parametrize("junk", ["$$$ ### BUY!!! NOW!!! $$$ %%% ### &&&", "Home | About | Login"])
+def test_only_junk_lines_about_good_ones_are_marked(field, junk):
+    lines = [junk, *(f"{GOOD} {i}" for i in range(6)), junk]
+    assert quality.viterbi(quality.line_table("\n".join(lines).encode())[0], field) == [0, 1, 1, 1, 1, 1, 1, 0]
+    assert 0.8 < quality.judge_text("\n".join(lines), field, 0.5)[7] < 1
+
+
+def test_line_labels_differ_within_documents(spark, field):
+    out = quality.judge(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), field).where("n_lines > 1")
+    shares = [r.content_share for r in out.select("content_share").collect()]
+    assert sum(0 < s < 1 for s in shares) >= 0.05 * len(shares)
+    assert any(0 < s < 0.5 for s in shares) and any(0.5 <= s < 1 for s in shares)
+    assert out.where("kept and n_content_lines < n_lines").count() > 0
+    assert out.where("content_share < 0.5 and kept").count() == 0
+
+
+def test_one_row_of_a_repeated_document_is_learnt_from(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", seen.extend)
+    rows = [(7, f"some words of text number {i % 5}") for i in range(3000)] + [(i, f"line {i} of this") for i in range(8, 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    quality.train(docs, spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int"), 40)
+    assert len(seen) == 13

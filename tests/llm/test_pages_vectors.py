@@ -182,3 +182,38 @@ def test_lstm_gradients():
         assert (up - down) / 2e-2 == pytest.approx(float(grad[at]), abs=2e-4)
 
 
+
+
+ARTICLE = ["The council met on Tuesday to discuss the new bridge over the river, which has been planned for many years.",
+           "Most members spoke in favour of the plan. Some asked how it will be paid for.", "A second meeting follows in May."] + [
+           f"Paragraph {i} tells more about the bridge, its builders, and the people who live on both banks of the river." for i in range(5)]
+AROUND = '<nav><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul></nav>', '<aside class="sidebar"><p>Most read</p></aside><footer><p>All rights reserved</p></footer>'
+
+
+@pytest.fixture(scope="module")
+def net(spark):
+    return pagetext.train(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+@pytest.mark.parametrize("start, end", [("<article>", "</article>"), ('<div class="content">', "</div>"), ('<div id="main">', "</div>"), ('<div class="post-body">', "</div>"),
+                                        ("<table><tr><td>", "</td></tr></table>"), ("<div>", "</div>"), ('<section class="blog-entry">', "</section>")])
+def test_articles_without_an_article_element(net, start, end):
+    body = "".join(f"<p>{p}</p>" for p in ARTICLE)
+    found = pagetext.blocks(f"<html><head><title>t</title></head><body>{AROUND[0]}{start}{body}{end}{AROUND[1]}</body></html>")
+    (good,) = net.label([pagetext.features(found, pagetext.WordHashes())])
+    assert [t for (t, _, _), y in zip(found, good) if y] == ARTICLE
+
+
+def test_deep_pages_stay_linear():
+    import time
+    import tracemalloc
+
+    page = "<div class=a>x" * 40_000
+    tracemalloc.start()
+    begin = time.monotonic()
+    found = pagetext.blocks(page)
+    pagetext.features(found, pagetext.WordHashes())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 40_000 and peak < 250 << 20 and time.monotonic() - begin < 30
+    assert len(pagetext.blocks("</b></i>" * 40_000 + "<div>" * 40_000 + "</p><li>x" * 20_000)) == 20_000
