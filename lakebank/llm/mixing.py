@@ -49,8 +49,8 @@ def source_targets(sizes: DataFrame, weights: list[int], share: float, cap: floa
     return ranked.select("source", "source_size", F.least(F.lit(level) * F.col("weight"), F.col("source_size") * F.lit(float(cap))).alias("target"))
 
 
-def mix(docs: DataFrame, weights: list[int], share: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """``docs`` (every row and column) with size, source_size, target and copies.
+def mix(docs: DataFrame, weights: list[int], share: float = 1.5, cap: float = 2.0, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (every row; every column, or those of ``keep``) with size, source_size, target and copies.
 
     ``size`` is the number of words. Each source's target is met by whole
     documents: with a target of r times the source, every document is taken
@@ -67,7 +67,7 @@ def mix(docs: DataFrame, weights: list[int], share: float = 1.5, cap: float = 2.
     """
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     own = ["_mix_size", "_mix_hash", "_mix_row"]
-    rows = (docs.select(F.struct("*").alias("_mix_doc"), "doc_id", "source", "text").withColumn("_mix_row", F.monotonically_increasing_id())
+    rows = (docs.select(F.struct(*(keep or docs.columns)).alias("_mix_doc"), "doc_id", "source", "text").withColumn("_mix_row", F.monotonically_increasing_id())
             .withColumn("_mix_size", word_count(F.col("text")))
             .withColumn("_mix_hash", F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")))
     # written once: a row number taken anew in a second scan depends on how that scan is split
@@ -113,17 +113,18 @@ def mix(docs: DataFrame, weights: list[int], share: float = 1.5, cap: float = 2.
         b = F.col(f"_b{k}")
         on = F.when(F.col(f"_last{k}").isNotNull(), F.col(f"_last{k}")).otherwise(more)
         more = F.when(b.isNull(), F.lit(False)).when(digit[k] < b, F.lit(True)).when(digit[k] == b, on).otherwise(F.lit(False))
-    wide = path.withColumnsRenamed({"source": "_mix_s", "source_size": "_mix_source_size", "target": "_mix_target", "base": "_mix_base"})
+    # written first, so the planner knows how small it is and the documents stay where they are
+    wide = stored(path, "mix_plan").withColumnsRenamed({"source": "_mix_s", "source_size": "_mix_source_size", "target": "_mix_target", "base": "_mix_base"})
     out = rows.join(wide, F.col("source").eqNullSafe(F.col("_mix_s")))
     return (out.withColumn("_mix_copies", (F.col("_mix_base") + F.when(more, 1).otherwise(0)).cast("int"))
-            .select(*[F.col("_mix_doc")[c].alias(c) for c in docs.columns], "_mix_size", "_mix_source_size", "_mix_target", "_mix_copies"))
+            .select(*[F.col("_mix_doc")[c].alias(c) for c in keep or docs.columns], "_mix_size", "_mix_source_size", "_mix_target", "_mix_copies"))
 
 
 WEIGHTS = [3, 1, 2]
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), WEIGHTS)
+    out = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), WEIGHTS, keep=["doc_id"])
     return out.select("doc_id", F.col("_mix_size").alias("size"), F.col("_mix_source_size").alias("source_size"),
                       F.col("_mix_target").alias("target"), (F.col("_mix_size") * F.col("_mix_copies")).alias("taken"))
 

@@ -3,23 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lakebank.llm.common import components, pieces, stored, table
 
-#: Words of a shingle, and least similarity in percent.
-WORDS, PERCENT = 3, 85
-#: Bands and rows of the signature. Two sets of similarity s share no band with
-#: probability (1 - s^5)^25: 4e-7 at 0.85.
-BANDS, ROWS = 25, 5
-#: Estimated similarity from which a pair is verified: over four standard errors
-#: of the estimate (0.032 at 0.85, less with correlated ranks) below the least similarity.
-LEAST_ESTIMATE = 0.70
-#: Members and shingles of a bucket block (two blocks are compared at a time), and shingles hashed at a time.
-BLOCK, BLOCK_SHINGLES, CHUNK = 2048, 1 << 21, 1 << 18
+@dataclass(frozen=True)
+class Rule:
+    """What counts as near: words of a shingle, least similarity in percent, bands and rows of the signature, and the
+    estimated similarity from which a pair is verified.
+
+    Two sets of similarity s share no band with probability (1 - s^rows)^bands:
+    4e-7 at 0.85 with 25 bands of 5, 1e-7 at 0.8 with 40. The least estimate
+    lies over four standard errors of the estimate (0.032 at 0.85 and 125
+    positions, less with correlated ranks) below the least similarity.
+    """
+
+    width: int = 3
+    percent: int = 85
+    bands: int = 25
+    rows: int = 5
+    least_estimate: float = 0.70
+
+
+#: The query's rule by its contract, and the pipeline's: five words and 0.8.
+QUERY_RULE, STAGE_RULE = Rule(), Rule(5, 80, 40, 5, 0.65)
+#: Members of a bucket that all others are compared with first. Members and shingles of a
+#: bucket block (two blocks are compared at a time), and shingles hashed at a time.
+PIVOTS, BLOCK, BLOCK_SHINGLES, CHUNK = 8, 2048, 1 << 21, 1 << 18
 
 _M1, _M2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
@@ -45,7 +60,7 @@ class WordHashes(dict):
         return value
 
 
-def shingle_sets(texts: list[str | None], hashes: WordHashes, width: int = WORDS) -> list:
+def shingle_sets(texts: list[str | None], hashes: WordHashes, width: int = QUERY_RULE.width) -> list:
     """Per text the sorted distinct 64-bit hashes of its shingles (uint64).
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; fewer
@@ -108,11 +123,11 @@ def superminhash(sets: list, size: int):
     return sig
 
 
-def fingerprints(texts: DataFrame) -> DataFrame:
+def fingerprints(texts: DataFrame, rule: Rule) -> DataFrame:
     """From (row, doc_id, text): row, doc_id, n, same (hash of the whole set), sig (one byte per position) and bands (hashes) of every document."""
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("same", T.BinaryType()),
                            T.StructField("sig", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-    size = BANDS * ROWS
+    size = rule.bands * rule.rows
 
     def run(batches):
         import hashlib
@@ -122,7 +137,7 @@ def fingerprints(texts: DataFrame) -> DataFrame:
 
         hashes = WordHashes()
         for batch in pieces(batches, 256, 2, 1 << 20):
-            sets = shingle_sets(batch.column(2).to_pylist(), hashes)
+            sets = shingle_sets(batch.column(2).to_pylist(), hashes, rule.width)
             full = [i for i, s in enumerate(sets) if len(s)]
             sigs: list = [None] * len(sets)
             bands: list = [None] * len(sets)
@@ -135,9 +150,9 @@ def fingerprints(texts: DataFrame) -> DataFrame:
                 sig = superminhash([sets[x] for x in part], size)
                 bits = mix(sig.view(np.uint64))
                 low = (bits & np.uint64(255)).astype(np.uint8)
-                keys = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(_M2) + np.zeros((len(part), 1), np.uint64)
-                for r in range(ROWS):
-                    keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + bits[:, r::ROWS])
+                keys = np.arange(1, rule.bands + 1, dtype=np.uint64) * np.uint64(_M2) + np.zeros((len(part), 1), np.uint64)
+                for r in range(rule.rows):
+                    keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + bits[:, r::rule.rows])
                 for x, s, b in zip(part, low, keys.view(np.int64).tolist()):
                     sigs[x], bands[x] = s.tobytes(), b
                 start, total = end + 1, 0
@@ -210,64 +225,80 @@ def by_bucket(batches: Iterator, key: int = 0) -> Iterator:
         yield pa.Table.from_batches(held)
 
 
-def similar_pairs(sigs, sizes, comps):
-    """(estimate, i, j) of the pairs of one bucket block that are worth verifying: of different components,
-    sizes that allow the similarity, and an estimate high enough; best first."""
+def near(same, n, m, rule: Rule, positions: int):
+    """Whether equal positions and set sizes allow the similarity."""
     import numpy as np
 
-    n = len(sigs)
-    found = []
-    for i in range(n - 1):
-        same = (sigs[i + 1:] == sigs[i]).sum(1)
-        a, b = np.minimum(sizes[i + 1:], sizes[i]), np.maximum(sizes[i + 1:], sizes[i])
-        j = np.flatnonzero((same >= LEAST_ESTIMATE * sigs.shape[1]) & (100 * a >= PERCENT * b) & (comps[i + 1:] != comps[i]))
-        if len(j):
-            found.append(np.c_[same[j], np.full(len(j), i), i + 1 + j])
-    if not found:
-        return []
-    pairs = np.concatenate(found)
-    return pairs[np.lexsort((pairs[:, 2], pairs[:, 1], -pairs[:, 0]))].tolist()
+    return (same >= rule.least_estimate * positions) & (100 * np.minimum(n, m) >= rule.percent * np.maximum(n, m))
 
 
-def forest(pairs, n: int) -> list[tuple[int, int]]:
-    """Greatest spanning forest of the pairs: at most n - 1 of them, each member's most similar partner among them."""
-    groups = Groups(n)
-    return [(i, j) for _, i, j in pairs if groups.join(i, j)]
+def compared(members: DataFrame, rule: Rule) -> DataFrame:
+    """``members`` with one and two: the likeliest of the bucket's pivots, if any is near.
 
-
-def blocks_of(members: DataFrame) -> DataFrame:
-    """Buckets cut into blocks of bounded size, each pair of blocks a unit (key, one, two): members go to every
-    unit that their block is part of, so all pairs of a bucket meet, and no task holds a whole large bucket."""
-    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    units = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda o: F.struct(F.least(block, o).alias("one"), F.greatest(block, o).alias("two")))
-    out = members.select("key", F.explode(units).alias("unit"), "id", *[c for c in members.columns if c not in ("key", "id", "blocks")])
-    out = out.select("key", "unit.one", "unit.two", *[c for c in out.columns if c not in ("key", "unit")])
-    return out.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "id")
-
-
-def likely_links(members: DataFrame) -> DataFrame:
-    """(u, v) to verify: per bucket block the spanning forest of the most similar pairs. Linear in the members."""
+    Pivots are PIVOTS members of a bucket by hash. A bucket is cut into slices
+    of bounded size and its pivots go to each, so the work is linear in the
+    members however many a bucket has.
+    """
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("blocks", T.LongType()),
+                           T.StructField("sig", T.BinaryType()), T.StructField("one", T.LongType()), T.StructField("two", T.LongType())])
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        for part in by_bucket(batches, 2):
-            ids, sizes = part["id"].to_numpy(), part["n"].to_numpy()
-            if len(ids) < 2:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            sigs = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint8).reshape(len(ids), -1)
-            pairs = forest(similar_pairs(sigs, sizes, np.arange(len(ids))), len(ids))
-            if pairs:
-                i, j = np.array(pairs).T
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names=["u", "v"])
-
-    return blocks_of(members).mapInArrow(run, "u long, v long").distinct()
-
-
-def open_members(members: DataFrame) -> DataFrame:
+            rows = batch.num_rows
+            sig = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(rows, -1)
+            ids, sizes = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            lists = batch.column(5)
+            owner = np.repeat(np.arange(rows), np.diff(lists.offsets.to_numpy()))
+            flat = lists.flatten()
+            pid, size = flat.field("id").to_numpy(), flat.field("n").to_numpy()
+            other = np.frombuffer(b"".join(flat.field("sig").to_pylist()), np.uint8).reshape(len(pid), -1)
+            same = (sig[owner] == other).sum(1)
+            good = np.flatnonzero(near(same, sizes[owner], size, rule, sig.shape[1]) & (pid != ids[owner]))
+            good = good[np.lexsort((pid[good], -same[good], owner[good]))]
+            first = np.r_[True, owner[good][1:] != owner[good][:-1]] if len(good) else np.zeros(0, bool)
+            second = np.r_[False, first[:-1]] & ~first if len(good) else first
+            out = []
+            for which in (first, second):
+                at = good[which]
+                held = np.zeros(rows, np.int64)
+                held[owner[at]] = pid[at]
+                none = np.ones(rows, bool)
+                none[owner[at]] = False
+                out.append(pa.array(held, mask=none))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *out], names=schema.names)
+
+    order = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
+    chosen = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
+    pivots = (chosen.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("slice"), F.struct("id", "n", "sig").alias("p"))
+              .groupBy("key", "slice").agg(F.collect_list("p").alias("pivots")))
+    sliced = members.withColumn("slice", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    return sliced.join(pivots, ["key", "slice"]).select("key", "id", "n", "blocks", "sig", "pivots").mapInArrow(run, schema)
+
+
+def open_members(marked: DataFrame, rule: Rule) -> DataFrame:
     """(key, one, two, id, comp) of the members that still have a likely partner in another component, untested in
-    their bucket. Buckets whose likely pairs are all linked or tested give none."""
+    their bucket.
+
+    Buckets of one component give none. In the others the members outside the
+    largest component meet all members; both sides are cut into blocks, so a
+    unit (key, one, two) is of bounded size, and a large group of copies is not
+    compared with itself.
+    """
+    held = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    main = held.groupBy("key").agg(F.sum("n").alias("held"), F.max(F.struct("n", "comp")).alias("m")).where("m.n < held").select(
+        "key", F.col("m.comp").alias("main"), ((F.col("held") - F.col("m.n")) / F.col("held")).alias("share"))
+    rows = marked.join(main, "key").withColumn("others", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("blocks") * F.col("share")).cast("long")))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    tail = ["id", "n", "sig", "comp", F.col("one").alias("t1"), F.col("two").alias("t2")]
+    own = rows.select("key", mine("blocks").alias("b1"), every("others").alias("b2"), F.lit(False).alias("rest"), *tail)
+    rest = rows.where("comp <> main").select("key", every("blocks").alias("b1"), mine("others").alias("b2"), F.lit(True).alias("rest"), *tail)
+    units = own.unionByName(rest).withColumnsRenamed({"b1": "one", "b2": "two"})
 
     def run(batches):
         import numpy as np
@@ -275,21 +306,31 @@ def open_members(members: DataFrame) -> DataFrame:
 
         for part in by_bucket(batches, 2):
             ids, sizes, comps = (part[c].to_numpy() for c in ("id", "n", "comp"))
-            if len(ids) < 3 or (comps == comps[0]).all():   # a lone pair has been tested
+            rest = part["rest"].to_numpy()
+            t1, t2 = (part[c].fill_null(-1).to_numpy() for c in ("t1", "t2"))
+            own = np.flatnonzero(~rest)
+            if not len(own) or not rest.any():
                 continue
             sigs = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint8).reshape(len(ids), -1)
-            tested = set(forest(similar_pairs(sigs, sizes, np.arange(len(ids))), len(ids)))
-            left = [(i, j) for _, i, j in similar_pairs(sigs, sizes, comps) if (i, j) not in tested]
-            if left:
-                at = np.unique(np.array(left))
+            left = np.zeros(len(ids), bool)
+            for i in np.flatnonzero(rest):
+                open_ = (comps[own] != comps[i]) & near((sigs[own] == sigs[i]).sum(1), sizes[own], sizes[i], rule, sigs.shape[1])
+                open_ &= (t1[own] != ids[i]) & (t2[own] != ids[i]) & (ids[own] != t1[i]) & (ids[own] != t2[i])
+                left[own[open_]] = True
+                left[i] |= open_.any()
+            at = np.flatnonzero(left)
+            at = at[np.unique(ids[at], return_index=True)[1]]
+            if len(at):
                 yield pa.RecordBatch.from_arrays([part[c].take(pa.array(at)).combine_chunks() for c in ("key", "one", "two", "id", "comp")],
                                                  names=["key", "one", "two", "id", "comp"])
 
-    return blocks_of(members).mapInArrow(run, "key long, one long, two long, id long, comp long")
+    units = units.select("key", "one", "two", "id", "n", "sig", "comp", "rest", "t1", "t2")
+    units = units.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "id")
+    return units.mapInArrow(run, "key long, one long, two long, id long, comp long")
 
 
-def linked(sets: list, comps) -> list[tuple[int, int]]:
-    """Links of similarity PERCENT or more that join members of different components, decided on the full sets.
+def linked(sets: list, comps, percent: int) -> list[tuple[int, int]]:
+    """Links of ``percent`` similarity or more that join members of different components, decided on the full sets.
 
     Intersections of all members at once: a product of membership matrices over
     the shingles that two or more hold, some columns at a time.
@@ -311,7 +352,7 @@ def linked(sets: list, comps) -> list[tuple[int, int]]:
         held[member[a:b], column[a:b] - start] = 1
         both += held @ held.T
     both = both.astype(np.int64)
-    good = np.triu(100 * both >= PERCENT * (sizes[:, None] + sizes - both), 1) & (comps[:, None] != comps)
+    good = np.triu(100 * both >= percent * (sizes[:, None] + sizes - both), 1) & (comps[:, None] != comps)
     groups = Groups(len(sets))
     first: dict[int, int] = {}
     for i, c in enumerate(comps.tolist()):
@@ -319,7 +360,7 @@ def linked(sets: list, comps) -> list[tuple[int, int]]:
     return [(i, j) for i, j in np.argwhere(good).tolist() if groups.join(i, j)]
 
 
-def closing_links(open_: DataFrame, sets: DataFrame) -> DataFrame:
+def closing_links(open_: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Exact links between components among the open members of each bucket block. Linear in the members."""
 
     def run(batches):
@@ -328,7 +369,7 @@ def closing_links(open_: DataFrame, sets: DataFrame) -> DataFrame:
 
         for part in by_bucket(batches, 2):
             ids = part["id"].to_numpy()
-            pairs = linked([np.frombuffer(s, np.uint64) for s in part["shingles"].to_pylist()], part["comp"].to_numpy())
+            pairs = linked([np.frombuffer(s, np.uint64) for s in part["shingles"].to_pylist()], part["comp"].to_numpy(), rule.percent)
             if pairs:
                 i, j = np.array(pairs).T
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names=["u", "v"])
@@ -337,7 +378,7 @@ def closing_links(open_: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "id").mapInArrow(run, "u long, v long").distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """The pairs whose full sets are similar enough, compared in batches."""
     a = sets.select(F.col("id").alias("u"), F.col("shingles").alias("su"))
     b = sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv"))
@@ -351,7 +392,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+                good.append(100 * both >= rule.percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     return pairs.join(a, "u").join(b, "v").select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
@@ -361,8 +402,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 FILTER_WORDS = 1 << 18
 
 
-def shingle_table(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, shingles) of the wanted rows (id, row) of (row, doc_id, text), the full sets as bytes.
+def shingle_table(texts: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """(id, shingles) of the wanted rows (row) of (row, doc_id, text), the full sets as bytes.
 
     Before texts move, a bit filter of the wanted rows drops nearly all others;
     it has FILTER_WORDS rows at most, so it may be broadcast at any size. The
@@ -374,7 +415,7 @@ def shingle_table(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
         hashes = WordHashes()
         for batch in pieces(batches, 256, 1, 1 << 20):
-            sets = shingle_sets(batch.column(1).to_pylist(), hashes)
+            sets = shingle_sets(batch.column(1).to_pylist(), hashes, rule.width)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "shingles"])
 
     h = F.xxhash64("row")
@@ -383,7 +424,7 @@ def shingle_table(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = texts.select("row", "text")
     likely = (rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word")
               .where(F.getbit("bits", F.col("bit")) == 1).select("row", "text"))
-    return likely.join(wanted, "row").select("id", "text").mapInArrow(run, "id long, shingles binary")
+    return likely.join(wanted, "row", "left_semi").select("row", "text").mapInArrow(run, "id long, shingles binary")
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -392,67 +433,75 @@ def numbered(docs: DataFrame) -> DataFrame:
     return stored(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "dup_docs")
 
 
-def groups(docs: DataFrame) -> DataFrame:
+def groups(docs: DataFrame, rule: Rule = QUERY_RULE) -> DataFrame:
     """``row_groups`` of documents that have no row number yet."""
-    return row_groups(numbered(docs.select("doc_id", "text")))
+    return row_groups(numbered(docs.select("doc_id", "text")), rule)
 
 
-def row_groups(rows: DataFrame) -> DataFrame:
-    """From the stored (row, doc) of ``numbered``: row, doc_id, n_shingles, component_id and kept of every document.
+def row_groups(rows: DataFrame, rule: Rule = QUERY_RULE) -> DataFrame:
+    """From the stored (row, doc) of ``numbered``: row, doc_id, n_shingles, component_id, kept and group of every document.
 
     1. Every document's full shingle set gives a SuperMinHash signature and its
-       bands. Equal sets form one class, of which the least doc_id goes on, so
-       copies, however many, cost one row each.
-    2. Per bucket (equal band), the spanning forest of the most similar pairs by
-       estimate is verified on the full sets; verified links are grouped by
-       union-find within tasks, then by contraction.
-    3. Where a bucket still holds likely pairs in different components, those members are compared exactly,
-       all with all, in blocks of bounded size, so that no link that could join components is left out.
-
-    Null text and text without words: empty set, alone in its component. A null
-    doc_id stands alone with a null component and isn't kept. Repeated rows (of
-    one doc_id) have equal sets and share their component; different texts under
-    one doc_id are told apart only by their sets. Empty table: empty result.
-    Other columns are not read.
+       bands. Equal sets form one class, however many copies it has; a class is
+       known by one of its rows, never by a doc_id.
+    2. Per bucket (equal band), members are compared with a few pivots by
+       estimate; the two likeliest are verified on the full sets; verified links
+       are grouped by union-find within tasks, then by contraction.
+    3. Where a bucket still holds members of different components, those outside
+       its largest component are compared exactly with all others that are
+       likely, in blocks of bounded size, so that no link that could join
+       components is left out.
+
+    ``group`` is the component's number, null for the empty set. Null text and
+    text without words: empty set, alone in its component. A null doc_id stands
+    alone with a null component and isn't kept. Repeated rows (of one doc_id)
+    have equal sets and share their component; different texts under one doc_id
+    are members of their own, and each may be linked. Empty table: empty result.
+    Very long texts are hashed whole, one at a time. Other columns are not read.
     """
     texts = rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
-    prints = stored(fingerprints(texts), "dup_prints")
+    prints = stored(fingerprints(texts, rule), "dup_prints")
     whole = prints.where("same is not null and doc_id is not null")
-    reps = stored(whole.groupBy("same").agg(F.min(F.struct("doc_id", "row", "n", "sig", "bands")).alias("r"))
-                  .select("same", "r.doc_id", "r.row", "r.n", "r.sig", "r.bands").withColumnRenamed("doc_id", "id"), "dup_classes")
+    reps = stored(whole.groupBy("same").agg(F.min(F.struct("row", "n", "sig", "bands")).alias("r"), F.min("doc_id").alias("least"))
+                  .select("same", F.col("r.row").alias("id"), "least", "r.n", "r.sig", "r.bands"), "dup_classes")
     banded = reps.select("id", "n", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.count("*").alias("held"), F.sum("n").alias("size")).where("held > 1").select(
         "key", F.greatest(F.ceil(F.col("held") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
-    members = stored(banded.join(buckets, "key").join(reps.select("id", "sig"), "id"), "dup_members")
-    tries = stored(likely_links(members), "dup_tries")
-    ends = tries.select(F.col("u").alias("id")).union(tries.select("v"))
-    at = reps.select("id", "row").groupBy("id").agg(F.min("row").alias("row"))
-    sets = stored(shingle_table(texts, at.join(ends.distinct(), "id", "left_semi")), "dup_sets")
-    links = stored(verified(tries, sets), "dup_links")
+    banded = banded.join(buckets, "key").join(reps.select("id", "sig"), "id")
+    members = stored(compared(stored(banded, "dup_banded"), rule), "dup_members")
+    pair = members.select("id", F.explode(F.array("one", "two")).alias("p")).where("p is not null")
+    tries = stored(pair.select(F.least("id", "p").alias("u"), F.greatest("id", "p").alias("v")).distinct(), "dup_tries")
+    ends = tries.select(F.col("u").alias("row")).union(tries.select("v"))
+    sets = stored(shingle_table(texts, ends.distinct(), rule), "dup_sets")
+    links = stored(verified(tries, sets, rule), "dup_links")
     comps = components(links, "dup_groups", contract)
     marked = members.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    open_ = stored(open_members(marked), "dup_open")
+    open_ = stored(open_members(stored(marked, "dup_marked"), rule), "dup_open")
     if not open_.isEmpty():
-        more = shingle_table(texts, at.join(open_.select("id").distinct(), "id", "left_semi"))
-        links = stored(links.union(closing_links(open_, more)), "dup_all_links")
+        more = shingle_table(texts, open_.select(F.col("id").alias("row")).distinct(), rule)
+        links = stored(links.union(closing_links(open_, more, rule)), "dup_all_links")
         comps = components(links, "dup_final", contract)
-    # one row per class, then back to the documents by the class
-    least = reps.join(comps.withColumnRenamed("node", "id"), "id", "left").select("same", F.coalesce("component", "id").alias("component"))
-    out = prints.select("row", "doc_id", "n", "same").join(least, "same", "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    # one row per class, the least doc_id of each group, then back to the documents by the class
+    classes = reps.select("same", "id", "least").join(comps.withColumnRenamed("node", "id"), "id", "left").select("same", "least", F.coalesce("component", "id").alias("group"))
+    least = classes.groupBy("group").agg(F.min("least").alias("component"))
+    out = prints.select("row", "doc_id", "n", "same").join(classes.join(least, "group").select("same", "group", "component"), "same", "left")
+    out = out.withColumn("group", F.when(F.col("doc_id").isNotNull(), F.col("group")))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                      F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "group")
 
 
 def op8_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups(table(spark, sf_dir, "documents")).drop("row")
+    return groups(table(spark, sf_dir, "documents")).drop("row", "group")
 
 
-def stage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the first row with the component's smallest doc_id. Rows without doc_id all stay."""
+def stage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, rule: Rule = STAGE_RULE) -> DataFrame:
+    """One document of each group stays: its row of the smallest doc_id. Of texts without words one row per doc_id
+    stays, and all rows without doc_id do."""
     rows = numbered(docs)
-    found = stored(row_groups(rows), "dup_rows")
-    keep = found.where("kept").groupBy("doc_id").agg(F.min("row").alias("row")).select("row")
-    keep = keep.union(found.where("doc_id is null").select("row"))
+    found = stored(row_groups(rows, rule), "dup_rows")
+    first = lambda by, where: found.where(where).groupBy(by).agg(F.min(F.struct("doc_id", "row")).alias("m")).select("m.row")
+    keep = first("group", "group is not null").union(first("doc_id", "group is null and doc_id is not null")).union(found.where("doc_id is null").select("row"))
     return rows.join(keep, "row", "left_semi").select(*[F.col("doc")[c].alias(c) for c in docs.columns])
 
 

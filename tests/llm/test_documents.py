@@ -279,14 +279,14 @@ def test_mix_of_equal_rows_meets_its_target(spark):
         assert abs(4 * r["sum(_mix_copies)"] - r["max(_mix_target)"]) <= 4
 
 
-def shingles(text):
+def shingles(text, width=3):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = WORD.findall(low)
-    return {tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))} if w else set()
+    return {tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
 
 
-def expected_groups(rows):
-    sets = {i: shingles(t) for i, t in rows}
+def expected_groups(rows, width=3, percent=85):
+    sets = {i: shingles(t, width) for i, t in rows}
     ids = [i for i in sets if i is not None]
     up = {i: i for i in ids}
 
@@ -298,7 +298,7 @@ def expected_groups(rows):
     for i in ids:
         for j in ids:
             both = len(sets[i] & sets[j])
-            if i < j and both and 100 * both >= 85 * len(sets[i] | sets[j]):
+            if i < j and both and 100 * both >= percent * len(sets[i] | sets[j]):
                 a, b = find(i), find(j)
                 up[max(a, b)] = min(a, b)
     return Counter((i, len(sets[i]), None if i is None else find(i), i is not None and find(i) == i) for i, _ in rows)
@@ -321,7 +321,57 @@ def test_near_duplicates_in_a_large_group(spark):
             w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
         rows.append((i, " ".join(w)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    assert rows_of(neardup.groups(df).drop("row")) == expected_groups(rows)
+    assert rows_of(neardup.groups(df).drop("row", "group")) == expected_groups(rows)
+    assert rows_of(neardup.groups(df, neardup.STAGE_RULE).drop("row", "group")) == expected_groups(rows, 5, 80)
+
+
+@pytest.mark.parametrize("block, pivots", [(2048, 8), (7, 2), (40, 1)])
+def test_near_duplicates_with_small_blocks(spark, monkeypatch, block, pivots):
+    """Several chained groups that share buckets, cut into many blocks, with hardly any pivot: nothing is lost."""
+    import random
+
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "PIVOTS", pivots)
+    rng = random.Random(block)
+    base = helpers.words(rng, 120).split()
+    rows = []
+    for g in range(4):
+        start = list(base)
+        for k in range(g * 5):
+            start[k * 5] = f"g{g}w{k}"
+        for i in range(45):
+            w = list(start)
+            for _ in range(rng.randint(0, 6)):
+                w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+            rows.append((1000 * g + i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(neardup.groups(df).drop("row", "group")) == expected_groups(rows)
+
+
+def test_near_duplicates_of_a_doc_id_with_two_texts(spark):
+    import random
+
+    rng = random.Random(4)
+    a = helpers.words(rng, 200)
+    b = a.split()
+    b[100] = "changed"
+    rows = [(1, helpers.words(rng, 150), "x"), (1, a, "y"), (2, " ".join(b), "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in neardup.groups(df).collect())
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False)]
+    assert sorted(r.source for r in neardup.stage_dedup(spark, df, "").collect()) == ["x", "y"]
+
+
+def test_dedup_stage_takes_five_words_and_four_fifths(spark):
+    import random
+
+    rng = random.Random(6)
+    w = helpers.words(rng, 200).split()
+    rows = [(1, " ".join(w)), (2, " ".join(w[:166])), (3, " ".join(w[:150]))]      # 0.826 and 0.745 of the first's shingles; 0.90 of each other
+    kept = neardup.stage_dedup(spark, spark.createDataFrame(rows[:2], "doc_id long, text string"), "").collect()
+    assert [r.doc_id for r in kept] == [1]
+    kept = neardup.stage_dedup(spark, spark.createDataFrame([rows[0], rows[2]], "doc_id long, text string"), "").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3]
 
 
 def test_superminhash_estimates_similarity_and_stops_exactly():
@@ -345,7 +395,7 @@ def test_dedup_stage_keeps_one_of_each_group(spark, sf):
     out = neardup.stage_dedup(spark, docs, sf)
     assert out.columns == docs.columns
     kept = [r.doc_id for r in out.collect()]
-    want = [i for i, _, _, k in expected_groups(texts()) if k]
+    want = {i for i, _, _, k in expected_groups(texts(), 5, 80) if k}
     assert sorted(x for x in kept if x is not None) == sorted(want) and kept.count(None) == 2
 
 
@@ -377,7 +427,7 @@ def test_dedup_holds_when_scans_are_split_anew(spark, shifting):
     rows = [r[:2] for r in rows if r[2] and r[0] != 7]
     docs = docs.where("doc_id <> 7")
     want = expected_groups(rows)
-    assert rows_of(neardup.groups(docs).drop("row")) == want
+    assert rows_of(neardup.groups(docs).drop("row", "group")) == want
     assert sorted(r.doc_id for r in neardup.stage_dedup(spark, docs, "").collect()) == sorted(i for i, _, _, k in want if k)
 
 
