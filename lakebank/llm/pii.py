@@ -16,34 +16,76 @@ KINDS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Shape of an identifier that a context may reveal: a run with a digit.
-SHAPE = r"(?<![A-Za-z0-9@._/+-])[A-Za-z@._/+-]*+[0-9][A-Za-z0-9@._/+-]*+"
+#: Stands for the characters of a fixed kind's match where other identifiers are looked for.
+MASK = "\ue000"
+#: What may stand in the slot of a context: digit groups joined by single blanks, brackets or
+#: signs, or a run that holds a digit or an at sign. No upper length.
+SHAPE = (r"(?<![\p{L}\p{N}@._/+\x{E000}-])(?:\(?\+?[0-9][0-9()./+-]*+(?:\x20\(?[0-9][0-9()./+-]*+)++(?![\p{L}@_\x{E000}])"
+         r"|\([0-9]++\)[0-9./+-]*+(?![\p{L}@_\x{E000}])|[\p{L}._/+-]*+[0-9@\x{E000}][\p{L}\p{N}@._/+\x{E000}-]*+)")
+#: Least letters and digits of an identifier; characters that a context looks at on either side.
+LEAST, AROUND = 4, 160
 IP_PART = r"0*(25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 
 #: Rounds of scoring; least summed score and confidence of a pattern; least score of a value.
 ROUNDS, SUPPORT, CONFIDENCE, ACCEPT = 3, 3.0, 0.6, 0.8
 
-SPAN = "array<struct<start:int,stop:int,hit:string>>"
+SPAN = "array<struct<start:int,stop:int,hit:string,before:string,after:string>>"
 
 
-def spans(text: Column, pattern: str, valid) -> Column:
-    """Places of the pattern's valid matches in code points, stop exclusive: summed lengths of the pieces between them."""
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once (an expression inside a lambda is computed per element)."""
+    return F.transform(F.array(value), body)[0]
+
+
+def spans(text: Column, pattern: str, valid, contexts: bool = False) -> Column:
+    """Places of the pattern's valid matches in code points, stop exclusive; with ``contexts`` also what stands about them.
+
+    Starts are summed lengths of the pieces between matches, over runs of about
+    the root of their number, first the runs' sums and then each run from its
+    own start: arrays that grow stay short, so a text with very many matches
+    costs little more than its length.
+    """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"))
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    none = F.lit(None).cast("string")
+    columns = [F.transform(F.slice(gaps, F.lit(1), F.size(hits)), F.length).alias("gap"), hits.alias("hit")]
+    if contexts:
+        before = F.zip_with(F.concat(F.array(F.lit("")), F.slice(hits, F.lit(1), F.greatest(F.size(hits) - 1, F.lit(0)))), F.slice(gaps, F.lit(1), F.size(hits)),
+                            lambda hit, gap: F.right(F.concat(hit, gap), F.lit(AROUND)))
+        after = F.zip_with(F.slice(gaps, F.lit(2), F.size(hits)), F.concat(F.slice(hits, F.lit(2), F.size(hits)), F.array(F.lit(""))),
+                           lambda gap, hit: F.left(F.concat(gap, hit), F.lit(AROUND)))
+        columns += [before.alias("before"), after.alias("after")]
+    pairs = F.arrays_zip(*columns)
 
     def add(acc, x):
-        start = acc["at"] + F.length(x["gap"])
+        start = acc["at"] + x["gap"]
         stop = start + F.length(x["hit"])
-        one = F.struct(start.alias("start"), stop.alias("stop"), x["hit"].alias("hit"))
+        one = F.struct(start.alias("start"), stop.alias("stop"), x["hit"].alias("hit"),
+                       (x["before"] if contexts else none).alias("before"), (x["after"] if contexts else none).alias("after"))
         more = F.when(valid(x["hit"]), F.concat(acc["out"], F.array(one)).cast(SPAN)).otherwise(acc["out"])
         return F.struct(stop.alias("at"), more.alias("out"))
 
-    found = F.aggregate(pairs, first, add, lambda acc: acc["out"])
+    def placed(runs):
+        long = F.transform(runs, lambda run: F.aggregate(run, F.lit(0), lambda acc, x: acc + x["gap"] + F.length(x["hit"])))
+        begin = F.aggregate(long, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return F.flatten(F.zip_with(runs, F.slice(begin, F.lit(1), F.size(runs)), lambda run, at: F.aggregate(
+            run, F.struct(at.alias("at"), F.array().cast(SPAN).alias("out")), add, lambda acc: acc["out"])))
+
+    def cut(p, size):
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / size).cast("int")), lambda j: F.slice(p, j * size + 1, size))
+
+    found = let(pairs, lambda p: let(F.ceil(F.sqrt(F.size(p))).cast("int"), lambda size: let(cut(p, size), placed)))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
 
 
+def masked(text: Column, pattern: str, valid) -> Column:
+    """``text`` with MASK for every character of a valid match."""
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    held = F.transform(hits, lambda h: F.when(valid(h), F.repeat(F.lit(MASK), F.length(h))).otherwise(h))
+    parts = F.zip_with(F.split(text, pattern, -1), F.concat(held, F.array(F.lit(""))), lambda gap, hit: F.concat(gap, hit))
+    return F.when(text.rlike(pattern), F.array_join(parts, "")).otherwise(text)
+
+
 def digits(col: Column) -> Column:
     return F.regexp_replace(col, "[^0-9]", "")
 
@@ -58,8 +100,8 @@ VALID = {
 
 
 def labelled(kind: str) -> Column:
-    """(start, stop, hit, kind) of a fixed kind's spans."""
-    return F.transform(f"_{kind}", lambda x: F.struct(x["start"], x["stop"], x["hit"], F.lit(kind).alias("kind")))
+    """(start, stop, hit, before, after, kind) of a fixed kind's spans."""
+    return F.transform(f"_{kind}", lambda x: F.struct(x["start"], x["stop"], x["hit"], x["before"], x["after"], F.lit(kind).alias("kind")))
 
 
 def places(kind: str) -> Column:
@@ -67,36 +109,46 @@ def places(kind: str) -> Column:
     return F.transform(F.filter("more", lambda x: x["kind"] == kind), lambda x: F.struct(x["start"], x["stop"]))
 
 
-def with_base(docs: DataFrame) -> DataFrame:
+def with_base(docs: DataFrame, contexts: bool = False) -> DataFrame:
     """Adds _text (null: empty), _key (the text's hash) and one span list per fixed kind."""
     out = docs.withColumn("_text", F.coalesce("text", F.lit(""))).withColumn("_key", F.md5(F.col("_text").cast("binary")))
     for kind, pattern in KINDS.items():
-        out = out.withColumn(f"_{kind}", spans(F.col("_text"), pattern, VALID[kind]))
+        out = out.withColumn(f"_{kind}", spans(F.col("_text"), pattern, VALID[kind], contexts))
     return out
 
 
 def instances(based: DataFrame) -> DataFrame:
-    """(key, start, stop, kind or null, value, pattern): every fixed match and every other
-    identifier-shaped run, once per lexical pattern about it. Copies of a text count once."""
+    """(key, start, stop, kind or null, value, pattern): every fixed match and whatever else may be
+    an identifier, once per lexical pattern about it. Copies of a text count once.
+
+    Fixed matches are masked where the others are looked for, and a run that
+    touches one is left out. The context is what stands between a match and its
+    neighbours of the same search, and the neighbour itself, AROUND characters at most.
+    """
     base = F.concat(*map(labelled, KINDS))
-    full = "array<struct<start:int,stop:int,hit:string,kind:string>>"
-    trim = lambda x: F.regexp_replace(x["hit"], r"^[^A-Za-z0-9]+|[^A-Za-z0-9]+$", "")
-    shaped = F.transform(
-        spans(F.col("_text"), SHAPE, lambda hit: F.length(hit).between(6, 64) & F.length(digits(hit)).between(4, 40)),
-        lambda x: F.struct((x["start"] + F.length(F.regexp_extract(x["hit"], r"^[^A-Za-z0-9]*", 0))).alias("start"),
-                           (x["start"] + F.length(F.regexp_extract(x["hit"], r"^[^A-Za-z0-9]*", 0)) + F.length(trim(x))).alias("stop"),
-                           trim(x).alias("hit"), F.lit(None).cast("string").alias("kind")))
-    rows = based.select("_key", "_text", base.cast(full).alias("base"), shaped.cast(full).alias("shaped"))
-    other = F.filter("shaped", lambda c: ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
-    rows = rows.select("_key", "_text", F.explode(F.concat("base", other)).alias("x"))
-    before = F.lower(F.substring("_text", F.greatest(F.col("x.start") - 59, F.lit(1)), F.least(F.col("x.start"), F.lit(60))))
-    after = F.lower(F.substring("_text", F.col("x.stop") + 1, F.lit(40)))
+    full = "array<struct<start:int,stop:int,hit:string,before:string,after:string,kind:string>>"
+    text = F.col("_text")
+    for kind, pattern in KINDS.items():
+        text = F.when(F.size(f"_{kind}") > 0, masked(text, pattern, VALID[kind])).otherwise(text)
+    rows = based.select("_key", base.cast(full).alias("base"), text.alias("_masked"))
+    edge = r"[^\p{L}\p{N}]"
+    first = lambda h: F.when(h.contains(")"), F.regexp_extract(h, r"^[^\p{L}\p{N}(]*", 0)).otherwise(F.regexp_extract(h, rf"^{edge}*", 0))
+    lead = lambda h: F.length(first(h))
+    tail = lambda h: F.length(F.regexp_extract(h, rf"{edge}*$", 0))
+    real = lambda h: ~h.contains(MASK) & (F.length(F.regexp_replace(h, edge, "")) >= LEAST)
+    shaped = F.transform(spans(F.col("_masked"), SHAPE, real, True), lambda x: F.struct(
+        (x["start"] + lead(x["hit"])).alias("start"), (x["stop"] - tail(x["hit"])).alias("stop"),
+        F.substring(x["hit"], lead(x["hit"]) + 1, F.length(x["hit"]) - lead(x["hit"]) - tail(x["hit"])).alias("hit"),
+        F.concat(x["before"], F.left(x["hit"], lead(x["hit"]))).alias("before"), F.concat(F.right(x["hit"], tail(x["hit"])), x["after"]).alias("after"),
+        F.lit(None).cast("string").alias("kind")))
+    rows = rows.select("_key", "base", shaped.cast(full).alias("shaped"))
+    rows = rows.select("_key", F.explode(F.concat("base", "shaped")).alias("x")).select("_key", "x.start", "x.stop", "x.kind", F.lower("x.hit").alias("value"),
+                                                                                    F.lower("x.before").alias("before"), F.lower("x.after").alias("after"))
     word = r"[^\x20\x09-\x0D]"
     left2 = F.regexp_extract("before", rf"({word}+[\x20\x09-\x0D]+{word}+)[\x20\x09-\x0D]*[\"'(\[<]*$", 1)
     left1 = F.regexp_extract("before", rf"({word}+)[\x20\x09-\x0D]*$", 1)
     right1 = F.regexp_extract("after", rf"^{word}*[\x20\x09-\x0D]+({word}+)", 1)
     tidy = lambda c: F.regexp_replace(c, r"[\x20\x09-\x0D]+", " ")
-    rows = rows.select("_key", "x.start", "x.stop", "x.kind", F.lower("x.hit").alias("value"), before.alias("before"), after.alias("after"))
     patterns = F.array(F.when(left2 != "", F.concat(F.lit("left "), tidy(left2))),
                        F.when((left1 != "") & (right1 != ""), F.concat(F.lit("around "), left1, F.lit(" _ "), right1)))
     return (rows.withColumn("pattern", F.explode(F.filter(patterns, lambda p: p.isNotNull())))
@@ -147,12 +199,14 @@ def find(docs: DataFrame) -> DataFrame:
 
     Built-in expressions only. Fixed kinds are found in the row; the contexts
     are scored over the whole corpus, and what they reveal joins back by the
-    text's hash, without moving texts. Null text is empty: no spans. Equal texts
-    get equal spans. Empty table: empty result. Clashing extra columns are not read.
+    text's hash, without moving texts. Null text is empty: no spans. Very long
+    texts are searched whole. Equal texts get equal spans. An identifier of fewer
+    than LEAST letters and digits, one without a digit or an at sign, and one
+    that touches a fixed match are not discovered. Empty table: empty result. Clashing extra columns are not read.
     """
     based = with_base(docs.select("doc_id", "text"))
     own = stored(based.select("doc_id", "_key", *[F.transform(f"_{k}", lambda x: F.struct(x["start"], x["stop"])).alias(f"_{k}") for k in KINDS]), "pii_base")
-    more = stored(discovered(based), "pii_more")
+    more = stored(discovered(with_base(docs.select("text"), contexts=True)), "pii_more")
     base = F.concat(*[named(k, F.col(f"_{k}")) for k in KINDS])
     both = F.concat(*[named(k, F.array_sort(F.concat(f"_{k}", places(k)))) for k in KINDS])
     out = own.join(more, "_key", "left").withColumn("more", F.coalesce("more", F.array().cast("array<struct<start:int,stop:int,kind:string>>")))
@@ -169,7 +223,7 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans as one. Null texts stay null."""
     based = with_base(docs.select(F.struct("*").alias("_doc"), "text"))
     # written first, so that the planner knows its size before it decides whether texts must move
-    more = stored(discovered(with_base(docs.select("text"))), "pii_more")
+    more = stored(discovered(with_base(docs.select("text"), contexts=True)), "pii_more")
     listed = "array<struct<start:int,stop:int,kind:string>>"
     spans_ = F.concat(*[F.transform(labelled(k), lambda x: F.struct(x["start"], x["stop"], x["kind"])) for k in KINDS],
                       F.coalesce("_more", F.array().cast(listed)))

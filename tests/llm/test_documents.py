@@ -132,6 +132,41 @@ def test_pii_contexts_reveal_unseen_identifiers(spark):
     assert "[EMAIL]" in pii.redact(df).where("doc_id = 101").head().text
 
 
+def test_pii_reveals_identifiers_of_any_form(spark):
+    digits = lambda i, n: str(10**20 + i * 7919**3)[-n:]
+    known = [(i, f"call the customer phone number: +1 555 01{i:02d} 22{i:02d} before noon") for i in range(40)]
+    known += [(100 + i, f"his secret card number is 4111-1111-1111-1111 or {i} more, charged to card no {luhn_card(i)} today") for i in range(40)]
+    known += [(200 + i, f"the server has address {10 + i}.1.2.{i} on the wire, from host {10 + i}.1.2.{i} again") for i in range(40)]
+    known += [(300 + i, f"write a letter to u{i}@mail{i}.org this week") for i in range(40)]
+    odd = {1000: ("call the customer phone number: 555 010 2222 before noon", "phone", "555 010 2222"), 1001: ("call the customer phone number: (555) 010-2224 before noon", "phone", "(555) 010-2224"),
+           1002: ("the server has address 300.1.2.3.4 on the wire", "ip", "300.1.2.3.4"), 1003: ("write a letter to jörg.müller@büro this week", "email", "jörg.müller@büro"),
+           1004: ("write a letter to " + "x" * 90 + "7 this week", "email", "x" * 90 + "7"), 1005: (f"charged to card no 4111 1111 1111 1112 today", "card", "4111 1111 1111 1112")}
+    clean = [(2000 + i, f"the year {1990 + i} was calm and order {digits(i, 9)} is shipped") for i in range(30)]
+    df = spark.createDataFrame([*known, *clean, *((i, t) for i, (t, _, _) in odd.items())], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find(df).collect()}
+    for i, (text, kind, value) in odd.items():
+        assert f"{kind}:{text.index(value)}:{text.index(value) + len(value)}" in got[i].spans.split(","), (text, got[i])
+    assert all(got[i].n_discovered == 0 for i, _ in clean)
+
+
+def luhn_card(i):
+    body = f"4{i:014d}"
+    return next(body + str(c) for c in range(10) if luhn(body + str(c)))
+
+
+def test_pii_many_matches_in_one_text(spark):
+    import time
+
+    rows = [(1, " ".join(f"u{i}@mail.org" for i in range(30_000))), (2, " ".join(f"{i}1234 x" for i in range(30_000))), (3, " +1 222 5550000;" * 20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    pii.find(df.limit(0)).collect()
+    begin = time.monotonic()
+    got = {r.doc_id: r for r in pii.find(df).collect()}
+    assert (got[1].n_email, got[3].n_phone) == (30_000, 20_000)
+    assert got[1].base_sha256 == base_spans(rows[0][1])[-1]
+    assert time.monotonic() - begin < 60
+
+
 def test_pii_redaction_keeps_columns(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     out = pii.stage_pii(spark, docs, sf)
