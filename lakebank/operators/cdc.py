@@ -12,10 +12,9 @@ Semantics (the reference only declares them):
 * ``except_columns`` are left out of the target.
 
 Plan: one ordered per-key scan (``lead``), split by time bucket so a hot key
-does not land in one task (``ordered.next_value``). Truncates become half-open
-intervals, one row per day that an interval touches; a version finds its interval
-by an equality join on the day. Both sides may grow: nothing is listed or forced
-to be broadcast.
+does not land in one task (``ordered.next_value``). The next truncate comes from
+one sweep over versions and truncates in order. Both sides may grow: nothing is
+listed or forced to be broadcast.
 """
 
 from __future__ import annotations
@@ -24,8 +23,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakebank.operators.ordered import next_value, prev_value, time_bucket
+from lakebank.operators.ordered import next_value, time_bucket
+from lakebank.sources.sinks import checkpoint_table
 
 START, END = "__START_AT", "__END_AT"
 
@@ -36,24 +37,51 @@ def _payload(df: DataFrame, keys, sequence_by, except_columns) -> list[str]:
 
 
 def next_truncate(versions: DataFrame, truncates: DataFrame, seq_cols: Sequence[str]) -> DataFrame:
-    """Add ``__next_trunc``: timestamp of the first truncate after each row's sequence.
+    """Add ``__next_trunc``: time of the first truncate after each row's sequence.
 
-    The truncates in order give intervals (previous, this one]; a row in
-    [previous, this one) is closed by this one. Rows on days before the first
-    truncate are closed by the first; rows after the last have none.
+    One sweep over versions and truncates together, range-partitioned and sorted
+    by descending sequence: each task carries the truncate it passed last, and
+    what the tasks of later sequences hand on is one row per task. Linear in both
+    sides, whatever falls on one day; a truncate at a row's own sequence isn't after it.
     """
-    ts = seq_cols[0]
-    seq = F.struct(*seq_cols)
-    t = truncates.select(*seq_cols).distinct()
-    t = prev_value(t, [], list(seq_cols), seq, "__lo", bucket=F.to_date(ts))
-    intervals = t.select("__lo", seq.alias("__hi"), F.explode(F.sequence(
-        F.to_date(F.coalesce(F.col(f"__lo.{ts}"), F.col(ts))), F.to_date(ts))).alias("__day"))
-    first = truncates.agg(F.min(seq)).scalar()
-    v = versions.withColumns({"__seq": seq, "__on": F.to_date(ts)})
-    j = v.join(intervals, (F.col("__on") == F.col("__day")) & (F.col("__seq") < F.col("__hi"))
-               & (F.col("__lo").isNull() | (F.col("__lo") <= F.col("__seq"))), "left")
-    nxt = F.coalesce(F.col(f"__hi.{ts}"), F.when(F.col("__on") < F.to_date(first.getField(ts)), first.getField(ts)))
-    return j.withColumn("__next_trunc", nxt).drop("__seq", "__on", "__day", "__lo", "__hi")
+    spark = versions.sparkSession
+    out = T.StructType([*(T.StructField(f.name, f.dataType) for f in versions.schema), T.StructField("__next_trunc", versions.schema[seq_cols[0]].dataType), T.StructField("__task", T.IntegerType())])
+    marked = versions.withColumn("__trunc", F.lit(False)).unionByName(
+        truncates.select(*seq_cols).distinct().withColumn("__trunc", F.lit(True)), allowMissingColumns=True)
+    order = [*[F.desc(c) for c in seq_cols], F.asc("__trunc")]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at, time = marked.columns.index("__trunc"), marked.columns.index(seq_cols[0])
+    cols = [i for i in range(len(marked.columns)) if i != at]
+
+    def sweep(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        task, carried = TaskContext.get().partitionId(), None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            trunc = batch.column(at).to_numpy(zero_copy_only=False).astype(bool)
+            times = batch.column(time)
+            last = np.maximum.accumulate(np.where(trunc, np.arange(len(trunc)), -1))
+            held = pa.concat_arrays([times, pa.array([carried], times.type)]).take(pa.array(np.where(last < 0, len(trunc), last)))
+            if last[-1] >= 0:
+                carried = times[int(last[-1])].as_py()
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in cols), held, pa.array(np.full(len(trunc), task, np.int32))], names=out.names).filter(pa.array(~trunc))
+        # what this task hands on: a row without a version
+        if carried is not None:
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, f.type) for f in (batch.schema.field(i) for i in cols)), pa.array([carried], times.type), pa.array([-1 - task], pa.int32())], names=out.names)
+
+    swept = marked.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(sweep, out)
+    swept = checkpoint_table(swept, "cdc_sweep")
+    handed = swept.where("__task < 0").select((-1 - F.col("__task")).alias("__from"), F.col("__next_trunc").alias("__handed"))
+    before = swept.where("__task >= 0")
+    # tasks count up as the sequence goes down; one row per task on either side
+    got = (before.select("__task").distinct().join(handed, F.col("__from") < F.col("__task"), "left")
+           .groupBy(F.col("__task").alias("__of")).agg(F.max_by("__handed", "__from").alias("__handed")))
+    return (before.join(got, F.col("__task") == F.col("__of"), "left")
+            .withColumn("__next_trunc", F.coalesce("__next_trunc", "__handed")).drop("__task", "__of", "__handed"))
 
 
 def versions(keyed: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], op_col: str,
@@ -124,3 +152,27 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str],
     return (j.select(*keys, F.explode(events).alias("__e"))
             .select(*keys, *[F.col(f"__e.img.{c}").alias(c) for c in payload],
                     F.col("__e.k").alias(change_col)))
+
+
+def change_feed_digests(before: DataFrame, after: DataFrame, keys: Sequence[str], buckets: int = 4096,
+                        change_col: str = "_change_type") -> DataFrame:
+    """``change_feed`` for large snapshots that differ little: only buckets of keys whose digests differ are joined.
+
+    A bucket's digest is its row count and two order-free sums of row hashes, one
+    partial/final aggregate per snapshot with one row per bucket. Equal digests of
+    unequal buckets are as likely as a collision of 128 bits. The rows that reach
+    the join follow the change, not the table.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("__bucket")
+    cols = after.columns
+
+    def digest(df: DataFrame, name: str) -> DataFrame:
+        h1, h2 = F.xxhash64(*cols), F.xxhash64(F.lit(7), *reversed(cols))
+        whole = lambda h: F.sum(h.cast("decimal(20,0)"))
+        return df.groupBy(bucket).agg(F.struct(F.count("*").alias("n"), whole(h1).alias("a"), whole(h2).alias("b")).alias(name))
+
+    # written: read for both sides, and so small that the planner sends it to the rows
+    changed = checkpoint_table(digest(before, "d1").join(digest(after, "d2"), "__bucket", "full_outer")
+                               .where(~F.col("d1").eqNullSafe(F.col("d2"))).select("__bucket"), "changed_buckets")
+    some = lambda df: df.withColumn("__bucket", bucket).join(changed, "__bucket", "left_semi").select(*cols)
+    return change_feed(some(before), some(after), keys, change_col)

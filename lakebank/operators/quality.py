@@ -5,7 +5,8 @@ of a table see the same rows (the table's output after casts), as declarative
 expectations do. Failing a ``fail`` rule raises inside the plan
 (``raise_error``), so no extra pass over the data is needed; counts for the
 report come from one aggregate with a ``count_if`` per rule (partial
-aggregation, one tiny shuffle).
+aggregation, one tiny shuffle), or from metrics observed while the table is
+written (``observe_expectations``), without a pass of their own.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 ACTIONS = ("drop", "warn", "fail")
@@ -80,3 +81,25 @@ def expectation_report(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame
                  F.col(f"p{i}").alias("passed_records"), F.col(f"f{i}").alias("failed_records"))
         for i, r in enumerate(rules)]))
     return wide.select(rows.alias("r")).select("r.*")
+
+
+def observe_expectations(df: DataFrame, rules: Sequence[Expectation], name: str = "expectations") -> tuple[DataFrame, Observation]:
+    """``df`` with the rules' counts observed as its rows go by (Q2, Q4): write it, then read ``observed_report``.
+
+    Put it before ``apply_expectations``, so that dropped rows count. On a stream
+    the counts come per micro-batch under ``observedMetrics`` of its progress:
+    there, use ``expectation_metrics`` with a name.
+    """
+    seen = Observation(name)
+    return df.observe(seen, *expectation_metrics(rules)), seen
+
+
+def expectation_metrics(rules: Sequence[Expectation]) -> list[Column]:
+    return [c for i, r in enumerate(rules) for c in (F.count_if(r.passed()).alias(f"p{i}"), F.count_if(~r.passed()).alias(f"f{i}"))]
+
+
+def observed_report(spark: SparkSession, observation: Observation, rules: Sequence[Expectation]) -> DataFrame:
+    """The report of ``expectation_report`` from an observation whose frame has been written; two numbers per rule."""
+    got = observation.get
+    rows = [(r.name, r.action, got[f"p{i}"], got[f"f{i}"]) for i, r in enumerate(rules)]
+    return spark.createDataFrame(rows, "rule string, action string, passed_records long, failed_records long")

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakebank.functions.expr import instant_to_ntz, ntz_to_instant
 from lakebank.operators.ordered import BUCKET, KEY, _bucketed, block_bucket, running, time_bucket
 
 # Fixed values from the reference.
@@ -198,3 +199,21 @@ def ttl_lookup(cache_events: DataFrame, data_types: Sequence[str], ttl_seconds:
     return (r.filter(k == "request")
             .select(id_col, key, type_col, ts, F.col("__put.t").alias("last_put"),
                     F.col("__inv.t").alias("last_invalidation"), hit.alias("hit")))
+
+
+def session_windows(events: DataFrame, key: str, ts: str, gap_seconds: int = SESSION_TTL_SECONDS, watermark_seconds: int | None = None) -> DataFrame:
+    """I3 by Spark's own ``session_window``: key, started_at, last_activity, n_events, expires_at.
+
+    For a batch, or a stream in append mode with ``watermark_seconds``: a session
+    then comes out once the watermark has passed its end, its state ends with it,
+    and a row later than that joins no session. Partial sessions are merged before
+    the shuffle. A null key or time has no session.
+    """
+    e = events.select(F.col(key), ntz_to_instant(ts).alias("__at")).where(F.col(key).isNotNull() & F.col("__at").isNotNull())
+    if watermark_seconds is not None:
+        e = e.withWatermark("__at", f"{watermark_seconds} seconds")
+    # windows that touch are merged: one microsecond less, so that an event just at the end begins a session
+    w = F.session_window("__at", f"{gap_seconds * 1_000_000 - 1} microseconds")
+    got = e.groupBy(key, w.alias("__w")).agg(F.max("__at").alias("__last"), F.count("*").alias("n_events"))
+    return got.select(key, instant_to_ntz("__w.start").alias("started_at"), instant_to_ntz("__last").alias("last_activity"), "n_events",
+                      F.timestamp_add("SECOND", F.lit(gap_seconds), instant_to_ntz("__last")).alias("expires_at"))

@@ -912,3 +912,12 @@ SELECT request_id, customer_id, ts, check_status,
        ELSE 200 END AS http_status
 FROM v"""
 
+
+
+# ---------------------------------------------------------------- other forms of the same rows
+
+ORACLE["join_left_balances_bucketed"] = ORACLE["join_left_balances"]
+ORACLE["dq_observed"] = ORACLE["dq_report"]
+ORACLE["change_feed_digests"] = ORACLE["change_feed"]
+ORACLE["session_window"] = f"""SELECT user_id, started_at, last_activity, n_events, expires_at
+FROM ({session_ttl_sql(1800).replace("event_type = 'error'", "false")}) s"""

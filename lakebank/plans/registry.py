@@ -57,6 +57,15 @@ def q_join_left_balances(spark, d):
     return kpi.join_left_balances(FX.accounts(spark, d), M.silver_txns_for(spark, d))
 
 
+@register("join_left_balances_bucketed")
+def q_join_left_balances_bucketed(spark, d):
+    """J1 on catalog tables bucketed by account on both sides: no shuffle below the join."""
+    from lakebank.sources import sinks
+    accounts = kpi.current_rows(FX.accounts(spark, d)).select("cuenta_id", "tipo_producto", "segmento_cliente", "moneda", "saldo_inicial")
+    return sinks.bucketed_pair(accounts, kpi.daily_movements(M.silver_txns_for(spark, d)), "cuenta_id",
+                               lambda accounts, movements: accounts.join(movements, "cuenta_id", "left"))
+
+
 @register("agg_card_month")
 def q_agg_card_month(spark, d):
     """Per card and month purchases, total, average, active days."""
@@ -139,6 +148,16 @@ def q_dq_report(spark, d):
     return expectation_report(df, M.SILVER_TXN_RULES)
 
 
+@register("dq_observed")
+def q_dq_observed(spark, d):
+    """Q2 / Q4: the same counts, observed while the checked table is written."""
+    from lakebank.operators import quality
+    from lakebank.session import scratch_path
+    df, seen = quality.observe_expectations(M.silver_transactions_unchecked(FX.raw_transactions(spark, d)), M.SILVER_TXN_RULES)
+    quality.apply_expectations(df, M.SILVER_TXN_RULES).write.parquet(scratch_path(spark, "silver-observed"))
+    return quality.observed_report(spark, seen, M.SILVER_TXN_RULES)
+
+
 @register("dedup_latest")
 def q_dedup_latest(spark, d):
     """Newest version per card (tie-break on version id)."""
@@ -203,6 +222,18 @@ def q_change_feed(spark, d):
     return cdc.change_feed(before, after, ["cuenta_id"])
 
 
+@register("change_feed_digests")
+def q_change_feed_digests(spark, d):
+    """A10: the same changes, joining only key buckets whose digests differ (from the last day of the feed)."""
+    from lakebank.sources.sinks import checkpoint_table
+    ch = FX.account_changes(spark, d)
+    args = dict(keys=["cuenta_id"], sequence_by=["_ingest_timestamp", "_change_id"],
+                except_columns=M.CDC_EXCEPT_COLUMNS + ["_change_id"], scd_type=1)
+    before = cdc.apply_changes(ch.filter(F.col("_ingest_timestamp") < F.lit(CHANGE_FEED_CUT).cast("timestamp_ntz")), **args)
+    before, after = (checkpoint_table(x, "snapshot") for x in (before, cdc.apply_changes(ch, **args)))
+    return cdc.change_feed_digests(before, after, ["cuenta_id"])
+
+
 # ---------------------------------------------------------------- bronze
 
 @register("src_derived_partitions")
@@ -437,6 +468,14 @@ def q_session_ttl_12h(spark, d):
     return _session_ttl(spark, d, 43200)
 
 
+@register("session_window")
+def q_session_window(spark, d):
+    """I3 by the built-in session window: 30 minutes, no logout."""
+    from lakebank.operators import sessions
+    ev = FX.read_table(spark, d, "events")
+    return sessions.session_windows(ev, "user_id", "ts", 1800)
+
+
 CACHE_TYPES = ["balance", "cards", "loans"]
 
 

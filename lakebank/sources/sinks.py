@@ -7,6 +7,7 @@ setting unset (tests).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,21 @@ def save_table(df: DataFrame, name: str, partition_cols: Sequence[str] = (),
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({kv})")
 
 
+def bucketed_pair(left: DataFrame, right: DataFrame, key: str, join, buckets: int = 64, names: tuple[str, str] | None = None) -> DataFrame:
+    """``join(left, right)`` of two catalog tables that are bucketed and sorted alike by ``key``.
+
+    Writing them shuffles each side once; every join on the key after that,
+    this one included, reads both sides bucket by bucket without an exchange.
+    Tables of the given names can be read again by other jobs.
+    """
+    spark = left.sparkSession
+    tag = uuid.uuid4().hex[:12]
+    names = names or (f"bucketed_left_{tag}", f"bucketed_right_{tag}")
+    for df, name in zip((left, right), names):
+        save_table(df.repartition(buckets, key), name, bucket_by=(buckets, key))
+    return join(*(spark.read.table(name).hint("merge") for name in names))
+
+
 def checkpoint_table(df: DataFrame, name: str = "ckpt") -> DataFrame:
     """Cut lineage by writing to the shared checkpoint folder and reading back.
 
