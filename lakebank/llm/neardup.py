@@ -18,7 +18,7 @@ class Rule:
     estimated similarity from which a pair is verified.
 
     Two sets of similarity s share no band with probability (1 - s^rows)^bands:
-    4e-7 at 0.85 with 25 bands of 5, 1e-7 at 0.8 with 40. The least estimate
+    4e-7 at 0.85 with 25 bands of 5, 5e-5 at 0.8, 3e-6 at 0.84. The least estimate
     lies over four standard errors of the estimate (0.032 at 0.85 and 125
     positions, less with correlated ranks) below the least similarity.
     """
@@ -31,7 +31,7 @@ class Rule:
 
 
 #: The query's rule by its contract, and the pipeline's: five words and 0.8.
-QUERY_RULE, STAGE_RULE = Rule(), Rule(5, 80, 40, 5, 0.65)
+QUERY_RULE, STAGE_RULE = Rule(), Rule(5, 80, 25, 5, 0.65)
 #: Members of a bucket that all others are compared with first. Members and shingles of a
 #: bucket block (two blocks are compared at a time), and shingles hashed at a time.
 PIVOTS, BLOCK, BLOCK_SHINGLES, CHUNK = 8, 2048, 1 << 21, 1 << 18
@@ -232,15 +232,16 @@ def near(same, n, m, rule: Rule, positions: int):
     return (same >= rule.least_estimate * positions) & (100 * np.minimum(n, m) >= rule.percent * np.maximum(n, m))
 
 
-def compared(members: DataFrame, rule: Rule) -> DataFrame:
-    """``members`` with one and two: the likeliest of the bucket's pivots, if any is near.
+def compared(members: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
+    """``members`` (key, id, n, blocks) with one and two: the likeliest of the bucket's pivots, if any is near.
 
     Pivots are PIVOTS members of a bucket by hash. A bucket is cut into slices
     of bounded size and its pivots go to each, so the work is linear in the
-    members however many a bucket has.
+    members however many a bucket has. Signatures (of ``reps``) move once, and
+    none is written.
     """
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("blocks", T.LongType()),
-                           T.StructField("sig", T.BinaryType()), T.StructField("one", T.LongType()), T.StructField("two", T.LongType())])
+                           T.StructField("one", T.LongType()), T.StructField("two", T.LongType())])
 
     def run(batches):
         import numpy as np
@@ -270,17 +271,17 @@ def compared(members: DataFrame, rule: Rule) -> DataFrame:
                 none = np.ones(rows, bool)
                 none[owner[at]] = False
                 out.append(pa.array(held, mask=none))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *out], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *out], names=schema.names)
 
     order = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
-    chosen = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
+    chosen = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS).join(reps.select("id", "sig"), "id")
     pivots = (chosen.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("slice"), F.struct("id", "n", "sig").alias("p"))
               .groupBy("key", "slice").agg(F.collect_list("p").alias("pivots")))
-    sliced = members.withColumn("slice", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    sliced = members.join(reps.select("id", "sig"), "id").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("blocks")))
     return sliced.join(pivots, ["key", "slice"]).select("key", "id", "n", "blocks", "sig", "pivots").mapInArrow(run, schema)
 
 
-def open_members(marked: DataFrame, rule: Rule) -> DataFrame:
+def open_members(marked: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
     """(key, one, two, id, comp) of the members that still have a likely partner in another component, untested in
     their bucket.
 
@@ -292,7 +293,7 @@ def open_members(marked: DataFrame, rule: Rule) -> DataFrame:
     held = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
     main = held.groupBy("key").agg(F.sum("n").alias("held"), F.max(F.struct("n", "comp")).alias("m")).where("m.n < held").select(
         "key", F.col("m.comp").alias("main"), ((F.col("held") - F.col("m.n")) / F.col("held")).alias("share"))
-    rows = marked.join(main, "key").withColumn("others", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("blocks") * F.col("share")).cast("long")))
+    rows = marked.join(main, "key").join(reps.select("id", "sig"), "id").withColumn("others", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("blocks") * F.col("share")).cast("long")))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     tail = ["id", "n", "sig", "comp", F.col("one").alias("t1"), F.col("two").alias("t2")]
@@ -467,8 +468,8 @@ def row_groups(rows: DataFrame, rule: Rule = QUERY_RULE) -> DataFrame:
     banded = reps.select("id", "n", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.count("*").alias("held"), F.sum("n").alias("size")).where("held > 1").select(
         "key", F.greatest(F.ceil(F.col("held") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
-    banded = banded.join(buckets, "key").join(reps.select("id", "sig"), "id")
-    members = stored(compared(stored(banded, "dup_banded"), rule), "dup_members")
+    banded = stored(banded.join(buckets, "key").select("key", "id", "n", "blocks"), "dup_banded")
+    members = stored(compared(banded, reps, rule), "dup_members")
     pair = members.select("id", F.explode(F.array("one", "two")).alias("p")).where("p is not null")
     tries = stored(pair.select(F.least("id", "p").alias("u"), F.greatest("id", "p").alias("v")).distinct(), "dup_tries")
     ends = tries.select(F.col("u").alias("row")).union(tries.select("v"))
@@ -476,7 +477,7 @@ def row_groups(rows: DataFrame, rule: Rule = QUERY_RULE) -> DataFrame:
     links = stored(verified(tries, sets, rule), "dup_links")
     comps = components(links, "dup_groups", contract)
     marked = members.join(comps.withColumnRenamed("node", "id"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    open_ = stored(open_members(stored(marked, "dup_marked"), rule), "dup_open")
+    open_ = stored(open_members(marked, reps, rule), "dup_open")
     if not open_.isEmpty():
         more = shingle_table(texts, open_.select(F.col("id").alias("row")).distinct(), rule)
         links = stored(links.union(closing_links(open_, more, rule)), "dup_all_links")
