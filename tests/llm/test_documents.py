@@ -273,6 +273,25 @@ def test_license_keywords_are_in_all_names(spark):
             assert any(k in text for k in rule.keywords), (rule.label, text)
 
 
+def test_license_keywords_are_long_and_of_each_alternative(spark):
+    assert all(len(k.strip()) >= 3 for rule in licenses.rules() for k in rule.keywords)
+    assert licenses.alternatives("a(?:b|c)|d") == ["a(?:b|c)", "d"]
+    assert licenses.literal("bsd (?:2|two) clause licen[cs]e") == " clause licen" and licenses.literal("non ?commercial(?: x)?") == "commercial"
+    assert licenses.keywords("gnu gpl|gpl|mit") == ("gpl", "mit")
+    assert len(licenses.NOTICES) > 100 and len(licenses.rules()) > 300
+
+
+def test_license_notices(spark):
+    said = [("You may not use this file except in compliance with the License.", "apache-2"), ("Altered source versions must be plainly marked as such,", "zlib"),
+            ("you think this stuff is worth it, you can buy me a beer", "beerware"), ("https://www.eclipse.org/legal/epl-v20.html", "epl-2"),
+            ("Unauthorized copying of this file", "proprietary"), ("see opendatacommons.org/licenses/odbl/", "odbl"), ("a beer and a package, unmarked", ""),
+            ("Permission is hereby granted, free of charge, to any person obtaining a copy of the Unicode data files", "unicode")]
+    rows = list(enumerate(t for t, _ in said))
+    got = rows_of(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).drop("detections"))
+    assert got == Counter((i, *license_row(t)) for i, t in rows)
+    assert [r[6] for r in sorted(got)] == [label for _, label in said]
+
+
 def test_mix(spark, sf):
     got = mixing.op7_mix_sources(spark, sf).collect()
     rows = helpers.documents()
