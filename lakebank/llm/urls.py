@@ -67,7 +67,8 @@ def filter_urls(pages: DataFrame, redirects: DataFrame | None = None, rules=RULE
     ``redirects`` (from_url, to_url) adds known redirects to those in the markup.
 
     Built-in expressions only. Components are found by contraction over the
-    linked addresses alone; pages without links never enter it. Null url or one without
+    linked addresses alone, which are numbered, not hashed; pages without links
+    never enter it. Null url or one without
     ``://``: empty host and path, no rule, no aliases, allowed. Null html: no
     links. Repeated rows are judged alike. Empty table: empty result. Redirect rows with a
     null end are ignored.
@@ -83,14 +84,15 @@ def filter_urls(pages: DataFrame, redirects: DataFrame | None = None, rules=RULE
     if links.isEmpty():
         aliased = judged.withColumn("alias_verdict", F.lit(None).cast("string"))
     else:
-        number = lambda c: F.xxhash64(F.lit("url"), c)
-        nodes = components(links.select(number(F.col("a")).alias("u"), number(F.col("b")).alias("v")), "url_components")
-        # every address of a component counts, crawled or not
+        # every address of a component counts, crawled or not; its number is given once, so two addresses never share one
         names = links.select(F.col("a").alias("key")).union(links.select("b")).distinct()
+        names = stored(names.select(F.monotonically_increasing_id().alias("node"), "key"), "url_names")
+        edges = links.join(names.toDF("u", "a"), "a").join(names.toDF("v", "b"), "b").select("u", "v")
+        nodes = components(edges, "url_components")
         h, p = host_path(F.col("key"))
-        votes = (names.withColumn("fit", rule_of(h, p, rules)).withColumn("node", number(F.col("key")))
+        votes = (names.withColumn("fit", rule_of(h, p, rules))
                  .join(nodes, "node").groupBy("component").agg(F.max(F.when(F.col("fit.verdict") == "allow", 2).when(F.col("fit.verdict") == "block", 1)).alias("vote")))
-        verdicts = names.withColumn("node", number(F.col("key"))).join(nodes, "node").join(votes, "component").select(
+        verdicts = names.join(nodes, "node").join(votes, "component").select(
             "key", F.when(F.col("vote") == 2, "allow").when(F.col("vote") == 1, "block").alias("alias_verdict"))
         aliased = judged.join(verdicts, "key", "left")
     return aliased.select("page_id", "host", "path", F.col("fit.rule").alias("rule"),
