@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebank.llm.common import ascii_lower, table
 
-#: Separators between words; what is left after A-Z are lower-cased are words.
+#: Separators between words, after A-Z are lower-cased and before.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SPLIT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 #: Fixed phrases: consecutive words and their label.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -239,11 +241,17 @@ TAG = "spdx license identifier"
 #: Words that a grant opens with.
 GRANTS = r"(?:licensed|released|distributed|available|published|provided|covered|governed|redistributed)"
 
+#: Plain texts, one of which is in whatever the gate below lets through (or "cc", looked at on its own): they are
+#: looked for first, in the lower-cased text, since a regex with many branches costs ten times as much.
+GATE_WORDS = ("licen", "released", "distribut", "available", "published", "provided", "covered", "governed", "copyright", "spdx", "commons", "domain", "rights",
+              "confidential", "warranty", "permi", "advertising", "endorse", "waived", "unencumbered", "product", "gnu", "mozilla", "eclipse", "mpl", "package",
+              "altered", "anyone", "buy", "managed", "agreement", "apple", "latex", "europ", "wtfpl", "sil", "bsl11", "cecill", "perl", "rail", "unauthori",
+              "reproduced", "restriction")
 #: A text without any of these holds no detection: every rule below needs one of them.
 GATE = (rf"(?i)licen[cs]|{GRANTS}[^0-9a-z]+(?:under|by)|"
         r"copyright|spdx|creative[^0-9a-z]{0,9}commons|public[^0-9a-z]+domain|all[^0-9a-z]+rights|confidential|warranty|"
         r"redistribut|permi(?:ssion|tted)|advertising|endorse|waived|unencumbered|"
-        r"product[^0-9a-z]+includes|gnu[^0-9a-z]|mozilla|eclipse|mpl[^0-9a-z]|package|altered[^0-9a-z]+source|anyone[^0-9a-z]+is[^0-9a-z]+free|beer|"
+        r"product[^0-9a-z]+includes|gnu[^0-9a-z]|mozilla|eclipse|mpl[^0-9a-z]|package|altered[^0-9a-z]+source|anyone[^0-9a-z]+is[^0-9a-z]+free|buy[^0-9a-z]+me|"
         r"managed[^0-9a-z]+service|written[^0-9a-z]+agreement|apple[^0-9a-z]+public|latex|european[^0-9a-z]+commission|europa[^0-9a-z]|wtfpl|sil[^0-9a-z]+org|"
         r"bsl11|cecill|perl[^0-9a-z]+itself|open[^0-9a-z]*rail|bigscience|without[^0-9a-z]+restriction|unauthori[sz]ed|reproduced|(?<![0-9a-z])cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by(?![0-9a-z])")
 
@@ -277,9 +285,10 @@ def literal(alternative: str) -> str:
     return max(fixed.split("\0"), key=len)
 
 
-def keywords(pattern: str) -> tuple[str, ...]:
-    """A literal for each alternative of the pattern, without those that contain another."""
-    found = {literal(a) for a in alternatives(pattern)}
+def keywords(pattern: str, before: str = "", after: str = "") -> tuple[str, ...]:
+    """A literal for each alternative of the pattern, without those that contain another. Where one is a plain text,
+    what stands before and after the pattern is part of its literal."""
+    found = {before + a + after if literal(a) == a else literal(a) for a in alternatives(pattern)}
     return tuple(sorted(k for k in found if not any(o != k and o in k for o in found)))
 
 
@@ -289,13 +298,17 @@ def rules() -> list[Rule]:
     out = [(tier, label, keywords(pattern), pattern) for tier, label, pattern in NOTICES]
     for label, names in FAMILIES.items():
         ending = " licen[cs]e" if label in COMMON_WORDS else ""
-        each = lambda before, after: keywords("|".join(before + a + after for a in alternatives(names)))  # noqa: B023, E731
         out.append((1, label, (TAG,), rf"{TAG} (?:{names})(?: only| or later)?"))
-        out.append((2, label, each(" ", ending), rf"{grant} (?:{names}){ending or '(?: licen[cs]e)?'}"))
-        out.append((3, label, each("", " licen[cs]e"), rf"(?:{names}) licen[cs]e"))
+        out.append((2, label, keywords(names, " ", ending[:6]), rf"{grant} (?:{names}){ending or '(?: licen[cs]e)?'}"))
+        out.append((3, label, keywords(names, "", " licen"), rf"(?:{names}) licen[cs]e"))
     return [Rule(i, tier, label, words, rf"(?<= )(?:{pattern})(?= )") for i, (tier, label, words, pattern) in enumerate(out)]
 
 
+def gate(text: Column, low: Column) -> Column:
+    """Whether a text may hold a detection; ``low`` is the text in lower case, a column of its own since it is read often."""
+    return (reduce(or_, [F.contains(low, F.lit(w)) for w in GATE_WORDS]) | F.contains(low, F.lit("cc"))) & text.rlike(GATE)
+
+
 HIT = "array<struct<start:int,back:int,tier:int,rule:int,label:string>>"
 
 
@@ -347,9 +360,10 @@ def scan(docs: DataFrame, ruleset: list[Rule] | None = None) -> DataFrame:
     one = lambda r: F.struct(F.lit(r.order).alias("rule"), F.lit(r.tier).alias("tier"), F.lit(r.label).alias("label"), F.lit(r.pattern).alias("pattern"))
     listed = F.array(*[F.struct(F.array(*map(F.lit, words)).alias("keywords"), F.array(*map(one, some)).alias("rules")) for words, some in by_keywords.items()])
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("_text"))
-    rows = rows.select("doc_id", F.regexp_count("_text", F.lit(WORDS)).cast("long").alias("n_words"),
-                       F.when(F.col("_text").rlike(GATE), F.concat(F.lit(" "), F.trim(F.regexp_replace(ascii_lower(F.col("_text")), GAP, " ")), F.lit(" "))).alias("_words"))
+    rows = docs.select("doc_id", text.alias("_text"), F.lower(text).alias("_low"))
+    line = F.concat(F.lit(" "), F.trim(F.regexp_replace(ascii_lower(F.col("_text")), GAP, " ")), F.lit(" "))
+    rows = rows.select("doc_id", F.size(F.array_remove(F.split("_text", SPLIT), "")).cast("long").alias("n_words"),
+                       F.when(gate(F.col("_text"), F.col("_low")), line).alias("_words"))
     words = F.col("_words")
     base = [F.struct(F.lit(-1 - i).alias("rule"), F.lit(2).alias("tier"), F.lit(label).alias("label"), F.lit(f"(?<= ){phrase}(?= )").alias("pattern"))
             for i, (phrase, label) in enumerate(PHRASES.items())]

@@ -278,6 +278,10 @@ def test_license_keywords_are_long_and_of_each_alternative(spark):
     assert licenses.alternatives("a(?:b|c)|d") == ["a(?:b|c)", "d"]
     assert licenses.literal("bsd (?:2|two) clause licen[cs]e") == " clause licen" and licenses.literal("non ?commercial(?: x)?") == "commercial"
     assert licenses.keywords("gnu gpl|gpl|mit") == ("gpl", "mit")
+    assert licenses.keywords("mit|gpl ?2", " ", " licen") == (" mit licen", "gpl")
+    for rule in licenses.rules():
+        for text in samples(re._parser.parse(rule.pattern)):
+            assert "cc" in text or any(w in text for w in licenses.GATE_WORDS), (rule.label, text)
     assert len(licenses.NOTICES) > 100 and len(licenses.rules()) > 300
 
 
