@@ -124,7 +124,7 @@ def superminhash(sets: list, size: int):
 
 
 def fingerprints(texts: DataFrame, rule: Rule) -> DataFrame:
-    """From (row, doc_id, text): row, doc_id, n, same (hash of the whole set), sig (one byte per position) and bands (hashes) of every document."""
+    """From (row, doc_id, text): row, doc_id, n, same (hash of the whole set), sig (four bits per position) and bands (hashes) of every document."""
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("same", T.BinaryType()),
                            T.StructField("sig", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
     size = rule.bands * rule.rows
@@ -149,7 +149,9 @@ def fingerprints(texts: DataFrame, rule: Rule) -> DataFrame:
                 part = full[start:end + 1]
                 sig = superminhash([sets[x] for x in part], size)
                 bits = mix(sig.view(np.uint64))
-                low = (bits & np.uint64(255)).astype(np.uint8)
+                low = np.zeros((len(part), size + size % 2), np.uint8)
+                low[:, :size] = bits & np.uint64(15)
+                low = low[:, ::2] | low[:, 1::2] << 4
                 keys = np.arange(1, rule.bands + 1, dtype=np.uint64) * np.uint64(_M2) + np.zeros((len(part), 1), np.uint64)
                 for r in range(rule.rows):
                     keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + bits[:, r::rule.rows])
@@ -225,20 +227,57 @@ def by_bucket(batches: Iterator, key: int = 0) -> Iterator:
         yield pa.Table.from_batches(held)
 
 
-def near(same, n, m, rule: Rule, positions: int):
+def whole_buckets(batches: Iterator, key: int) -> Iterator:
+    """As ``by_bucket``, but all buckets that end in a batch as one table."""
+    import numpy as np
+    import pyarrow as pa
+
+    held: list = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.rec.fromarrays([batch.column(i).to_numpy() for i in range(key + 1)])
+        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        if len(cuts):
+            yield pa.Table.from_batches([*held, batch.slice(0, cuts[-1])])
+            held = [batch.slice(cuts[-1])]
+        elif held and tuple(c[held[-1].num_rows - 1].as_py() for c in held[-1].columns[:key + 1]) != tuple(c[0].as_py() for c in batch.columns[:key + 1]):
+            yield pa.Table.from_batches(held)
+            held = [batch]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def signatures(column):
+    """A column of packed signatures as a matrix."""
+    import numpy as np
+
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def agreeing(a, b, rule: Rule):
+    """Equal positions of packed signatures. Different values of a position agree by chance in one of 16 cases, so the
+    estimate may be high (and a pair verified for nothing), never low."""
+    x, size = a ^ b, rule.bands * rule.rows
+    return (x < 16).sum(-1) + (x & 15 == 0).sum(-1) - size % 2
+
+
+def near(same, n, m, rule: Rule):
     """Whether equal positions and set sizes allow the similarity."""
     import numpy as np
 
-    return (same >= rule.least_estimate * positions) & (100 * np.minimum(n, m) >= rule.percent * np.maximum(n, m))
+    return (same >= rule.least_estimate * rule.bands * rule.rows) & (100 * np.minimum(n, m) >= rule.percent * np.maximum(n, m))
 
 
 def compared(members: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
     """``members`` (key, id, n, blocks) with one and two: the likeliest of the bucket's pivots, if any is near.
 
-    Pivots are PIVOTS members of a bucket by hash. A bucket is cut into slices
-    of bounded size and its pivots go to each, so the work is linear in the
-    members however many a bucket has. Signatures (of ``reps``) move once, and
-    none is written.
+    Pivots are the PIVOTS members of a bucket with the least hash. A bucket of more than one block is cut into
+    slices and its pivots go to each as guests, so the work is linear in the members however many a bucket has.
+    In other buckets the first rows are the pivots. Signatures (of ``reps``) move to their bucket once, and none
+    is written.
     """
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("blocks", T.LongType()),
                            T.StructField("one", T.LongType()), T.StructField("two", T.LongType())])
@@ -247,38 +286,37 @@ def compared(members: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = batch.num_rows
-            sig = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(rows, -1)
-            ids, sizes = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            lists = batch.column(5)
-            owner = np.repeat(np.arange(rows), np.diff(lists.offsets.to_numpy()))
-            flat = lists.flatten()
-            pid, size = flat.field("id").to_numpy(), flat.field("n").to_numpy()
-            other = np.frombuffer(b"".join(flat.field("sig").to_pylist()), np.uint8).reshape(len(pid), -1)
-            same = (sig[owner] == other).sum(1)
-            good = np.flatnonzero(near(same, sizes[owner], size, rule, sig.shape[1]) & (pid != ids[owner]))
-            good = good[np.lexsort((pid[good], -same[good], owner[good]))]
-            first = np.r_[True, owner[good][1:] != owner[good][:-1]] if len(good) else np.zeros(0, bool)
-            second = np.r_[False, first[:-1]] & ~first if len(good) else first
-            out = []
-            for which in (first, second):
-                at = good[which]
-                held = np.zeros(rows, np.int64)
-                held[owner[at]] = pid[at]
-                none = np.ones(rows, bool)
-                none[owner[at]] = False
-                out.append(pa.array(held, mask=none))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *out], names=schema.names)
-
-    order = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")
-    chosen = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS).join(reps.select("id", "sig"), "id")
-    pivots = (chosen.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("slice"), F.struct("id", "n", "sig").alias("p"))
-              .groupBy("key", "slice").agg(F.collect_list("p").alias("pivots")))
-    sliced = members.join(reps.select("id", "sig"), "id").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    return sliced.join(pivots, ["key", "slice"]).select("key", "id", "n", "blocks", "sig", "pivots").mapInArrow(run, schema)
+        for part in whole_buckets(batches, 1):
+            key, piece, own, ids, sizes = (part[c].to_numpy() for c in ("key", "slice", "own", "id", "n"))
+            sig = signatures(part["sig"])
+            fresh = np.r_[True, (key[1:] != key[:-1]) | (piece[1:] != piece[:-1])]
+            starts, unit = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+            guests = np.add.reduceat((~own).astype(np.int64), starts)       # they come first
+            pivots = np.where(guests > 0, guests, np.minimum(np.diff(np.r_[starts, len(key)]), PIVOTS))
+            score, other = np.full((len(key), max(PIVOTS, 2)), -1), np.zeros((len(key), max(PIVOTS, 2)), np.int64)
+            for p in range(PIVOTS):
+                at = np.flatnonzero(own & (p < pivots[unit]))
+                pivot = starts[unit[at]] + p
+                same = agreeing(sig[at], sig[pivot], rule)
+                good = near(same, sizes[at], sizes[pivot], rule) & (ids[at] != ids[pivot])
+                score[at[good], p], other[at[good], p] = same[good], ids[pivot[good]]
+            order = np.lexsort((other, -score), axis=1)
+            mine = pa.array(np.flatnonzero(own))
+            best = []
+            for place in (0, 1):
+                pick = order[own, place][:, None]
+                best.append(pa.array(np.take_along_axis(other[own], pick, 1)[:, 0], mask=np.take_along_axis(score[own], pick, 1)[:, 0] < 0))
+            if len(mine):
+                yield pa.RecordBatch.from_arrays([*(part[c].take(mine).combine_chunks() for c in ("key", "id", "n", "blocks")), *best], names=schema.names)
+
+    sigs, hashed = reps.select("id", "sig"), F.xxhash64("id")
+    order = Window.partitionBy("key").orderBy(hashed, "id")
+    chosen = members.where("blocks > 1").withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
+    cols = lambda piece, own: ["key", piece.alias("slice"), F.lit(own).alias("own"), hashed.alias("hash"), "id", "n", "blocks"]
+    guests = chosen.select(*cols(F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)), False))
+    units = members.select(*cols(F.pmod(hashed, F.col("blocks")), True)).unionByName(guests).join(sigs, "id")
+    units = units.select("key", "slice", "own", "hash", "id", "n", "blocks", "sig")
+    return units.repartition("key", "slice").sortWithinPartitions("key", "slice", "own", "hash", "id").mapInArrow(run, schema)
 
 
 def open_members(marked: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
@@ -312,10 +350,10 @@ def open_members(marked: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
             own = np.flatnonzero(~rest)
             if not len(own) or not rest.any():
                 continue
-            sigs = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint8).reshape(len(ids), -1)
+            sigs = signatures(part["sig"])
             left = np.zeros(len(ids), bool)
             for i in np.flatnonzero(rest):
-                open_ = (comps[own] != comps[i]) & near((sigs[own] == sigs[i]).sum(1), sizes[own], sizes[i], rule, sigs.shape[1])
+                open_ = (comps[own] != comps[i]) & near(agreeing(sigs[own], sigs[i], rule), sizes[own], sizes[i], rule)
                 open_ &= (t1[own] != ids[i]) & (t2[own] != ids[i]) & (ids[own] != t1[i]) & (ids[own] != t2[i])
                 left[own[open_]] = True
                 left[i] |= open_.any()
@@ -399,17 +437,26 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(a, "u").join(b, "v").select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
 
 
-#: Words of 64 bits in the filter before the join below: a bound of 2^18 rows whatever the input.
+#: Words of 64 bits in the filter before a join: a bound of 2^18 rows whatever the input.
 FILTER_WORDS = 1 << 18
 
 
-def shingle_table(texts: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(id, shingles) of the wanted rows (row) of (row, doc_id, text), the full sets as bytes.
+def filtered(rows: DataFrame, wanted: DataFrame, by: str) -> DataFrame:
+    """``rows`` with ``likely``: whether ``by`` is in a bit filter of ``wanted``.
 
-    Before texts move, a bit filter of the wanted rows drops nearly all others;
-    it has FILTER_WORDS rows at most, so it may be broadcast at any size. The
-    exact join follows.
+    Where it is false the value is not wanted; an exact join has to follow for the others. The filter has FILTER_WORDS
+    rows at most, so it may be broadcast at any size; full, it lets all rows through to that join.
     """
+    h = F.xxhash64(by)
+    word, bit = h.bitwiseAND(F.lit(FILTER_WORDS - 1)).alias("word"), F.shiftrightunsigned(h, 18).bitwiseAND(F.lit(63)).cast("int")
+    bits = wanted.groupBy(word).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    return (rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word", "left")
+            .withColumn("likely", F.coalesce(F.getbit("bits", F.col("bit")) == 1, F.lit(False))).drop("word", "bit", "bits"))
+
+
+def shingle_table(texts: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """(id, shingles) of the wanted rows (row) of (row, doc_id, text), the full sets as bytes. A bit filter drops nearly
+    all other texts before they move."""
 
     def run(batches):
         import pyarrow as pa
@@ -419,12 +466,7 @@ def shingle_table(texts: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
             sets = shingle_sets(batch.column(1).to_pylist(), hashes, rule.width)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "shingles"])
 
-    h = F.xxhash64("row")
-    word, bit = h.bitwiseAND(F.lit(FILTER_WORDS - 1)).alias("word"), F.shiftrightunsigned(h, 18).bitwiseAND(F.lit(63)).cast("int")
-    bits = wanted.groupBy(word).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-    rows = texts.select("row", "text")
-    likely = (rows.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word")
-              .where(F.getbit("bits", F.col("bit")) == 1).select("row", "text"))
+    likely = filtered(texts.select("row", "text"), wanted, "row").where("likely")
     return likely.join(wanted, "row", "left_semi").select("row", "text").mapInArrow(run, "id long, shingles binary")
 
 
@@ -466,9 +508,10 @@ def row_groups(rows: DataFrame, rule: Rule = QUERY_RULE) -> DataFrame:
     reps = stored(whole.groupBy("same").agg(F.min(F.struct("row", "n", "sig", "bands")).alias("r"), F.min("doc_id").alias("least"))
                   .select("same", F.col("r.row").alias("id"), "least", "r.n", "r.sig", "r.bands"), "dup_classes")
     banded = reps.select("id", "n", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.count("*").alias("held"), F.sum("n").alias("size")).where("held > 1").select(
-        "key", F.greatest(F.ceil(F.col("held") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
-    banded = stored(banded.join(buckets, "key").select("key", "id", "n", "blocks"), "dup_banded")
+    buckets = stored(banded.groupBy("key").agg(F.count("*").alias("held"), F.sum("n").alias("size")).where("held > 1").select(
+        "key", F.greatest(F.ceil(F.col("held") / BLOCK), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("long").alias("blocks")), "dup_buckets")
+    # most keys are held once: the filter leaves them where they are
+    banded = stored(filtered(banded, buckets, "key").where("likely").join(buckets, "key").select("key", "id", "n", "blocks"), "dup_banded")
     members = stored(compared(banded, reps, rule), "dup_members")
     pair = members.select("id", F.explode(F.array("one", "two")).alias("p")).where("p is not null")
     tries = stored(pair.select(F.least("id", "p").alias("u"), F.greatest("id", "p").alias("v")).distinct(), "dup_tries")
@@ -503,7 +546,10 @@ def stage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, rule: Rule =
     found = stored(row_groups(rows, rule), "dup_rows")
     first = lambda by, where: found.where(where).groupBy(by).agg(F.min(F.struct("doc_id", "row")).alias("m")).select("m.row")
     keep = first("group", "group is not null").union(first("doc_id", "group is null and doc_id is not null")).union(found.where("doc_id is null").select("row"))
-    return rows.join(keep, "row", "left_semi").select(*[F.col("doc")[c].alias(c) for c in docs.columns])
+    gone = stored(found.select("row").join(keep, "row", "left_anti"), "dup_gone")
+    marked = filtered(rows, gone, "row")      # what is surely not gone need not move
+    left = marked.where("not likely").unionByName(marked.where("likely").join(gone, "row", "left_anti"))
+    return left.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 #: All pairs that share a shingle, compared on their full sets; smallest doc_id reachable in a recursive query.
