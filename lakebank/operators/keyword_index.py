@@ -1,10 +1,9 @@
 """Keyword index: BM25 search over blocks of documents, with block skipping, and bounded rank fusion.
 
 The index is one table: a row per block of documents and word -- places of the
-documents in the block, word counts and document lengths as arrays, the number
-of documents, the largest count and least length, and the length of one document
-that has the largest count. A row without a word lists the block's ids and
-lengths. A block holds at most ``block_docs`` documents that lie in one task of
+documents in the block and word counts as arrays, the number of documents, the
+largest count and least length, and the length of one document that has the
+largest count. A row without a word lists the block's ids and lengths. A block holds at most ``block_docs`` documents that lie in one task of
 the build, so postings are never shuffled, and a word that most documents hold
 is spread over all blocks.
 
@@ -59,16 +58,17 @@ def _postings(block_docs: int):
                 pair, tf = np.unique(code * len(ids) + doc, return_counts=True)
                 code, doc = pair // len(ids), pair % len(ids)
                 at = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, int)
-                n, dl = len(at), lengths[doc]
+                n, dl, place = len(at), lengths[doc], np.int16 if block_docs <= 2**15 else np.int32
                 # the last row lists the block's documents, also those without a word
                 ends = pa.array(np.r_[at, len(code), len(code) + len(ids)].astype(np.int32))
-                lists = lambda x, y: pa.ListArray.from_arrays(ends, pa.array(np.r_[x, y].astype(np.int32)))  # noqa: E731, B023
+                lists = lambda x, y, kind=np.int32: pa.ListArray.from_arrays(ends, pa.array(np.r_[x, y].astype(kind)))  # noqa: E731, B023
+                last = pa.array(np.r_[np.zeros(n + 1), len(ids)].astype(np.int32))
                 most = lambda f, x: pa.array(np.r_[f.reduceat(x, at) if n else [], 0].astype(np.int32))  # noqa: E731, B023
                 top = np.lexsort((dl, -tf, code))[at]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n + 1, block)), pa.concat_arrays([words.dictionary.take(pa.array(code[at])).cast(pa.string()), pa.nulls(1, pa.string())]),
-                    pa.ListArray.from_arrays(pa.array(np.r_[np.zeros(n + 1), len(ids)].astype(np.int32)), ids),
-                    lists(doc, np.arange(len(ids))), lists(tf, np.zeros(len(ids))), lists(dl, listed), most(np.maximum, tf), most(np.minimum, dl),
+                    pa.ListArray.from_arrays(last, ids), lists(doc, np.arange(len(ids)), place), lists(tf, np.zeros(len(ids))),
+                    pa.ListArray.from_arrays(last, pa.array(listed.astype(np.int32))), most(np.maximum, tf), most(np.minimum, dl),
                     pa.array(np.r_[dl[top], 0].astype(np.int32)), pa.array(np.diff(ends.to_numpy())),
                 ], names=["block", "term", "ids", "at", "tf", "dl", "max_tf", "min_dl", "top_dl", "df"])
                 block += 1
@@ -85,7 +85,8 @@ def build(corpus: DataFrame, path: str | None = None, id_col: str = "id", text_c
     path = (path or scratch_path(spark, "keyword_index")).rstrip("/")
     id_type = corpus.schema[id_col].dataType
     schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("term", T.StringType()), T.StructField("ids", T.ArrayType(id_type)),
-                           *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("at", "tf", "dl")], *[T.StructField(c, T.IntegerType()) for c in ("max_tf", "min_dl", "top_dl", "df")]])
+                           T.StructField("at", T.ArrayType(T.ShortType() if block_docs <= 2**15 else T.IntegerType())),
+                           *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("tf", "dl")], *[T.StructField(c, T.IntegerType()) for c in ("max_tf", "min_dl", "top_dl", "df")]])
     docs = spread(corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).select("id", _words(F.col("text")).alias("toks"))
     docs.mapInArrow(_postings(block_docs), schema).write.mode("overwrite").parquet(path)
     return path
@@ -105,7 +106,8 @@ def _score_block(k: int, avgdl: float, k1: float, b: float):
         ids = [str(x) for row, name in enumerate(names) if name is None for x in postings["ids"][row].as_py()]
         flat = lambda c: postings[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)
         ends = np.r_[0, np.cumsum(pc.list_value_length(postings["at"]).to_numpy())]
-        at_all, weights = flat("at"), _weight(flat("tf").astype(float), flat("dl"), avgdl, k1, b)
+        at_all = flat("at")
+        weights = _weight(flat("tf").astype(float), flat("dl")[at_all], avgdl, k1, b)      # lengths stand in the row without a word
         lists = {name: (at_all[x:y], weights[x:y]) for name, x, y in zip(names, ends, ends[1:]) if name is not None}
         by_id = np.empty(len(ids), np.int64)
         by_id[sorted(range(len(ids)), key=ids.__getitem__)] = np.arange(len(ids))
@@ -196,19 +198,22 @@ class Search:
     def topk_and_ranks(self, k: int, hits: DataFrame) -> tuple[DataFrame, DataFrame]:
         """``topk(k)``, and (query_id, id, rank, score) in the whole keyword list of the given (query_id, id).
 
-        The hits' scores come with the top-k's; the documents ahead of each hit
-        are then counted block by block, where blocks whose bound is below its
-        score are not read. Hits without a word of the query have no rank and no row.
+        The hits' scores come first, from the blocks that hold them and their
+        queries' words alone. Then one pass over the blocks gives the top-k and
+        counts the documents ahead of each hit; blocks whose bound is below both
+        the floor and the hits' scores are not read. Hits without a word of the
+        query have no rank and no row.
         """
         documents = self.postings.where("term is null").select("block", F.explode("ids").alias("id")).select("block", F.col("id").cast("string").alias("id"))
         target = lambda score: F.collect_list(F.struct("id", score.alias("score"))).alias("targets")
         at = (hits.select("query_id", F.col("id").cast("string").alias("id")).join(documents, "id")
               .groupBy("query_id", "block").agg(target(F.lit(None).cast("double"))))
-        scored = checkpoint_table(self.score(self._asked(k).join(at, ["query_id", "block"], "full_outer"), k), "block_scores")
-        own = scored.where("ahead = -1").select("query_id", "id", F.round("raw_score", 9).alias("score"))
-        lows = own.groupBy("query_id").agg(target(F.col("score")), F.min("score").alias("floor"))
-        asked = self.bounds.join(lows, "query_id").where("bound >= floor").select("query_id", "block", "targets")
-        ranks = self.score(asked, 0).groupBy("query_id", "id").agg((F.sum("ahead") + 1).alias("rank"), F.max("raw_score").alias("score"))
+        own = checkpoint_table(self.score(checkpoint_table(at, "hit_blocks"), 0), "hit_scores").select("query_id", "id", F.round("raw_score", 9).alias("score"))
+        lows = own.groupBy("query_id").agg(target(F.col("score")), F.min("score").alias("low"))
+        asked = (self.bounds.join(self.floors(k), "query_id", "left").join(lows, "query_id", "left").where("floor is null or bound >= floor or bound >= low")
+                 .select("query_id", "block", F.when(F.col("bound") >= F.col("low"), F.col("targets")).alias("targets")))
+        scored = checkpoint_table(self.score(asked, k), "block_scores")
+        ranks = scored.where("ahead is not null").groupBy("query_id", "id").agg((F.sum("ahead") + 1).alias("rank"), F.max("raw_score").alias("score"))
         return self._best(scored, k), ranks
 
     def ranks(self, hits: DataFrame) -> DataFrame:

@@ -88,3 +88,16 @@ def test_hashed_knn_with_copies_nulls_and_split_buckets(spark, monkeypatch):
     # all buckets of each table probed: nothing can be missed
     got = {(r.query_id, r["rank"]): r.id for r in lsh.knn_lsh(docs, asked, 4, tables=2, bits=3, probes=8).collect()}
     assert got == want and len(got) == 8
+
+
+def test_fusion_reads_all_blocks_once(spark, corpus, queries, monkeypatch):
+    """The first pass asks for the hits' blocks alone; the second gives the top-k and the ranks together."""
+    calls, score = [], keyword_index.Search.score
+    monkeypatch.setattr(keyword_index.Search, "score", lambda self, asked, k: calls.append((asked.count(), k)) or score(self, asked, k))
+    vector = spark.createDataFrame([(1, "5", 1, 0.9), (2, "9", 1, 0.8)], "query_id long, id string, rank long, score double")
+    path = keyword_index.build(corpus, block_docs=20)
+    search = keyword_index.Search(spark, path, queries)
+    keyword_index.hybrid_topk(vector, search, 1).collect()
+    assert len(calls) == 2 and calls[0] == (2, 0) and calls[1][1] == 2
+    # lengths stand once per document, not once per posting
+    assert spark.read.parquet(path).where("term is not null and size(dl) > 0").count() == 0
