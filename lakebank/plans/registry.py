@@ -676,7 +676,10 @@ def q_score_fallback_filter(spark, d):
 def q_rag_context(spark, d):
     """Numbered context text per query (empty when nothing passes)."""
     from lakebank.operators import retrieval as R
-    hits = _fallback_hits(spark, d).join(FX.documents_index(spark, d).select("id", "content"), "id")
+    from lakebank.sources.sinks import checkpoint_table
+    # written first: its measured size lets the planner broadcast it, and only the hits' texts move
+    hits = checkpoint_table(_fallback_hits(spark, d), "hits")
+    hits = hits.join(FX.documents_index(spark, d, hits).select("id", "content"), "id")
     return R.rag_context(hits, FX.search_queries(spark, d))
 
 

@@ -200,9 +200,11 @@ def cache_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts"), kind.alias("kind"), F.col("props").alias("value")))
 
 
-def documents_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Knowledge documents with vectors (vector null when no embedding exists)."""
+def documents_index(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
+    """Knowledge documents with vectors (vector null when no embedding exists), all or those of ``ids`` (id as text)."""
     d = read_table(spark, sf_dir, "documents")
+    if ids is not None:                                # before the join with the vectors, which moves the texts
+        d = d.join(ids.select(F.col("id").alias("__id")), F.col("doc_id").cast("string") == F.col("__id"), "left_semi")
     v = read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("embedding").alias("content_vector"))
     return (d.join(v, "doc_id", "left").select(

@@ -101,3 +101,9 @@ def test_fusion_reads_all_blocks_once(spark, corpus, queries, monkeypatch):
     assert len(calls) == 2 and calls[0] == (2, 0) and calls[1][1] == 2
     # lengths stand once per document, not once per posting
     assert spark.read.parquet(path).where("term is not null and size(dl) > 0").count() == 0
+
+
+def test_documents_of_given_ids(spark):
+    ids = spark.createDataFrame([("3",), ("7",), ("7",), ("no",)], "id string")
+    whole = FX.documents_index(spark, SF_MID).where("id in ('3', '7')")
+    assert sorted(map(str, FX.documents_index(spark, SF_MID, ids).collect())) == sorted(map(str, whole.collect()))
